@@ -81,7 +81,7 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([pa.field(name, _ARROW[kind]) for name, kind in (part.split() for part in ddl.split(","))])
 
 
-def record(schema: pa.Schema, n: int, **columns) -> pa.RecordBatch:
+def record(schema: pa.Schema, n: int, /, **columns) -> pa.RecordBatch:
     """A record batch of n rows; columns that are not given are null."""
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
 

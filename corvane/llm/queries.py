@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, preference_format, toxicity, url_filter
+from . import bpe, decontamination, exact_dedup, preference_format, secret_scan, toxicity, url_filter
 
 #: Rules of op4: (verdict, host, path prefix).
 URL_RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
@@ -27,6 +27,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_test_text(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).drop("url")
 
@@ -41,12 +46,18 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_and_decode(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+    of_kind = lambda kind: F.regexp_count("base_spans", F.lit(f"{kind}:")).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", of_kind("assign"), of_kind("access"), of_kind("hex"), F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op4_url_filter, op5_preference_format, op6_bpe, op8_toxicity)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op3_decontamination, op4_url_filter, op5_preference_format, op6_bpe, op7_secret_scan, op8_toxicity)}
 
 _RULES_SQL = ", ".join(f"({i}, '{v}', '{h}', '{p}')" for i, (v, h, p) in enumerate(URL_RULES))
 
@@ -55,6 +66,19 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    "op3_decontamination": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        win AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS k
+                FROM (SELECT *, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+        pos AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS k
+                FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win))),
+        hit AS (SELECT DISTINCT doc_id, i, n, item_id FROM pos JOIN win USING (n, k)),
+        words AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM hit) GROUP BY doc_id),
+        items AS (SELECT doc_id, list_sort(list(DISTINCT item_id::VARCHAR)) AS ids FROM hit GROUP BY doc_id)
+        SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(ids), 0)::BIGINT AS n_items,
+               sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
     "op4_url_filter": f"""
         WITH rules(i, verdict, host, path) AS (VALUES {_RULES_SQL}),
         parts AS (
