@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -62,10 +63,13 @@ class Workspace:
         return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
 
     def drop(self, *names: str) -> None:
+        """Removes tables that no later step reads, and lets the cleaner take the shuffle files of finished steps."""
         for name in names:
             jvm = self.spark.sparkContext._jvm
             path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
 
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -89,3 +93,54 @@ def record(schema: pa.Schema, n: int, /, **columns) -> pa.RecordBatch:
 def in_fold(id_column: Column, folds: int) -> Column:
     """The remainder of crc32(id as text), in the JVM. A null id counts as the empty text."""
     return F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")) % F.lit(folds)
+
+
+_PACKED = pa.schema([("run", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("texts", pa.binary())])
+PACKED = "run long, doc_ids array<long>, sizes array<int>, texts binary"
+
+
+def pack_runs(docs: DataFrame, ws: Workspace, id_col: str = "doc_id", text_col: str = "text", run_bytes: int = BATCH_BYTES) -> DataFrame:
+    """Documents as a table of runs: about run_bytes of whole texts, compressed, with their ids. A run is read again and again under the same number."""
+
+    def pack(batches):
+        import zstandard
+        from pyspark import TaskContext
+
+        run, ids, texts, held = TaskContext.get().partitionId() << 20, [], [], 0
+        squeeze = zstandard.ZstdCompressor(level=3)
+
+        def row():
+            return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(([run], [ids], [[len(t) for t in texts]], [squeeze.compress(b"".join(texts))]), _PACKED)], schema=_PACKED)
+
+        for batch in batches:
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+                ids.append(doc_id)
+                texts.append(text)
+                held += len(text)
+                if held >= run_bytes or len(ids) >= 1 << 19:
+                    yield row()
+                    run, ids, texts, held = run + 1, [], [], 0
+        if ids:
+            yield row()
+
+    return ws.write(id_and_text(docs, id_col, text_col).mapInArrow(pack, PACKED), "packed")
+
+
+def unpack(sizes: list[int], texts: bytes) -> list[bytes]:
+    """The texts of a run."""
+    import zstandard
+
+    whole, at, out = zstandard.ZstdDecompressor().decompress(texts) if sum(sizes) else b"", 0, []
+    for n in sizes:
+        out.append(whole[at : at + n])
+        at += n
+    return out
+
+
+def mixed(h):
+    """Spreads the bits of 64-bit integers (the finaliser of splitmix64)."""
+    import numpy as np
+
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
