@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, exact_dedup, jaccard_join, preference_format, secret_scan, toxicity, url_filter
+from . import bpe, decontamination, exact_dedup, jaccard_join, preference_format, secret_scan, suffix_dedup, toxicity, url_filter
 
 #: Rules of op4: (verdict, host, path prefix).
 URL_RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
@@ -57,11 +57,16 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"), F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op3_decontamination, op4_url_filter, op5_preference_format, op6_bpe, op7_secret_scan, op8_toxicity, op10_ngram_jaccard_join)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op3_decontamination, op4_url_filter, op5_preference_format, op6_bpe, op7_secret_scan, op8_toxicity, op9_suffix_dedup, op10_ngram_jaccard_join)}
 
 _RULES_SQL = ", ".join(f"({i}, '{v}', '{h}', '{p}')" for i, (v, h, p) in enumerate(URL_RULES))
 
