@@ -1,3 +1,52 @@
-"""The corpus pipeline: a chain of stages over the documents table."""
+"""The corpus pipeline: from the documents table to tokens, each stage on all that the one before kept.
 
-STAGES = []
+toxicity    documents scored toxic go
+exact       of equal texts, the one with the largest id stays
+near        of each component of near duplicates, the document with the smallest id stays
+benchmark   documents with passages of the benchmark go
+tokens      the rest is encoded, and decoded again as a check
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from corvane.llm import bpe, decontamination, exact_dedup, jaccard_join, toxicity
+from corvane.llm.common import Workspace
+from corvane.llm.queries import table, tokenizer_path
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.drop_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.drop_copies(docs, keep="largest")
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard_join.keep_one_of_each(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.with_tokens(docs, tokenizer_path())
+
+
+STAGES = [("toxicity", without_toxic), ("exact", without_copies), ("near", one_of_each_group), ("benchmark", without_benchmark), ("tokens", tokens)]
+
+#: A compressor's dictionaries and a trained threshold are beyond SQL; the tests hold each stage against brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents table. Each result is written to the shared folder and read again, so a lost executor never leads back beyond the stage at work."""
+    ws, docs = Workspace(spark, "pipeline"), table(spark, sf_dir, "documents")
+    for i, (name, stage) in enumerate(STAGES):
+        docs = ws.write(stage(spark, docs, sf_dir), name)
+        if i:
+            ws.drop(STAGES[i - 1][0])
+    return docs

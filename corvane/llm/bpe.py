@@ -10,10 +10,12 @@ the order in which merges consume the pieces on either side.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from array import array
 from os.path import commonprefix
 
+import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -164,17 +166,22 @@ class TrieTokenizer:
         return b"".join(map(self.bytes.__getitem__, memoryview(ids).cast("I"))).decode("utf-8", "replace")
 
 
-_tokenizers: dict[int, TrieTokenizer] = {}
+_tokenizers: dict[str, TrieTokenizer] = {}
+
+
+def _tokenizer(definition: str) -> TrieTokenizer:
+    """One per worker and definition, with what it remembers."""
+    key = hashlib.sha256(definition.encode()).hexdigest()
+    if key not in _tokenizers:
+        _tokenizers[key] = TrieTokenizer(definition)
+    return _tokenizers[key]
 
 
 def _code(definition):
     schema = arrow_schema(_FIELDS)
 
     def code(batches):
-        text = definition.value
-        if hash(text) not in _tokenizers:
-            _tokenizers[hash(text)] = TrieTokenizer(text)
-        t = _tokenizers[hash(text)]
+        t = _tokenizer(definition.value)
         for batch in batches:
             ids = t.encode_batch(batch.column(1).to_pylist())
             yield record(schema, len(ids), doc_id=batch.column(0), ids=ids, n_tokens=[len(x) // 4 for x in ids], decoded=[t.decode(x) for x in ids])
@@ -195,6 +202,22 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_i
     return id_and_text(docs, id_col, text_col).mapInArrow(_code(definition), _FIELDS)
 
 
+def with_tokens(docs: DataFrame, tokenizer_path: str, text_col: str = "text") -> DataFrame:
+    """The columns of docs, with ids (packed little-endian unsigned 32-bit), n_tokens and round_trip: whether decoding gives the text again. Columns of these names give way."""
+    spark = prepare(docs.sparkSession)
+    with open(tokenizer_path, encoding="utf-8") as f:
+        definition = spark.sparkContext.broadcast(f.read())
+
+    @F.pandas_udf("ids binary, n_tokens long, round_trip boolean")
+    def coded(texts: pd.Series) -> pd.DataFrame:
+        t, texts = _tokenizer(definition.value), texts.tolist()
+        ids = t.encode_batch(texts)
+        return pd.DataFrame({"ids": ids, "n_tokens": [len(x) // 4 for x in ids], "round_trip": [t.decode(x) == y for x, y in zip(ids, texts)]})
+
+    out = docs.withColumn("__coded", coded(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    return out.withColumns({c: F.col(f"__coded.{c}") for c in ("ids", "n_tokens", "round_trip")}).drop("__coded")
+
+
 def digests(coded: DataFrame) -> DataFrame:
     """What a comparison needs of encode_and_decode."""
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
