@@ -109,8 +109,8 @@ def candidates(text: str) -> list[tuple[int, int, int, int, int]]:
 
 
 def references(text: str) -> list[tuple[int, int]]:
-    """(length class, bin) of stretches of letters, one for each length class that the text fills."""
-    letters = text.encode("ascii", "ignore").translate(None, _NOT_LETTERS).decode()
+    """(length class, bin) of stretches of letters outside candidates, one for each length class that they fill, at a place that follows from the text."""
+    letters = _CANDIDATE.sub(" ", text).encode("ascii", "ignore").translate(None, _NOT_LETTERS).decode()
     return [(i, _bin(randomness(letters[at : at + low], 3))) for i, low in enumerate(LENGTHS) if len(letters) >= low for at in (zlib.crc32(letters.encode()) % (len(letters) - low + 1),)]
 
 
