@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import tempfile
@@ -137,6 +138,14 @@ def unpack(sizes: list[int], texts: bytes) -> list[bytes]:
     return out
 
 
+def trim() -> None:
+    """Gives memory that the C library holds free back to the system, so that a worker's size follows what it needs now."""
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def mixed(h):
     """Spreads the bits of 64-bit integers (the finaliser of splitmix64)."""
     import numpy as np

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, arrow_schema, mixed, pack_runs, prepare, record, unpack
+from .common import Workspace, arrow_schema, mixed, pack_runs, prepare, record, trim, unpack
 
 WINDOW = 200
 GRAM = 100
@@ -179,13 +179,20 @@ class Batch:
 
     def __init__(self, sizes, texts):
         self.texts = unpack(sizes, texts)
-        self.prints = [Prints(t) if len(t) >= WINDOW else None for t in self.texts]
-        empty = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
-        found = [stretches(p) if p else empty for p in self.prints]
-        self.doc = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
-        self.start, self.n, gram = (np.concatenate([f[i] for f in found] or [empty[i]]) for i in range(3))
-        whole = [[p.of(f[0], f[0] + f[1] + WINDOW - 1, w) for p, f in zip(self.prints, found) if p] for w in (0, 1)]
-        high, low = (np.concatenate([*x, empty[2]]) for x in whole)
+        none = np.zeros(0, np.uint64)
+        doc, start, n, gram, high, low = [], [], [], [none], [none], [none]
+        for i, text in enumerate(self.texts):
+            if len(text) >= WINDOW:  # prints take 16 bytes for each of the text's, so only one text's are held
+                p = Prints(text)
+                first, number, g = stretches(p)
+                doc.append(np.full(len(first), i))
+                start.append(first)
+                n.append(number)
+                gram.append(g)
+                high.append(p.of(first, first + number + WINDOW - 1, 0))
+                low.append(p.of(first, first + number + WINDOW - 1, 1))
+        self.doc, self.start, self.n = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (doc, start, n))
+        gram, high, low = (np.concatenate(x) for x in (gram, high, low))
         high, low = mixed(high ^ self.n.astype(np.uint64)), (low >> np.uint64(32)).astype(np.uint32)
         # Of grams, 48 bits are enough: a false match only means that windows are entered in vain.
         self.gram, _, self.gram_count, _, self.gram_of = _distinct(gram >> np.uint64(16) << np.uint64(16), np.zeros(len(gram), np.uint32))
@@ -200,7 +207,7 @@ class Batch:
         high, low = np.zeros(len(which), np.uint64), np.zeros(len(which), np.uint32)
         edges = np.flatnonzero(np.diff(doc, prepend=-1)) if len(doc) else np.zeros(0, np.int64)
         for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(doc)]):
-            p = self.prints[doc[a]]
+            p = Prints(self.texts[doc[a]])
             high[a:b] = p.of(start[a:b], start[a:b] + WINDOW, 0)
             low[a:b] = (p.of(start[a:b], start[a:b] + WINDOW, 1) >> np.uint64(32)).astype(np.uint32)
         return high, low, doc, start
@@ -238,6 +245,8 @@ def _grams_and_stretches(bits: int):
                 rows = _cut(run, 0, bits, b.gram, np.zeros(len(b.gram), np.uint32), b.gram_count) + _cut(run, 1, bits, b.high, b.low, b.count)
                 if rows:
                     yield _rows(schema, rows)
+                del b, rows
+                trim()
 
     return enter
 
@@ -253,6 +262,8 @@ def _windows(bits: int):
                 high, low, count, _, _ = _distinct(high, low)
                 if len(high):
                     yield _rows(schema, _cut(run, 2, bits, high, low, count))
+                del b, high, low, count
+                trim()
 
     return enter
 
@@ -274,6 +285,8 @@ def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
             total = whole[2][at]
             again = total > 1
             out.append((run, part["shard"].iloc[0], kind, np.packbits(again).tobytes(), np.minimum(total[again], 2**32 - 1).astype(np.uint32).tobytes(), np.packbits(whole[3][at][again] == run).tobytes()))
+        del family, slices, whole
+    trim()
     return pd.DataFrame(out, columns=[c.split()[0] for c in _ANSWER.split(",")])
 
 
@@ -313,6 +326,8 @@ def _cut_out(bits: int):
                         kept = text
                     rows.append((doc_id, len(text), starts.tolist(), ends.tolist(), kept))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _KEPT_ARROW)], schema=_KEPT_ARROW)
+                del b, rows
+                trim()
 
     return cut
 
