@@ -54,7 +54,8 @@ def parse_loose(response: Column) -> Column:
 
 def best_letter(scores: Column) -> Column:
     """The letter with the largest of five scores (array), the first of equals; A if there are none."""
-    return F.coalesce(F.element_at(F.array(*map(F.lit, LETTERS)), F.nullif(F.array_position(scores, F.array_max(scores)), F.lit(0)).cast("int")), F.lit("A"))
+    at = F.array_position(scores, F.array_max(scores)).cast("int")
+    return F.when(F.size(scores) > 0, F.element_at(F.array(*map(F.lit, LETTERS)), at)).otherwise("A")
 
 
 def one_if_likelier(p1: Column, p0: Column) -> Column:
