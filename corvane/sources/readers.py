@@ -89,10 +89,10 @@ def child_spans(children: DataFrame) -> DataFrame:
 
 
 def file_kinds(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, kind): json by its first character, binary under 30 % printable of the first 16 bytes, else text."""
+    """(path, length, kind): json by its first character, binary under 30 % printable of the first 16 bytes, else text. The scan leaves empty files out."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", F.substring("content", 1, 16).alias("head"))
     codes = F.transform(F.sequence(F.lit(1), F.greatest(F.length("head"), F.lit(1))), lambda i: F.ascii(F.decode(F.substring(F.col("head"), i, F.lit(1)), "ISO-8859-1")))
     printable = F.size(F.filter(codes, lambda c: (c >= 32) & (c < 127))) / F.greatest(F.length("head"), F.lit(1))
     first = F.ltrim(F.decode("head", "ISO-8859-1"))
-    return files.select("path", "length", F.when(F.length("head") == 0, "empty").when(first.startswith("{") | first.startswith("["), "json").when(printable < 0.3, "binary").otherwise("text").alias("kind"))
+    return files.select("path", "length", F.when(first.startswith("{") | first.startswith("["), "json").when(printable < 0.3, "binary").otherwise("text").alias("kind"))
 

@@ -37,7 +37,7 @@ def test_folder_maps_spans_and_kinds(spark, tmp_path):
     (tmp_path / "k").mkdir()
     for name, data in {"a.json": b' {"x": 1}', "b": bytes(range(16)), "c.txt": b"hello", "d": b""}.items():
         (tmp_path / "k" / name).write_bytes(data)
-    assert {r.path.rsplit("/", 1)[-1]: r.kind for r in readers.file_kinds(spark, str(tmp_path / "k")).collect()} == {"a.json": "json", "b": "binary", "c.txt": "text", "d": "empty"}
+    assert {r.path.rsplit("/", 1)[-1]: r.kind for r in readers.file_kinds(spark, str(tmp_path / "k")).collect()} == {"a.json": "json", "b": "binary", "c.txt": "text"}
 
 
 def test_writers(spark, tmp_path):
