@@ -29,6 +29,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Bounds the Arrow batches of the session and ships this package to its executors, once per application."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         root = Path(__file__).resolve().parents[1]

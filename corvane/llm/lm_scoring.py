@@ -18,6 +18,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -184,9 +185,15 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ends = learned.count()
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     n_all, v_all = n + ends, v + (ends > 0)
-    top = counts.where(F.length("word") <= HEAD_WORD_BYTES).orderBy(F.desc("n"), "word").limit(HEAD).toPandas()
-    head = spark.sparkContext.broadcast({bytes(w): int(c) for w, c in zip(top["word"], top["n"])})
-    single = spark.sparkContext.broadcast({bytes(w) for w in top["word"][:SINGLE]})
+    # The head is a range of frequency classes, so that no task has to send more than its share of at most HEAD words.
+    short = counts.where(F.length("word") <= HEAD_WORD_BYTES).withColumn("level", F.floor(64 * F.log2("n")))
+    levels = short.groupBy("level").count().toPandas().sort_values("level", ascending=False)  # at most 64 x 63 rows
+    fits = levels[levels["count"].cumsum() <= HEAD]["level"]
+    top = short.where(F.col("level") >= int(fits.min())).select("word", "n").toPandas() if len(fits) else pd.DataFrame({"word": [], "n": []})
+    top["word"] = top["word"].map(bytes)
+    top = top.sort_values(["n", "word"], ascending=[False, True])
+    head = spark.sparkContext.broadcast({w: int(c) for w, c in zip(top["word"], top["n"])})
+    single = spark.sparkContext.broadcast(set(top["word"][:SINGLE]))
     totals = counts.mapInArrow(_class_totals(single), "class int, total long, distinct long").groupBy("class").agg(F.sum("total").alias("total"), F.sum("distinct").alias("distinct")).toPandas().set_index("class").reindex(range(CLASSES), fill_value=0)
     cells = learned.mapInArrow(_pairs(head), "before int, after int, n long").groupBy("before", "after").agg(F.sum("n").alias("n")).toPandas()  # at most (SINGLE + CLASSES + 1)^2 rows
     pairs = np.zeros((SINGLE + CLASSES + 1,) * 2)
