@@ -191,15 +191,21 @@ def windows_of(items: Iterable[tuple[str, str]], size: int) -> dict[tuple[bytes,
     return {w: sorted(n) for w, n in out.items()}
 
 
-def _blocks(tests: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterable[list[tuple[str, str]]]:
-    """The test items in blocks whose size is checked before they come to the driver."""
-    rows = tests.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    total = rows.agg(F.coalesce(F.sum(F.length("text") + F.length("item")), F.lit(0))).first()[0]
-    n = max(1, -(-int(total) // block_bytes))
-    for i in range(n):
-        part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i)
-        pdf = part.toPandas()
-        yield [*zip(pdf["item"].tolist(), pdf["text"].tolist())]
+def _items(tests: DataFrame, item_col: str, text_col: str) -> DataFrame:
+    return tests.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+
+
+def _number_of_blocks(tests: DataFrame, item_col: str, text_col: str, block_bytes: int) -> int:
+    """How many blocks it takes to bring no more than about block_bytes of test text to the driver at once."""
+    total = _items(tests, item_col, text_col).agg(F.coalesce(F.sum(F.octet_length("text") + F.octet_length("item")), F.lit(0))).first()[0]
+    return max(1, -(-int(total) // block_bytes))
+
+
+def _block(tests: DataFrame, item_col: str, text_col: str, i: int, n: int) -> list[tuple[str, str]]:
+    rows = _items(tests, item_col, text_col)
+    part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i)
+    pdf = part.toPandas()
+    return [*zip(pdf["item"].tolist(), pdf["text"].tolist())]
 
 
 def find_test_text(docs: DataFrame, tests: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = 10, within: int | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -213,16 +219,21 @@ def find_test_text(docs: DataFrame, tests: DataFrame, id_col: str = "doc_id", te
     """
     spark = prepare(docs.sparkSession)
     ws = Workspace(spark, "postings")
-    sought = [windows_of(b, window) for b in _blocks(tests, item_col, item_text_col, block_bytes)]
-    vocabulary = {t for s in sought for w in s for t in w} if len(sought) == 1 else None
-    index = build_index(docs, ws, id_col, text_col, vocabulary)
-    found = []
-    for s in sought:
-        count = term_counts(index, {t for w in s for t in w})
-        live = {w: names for w, names in s.items() if all(t in count for t in w)}
+    n_blocks = _number_of_blocks(tests, item_col, item_text_col, block_bytes)
+    found, index = [], None
+    for i in range(n_blocks):  # a block's windows leave the driver before the next one's come
+        sought = windows_of(_block(tests, item_col, item_text_col, i, n_blocks), window)
+        terms = {t for w in sought for t in w}
+        if index is None:
+            index = build_index(docs, ws, id_col, text_col, terms if n_blocks == 1 else None)
+        count = term_counts(index, terms)
+        live = {w: names for w, names in sought.items() if all(t in count for t in w)}
         orders = [tuple(sorted(range(len(w)), key=lambda i: (count[w[i]], i))) for w in live]
         queries = spark.sparkContext.broadcast(([*live], [*live.values()], orders, within))
         found.append(index.mapInArrow(_search(queries), _FOUND))
+        if n_blocks > 1:
+            found[i] = ws.write(found[i], f"found-{i}")
+            queries.unpersist()
     if len(found) == 1:
         out = found[0]
     else:
