@@ -10,10 +10,11 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .ordering import number_rows
 
 #: Characters that end sentences, and the margins of budgets.
 CHILD_BREAKS, PARENT_BREAKS = r".!?\n。！？;；", r".!?\n。！？;；\r"
@@ -171,17 +172,8 @@ def parent_of_child(children: DataFrame, parents: DataFrame) -> DataFrame:
 
 
 def with_global_index(parents: DataFrame) -> DataFrame:
-    """parents with parent_chunk_idx, their place in the order of doc_id and number.
-
-    A single total order would pass through one task, so rows are sorted by range, numbered within their partition, and
-    shifted by the sizes of the partitions before, of which there are as many as shuffle partitions.
-    """
-    n = F.substring_index("parent_id", ":", -1).cast("int")
-    placed = parents.repartitionByRange("doc_id", n).sortWithinPartitions("doc_id", n).withColumn("__row", F.monotonically_increasing_id())
-    placed = placed.withColumns({"__part": F.shiftright("__row", 33), "__at": F.col("__row").bitwiseAND((1 << 33) - 1)})
-    sizes = placed.groupBy("__part").agg((F.max("__at") + 1).alias("__n"))
-    before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("__part", "__before")
-    return placed.join(before, "__part").withColumn("parent_chunk_idx", F.col("__before") + F.col("__at")).drop("__row", "__part", "__at", "__before")
+    """parents with parent_chunk_idx, their place in the order of doc_id and number."""
+    return number_rows(parents, "parent_chunk_idx", "doc_id", F.substring_index("parent_id", ":", -1).cast("int"))
 
 
 def resized_parents(chunks: DataFrame, docs: DataFrame, target: int = 256) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordering import number_rows
+
 
 def union_common(a: DataFrame, b: DataFrame) -> DataFrame:
     """All rows of both, in the columns they share; ValueError if they share none."""
@@ -31,7 +33,7 @@ def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
 def stratified_split(df: DataFrame, label: str, key: str, n: int, seed: int = 42) -> DataFrame:
     """df with part: "sample" for exactly n rows, dealt to labels by largest remainder, and "rest". n must leave a rest.
 
-    Quotas come from one small aggregate per label; rows are then ranked in hash order within their label.
+    Quotas come from one small aggregate per label; rows then go in hash order within their label.
     """
     counts = df.groupBy(label).agg(F.count("*").alias("__n"))
     total = df.count()
@@ -42,7 +44,10 @@ def stratified_split(df: DataFrame, label: str, key: str, n: int, seed: int = 42
     short = quotas.agg((F.lit(n) - F.sum("__q")).alias("__short"))
     # One row a label: labels of a split are few, as quotas of at least a row need them to be.
     ranked = quotas.join(F.broadcast(short), F.lit(True)).withColumn("__i", F.row_number().over(Window.orderBy(F.desc("__r"), F.col(label).cast("string"))))
-    quotas = ranked.select(label, (F.col("__q") + F.when(F.col("__i") <= F.col("__short"), 1).otherwise(0)).alias("__quota")).withColumnRenamed(label, "__label")
-    w = Window.partitionBy(label).orderBy(hash_order(key, seed), key)
-    out = df.withColumn("__at", F.row_number().over(w)).join(quotas, F.col(label).eqNullSafe(F.col("__label")))
-    return out.withColumn("part", F.when(F.col("__at") <= F.col("__quota"), "sample").otherwise("rest")).drop("__at", "__quota", "__label")
+    quotas = ranked.select(label, "__n", (F.col("__q") + F.when(F.col("__i") <= F.col("__short"), 1).otherwise(0)).alias("__quota")).withColumnRenamed(label, "__label")
+    # Rows are numbered along (label, hash) as a whole, so that no label, however large, has to fit into one task.
+    placed = number_rows(df.withColumn("__hash", hash_order(key, seed)), "__place", label, "__hash", key)
+    starts = quotas.withColumn("__first", F.sum("__n").over(Window.orderBy(F.col("__label").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)))
+    out = placed.join(F.broadcast(starts), F.col(label).eqNullSafe(F.col("__label")))
+    at = F.col("__place") - F.coalesce("__first", F.lit(0))
+    return out.withColumn("part", F.when(at < F.col("__quota"), "sample").otherwise("rest")).drop("__place", "__hash", "__quota", "__label", "__first", "__n")
