@@ -193,7 +193,8 @@ class Batch:
                 low.append(p.of(first, first + number + WINDOW - 1, 1))
         self.doc, self.start, self.n = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (doc, start, n))
         gram, high, low = (np.concatenate(x) for x in (gram, high, low))
-        high, low = mixed(high ^ self.n.astype(np.uint64)), (low >> np.uint64(32)).astype(np.uint32)
+        # Anchors are the smallest grams of their windows, so they are spread anew before they are dealt by their leading bits.
+        gram, high, low = mixed(gram), mixed(high ^ self.n.astype(np.uint64)), (low >> np.uint64(32)).astype(np.uint32)
         # Of grams, 48 bits are enough: a false match only means that windows are entered in vain.
         self.gram, _, self.gram_count, _, self.gram_of = _distinct(gram >> np.uint64(16) << np.uint64(16), np.zeros(len(gram), np.uint32))
         self.high, self.low, self.count, self.at, self.print_of = _distinct(high, low)
