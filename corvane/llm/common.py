@@ -46,7 +46,7 @@ class Workspace:
     """Tables that cut lineage, in a folder of their own below spark.checkpoint.dir, which all executors share.
 
     Only where that setting is absent, as in tests on one machine, a local folder is used.
-    A lost executor loses none of these tables, so later stages do not go back beyond them.
+    A lost executor loses none of these tables, so later stages do not go back beyond them. They go when the application ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
@@ -59,17 +59,22 @@ class Workspace:
         path = f"{self.root}/{name}"
         writer = df.write.mode("overwrite").option("compression", "snappy")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+        root, system = self._path()
+        system.deleteOnExit(root)
         return self.read(name, df.schema)
 
+    def _path(self, name: str = ""):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
     def read(self, name: str, schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
 
     def drop(self, *names: str) -> None:
         """Removes tables that no later step reads, and lets the cleaner take the shuffle files of finished steps."""
         for name in names:
-            jvm = self.spark.sparkContext._jvm
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            path, system = self._path(name)
+            system.delete(path, True)
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
 
