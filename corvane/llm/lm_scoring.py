@@ -100,7 +100,7 @@ def _pairs(head):
     return count
 
 
-def train(pairs: np.ndarray, width: int = 24, noise: float = 20.0, steps: int = 300, rate: float = 0.05, seed: int = 7) -> np.ndarray:
+def train(pairs: np.ndarray, width: int = 24, noise: float = 20.0, steps: int = 150, rate: float = 0.05, seed: int = 7) -> np.ndarray:
     """log10 P(after | before) for all groups, from counts of pairs [before, after].
 
     The score of a pair is (r[before] @ c) @ q[after] + b[after]. Noise-contrastive estimation with `noise` noise tokens a
@@ -108,26 +108,27 @@ def train(pairs: np.ndarray, width: int = 24, noise: float = 20.0, steps: int =
     """
     size, rng = len(pairs), np.random.default_rng(seed)
     unigram = (pairs.sum(axis=0) + 0.5) / (pairs.sum() + 0.5 * size)
-    r, q = rng.normal(0, 0.1, (size, width)), rng.normal(0, 0.1, (size, width))
-    c, b = np.eye(width), np.log(unigram)
+    single = np.float32  # precise enough for gradients; the table is normalised in double
+    r, q = rng.normal(0, 0.1, (size, width)).astype(single), rng.normal(0, 0.1, (size, width)).astype(single)
+    c, b = np.eye(width, dtype=single), np.log(unigram).astype(single)
     of_before = pairs.sum(axis=1, keepdims=True) + 0.05
-    data = (pairs + 0.05 * unigram) / of_before
+    data = ((pairs + 0.05 * unigram) / of_before).astype(single)
     weight = np.sqrt(of_before / of_before.sum())  # contexts that are rare still count
-    weight /= weight.sum()
+    weight = (weight / weight.sum()).astype(single)
     params, first, second = [r, c, q, b], [0.0] * 4, [0.0] * 4
-    offset = np.log(noise * unigram)
+    offset, noisy = np.log(noise * unigram).astype(single), (noise * unigram).astype(single)
     for step in range(1, steps + 1):
         h = r @ c
         is_data = 1 / (1 + np.exp(-np.clip(h @ q.T + b - offset, -40, 40)))
-        d = weight * (data * (1 - is_data) - noise * unigram * is_data)  # gradient by the score
+        d = weight * (data - (data + noisy) * is_data)  # gradient by the score
         dh = d @ q
         grads = [dh @ c.T, r.T @ dh, d.T @ h, d.sum(axis=0)]
         for i, g in enumerate(grads):
             g = g / (np.abs(g).mean() + 1e-12)
             first[i], second[i] = 0.9 * first[i] + 0.1 * g, 0.99 * second[i] + 0.01 * g * g
             slow = rate * min(1.0, 2 * (1 - step / (steps + 1)))
-            params[i] += slow * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.99**step)) + 1e-8)
-    logits = (r @ c) @ q.T + b
+            params[i] += (slow * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.99**step)) + 1e-8)).astype(single)
+    logits = (r @ c).astype(float) @ q.T.astype(float) + b
     logits -= logits.max(axis=1, keepdims=True)
     return (logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))) / np.log(10)
 
