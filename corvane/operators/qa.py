@@ -7,11 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# The letters of options and the frame of a question.
 LETTERS = ("A", "B", "C", "D", "E")
+QUESTION, REQUEST = "Question: ", "\nRetrieve background scientific knowledge to help answer."
 
 
 def query_text(prompt: Column) -> Column:
-    return F.concat(F.lit("Question: "), F.coalesce(prompt, F.lit("")), F.lit("\nRetrieve background scientific knowledge to help answer."))
+    return F.concat(F.lit(QUESTION), F.coalesce(prompt, F.lit("")), F.lit(REQUEST))
 
 
 def widen(ranked: DataFrame, k: int = 3, rank: str = "rank", text: str = "text", prefix: str = "C") -> DataFrame:

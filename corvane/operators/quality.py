@@ -93,9 +93,9 @@ def preprocess_statistics(docs: DataFrame, text: str = "text", title: str = "tit
 
 
 def bottleneck(samples: DataFrame, cpu: str = "cpu", gpu: str = "gpu") -> DataFrame:
-    """One row from samples of load in percent: means, and which device is the narrow one (over 80, the other under 50)."""
-    one = samples.agg(F.avg(cpu).alias("cpu"), F.avg(gpu).alias("gpu"))
-    kind = F.when((F.col("cpu") > 80) & (F.col("gpu") < 50), "cpu").when((F.col("gpu") > 80) & (F.col("cpu") < 50), "gpu").when((F.col("cpu") < 50) & (F.col("gpu") < 50), "io").otherwise("balanced")
+    """One row from samples of load in percent: means, and what is short: a device over 80 while the other is under 50, both over 80, or neither."""
+    one = samples.agg(F.coalesce(F.avg(cpu), F.lit(0.0)).alias("cpu"), F.coalesce(F.avg(gpu), F.lit(0.0)).alias("gpu"))
+    kind = F.when((F.col("cpu") > 80) & (F.col("gpu") < 50), "cpu").when((F.col("cpu") < 50) & (F.col("gpu") > 80), "gpu").when((F.col("cpu") > 80) & (F.col("gpu") > 80), "both").otherwise("idle")
     return one.withColumn("bottleneck", kind)
 
 
@@ -106,16 +106,20 @@ def parent_sizes(chunks: DataFrame) -> DataFrame:
     return one.select("*", *[F.floor(F.col(f"{a}_chars") / 4).alias(f"{a}_tokens") for a in ("min", "mean", "max")])
 
 
-TEXT_NAMES = ("text", "content", "body", "article", "document", "passage", "abstract")
-TITLE_NAMES = ("title", "name", "heading", "subject")
+# Names of text, title and position columns, in order of preference where it matters.
+TEXT_NAMES = ("text", "content", "article", "body", "paragraph", "desc", "description", "wiki_text", "page_content")
+TITLE_NAMES = ("title", "name", "heading", "subject", "page_title")
+START_NAMES, END_NAMES = ("start_char", "child_start"), ("end_char", "child_end")
+ID_NAMES, BODY_NAMES = ("id", "doc_id", "document_id"), ("text", "content", "document_text")
 
 
 def text_columns(columns: Sequence[str]) -> list[str]:
-    """Columns named as texts are; else those whose name holds text, then content; else the first three that are no ids."""
-    for found in ([c for c in columns if c.lower() in TEXT_NAMES], [c for c in columns if "text" in c.lower()], [c for c in columns if "content" in c.lower()]):
+    """Columns named as texts are; else those whose name holds text, then content; else the first three without id or index in their name, or the first three."""
+    low = {c: c.lower() for c in columns}
+    for found in ([c for c in columns if low[c] in TEXT_NAMES], [c for c in columns if "text" in low[c]], [c for c in columns if "content" in low[c]]):
         if found:
             return found
-    return [c for c in columns if not c.lower().endswith("id")][:3]
+    return [c for c in columns if "id" not in low[c] and "index" not in low[c]][:3] or list(columns[:3])
 
 
 def title_and_text(df: DataFrame) -> DataFrame:

@@ -556,7 +556,7 @@ def distinct_counts(spark, sf_dir):
     return quality.distinct_counts(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang"])
 
 
-@query("SELECT round(avg(value), 6) AS cpu, round(avg(user_id), 6) AS gpu, CASE WHEN avg(value) > 80 AND avg(user_id) < 50 THEN 'cpu' WHEN avg(user_id) > 80 AND avg(value) < 50 THEN 'gpu' WHEN avg(value) < 50 AND avg(user_id) < 50 THEN 'io' ELSE 'balanced' END AS bottleneck FROM events")
+@query("SELECT round(avg(value), 6) AS cpu, round(avg(user_id), 6) AS gpu, CASE WHEN avg(value) > 80 AND avg(user_id) < 50 THEN 'cpu' WHEN avg(user_id) > 80 AND avg(value) < 50 THEN 'gpu' WHEN avg(value) > 80 AND avg(user_id) > 80 THEN 'both' ELSE 'idle' END AS bottleneck FROM events")
 def bottleneck(spark, sf_dir):
     out = quality.bottleneck(table(spark, sf_dir, "events"), "value", "user_id")
     return out.select(F.round("cpu", 6).alias("cpu"), F.round("gpu", 6).alias("gpu"), "bottleneck")
