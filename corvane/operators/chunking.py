@@ -36,6 +36,20 @@ def split_sentences(text: str, breaks: str = PARENT_BREAKS) -> list[tuple[str, i
     return out or ([(text.strip(), 0, len(text))] if text.strip() else [])
 
 
+Splitter = Callable[[str], list[tuple[str, int, int]]]
+
+
+def located(pieces: Iterable[str], text: str) -> list[tuple[str, int, int]]:
+    """Sentences of another splitter with their offsets, each sought after the one before; those that are not found are left out."""
+    out, at = [], 0
+    for piece in map(str.strip, pieces):
+        start = text.find(piece, at) if piece else -1
+        if start >= 0:
+            at = start + len(piece)
+            out.append((piece, start, at))
+    return out
+
+
 def child_spans(sentences: list[tuple[str, int, int]], budget: int, count: Callable[[str], int]) -> Iterator[tuple[str, int, int]]:
     """Sentences packed until the next one would exceed the budget; one that is too long alone stays whole."""
     held: list[str] = []
@@ -59,18 +73,19 @@ def _snap(point: int, sentences: list[tuple[str, int, int]], to_start: bool) ->
     return point
 
 
-def child_chunks(docs: DataFrame, child_size: int = 128, parent_size: int = 512, least_chars: int = 50, count: Callable[[str], int] = quarter) -> DataFrame:
+def child_chunks(docs: DataFrame, child_size: int = 128, parent_size: int = 512, least_chars: int = 50, count: Callable[[str], int] = quarter, split: Splitter | None = None) -> DataFrame:
     """Child chunks of docs (doc_id, title, text), each with a parent range around it that ends with sentences.
 
     The title and two special tokens take from the budget, which is 20 at least. Chunks under least_chars are dropped and
-    take no number. Blank texts have no chunks.
+    take no number. Blank texts have no chunks. count and split stand for a tokenizer's length and another sentence splitter.
     """
+    split = split or (lambda text: split_sentences(text, CHILD_BREAKS))
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for doc_id, title, text in zip(pdf["doc_id"], pdf["title"], pdf["text"]):
-                found = split_sentences(text or "", CHILD_BREAKS)
+                found = split(text or "")
                 budget = max(LEAST_CHILD, child_size - (count(title) if title else 0) - SPECIAL_TOKENS)
                 n, half = 0, parent_size * 4 // 2
                 for chunk, start, end in child_spans(found, budget, count):
@@ -85,7 +100,7 @@ def child_chunks(docs: DataFrame, child_size: int = 128, parent_size: int = 512,
     return docs.select(F.col("doc_id").cast("string"), "title", "text").mapInPandas(run, CHILD)
 
 
-def parent_chunks(docs: DataFrame, parent_size: int = 256, least_tokens: int = 50, count: Callable[[str], int] = quarter) -> DataFrame:
+def parent_chunks(docs: DataFrame, parent_size: int = 256, least_tokens: int = 50, count: Callable[[str], int] = quarter, split: Splitter = split_sentences) -> DataFrame:
     """Parent chunks, independent of children: sentences are added while the sum of their tokens fits. A rest under least_tokens joins the chunk before it, or is dropped if there is none."""
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -95,7 +110,7 @@ def parent_chunks(docs: DataFrame, parent_size: int = 256, least_tokens: int = 5
                 budget = max(least_tokens, parent_size - (count(title) if title else 0) - SPECIAL_TOKENS)
                 made: list[list[int]] = []
                 start = end = tokens = 0
-                for sentence, first, last in split_sentences(text or ""):
+                for sentence, first, last in split(text or ""):
                     more = count(sentence)
                     if tokens > 0 and tokens + more > budget:
                         made.append([start, end, tokens])

@@ -68,3 +68,11 @@ def test_global_index_is_dense(spark):
     out = C.with_global_index(parents).orderBy("parent_chunk_idx").collect()
     assert [r.parent_chunk_idx for r in out] == list(range(len(out)))
     assert [(r.doc_id, int(r.parent_id.split(":")[-1])) for r in out] == sorted((r.doc_id, int(r.parent_id.split(":")[-1])) for r in out)
+
+
+def test_another_splitter(spark):
+    halves = lambda text: C.located([text[:40], "not there", text[40:]], text)
+    text = "a" * 60 + " " + "b" * 30
+    assert C.located(["ab", "x", "ab "], "ab ab") == [("ab", 0, 2), ("ab", 3, 5)]
+    (r,) = C.child_chunks(docs(spark, [(1, "", text)]), split=halves).collect()
+    assert (r.child_start, r.child_end) == (0, 91)

@@ -93,3 +93,16 @@ def test_sampling(spark):
         sampling.union_common(df, spark.createDataFrame([(1,)], "other int"))
     a, b = ([r.id for r in sampling.shuffled(df.repartition(n), "id").collect()] for n in (1, 7))
     assert a == b != sorted(a) and [r.id for r in sampling.sample_rows(df, "id", 5).collect()] == a[:5]
+
+
+def test_index_sets(spark, tmp_path):
+    from corvane.sources.indexes import IndexSet
+
+    v = spark.createDataFrame([("a", [0.1, 2.0]), ("b", [1.0, 3.0])], "chunk_id string, embedding array<float>")
+    s = IndexSet({"x": str(tmp_path / "x"), "y": str(tmp_path / "y")}, disabled={"y"}, kind="half")
+    s.save("x", v.where("chunk_id = 'a'"))
+    s.save("x", v.where("chunk_id = 'b'"))
+    got = {r.chunk_id: r.embedding for r in s.load_all(spark)["x"].collect()}
+    assert set(got) == {"a", "b"} and abs(got["a"][0] - 0.1) < 1e-3 and got["a"][0] != pytest.approx(0.1, abs=1e-7)
+    with pytest.raises(ValueError):
+        IndexSet({}, kind="tree")
