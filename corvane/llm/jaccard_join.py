@@ -9,8 +9,10 @@
    of the lists, from the numbers of sets of each size.
 3. Heavy sets. Sets post the first shingles of an order by frequency, enough that linked sets share a list. In each list
    all are compared with the most central set; whatever then still stands in different components of one list, and
-   passes the bounds on size and position, is compared too. Sets of one component need no more comparing, so a group of
-   thousands of near copies costs one comparison a set.
+   passes the bounds on size and position, is compared too. Sets of one component need no more comparing, so finding a
+   group of thousands of near copies costs one comparison a set.
+4. Links. All links lie inside components. Their classes are cut into blocks of bounded size, by size band and a hash,
+   and each two blocks that can link meet in one group, where matrix products give all intersections at once.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, arrow_schema, mixed, pack_runs, prepare, record, unpack
+from .common import Workspace, arrow_schema, mixed, pack_runs, prepare, record, trim, unpack
 from .components import components
 
 WORDS = 5
@@ -35,6 +37,8 @@ _SETS = "rid long, doc_id long, size int, live boolean, h1 long, h2 long, centra
 _SETS_ARROW = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("size", pa.int32()), ("live", pa.bool_()), ("h1", pa.int64()), ("h2", pa.int64()), ("central", pa.int32()), ("prefix", pa.list_(pa.int64())), ("shared", pa.binary())])
 #: Sets over this size are never light, as the number of their subsets is out of all proportion.
 _LIGHTEST = 24
+#: Classes and shared keys of one block in the counting of links, and the columns of one matrix product.
+_BLOCK_SETS, _BLOCK_KEYS, _COLUMNS = 1024, 1 << 19, 1024
 
 
 def needed(a: int, b: int) -> int:
@@ -110,21 +114,26 @@ def _slices(bits: int):
 def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
     """For each slice of a shard: which keys stand in several documents (bits), and the frequency levels of those."""
     keys = [_unpacked_keys(k) for k in pdf["keys"]]
-    counts = [np.ones(len(k), np.int64) for k in keys]
+    lengths = [len(k) for k in keys]
+    counts = [np.ones(n, np.uint32) for n in lengths]
     for c, many, n in zip(counts, pdf["many"], pdf["counts"]):
         c[np.frombuffer(many, np.uint32)] = np.frombuffer(n, np.uint32)
-    flat = np.concatenate(keys)
+    flat, counts = np.concatenate(keys), np.concatenate(counts)
+    del keys, c
     order = np.argsort(flat, kind="stable")
-    first = np.diff(flat[order], prepend=flat[order[:1]] - np.uint64(1)) != 0
-    group = np.cumsum(first) - 1
-    totals = np.zeros(len(flat), np.int64)
-    totals[order] = np.bincount(group, weights=np.concatenate(counts)[order]).astype(np.int64)[group]
+    flat, counts = flat[order], counts[order]
+    starts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+    totals = np.empty(len(flat), np.int64)
+    totals[order] = np.repeat(np.add.reduceat(counts, starts, dtype=np.int64), np.diff(starts, append=len(flat)))
+    del flat, counts, order, starts
     bits, levels, at = [], [], 0
-    for k in keys:
-        t = totals[at : at + len(k)]
-        at += len(k)
+    for n in lengths:
+        t = totals[at : at + n]
+        at += n
         bits.append(np.packbits(t > 1).tobytes())
         levels.append(np.minimum(255, np.ceil(8 * np.log2(t[t > 1]))).astype(np.uint8).tobytes())
+    del totals, t
+    trim()
     return pd.DataFrame({"run": pdf["run"], "shard": pdf["shard"], "bits": bits, "levels": levels})
 
 
@@ -237,11 +246,89 @@ def _possible(x: str, y: str) -> str:
     return f"least({x}size - {x}at, {y}size - {y}at) >= ceil(4 * ({x}size + {y}size) / 9D) and 5 * least({x}size, {y}size) >= 4 * greatest({x}size, {y}size)"
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, class_id, rid.
+def _linking(m: np.ndarray, x: list[bytes], n: np.ndarray, y: list[bytes]) -> np.ndarray:
+    """Which sets x (of sizes m) link with which sets y (of sizes n), as a table, by exact intersection of their shared keys."""
+    lengths = [len(s) // 8 for s in (*x, *y)]
+    _, column = np.unique(np.frombuffer(b"".join((*x, *y)), np.uint64), return_inverse=True)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    of_y = row >= len(x)
+    wide = int(column.max()) + 1 if len(column) else 0
+    both = (np.bincount(column[~of_y], minlength=wide) > 0) & (np.bincount(column[of_y], minlength=wide) > 0)
+    kept, place = both[column], np.cumsum(both) - 1
+    row, column = row[kept], place[column[kept]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    shared = np.zeros((len(x), len(y)), np.float32)  # whole numbers below 2^24
+    for low in range(0, int(both.sum()), _COLUMNS):
+        at = slice(*np.searchsorted(column, [low, low + _COLUMNS]))
+        table = np.zeros((len(lengths), int(column[at][-1]) - low + 1), np.float32)
+        table[row[at], column[at] - low] = 1
+        shared += table[: len(x)] @ table[len(x) :].T
+    return 9 * shared.astype(np.int64) >= 4 * (m[:, None] + n)
+
+
+def _tallied(batches):
+    """For each two blocks (component, x, y), whose rows come one after another, the documents that each class links with."""
+    schema = arrow_schema("cls long, linked long")
+
+    def tally(key, rows):
+        _, x, y = key
+        sides = [rows] if x == y else [[r for r in rows if r[0] == side] for side in (x, y)]
+        if all(sides) and len(rows) > 1:
+            first, last = sides[0], sides[-1]
+            sizes, copies = ([np.array([r[i] for r in side], np.int64) for side in (first, last)] for i in (2, 3))
+            links = _linking(sizes[0], [r[4] for r in first], sizes[1], [r[4] for r in last])
+            if x == y:
+                np.fill_diagonal(links, False)
+            found = [(first, links @ copies[1])] + ([(last, copies[0] @ links)] if x != y else [])
+            for side, linked in found:
+                yield record(schema, len(side), cls=[r[1] for r in side], linked=linked)
+
+    at, held = None, []
+    for batch in batches:
+        for component, x, y, *row in zip(*(batch.column(i).to_pylist() for i in range(8))):
+            if at != (component, x, y):
+                yield from tally(at, held) if held else ()
+                at, held = (component, x, y), []
+            held.append(row)
+    yield from tally(at, held) if held else ()
+    held.clear()
+    trim()
+
+
+def link_counts(classes: DataFrame, labels: DataFrame, ws: Workspace) -> DataFrame:
+    """(cls, linked): how many documents of other classes each class links with, if it links at all.
+
+    A component of at most one block's classes and keys is one group. In others, sets that link are of one band or of two
+    neighbouring ones, as a band is wider than a ratio of 5 / 4; bands are dealt by a hash into as many blocks as they need.
+    """
+    band = F.floor(F.log("size") / F.log(F.lit(1.26))).cast("long").alias("band")
+    members = ws.write(classes.join(labels.withColumnRenamed("node", "cls"), "cls").select("component", "cls", "size", "copies", band, "shared"), "members")
+    keys = F.sum(F.expr("length(shared) div 8"))
+    blocks = F.greatest(F.ceil(F.count("*") / _BLOCK_SETS), F.ceil(keys / _BLOCK_KEYS))
+    large = members.groupBy("component").agg(blocks.alias("blocks")).where("blocks > 1").select("component")
+    parts = ws.write(members.join(large, "component", "left_semi").groupBy("component", "band").agg(blocks.alias("parts")), "parts")
+    beside = lambda name, step: parts.select("component", (F.col("band") - step).alias("band"), F.col("parts").alias(name))
+    ways = parts.join(beside("below", -1), ["component", "band"], "left").join(beside("above", 1), ["component", "band"], "left")
+    # Few rows: the bands of components that fill more than a block.
+    dealt = members.join(F.broadcast(ways), ["component", "band"], "left").withColumn("me", F.expr("if(parts is null, 0L, shiftleft(band, 32) + pmod(xxhash64(cls), parts))"))
+    meets = """if(parts is null, array(struct(0L as x, 0L as y)), concat(
+        transform(sequence(0L, parts - 1), q -> struct(least(me, shiftleft(band, 32) + q) as x, greatest(me, shiftleft(band, 32) + q) as y)),
+        if(below is null, array(), transform(sequence(0L, below - 1), q -> struct(shiftleft(band - 1, 32) + q as x, me as y))),
+        if(above is null, array(), transform(sequence(0L, above - 1), q -> struct(me as x, shiftleft(band + 1, 32) + q as y)))))"""
+    met = dealt.withColumn("met", F.explode(F.expr(meets))).select("component", "met.x", "met.y", "me", "cls", "size", "copies", "shared")
+    grouped = met.repartition("component", "x", "y").sortWithinPartitions("component", "x", "y")
+    counts = ws.write(grouped.mapInArrow(_tallied, "cls long, linked long").groupBy("cls").agg(F.sum("linked").alias("linked")), "link-counts")
+    ws.drop("members", "parts")
+    return counts
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", links: bool = True) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id, class_id, n_links, rid.
 
     Documents link at a Jaccard similarity of 0.8 or more of their sets of five-word shingles; component_id is the
-    smallest doc_id that links reach. class_id names the sets that are equal, rid the row. Null and blank texts have empty
+    smallest doc_id that links reach. class_id names the sets that are equal, rid the row. n_links is the exact number of
+    other rows that a row links with, those of its class included; without `links` it is not counted, and null. Null and blank texts have empty
     sets, which link with nothing, each other included. A null doc_id is never the smallest unless there is no other.
     Repeated rows are documents of one class. An empty table gives no rows; other columns are not read.
     """
@@ -249,7 +336,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ws = Workspace(spark, "jaccard")
     sets = shingle_sets(docs, ws, id_col, text_col)
     live = sets.where("live")
-    ids = live.groupBy("h1", "h2").agg(F.min("rid").alias("cls"), F.min("doc_id").alias("least_id"))
+    ids = live.groupBy("h1", "h2").agg(F.min("rid").alias("cls"), F.min("doc_id").alias("least_id"), F.count("*").alias("copies"))
     classes = ws.write(ids.join(live.select(F.col("rid").alias("cls"), "size", "central", "prefix", "shared"), "cls"), "classes")
 
     entries = classes.selectExpr("cls", "size", "central", "posexplode(prefix) as (at, key)").where("key <> 0")
@@ -287,15 +374,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         labels = components(every.union(rest), ws, "second")
     ws.drop("lists", "split", "tried")
 
-    named = classes.select("h1", "h2", "cls", "least_id").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    counts = link_counts(classes, labels, ws) if links else None
+
+    named = classes.select("h1", "h2", "cls", "least_id", "copies").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    named = named.join(counts, "cls", "left") if links else named.withColumn("linked", F.lit(None).cast("long"))
+    n_links = (F.col("copies") - 1 + F.coalesce("linked", F.lit(0)) if links else F.lit(None)).cast("long").alias("n_links")
     smallest = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = named.join(smallest, "component").select("h1", "h2", "cls", "component_id")
+    named = named.join(smallest, "component").select("h1", "h2", "cls", "component_id", n_links)
     out = live.select("rid", "doc_id", "size", "h1", "h2").join(named, ["h1", "h2"])
-    done = sets.where("not live").select("rid", "doc_id", "size", F.col("doc_id").alias("component_id"), F.col("rid").alias("cls"))
-    return out.select("rid", "doc_id", "size", "component_id", "cls").unionByName(done).select("doc_id", F.col("size").cast("long").alias("n_shingles"), "component_id", F.col("cls").alias("class_id"), "rid")
+    done = sets.where("not live").select("rid", "doc_id", "size", F.col("doc_id").alias("component_id"), F.col("rid").alias("cls"), F.lit(0 if links else None).cast("long").alias("n_links"))
+    both = out.select("rid", "doc_id", "size", "component_id", "cls", "n_links").unionByName(done)
+    return both.select("doc_id", F.col("size").cast("long").alias("n_shingles"), "component_id", F.col("cls").alias("class_id"), "n_links", "rid")
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs whose id is the smallest of their component, with their columns; rows without an id can't be named and stay."""
-    found = near_duplicates(docs, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("__copy_id")).distinct()
+    found = near_duplicates(docs, id_col, text_col, links=False).where("doc_id <> component_id").select(F.col("doc_id").alias("__copy_id")).distinct()
     return docs.join(found, docs[id_col].cast("long") == F.col("__copy_id"), "left_anti")

@@ -73,3 +73,37 @@ def test_empty_and_keeping(make):
     docs = make([(5, "a b c d e f"), (2, "A b c d e f"), (9, "z"), (None, "a b c d e f"), (None, None)])
     kept = J.keep_one_of_each(docs)
     assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["2", "9", "None", "None"]
+
+
+def brute_links(rows):
+    """(doc_id, the number of other rows that link, rows of the same class) of every row."""
+    sets = []
+    for _, t in rows:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()})
+    links = [0] * len(rows)
+    for a, b in combinations(range(len(rows)), 2):
+        x, y = sets[a], sets[b]
+        if x and y and 100 * len(x & y) >= 80 * len(x | y):
+            links[a] += 1
+            links[b] += 1
+    alike = [1 if not x else sum(x == y for y in sets) for x in sets]
+    return Counter((i, n, same) for (i, _), n, same in zip(rows, links, alike))
+
+
+@pytest.mark.parametrize("block", [(1024, 1 << 19), (5, 1 << 19), (1024, 300)])
+def test_links_are_counted_whole(make, monkeypatch, corpus, block):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    base, texts = [rng.choice(words) for _ in range(60)], []
+    for i in range(70):  # near copies of one text, of many sizes, of which neighbours link and far ones do not
+        w = base[: 40 + i % 21]
+        w[rng.choice([0, -1, 20])] = rng.choice(words)
+        texts.append(" ".join(w))
+    rows = [*corpus, *((1000 + i, t) for i, t in enumerate(texts + texts[:9] + texts[:2]))]
+    for name, value in zip(("_BLOCK_SETS", "_BLOCK_KEYS"), block):
+        monkeypatch.setattr(J, name, value)
+    out = J.near_duplicates(make(rows)).collect()
+    same = Counter(r.class_id for r in out)
+    assert Counter((r.doc_id, r.n_links, same[r.class_id]) for r in out) == brute_links(rows)
+    assert max(r.n_links for r in out) > 30
