@@ -1,6 +1,6 @@
 """Secret scans: fixed patterns, and a randomness test battery over token-like strings.
 
-A candidate is a run of the characters secrets are written in. From its characters an encoding is inferred (digits, hex,
+A candidate is a run of the characters secrets are written in, with = only as padding at its end. From its characters an encoding is inferred (digits, hex,
 base32, base64), and three tests ask whether it looks drawn evenly from that alphabet: chi-squared uniformity, runs above
 and below the middle, and serial correlation. Their p-values are combined by Fisher's method into one value, which is
 high for random strings and tiny for words. How high ordinary text gets is measured on all documents: stretches of
@@ -27,7 +27,9 @@ KINDS = ("assign", "access", "hex", "random")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+# = only pads: between a name and a value it parts them. A run of 20 may count its padding.
+_PADDING = r"=+(?![A-Za-z0-9+/_=-])"
+_CANDIDATE = re.compile(rf"[A-Za-z0-9+/_-]{{20,}}(?:{_PADDING})?|(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{{1,19}}{_PADDING})[A-Za-z0-9+/_=-]{{20,}}")
 _NOT_LETTERS = bytes(c for c in range(128) if not chr(c).isalpha())
 
 _ALPHABETS = ("0123456789", "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")

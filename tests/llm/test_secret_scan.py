@@ -45,3 +45,19 @@ def test_scan_adds_random_strings_only(make):
     assert sum(i >= 500 for i in found if i is not None) >= 15 and not any(i is not None and i < 500 for i in found)
     assert {r.spans for r in out if r.doc_id == 900} == {f"assign:0:{11 + 48}"}
     assert S.scan_secrets(make([])).collect() == []
+
+
+def test_a_value_after_its_name_is_a_candidate(make):
+    rng = random.Random(12)
+    draw = lambda n: "".join(rng.choices(string.ascii_letters + string.digits, k=n))
+    key = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
+    spans = lambda t: [t[s:e] for s, e, *_ in S.candidates(t)]
+    assert spans(f"AWS_SECRET_ACCESS_KEY={key}") == [key] and spans(f"X={key}==;Y={key}=z") == [f"{key}==", key]
+    short = "Ab3" * 6
+    assert spans(f"v={short}== {short}=x {short} {short}==") == [f"{short}=="] * 2
+    rows = [(i, " ".join(rng.choice(["thation", "onered", "inthe", "and", "Rely"]) for _ in range(80))) for i in range(120)]
+    rows += [(500 + i, f"{name}={draw(48)}") for i, name in enumerate(["AWS_ACCESS", "DB_PASS", "https://a.net/x?sig", "Key_Of_The_Production_Server"] * 5)]
+    out = S.scan_secrets(make(rows), rate=0.05).collect()
+    found = {r.doc_id for r in out if "random" in r.spans}
+    assert sum(i >= 500 for i in found) >= 15 and not any(i < 500 for i in found)
+    assert all(not r.base_spans for r in out)
