@@ -44,7 +44,7 @@ def retrieve(queries: DataFrame, chunks: DataFrame, index: bm25.Bm25Index, confi
         fused = ranking.rrf(dense, dense.where("false").withColumnRenamed("dense_rank", "bm25_rank"), get("rrf_k"))
     boosted = ranking.paragraph_boost(fused.join(chunks.select("chunk_id", "doc_id"), "chunk_id", "left"), get("alpha"))
     if diversify:
-        picked = ranking.mmr(boosted.join(chunks.select("chunk_id", "embedding"), "chunk_id", "left"), get("mmr_top_k"), get("mmr_lambda"))
+        picked = ranking.mmr(boosted.join(chunks.select("chunk_id", "embedding"), "chunk_id", "left"), get("mmr_top_k"), get("mmr_lambda"), most=get("dense_top_k"))
         cut = boosted.join(picked.select("query_id", "chunk_id", F.col("mmr_rank").alias("rank")), ["query_id", "chunk_id"])
     else:
         cut = ranking.top(boosted, "boost_rank", get("mmr_top_k")).withColumn("rank", F.col("boost_rank"))

@@ -124,6 +124,14 @@ def test_retrieve_without_bm25_and_with_real_vectors(spark, texts):
     assert Config({"a": {"b": 1}}).get("a", "b") == 1 and Config().get("no", "such", default=5) == 5
 
 
+def test_diversified_retrieval_keeps_all_configured_candidates(spark):
+    rng = np.random.default_rng(2)
+    chunks = spark.createDataFrame([(i, f"d{i}", "", rng.normal(size=4).tolist()) for i in range(620)], "chunk_id long, doc_id string, text string, embedding array<double>")
+    queries = spark.createDataFrame([(1, "red", ["red"], rng.normal(size=4).tolist())], "query_id long, query string, tokens array<string>, embedding array<double>")
+    config = Config({"retrieval": {"dense_top_k": 620, "rrf_k": 30, "alpha": 0.03, "mmr_lambda": 0.8, "mmr_top_k": 620, "final_top_k": 620, "block": 1024}})
+    assert retrieval.retrieve(queries, chunks, None, config, diversify=True).count() == 620
+
+
 def test_preprocess_embed_and_resume(spark):
     docs = spark.createDataFrame([(1, "Good title.pdf", "The cell is a unit of life and it holds much. " * 20), (2, "file_1", "short")], "doc_id long, title string, text string")
     cleaned, chunks = retrieval.preprocess(docs)
