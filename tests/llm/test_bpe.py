@@ -1,4 +1,5 @@
 import random
+from array import array
 
 import pytest
 from tokenizers import Tokenizer
@@ -25,8 +26,34 @@ def test_equals_the_library_on_all_kinds_of_characters(pair):
         assert ours.decode(ids) == theirs.decode(e.ids, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("shape", ["{c}'ll", "a{c}b1{c}1 {c} !{c}{c}a"])
+def test_every_code_point_beside_letters_digits_spaces_and_apostrophes(pair, shape):
+    theirs, ours = pair
+    every = [chr(c) for c in (*range(0xD800), *range(0xE000, 0x110000))]
+    texts = ["\n".join(shape.format(c=c) for c in every[i : i + 512]) for i in range(0, len(every), 512)]
+    for t, ids, e in zip(texts, ours.encode_batch(texts), theirs.encode_batch(texts, add_special_tokens=False)):
+        assert ids == array("I", e.ids).tobytes(), t
+
+
+def test_what_is_remembered_is_bounded(pair, monkeypatch):
+    theirs, ours = pair
+    monkeypatch.setattr(bpe, "REMEMBERED", 1 << 16)
+    monkeypatch.setattr(bpe, "PAIRS", 64)
+    rng = random.Random(3)
+    for _ in range(20):
+        texts = [" ".join("".join(rng.choices("abcdeé", k=rng.choice([3, 8, 400]))) for _ in range(200))]
+        assert list(memoryview(ours.encode_batch(texts)[0]).cast("I")) == theirs.encode(texts[0], add_special_tokens=False).ids
+        assert len(ours._apart) <= 64 and not any(isinstance(w, str) and len(w) > bpe.LONGEST for w in ours.known)
+    assert ours._held < 1 << 18
+
+
+def test_other_kinds_of_tokenizer_are_refused():
+    with pytest.raises(ValueError):
+        bpe.read_definition(tokenizer_path("word_bpe_49k.json"))
+
+
 def test_every_token_encodes_as_itself(pair):
-    assert all(pair[1].reachable(t) for t in pair[1].vocab.values())
+    assert all(pair[1].reachable(t) for b, t in ((b, t) for t, b in pair[1].bytes.items()) if b != b"<|endoftext|>")
 
 
 def test_operator_on_edge_rows(make, pair, corpus):
