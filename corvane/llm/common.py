@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import gc
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -19,9 +21,6 @@ from pyspark.sql import types as T
 BATCH_BYTES = 8 << 20
 BATCH_ROWS = 4096
 
-#: The largest signed 64-bit integer: the rank of a row without an identifier.
-NO_ID = (1 << 63) - 1
-
 _shipped: set[str] = set()
 
 
@@ -33,7 +32,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         root = Path(__file__).resolve().parents[1]
-        where = Path(tempfile.mkdtemp()) / f"{root.name}.zip"
+        folder = tempfile.mkdtemp()  # executors fetch the archive from the driver, so it stays until the driver ends
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        where = Path(folder) / f"{root.name}.zip"
         with zipfile.ZipFile(where, "w", zipfile.ZIP_DEFLATED) as z:
             for p in sorted(root.rglob("*.py")):
                 z.write(p, p.relative_to(root.parent))
@@ -45,13 +46,15 @@ def prepare(spark: SparkSession) -> SparkSession:
 class Workspace:
     """Tables that cut lineage, in a folder of their own below spark.checkpoint.dir, which all executors share.
 
-    Only where that setting is absent, as in tests on one machine, a local folder is used.
+    Only with a local master, as in tests, may that setting be absent; then a local folder is used.
     A lost executor loses none of these tables, so later stages do not go back beyond them. They go when the application ends.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
         if not base:
+            if spark.sparkContext.master.partition("[")[0] != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             base = f"file://{tempfile.gettempdir()}/corvane-shared-{os.getuid()}"
         self.spark, self.root = spark, f"{base.rstrip('/')}/corvane-{name}-{uuid.uuid4().hex}"
 
@@ -84,6 +87,14 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def numbered(docs: DataFrame, ws: Workspace) -> tuple[DataFrame, str]:
+    """docs as a written table with one more column that numbers its rows, and that column's name."""
+    row = "__row"
+    while row in docs.columns:
+        row += "_"
+    return ws.write(docs.withColumn(row, F.monotonically_increasing_id()), "numbered"), row
+
+
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_()}
 
 

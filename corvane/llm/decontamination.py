@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, arrow_schema, id_and_text, prepare, record
+from .common import Workspace, arrow_schema, id_and_text, numbered, prepare, record
 
 #: A-Z are lower-cased before; then all ASCII but digits and letters ends a word.
 _BREAKS = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -254,7 +254,12 @@ def find_test_text(docs: DataFrame, tests: DataFrame, id_col: str = "doc_id", te
     return out.select("doc_id", "n_words", n_hit.alias("n_hit"), "starts", "ends", "items")
 
 
-def drop_contaminated(docs: DataFrame, tests: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of docs in which no test window occurs, with their columns. A row without an id can't be named, so it stays."""
-    found = find_test_text(docs, tests, id_col, **options).where("n_hit > 0 and doc_id is not null").select(F.col("doc_id").alias("__hit_id")).distinct()
-    return docs.join(found, docs[id_col].cast("long") == F.col("__hit_id"), "left_anti")
+def drop_contaminated(docs: DataFrame, tests: DataFrame, **options) -> DataFrame:
+    """The rows of docs in which no test window occurs, with their columns.
+
+    Rows are told apart by a number of their own, so rows without an identifier or with a shared one are judged each by its
+    text. Null texts stay. An empty table, or one without tests, stays as it is.
+    """
+    docs, row = numbered(docs, Workspace(prepare(docs.sparkSession), "contaminated"))
+    found = find_test_text(docs, tests, id_col=row, **options).where("n_hit > 0").select(F.col("doc_id").alias(row))
+    return docs.join(found, row, "left_anti").drop(row)

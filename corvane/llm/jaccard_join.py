@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, arrow_schema, mixed, pack_runs, prepare, record, trim, unpack
+from .common import Workspace, arrow_schema, mixed, numbered, pack_runs, prepare, record, trim, unpack
 from .components import components
 
 WORDS = 5
@@ -388,6 +388,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose id is the smallest of their component, with their columns; rows without an id can't be named and stay."""
-    found = near_duplicates(docs, id_col, text_col, links=False).where("doc_id <> component_id").select(F.col("doc_id").alias("__copy_id")).distinct()
-    return docs.join(found, docs[id_col].cast("long") == F.col("__copy_id"), "left_anti")
+    """One row of docs for each component of near duplicates, with its columns: that of the smallest id.
+
+    Rows are told apart by a number of their own: rows with one id, or without any, are documents like any other; rows
+    without an id stay only if their component has none with one. Null and blank texts link with nothing, so all stay.
+    """
+    docs, row = numbered(docs, Workspace(prepare(docs.sparkSession), "near"))
+    found = near_duplicates(docs, row, text_col, links=False).select(F.col("doc_id").alias(row), F.col("component_id").alias("__component"))
+    ranked = F.struct(F.col("__id").isNull(), "__id", row)
+    best = found.join(docs.select(row, F.col(id_col).cast("long").alias("__id")), row).groupBy("__component").agg(F.min(ranked)[row].alias(row))
+    return docs.join(best.select(row), row, "left_semi").drop(row)

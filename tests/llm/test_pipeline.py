@@ -25,6 +25,31 @@ def test_each_stage_against_brute_force(spark, sf_dir):
     assert [n for n, _ in P.STAGES] == ["toxicity", "exact", "near", "benchmark", "tokens"]
 
 
+def test_each_stage_on_awkward_rows(spark, make, tmp_path):
+    """Nulls, repeated rows, shared and absent ids, empty tables and columns with names used inside, in all tables."""
+    long = " ".join(f"w{i}" for i in range(3000))
+    test = "the quick brown fox jumps over the lazy dog and runs away"
+    rows = [(1, "a b"), (1, "a b"), (None, "c d"), (None, "c d"), (None, None), (2, ""), (3, long), (4, long + " end"), (None, long + " ending"), (None, f"so {test} today"), (5, f"so {test} now"), (5, "fine"), (6, "fine again")]
+    for tables in ([(7, test), (None, None), (7, "")], []):
+        spark.createDataFrame([(i, t, 1, "x", 2) for i, t in tables], "item_id long, text string, doc_id long, item string, n_hit long").write.parquet(f"{tmp_path}/{len(tables)}/benchmark.parquet")
+        spark.createDataFrame([(1, 1, 0, "x"), (None, 1, 1, "x"), (3, None, None, "x")] if tables else [], "doc_id long, quality int, toxic int, text string").write.parquet(f"{tmp_path}/{len(tables)}/labels.parquet")
+    of = dict(P.STAGES)
+    for docs in (make(rows), make(rows).withColumnRenamed("lang", "__row").withColumnRenamed("source", "rid").withColumnRenamed("n", "n_hit")):
+        at = lambda name, tables=3: of[name](spark, docs, f"{tmp_path}/{tables}")
+        text = lambda out: sorted((str(r.doc_id), (r.text or "-")[-6:]) for r in out.collect())
+        every = text(docs)
+        assert text(at("toxicity")) == every == text(at("toxicity", 0)) == text(at("benchmark", 0))
+        assert text(at("exact")) == sorted({("1", "a b"), ("None", "c d"), *(e for e in every if e[1] not in ("a b", "c d", "-"))} | {("2", "-")})
+        near = text(at("near"))
+        assert near == sorted([("1", "a b"), ("None", "c d"), ("None", "-"), ("2", "-"), ("3", " w2999"), ("5", "ay now"), ("5", "fine"), ("6", " again")])
+        assert text(at("benchmark")) == [e for e in every if not e[1].endswith(("today", "y now"))] and len(at("benchmark").collect()) == len(rows) - 2
+        assert [at(n).columns for n, _ in P.STAGES[:-1]] == [docs.columns] * 4
+        coded = at("tokens").collect()
+        assert len(coded) == len(rows) and all(r.round_trip for r in coded)
+        for name, _ in P.STAGES:
+            assert of[name](spark, docs.limit(0), f"{tmp_path}/3").collect() == []
+
+
 def test_queries_have_the_contracts_columns(spark, sf_dir):
     import __spark_entry__ as entry
 
