@@ -87,6 +87,20 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+#: A key is hot if it holds more than one in so many rows; so no more keys than this are ever hot.
+HOT_KEYS = 1000
+
+
+def attach(rows: DataFrame, facts: DataFrame, key: list[str], hot: DataFrame, how: str = "inner") -> DataFrame:
+    """rows joined with facts, which has one row a key. hot: the keys that hold over one in HOT_KEYS of rows.
+
+    The facts of hot keys, at most HOT_KEYS rows, are broadcast, so that no task gets all rows of one; the others shuffle.
+    """
+    hot = F.broadcast(hot.select(*key).distinct())
+    few = F.broadcast(facts.join(hot, key, "left_semi"))
+    return rows.join(hot, key, "left_semi").join(few, key, how).unionByName(rows.join(hot, key, "left_anti").join(facts, key, how))
+
+
 def numbered(docs: DataFrame, ws: Workspace) -> tuple[DataFrame, str]:
     """docs as a written table with one more column that numbers its rows, and that column's name."""
     row = "__row"

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, arrow_schema, mixed, numbered, pack_runs, prepare, record, trim, unpack
+from .common import HOT_KEYS, Workspace, arrow_schema, attach, mixed, numbered, pack_runs, prepare, record, trim, unpack
 from .components import components
 
 WORDS = 5
@@ -35,8 +35,8 @@ _KEY_BITS = 40
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SETS = "rid long, doc_id long, size int, live boolean, h1 long, h2 long, central int, prefix array<long>, shared binary"
 _SETS_ARROW = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("size", pa.int32()), ("live", pa.bool_()), ("h1", pa.int64()), ("h2", pa.int64()), ("central", pa.int32()), ("prefix", pa.list_(pa.int64())), ("shared", pa.binary())])
-#: Sets over this size are never light, as the number of their subsets is out of all proportion.
-_LIGHTEST = 24
+#: Entries of one list that are compared as one group; longer lists are cut into blocks.
+_LIST_ENTRIES = 2048
 #: Classes and shared keys of one block in the counting of links, and the columns of one matrix product.
 _BLOCK_SETS, _BLOCK_KEYS, _COLUMNS = 1024, 1 << 19, 1024
 
@@ -184,19 +184,31 @@ def shingle_sets(docs: DataFrame, ws: Workspace, id_col: str, text_col: str) ->
     return sets
 
 
-def light_boundary(sizes: dict[int, int], list_length: float) -> int:
-    """The size up to which enumerating subsets costs less than scanning lists. sizes: number of sets of each size.
+def light_cost(m: int) -> int:
+    """Subsets that a set of size m enumerates: one row each."""
+    return sum(comb(m, needed(m, p)) for p in partners(m) if needed(m, p) <= m)
 
-    A set of size m costs one row per subset in the one case; in the other, one comparison of m shingles per entry of its
-    prefix's lists.
-    """
-    best, at, light, heavy = 0.0, 0, 0.0, 0.0
-    for m in range(1, _LIGHTEST + 1):
-        n = sizes.get(m, 0)
-        light += n * sum(comb(m, needed(m, p)) for p in partners(m) if needed(m, p) <= m)
-        heavy += n * prefix_length(m) * (1 + list_length * m / 8)
-        if light - heavy <= best:
-            best, at = light - heavy, m
+
+def heavy_cost(m: int, list_length: float) -> float:
+    """A comparison of m shingles with each entry of the lists of its prefix, in rows."""
+    return prefix_length(m) * (1 + list_length * m / 8)
+
+
+def last_size(list_length: float) -> int:
+    """The size from which on light sets cost more than heavy ones: subsets grow exponentially with it, lists as its square."""
+    m = 1
+    while light_cost(m) <= 1000 or light_cost(m) <= heavy_cost(m, list_length):
+        m += 1
+    return m
+
+
+def light_boundary(sizes: dict[int, int], list_length: float) -> int:
+    """The size up to which enumerating subsets costs least in all, lists included. sizes: number of sets of each size."""
+    best, at, total = 0.0, 0, 0.0
+    for m in range(1, last_size(list_length) + 1):
+        total += sizes.get(m, 0) * (light_cost(m) - heavy_cost(m, list_length))
+        if total <= best:
+            best, at = total, m
     return at
 
 
@@ -327,10 +339,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per input row: doc_id, n_shingles, component_id, class_id, n_links, rid.
 
     Documents link at a Jaccard similarity of 0.8 or more of their sets of five-word shingles; component_id is the
-    smallest doc_id that links reach. class_id names the sets that are equal, rid the row. n_links is the exact number of
+    smallest doc_id that links reach. class_id is the smallest doc_id with an equal set, rid numbers the row. n_links is the exact number of
     other rows that a row links with, those of its class included; without `links` it is not counted, and null. Null and blank texts have empty
     sets, which link with nothing, each other included. A null doc_id is never the smallest unless there is no other.
-    Repeated rows are documents of one class. An empty table gives no rows; other columns are not read.
+    Repeated rows are documents of one class. A very long text is held whole, with some 40 bytes a word. An empty table
+    gives no rows; other columns are not read.
     """
     spark = prepare(docs.sparkSession)
     ws = Workspace(spark, "jaccard")
@@ -340,9 +353,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = ws.write(ids.join(live.select(F.col("rid").alias("cls"), "size", "central", "prefix", "shared"), "cls"), "classes")
 
     entries = classes.selectExpr("cls", "size", "central", "posexplode(prefix) as (at, key)").where("key <> 0")
-    sized = {r["size"]: r["n"] for r in classes.where(F.col("size") <= _LIGHTEST).groupBy("size").agg(F.count("*").alias("n")).collect()}  # at most _LIGHTEST rows
     lists = entries.agg(F.count("*").alias("n"), F.approx_count_distinct("key").alias("d")).first()
-    boundary = light_boundary(sized, lists["n"] / max(1, lists["d"]))
+    length = lists["n"] / max(1, lists["d"])
+    # At most as many rows as last_size, which follows the logarithm of the lists' length.
+    sized = {r["size"]: r["n"] for r in classes.where(F.col("size") <= last_size(length)).groupBy("size").agg(F.count("*").alias("n")).collect()}
+    boundary = light_boundary(sized, length)
 
     # Light: in the sets that enumerated one subset for sizes (a, b), those of size a link with all.
     subsets = classes.where(F.col("size") <= boundary).select("cls", "size", "shared").mapInArrow(_subsets(boundary), "a int, b int, s1 long, s2 long, cls long, size int")
@@ -350,41 +365,48 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     centre = subsets.groupBy(*key).agg(F.min(F.when(F.col("size") == F.col("a"), F.col("cls"))).alias("centre"), F.count("*").alias("n")).where("n > 1 and centre is not null")
     light = ws.write(subsets.join(centre, key).where("cls <> centre").select(F.col("centre").alias("a"), F.col("cls").alias("b")).distinct(), "light")
 
-    # Heavy: every list is first compared with its most central set.
+    # Heavy: every list is first compared with its most central set. Tables of one row a key are written before they are
+    # joined, so that the lists meet them straight from a shuffle, whose hot keys Spark can split.
     heavy = entries.where(F.col("size") >= -(-4 * (boundary + 1) // 5))
     heads = heavy.groupBy("key").agg(F.max(F.struct("central", -F.col("cls"), "size", "at")).alias("h"), F.count("*").alias("n")).where("n > 1")
-    heads = heads.select("key", (-F.col("h.col2")).alias("head"), F.col("h.size").alias("head_size"), F.col("h.at").alias("head_at"))
-    posted = ws.write(heavy.join(heads, "key"), "lists")
+    heads = ws.write(heads.select("key", (-F.col("h.col2")).alias("head"), F.col("h.size").alias("head_size"), F.col("h.at").alias("head_at"), "n"), "heads")
+    total = heads.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = heads.where(F.col("n") * HOT_KEYS > total)
+    posted = ws.write(attach(heavy, heads, ["key"], hot), "lists")
     first = posted.where("cls <> head").where(_possible("", "head_")).selectExpr("least(cls, head) as a", "greatest(cls, head) as b").distinct()
     tried = ws.write(first, "tried")
     linked = ws.write(_links(tried, classes), "linked")
     every = light.union(linked)
     labels = components(every, ws, "first")
 
-    # What still stands apart in one list: all but the largest component of a list against all others.
-    marked = posted.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls")).select("key", "cls", "size", "at", "component")
-    shares = marked.groupBy("key", "component").agg(F.count("*").alias("n"))
-    largest = shares.groupBy("key").agg(F.max(F.struct("n", "component")).alias("m"), F.count("*").alias("parts")).where("parts > 1").select("key", F.col("m.component").alias("largest"))
-    split = ws.write(marked.join(largest, "key"), "split")
-    minor = split.where("component <> largest")
-    x, y = (minor.select("key", *[F.col(c).alias(f"x_{c}") for c in ("cls", "size", "at", "component")]), split.select("key", *[F.col(c).alias(f"y_{c}") for c in ("cls", "size", "at", "component")]))
-    apart = x.join(y, "key").where("x_component <> y_component").where(_possible("x_", "y_")).selectExpr("least(x_cls, y_cls) as a", "greatest(x_cls, y_cls) as b").distinct()
+    # What still stands apart in one list: all but the largest component of a list against all others, block by block.
+    marked = ws.write(posted.select("key", "cls", "size", "at", "n").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls")), "marked")
+    shares = marked.groupBy("key", "component").agg(F.count("*").alias("m"))
+    largest = ws.write(shares.groupBy("key").agg(F.max(F.struct("m", "component")).alias("m"), F.count("*").alias("parts")).where("parts > 1").select("key", F.col("m.component").alias("largest")), "largest")
+    split = ws.write(attach(marked, largest, ["key"], hot).withColumn("blocks", F.ceil(F.col("n") / _LIST_ENTRIES)).withColumn("block", F.expr("pmod(xxhash64(cls), blocks)")), "split")
+    columns = lambda side: [F.col(c).alias(f"{side}_{c}") for c in ("cls", "size", "at", "component")]
+    over = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    x = split.where("component <> largest").select("key", F.col("block").alias("i"), over.alias("j"), *columns("x"))
+    y = split.select("key", over.alias("i"), F.col("block").alias("j"), *columns("y"))
+    apart = x.join(y, ["key", "i", "j"]).where("x_component <> y_component").where(_possible("x_", "y_")).selectExpr("least(x_cls, y_cls) as a", "greatest(x_cls, y_cls) as b").distinct()
     rest = ws.write(_links(apart.join(tried, ["a", "b"], "left_anti"), classes), "rest")
     if not rest.isEmpty():
         labels = components(every.union(rest), ws, "second")
-    ws.drop("lists", "split", "tried")
+    ws.drop("lists", "split", "tried", "marked", "heads", "largest")
 
     counts = link_counts(classes, labels, ws) if links else None
 
     named = classes.select("h1", "h2", "cls", "least_id", "copies").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    named = named.join(counts, "cls", "left") if links else named.withColumn("linked", F.lit(None).cast("long"))
+    named = ws.write(named.join(counts, "cls", "left") if links else named.withColumn("linked", F.lit(None).cast("long")), "named")
     n_links = (F.col("copies") - 1 + F.coalesce("linked", F.lit(0)) if links else F.lit(None)).cast("long").alias("n_links")
-    smallest = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = named.join(smallest, "component").select("h1", "h2", "cls", "component_id", n_links)
-    out = live.select("rid", "doc_id", "size", "h1", "h2").join(named, ["h1", "h2"])
-    done = sets.where("not live").select("rid", "doc_id", "size", F.col("doc_id").alias("component_id"), F.col("rid").alias("cls"), F.lit(0 if links else None).cast("long").alias("n_links"))
-    both = out.select("rid", "doc_id", "size", "component_id", "cls", "n_links").unionByName(done)
-    return both.select("doc_id", F.col("size").cast("long").alias("n_shingles"), "component_id", F.col("cls").alias("class_id"), "n_links", "rid")
+    smallest = ws.write(named.groupBy("component").agg(F.min("least_id").alias("component_id"), F.count("*").alias("classes")), "smallest")
+    n_classes, n_live = named.agg(F.count("*"), F.coalesce(F.sum("copies"), F.lit(0))).first()
+    placed = attach(named, smallest.select("component", "component_id"), ["component"], smallest.where(F.col("classes") * HOT_KEYS > n_classes))
+    placed = ws.write(placed.select("h1", "h2", "component_id", F.col("least_id").alias("class_id"), n_links, "copies"), "placed")
+    out = attach(live.select("rid", "doc_id", "size", "h1", "h2"), placed, ["h1", "h2"], placed.where(F.col("copies") * HOT_KEYS > n_live))
+    done = sets.where("not live").select("rid", "doc_id", "size", F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"), F.lit(0 if links else None).cast("long").alias("n_links"))
+    both = out.select("rid", "doc_id", "size", "component_id", "class_id", "n_links").unionByName(done)
+    return both.select("doc_id", F.col("size").cast("long").alias("n_shingles"), "component_id", "class_id", "n_links", "rid")
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -103,6 +103,32 @@ ORACLE_SQL: dict[str, str] = {
                  row_number() OVER (PARTITION BY p.page_id ORDER BY length(r.host || r.path) DESC, r.i) AS n
           FROM parts p LEFT JOIN rules r ON ends_with('.' || p.host, '.' || r.host) AND starts_with(p.path, r.path))
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits WHERE n = 1""",
+    "op9_suffix_dedup": """
+        WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+        again AS (
+          SELECT doc_id, i FROM (SELECT doc_id, i, sha256(array_slice(b, i, i + 199)) AS k FROM (SELECT doc_id, b, unnest(range(1, n - 198)) AS i FROM d WHERE n >= 200))
+          QUALIFY count(*) OVER (PARTITION BY k) > 1),
+        steps AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 200 THEN 0 ELSE 1 END AS new FROM again),
+        runs AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS z FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM steps) GROUP BY doc_id, g),
+        gone AS (SELECT doc_id, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans, max(z) AS last FROM runs GROUP BY doc_id),
+        pieces AS (
+          SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 1) AS p, a AS q FROM runs
+          UNION ALL SELECT doc_id, coalesce(last, 1), n + 1 FROM d LEFT JOIN gone USING (doc_id)),
+        kept AS (SELECT doc_id, string_agg(substring(hex(b), 2 * p - 1, 2 * (q - p)), '' ORDER BY p) AS h FROM pieces JOIN d USING (doc_id) GROUP BY doc_id)
+        SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(h)) AS kept_sha256
+        FROM d LEFT JOIN gone USING (doc_id) JOIN kept USING (doc_id)""",
+    "op10_ngram_jaccard_join": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        links AS (
+          SELECT a, b, both = x.n AND both = y.n AS same
+          FROM (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY ALL) JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id
+          WHERE 100 * both >= 80 * (x.n + y.n - both)),
+        reach AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT b, c FROM reach JOIN links ON a = doc_id)
+        SELECT doc_id, any_value(coalesce(n, 0)) AS n_shingles, min(c) AS component_id, least(doc_id, (SELECT min(b) FROM links WHERE a = doc_id AND same)) AS class_id,
+               (SELECT count(*) FROM links WHERE a = doc_id) AS n_links
+        FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
     "op5_preference_format": """
         WITH t AS (
           SELECT conv_id // 2 AS pair_id, conv_id % 2 = 0 AS side, coalesce(role, '') AS role, coalesce(text, '') AS text,

@@ -1,23 +1,29 @@
 """Removal of long repeated passages with a logarithmic family of sparse suffix arrays.
 
-A passage counts as repeated if its 200 bytes also start anywhere else. What a suffix array is asked for is thus which
-suffixes share their next 200 bytes, and any order in which equal prefixes are neighbours answers that; here suffixes are
-ordered by 96-bit fingerprints of their prefixes. Not all suffixes are entered. Each window of 200 bytes chooses an
-anchor, the 100-byte gram with the smallest fingerprint in it, so equal windows choose the same one; successive windows
-with one anchor form a stretch. Grams and stretches are entered first:
+A passage counts as repeated if its 200 bytes also start anywhere else. Not all suffixes are entered. Each window of 200
+bytes chooses an anchor, the 100-byte gram with the smallest fingerprint in it (of several, the first), so equal windows
+choose the same one, whatever stands around them; successive windows with one anchor form a stretch. A batch is a run of
+documents. Its suffix array holds the suffixes that start at its stretches, in the order of their letters as far as the
+stretch's last window goes, so equal stretches are neighbours. Grams and stretches are entered first:
 
 * a stretch that stands twice is repeated throughout;
 * a stretch whose gram stands only once is not repeated at all;
 * of the others, and of one copy of each stretch that shares their gram, every window is entered.
 
-Runs of documents are the batches. A batch sends its sorted arrays, cut into shards by fingerprint and with one entry per
-distinct value, to the families of the shards. There it is merge-scanned against each existing level; then levels that
-are no larger than what is inserted merge with it, so that sizes grow geometrically. Answers go back to the batch, not to
-documents, so a passage that a third of all documents hold costs a family one entry a batch.
+A batch sends its entries, one for each distinct value, to the families of the shards. There they are ordered by digest,
+since equality is all that is asked of entries of different batches and digests deal them evenly. A new array is
+merge-scanned against each existing level: entries that a level has are long matches and count for it, the rest become a
+level of their own, and levels that are no larger merge with it, so that sizes grow geometrically. Answers go back to the
+batch, not to documents, so a passage that a third of all documents hold costs a family one entry a batch.
+
+Within a batch bytes are compared with bytes; between batches, 128-bit BLAKE2b digests of the bytes. Fingerprints only choose
+anchors and, for grams, rule stretches out: where those of different grams agree, windows are entered in vain.
 """
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -28,124 +34,122 @@ from .common import Workspace, arrow_schema, mixed, pack_runs, prepare, record,
 
 WINDOW = 200
 GRAM = 100
+#: Window starts that are looked at together: fingerprints take some 60 bytes for each, whatever the length of a text.
+PIECE = 1 << 20
 _TABLE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_FACTORS = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_FACTOR = 0xD1342543DE82EF95
+_powers: list[np.ndarray] = []
 
 
-def _powers_to(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
-    """f^0..f^n and f^0..f^-n modulo 2^64 for one of the two factors."""
-    if which not in _powers or len(_powers[which][0]) <= n:
-        size = 1 << max(16, n.bit_length())
-        f, out = _FACTORS[which], []
-        for base in (f, pow(f, -1, 1 << 64)):
+def _powers_to(n: int) -> list[np.ndarray]:
+    """f^0..f^n and f^0..f^-n modulo 2^64."""
+    if not _powers or len(_powers[0]) <= n:
+        size, out = 1 << max(16, n.bit_length()), []
+        for step in (_FACTOR, pow(_FACTOR, -1, 1 << 64)):
             p = np.ones(1, np.uint64)
-            step = base
             while len(p) < size:
                 p = np.concatenate([p, p * np.uint64(step)])
                 step = step * step % (1 << 64)
             out.append(p)
-        _powers[which] = tuple(out)
-    return _powers[which]
-
-
-class Prints:
-    """Fingerprints of all substrings of a text, from one running sum a factor."""
-
-    def __init__(self, text: bytes):
-        v = _TABLE[np.frombuffer(text, np.uint8)]
-        self.n, self.sums = len(text), []
-        for which in (0, 1):
-            s = np.zeros(len(v) + 1, np.uint64)
-            np.cumsum(v * _powers_to(len(v), which)[0][: len(v)], out=s[1:])
-            self.sums.append(s)
+        _powers[:] = out
+    return _powers
 
-    def of(self, starts, ends, which: int) -> np.ndarray:
-        return mixed((self.sums[which][ends] - self.sums[which][starts]) * _powers_to(self.n, which)[1][starts])
 
-    def all_of(self, size: int, which: int) -> np.ndarray:
-        s = self.sums[which]
-        return mixed((s[size:] - s[:-size]) * _powers_to(self.n, which)[1][: self.n - size + 1])
+def gram_prints(text: np.ndarray) -> np.ndarray:
+    """Fingerprints of all grams of a text, from one running sum."""
+    powers, inverse = _powers_to(len(text))
+    s = np.zeros(len(text) + 1, np.uint64)
+    np.cumsum(_TABLE[text] * powers[: len(text)], out=s[1:])
+    return mixed((s[GRAM:] - s[:-GRAM]) * inverse[: len(text) - GRAM + 1])
 
 
-def stretches(prints: Prints) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def stretches(text: bytes, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each maximal row of window starts with one anchor: the first start, their number, and the anchor's gram."""
-    if prints.n < WINDOW:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    bits = np.uint64(prints.n.bit_length())
-    g = prints.all_of(GRAM, 0)
-    m = (g >> bits << bits) | np.arange(len(g), dtype=np.uint64)
-    span, width = WINDOW - GRAM + 1, 1
-    while 2 * width <= span:
-        m = np.minimum(m[:-width], m[width:])
-        width *= 2
-    if width < span:
+    flat, at, grams, span, low32 = np.frombuffer(text, np.uint8), [], [], WINDOW - GRAM + 1, np.uint64(0xFFFFFFFF)
+    first, number = [np.zeros(0, np.int64)], 0
+    for begin in range(0, len(text) - WINDOW + 1, piece):
+        g = gram_prints(flat[begin : begin + piece + WINDOW - 1])
+        m, width = (g & ~low32) | np.arange(len(g), dtype=np.uint64), 1  # always 32 bits of the print, then the place
+        while 2 * width <= span:
+            m = np.minimum(m[:-width], m[width:])
+            width *= 2
         m = np.minimum(m[: len(m) - (span - width)], m[span - width :])
-    at = (m & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    first = np.flatnonzero(np.diff(at, prepend=-1))
-    return first, np.diff(first, append=len(at)), g[at[first]]
+        anchors = (m & low32).astype(np.int64)
+        new = np.flatnonzero(np.diff(anchors, prepend=at[-1][-1] - begin if at else -1))
+        first.append(new + begin)
+        at.append(anchors + begin)
+        grams.append(g[anchors[new]])
+        number += len(anchors)
+        at[:-1] = [a[-1:] for a in at[:-1]]
+    first = np.concatenate(first)
+    return first, np.diff(first, append=number), np.concatenate([np.zeros(0, np.uint64), *grams])
 
 
 class Family:
-    """Levels of sorted suffix prints, each with how often it stands and which batch held it first."""
+    """Levels of sorted digests. Each digest stands in one level, with a number by which its total and first batch are kept."""
 
     def __init__(self):
-        self.levels: list[tuple[np.ndarray, ...]] = []
-        self.matches = 0
+        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.totals, self.first, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int64), 0
 
-    def insert(self, high: np.ndarray, low: np.ndarray, count: np.ndarray, batch: int) -> None:
-        new = (high, low, count, np.full(len(high), batch, np.int64))
+    def insert(self, high: np.ndarray, low: np.ndarray, count: np.ndarray, batch: int) -> np.ndarray:
+        """The numbers of a batch's sorted digests: of those that the scan finds in a level, the one they have there."""
+        number = np.full(len(high), -1, np.int64)
         for level in self.levels:
-            self.matches += int(self.find(level, high, low)[1].sum())
+            fresh = np.flatnonzero(number < 0)
+            at, found = self.scan(level, high[fresh], low[fresh])
+            number[fresh[found]] = level[2][at[found]]
+        self.totals[number[number >= 0]] += count[number >= 0]
+        fresh = np.flatnonzero(number < 0)
+        upto = self.size + len(fresh)
+        if upto > len(self.totals):
+            more = np.zeros(2 * upto - len(self.totals), np.int64)
+            self.totals, self.first = np.concatenate([self.totals, more]), np.concatenate([self.first, more])
+        number[fresh] = np.arange(self.size, upto)
+        self.totals[self.size : upto], self.first[self.size : upto] = count[fresh], batch
+        self.size = upto
+        new = (high[fresh], low[fresh], number[fresh])
         while self.levels and len(self.levels[-1][0]) <= len(new[0]):
             new = self.merge(self.levels.pop(), new)
-        self.levels.append(new)
+        if len(new[0]):
+            self.levels.append(new)
+        return number
 
     @staticmethod
-    def find(level, high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where in a level each print stands, and whether it does."""
-        at = np.searchsorted(level[0], high)
-        at_most = len(level[0]) - 1
-        while True:  # prints that share their first 64 bits stand one after the other
-            here = np.minimum(at, at_most)
-            on = (at <= at_most) & (level[0][here] == high) & (level[1][here] < low)
+    def scan(level, high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where in a level each digest stands, and whether it does."""
+        at, last = np.searchsorted(level[0], high), len(level[0]) - 1
+        while True:  # digests that share their first 64 bits stand one after the other
+            here = np.minimum(at, last)
+            on = (at <= last) & (level[0][here] == high) & (level[1][here] < low)
             if not on.any():
-                break
+                return here, (at <= last) & (level[0][here] == high) & (level[1][here] == low)
             at = at + on
-        here = np.minimum(at, at_most)
-        return here, (at <= at_most) & (level[0][here] == high) & (level[1][here] == low)
 
     @staticmethod
     def merge(a, b) -> tuple[np.ndarray, ...]:
-        high, low, count, batch = (np.concatenate([x, y]) for x, y in zip(a, b))
-        order = np.lexsort((batch, low, high))
-        high, low, count, batch = high[order], low[order], count[order], batch[order]
-        first = _changes(high, low)
-        return high[first], low[first], np.add.reduceat(count, first), batch[first]
-
-    def whole(self) -> tuple[np.ndarray, ...]:
-        while len(self.levels) > 1:
-            self.levels.append(self.merge(self.levels.pop(), self.levels.pop()))
-        return self.levels[0]
-
-
-def _changes(high: np.ndarray, low: np.ndarray) -> np.ndarray:
-    new = np.ones(len(high), bool)
-    new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
-    return np.flatnonzero(new)
+        high, low, number = (np.concatenate([x, y]) for x, y in zip(a, b))
+        order = np.lexsort((low, high))
+        return high[order], low[order], number[order]
 
 
 def _distinct(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Sorted distinct prints, how often each stands, where it stands first, and which of them each given one is."""
+    """Sorted distinct values, how often each stands, where it stands first, and which of them each given one is."""
     order = np.lexsort((low, high))
     h, w = high[order], low[order]
-    first = _changes(h, w)
+    first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (w[1:] != w[:-1])])) if len(h) else np.zeros(0, np.int64)
     which = np.zeros(len(high), np.int64)
     if len(high):
         which[order] = np.repeat(np.arange(len(first)), np.diff(first, append=len(h)))
     return h[first], w[first], np.diff(first, append=len(h)), order[first], which
 
 
+def digests(strings) -> tuple[np.ndarray, np.ndarray]:
+    """The halves of the digests of byte strings."""
+    flat = np.frombuffer(b"".join([blake2b(x, digest_size=16).digest() for x in strings]), "<u8").reshape(-1, 2)
+    return np.ascontiguousarray(flat[:, 0]), np.ascontiguousarray(flat[:, 1])
+
+
 def _steps(keys: np.ndarray) -> bytes:
     """Sorted 64-bit integers as differences, byte by byte: the near-constant high bytes stand together."""
     return np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
@@ -160,13 +164,13 @@ _ANSWER = "run long, shard int, kind int, bits binary, totals binary, first bina
 
 
 def _cut(run: int, kind: int, bits: int, high: np.ndarray, low: np.ndarray, count: np.ndarray) -> list[tuple]:
-    """The slices of one sorted array: one per shard that it has entries for."""
+    """The slices of one sorted array: one per shard that it has entries for. Grams have no low half."""
     edges = np.searchsorted(high, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)).tolist()
     out = []
     for shard, (a, b) in enumerate(zip([0, *edges], [*edges, len(high)])):
         if b > a:
             many = np.flatnonzero(count[a:b] > 1).astype(np.uint32)
-            out.append((run, shard, kind, _steps(high[a:b]), low[a:b].tobytes(), many.tobytes(), count[a:b][many].astype(np.uint32).tobytes()))
+            out.append((run, shard, kind, _steps(high[a:b]), low[a:b].tobytes() if kind else b"", many.tobytes(), count[a:b][many].astype(np.uint32).tobytes()))
     return out
 
 
@@ -175,53 +179,52 @@ def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
 
 
 class Batch:
-    """The stretches of one run, and their grams and prints as sorted arrays."""
+    """The stretches of one run: its suffix array, and grams and stretches as sorted arrays of distinct values."""
 
     def __init__(self, sizes, texts):
         self.texts = unpack(sizes, texts)
-        none = np.zeros(0, np.uint64)
-        doc, start, n, gram, high, low = [], [], [], [none], [none], [none]
+        doc, start, n, gram = [], [], [], [np.zeros(0, np.uint64)]
         for i, text in enumerate(self.texts):
-            if len(text) >= WINDOW:  # prints take 16 bytes for each of the text's, so only one text's are held
-                p = Prints(text)
-                first, number, g = stretches(p)
+            if len(text) >= WINDOW:
+                first, number, g = stretches(text)
                 doc.append(np.full(len(first), i))
                 start.append(first)
                 n.append(number)
                 gram.append(g)
-                high.append(p.of(first, first + number + WINDOW - 1, 0))
-                low.append(p.of(first, first + number + WINDOW - 1, 1))
         self.doc, self.start, self.n = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (doc, start, n))
-        gram, high, low = (np.concatenate(x) for x in (gram, high, low))
         # Anchors are the smallest grams of their windows, so they are spread anew before they are dealt by their leading bits.
-        gram, high, low = mixed(gram), mixed(high ^ self.n.astype(np.uint64)), (low >> np.uint64(32)).astype(np.uint32)
-        # Of grams, 48 bits are enough: a false match only means that windows are entered in vain.
-        self.gram, _, self.gram_count, _, self.gram_of = _distinct(gram >> np.uint64(16) << np.uint64(16), np.zeros(len(gram), np.uint32))
-        self.high, self.low, self.count, self.at, self.print_of = _distinct(high, low)
+        gram = mixed(np.concatenate(gram)) >> np.uint64(16) << np.uint64(16)
+        self.gram, _, self.gram_count, _, self.gram_of = _distinct(gram, np.zeros(len(gram), np.uint64))
+
+        all_texts = self.texts
+        suffixes = [all_texts[d][a:z] for d, a, z in zip(self.doc.tolist(), self.start.tolist(), (self.start + self.n + WINDOW - 1).tolist())]
+        array = sorted(range(len(suffixes)), key=suffixes.__getitem__)
+        new = [i for i, (x, y) in enumerate(zip(array, [None, *array])) if y is None or suffixes[x] != suffixes[y]]
+        at = np.array(array, np.int64)[new] if new else np.zeros(0, np.int64)  # of equal neighbours, the first in the run
+        high, low = digests([suffixes[i] for i in at.tolist()])
+        order = np.lexsort((low, high))
+        self.high, self.low, self.at, self.count = high[order], low[order], at[order], np.diff(new, append=len(array))[order]
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        self.stretch_of = np.zeros(len(array), np.int64)
+        self.stretch_of[array] = np.repeat(back, np.diff(new, append=len(array)))
 
     def windows(self, chosen: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Prints, documents and starts of all windows of the chosen stretches."""
+        """Digests, documents and starts of all windows of the chosen stretches."""
         n = self.n[chosen]
         which = np.repeat(chosen, n)
         start = self.start[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-        doc = self.doc[which]
-        high, low = np.zeros(len(which), np.uint64), np.zeros(len(which), np.uint32)
-        edges = np.flatnonzero(np.diff(doc, prepend=-1)) if len(doc) else np.zeros(0, np.int64)
-        for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(doc)]):
-            p = Prints(self.texts[doc[a]])
-            high[a:b] = p.of(start[a:b], start[a:b] + WINDOW, 0)
-            low[a:b] = (p.of(start[a:b], start[a:b] + WINDOW, 1) >> np.uint64(32)).astype(np.uint32)
-        return high, low, doc, start
+        doc, texts = self.doc[which], self.texts
+        return *digests(texts[d][s : s + WINDOW] for d, s in zip(doc.tolist(), start.tolist())), doc, start
 
     def judged(self, bits: int, answers) -> tuple[np.ndarray, np.ndarray]:
         """Which stretches are repeated throughout, and of which every window is entered."""
         gram, _ = _told(bits, answers, 0, self.gram)
         total, first = _told(bits, answers, 1, self.high)
-        g, t = gram[self.gram_of], total[self.print_of]
-        throughout = t > 1
+        g, t = gram[self.gram_of], total[self.stretch_of]
         shown = np.zeros(len(t), bool)
         shown[self.at] = first  # one copy, in one run
-        return throughout, np.flatnonzero((g > 1) & ((t <= 1) | (t < g) & shown))
+        return t > 1, np.flatnonzero((g > 1) & ((t <= 1) | (t < g) & shown))
 
 
 def _told(bits: int, answers, kind: int, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -243,7 +246,7 @@ def _grams_and_stretches(bits: int):
         for batch in batches:
             for run, sizes, texts in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3))):
                 b = Batch(sizes, texts)
-                rows = _cut(run, 0, bits, b.gram, np.zeros(len(b.gram), np.uint32), b.gram_count) + _cut(run, 1, bits, b.high, b.low, b.count)
+                rows = _cut(run, 0, bits, b.gram, b.gram, b.gram_count) + _cut(run, 1, bits, b.high, b.low, b.count)
                 if rows:
                     yield _rows(schema, rows)
                 del b, rows
@@ -275,18 +278,16 @@ def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
     for kind, part in pdf.sort_values("run").groupby("kind"):
         family, slices = Family(), []
         for run, high, low, many, counts in zip(part["run"], part["high"], part["low"], part["many"], part["counts"]):
-            high, low = _unstepped(high), np.frombuffer(low, np.uint32)
+            high = _unstepped(high)
+            low = np.frombuffer(low, np.uint64) if kind else np.zeros(len(high), np.uint64)
             count = np.ones(len(high), np.int64)
             count[np.frombuffer(many, np.uint32)] = np.frombuffer(counts, np.uint32)
-            family.insert(high, low, count, run)
-            slices.append((run, high, low))
-        whole = family.whole()
-        for run, high, low in slices:
-            at, _ = family.find(whole, high, low)
-            total = whole[2][at]
+            slices.append((run, family.insert(high, low, count, run)))
+        for run, number in slices:
+            total = family.totals[number]
             again = total > 1
-            out.append((run, part["shard"].iloc[0], kind, np.packbits(again).tobytes(), np.minimum(total[again], 2**32 - 1).astype(np.uint32).tobytes(), np.packbits(whole[3][at][again] == run).tobytes()))
-        del family, slices, whole
+            out.append((run, part["shard"].iloc[0], kind, np.packbits(again).tobytes(), np.minimum(total[again], 2**32 - 1).astype(np.uint32).tobytes(), np.packbits(family.first[number][again] == run).tobytes()))
+        del family, slices
     trim()
     return pd.DataFrame(out, columns=[c.split()[0] for c in _ANSWER.split(",")])
 
@@ -333,18 +334,20 @@ def _cut_out(bits: int):
     return cut
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_bytes: int = 4 << 20) -> DataFrame:
     """One row per input row: doc_id, n_bytes, starts, ends, kept.
 
     Texts are UTF-8 bytes, null is empty. Each byte that lies in a 200-byte string which also starts anywhere else, in this
     row or another, is removed; starts and ends delimit the maximal removed runs, kept is what remains (which may end within
     a character). All is judged on the input: of copies, none stays. Shorter texts stay whole. Repeated rows and rows
-    without an id are rows like any other. An empty table gives no rows; other columns are not read.
+    without an id are rows like any other. An empty table gives no rows; other columns are not read. A very long text is a run
+    of its own, held whole; fingerprints are made piece by piece. Each run sends a slice to each shard, so on large clusters
+    run_bytes should grow with the number of shards (a worker holds some 20 bytes for each of a run's).
     """
     spark = prepare(docs.sparkSession)
     ws = Workspace(spark, "suffix")
     bits = max(1, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
-    packed = pack_runs(docs, ws, id_col, text_col, run_bytes=4 << 20)
+    packed = pack_runs(docs, ws, id_col, text_col, run_bytes=run_bytes)
     answer = lambda slices, name: ws.write(slices.groupBy("shard").applyInPandas(_answer, _ANSWER), name)
     told = lambda answers: packed.join(answers.groupBy("run").agg(F.collect_list(F.struct("shard", "kind", "bits", "totals", "first")).alias("answers")), "run", "left")
     stretches_ = answer(packed.mapInArrow(_grams_and_stretches(bits), _SLICE), "stretches")

@@ -56,6 +56,27 @@ def test_chains_and_edges_at_every_boundary(make, monkeypatch, boundary):
     assert told(J.near_duplicates(make(rows))) == brute(rows)
 
 
+@pytest.mark.parametrize("entries, hot", [(3, 1000), (2048, 10**9), (2, 10**9)])
+def test_blocks_and_hot_keys_do_not_change_results(make, monkeypatch, corpus, entries, hot):
+    """Long lists cut into blocks of a few entries, and every key treated as hot."""
+    from corvane.llm import components as C
+
+    rng = random.Random(entries)
+    line, rows = [f"l{i}" for i in range(40)], [*corpus]
+    for i in range(60):  # one line with different ends: one list, many components
+        rows.append((500 + i, " ".join(line + [f"e{rng.randrange(12)}" for _ in range(rng.randrange(2, 12))])))
+    monkeypatch.setattr(J, "_LIST_ENTRIES", entries)
+    monkeypatch.setattr(J, "HOT_KEYS", hot)
+    monkeypatch.setattr(C, "HOT_KEYS", hot)
+    assert told(J.near_duplicates(make(rows))) == brute(rows)
+
+
+def test_the_last_light_size_follows_the_lists():
+    for length in (1.0, 30.0, 1e4, 1e9):
+        m = J.last_size(length)
+        assert all(J.light_cost(k) > J.heavy_cost(k, length) for k in range(m, m + 60))
+
+
 def test_the_boundary_follows_the_cost():
     assert J.light_boundary({5: 1000, 6: 1000}, 30.0) >= 6
     assert J.light_boundary({20: 1000}, 1.0) < 20
@@ -72,7 +93,7 @@ def test_empty_and_keeping(make):
     assert J.near_duplicates(make([])).collect() == []
     docs = make([(5, "a b c d e f"), (2, "A b c d e f"), (9, "z"), (None, "a b c d e f"), (None, None)])
     kept = J.keep_one_of_each(docs)
-    assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["2", "9", "None", "None"]
+    assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["2", "9", "None"]
 
 
 def brute_links(rows):
