@@ -1,17 +1,17 @@
-"""Toxicity from compression lengths under two zstandard dictionaries.
-
-Training text is cut into word windows. Windows that occur in many different contexts of toxic documents and hardly in
-ordinary ones are the samples of the toxic dictionary, frequent windows of ordinary documents those of the ordinary one.
-A window, set in a fixed carrier, is compressed with the ordinary dictionary and with the toxic one (which holds the
-ordinary one's content too); the bytes saved by the latter are its gain. A logistic curve, fitted on the training
-documents, turns the gains of a document's windows into a score, with 0.5 as the calibrated threshold.
+"""Toxicity from compression lengths under two separately trained zstandard dictionaries.
+
+Texts are cut into windows of a few words, set apart by wide gaps. The ordinary dictionary is trained on the windows of
+ordinary documents. Toxic documents are mostly ordinary text too, so the toxic dictionary is trained on what sets them apart:
+the stretches of their windows made of byte runs that far more toxic documents hold than ordinary ones. Every window is then
+compressed twice, with the ordinary dictionary alone and with the toxic one before it, so that both runs find the same
+ordinary matches and the difference in length is what the toxic dictionary adds. A logistic curve turns the gains of a
+document's windows into a score, with 0.5 as the calibrated threshold; it is fitted on gains of documents under
+dictionaries that were trained without them.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
-from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -19,33 +19,84 @@ import pandas as pd
 import zstandard as zs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import in_fold, prepare
 
-#: What stands on both sides of a window, in either dictionary as well.
-_CARRIER = b" of the and to in that "
-#: Bytes of the longest window; longer words are cut into windows that overlap by half.
-_WINDOW = 48
-_GRAM = 5
-#: Bytes of dictionary content.
-_TOXIC_BYTES, _ORDINARY_BYTES = 4096, 2048
-#: Gains that a worker remembers between batches; scores do not depend on it.
-_REMEMBERED = 400_000
+#: Words of a window, what stands between them, and the bytes after which a longer window is cut.
+WORDS, GAP, WINDOW_BYTES = 4, b"   ", 512
+#: Bytes of the dictionaries, of the byte runs that are counted, and of the pieces that dictionaries are built from.
+TOXIC_BYTES, ORDINARY_BYTES, RUN, TOXIC_PIECE, ORDINARY_PIECE = 2048, 49152, 6, 16, 64
+#: A run is typical if so many toxic documents hold it, and so many times as large a share of them as of ordinary ones.
+LEAST, RATIO = 4, 20.0
+_EDGES = b".,;:!?\"'()[]|*%&$#@~_-"
+
+
+def rendered(text: str) -> list[bytes]:
+    """The words of a text, A-Z lower-cased, without signs at their ends."""
+    return [w for w in (x.strip(_EDGES) for x in text.encode().lower().split()) if w]
 
 
 def windows(text: str) -> list[bytes]:
-    """Words, A-Z lower-cased, without punctuation at their ends; long ones in overlapping cuts."""
+    """All of a text in windows of WORDS words; those over WINDOW_BYTES in cuts that overlap by half."""
+    ws, out = rendered(text), []
+    for i in range(0, len(ws), WORDS):
+        w = GAP + GAP.join(ws[i : i + WORDS]) + GAP
+        out += [w] if len(w) <= WINDOW_BYTES else [w[k : k + WINDOW_BYTES] for k in range(0, len(w) - WINDOW_BYTES // 2, WINDOW_BYTES // 2)]
+    return out
+
+
+def _runs(window: bytes) -> np.ndarray:
+    """The runs of RUN bytes of a window, as integers."""
+    x = np.frombuffer(window, np.uint8).astype(np.uint64)
+    out = np.zeros(max(0, len(x) - RUN + 1), np.uint64)
+    for i in range(RUN if len(out) else 0):
+        out = out << np.uint64(8) | x[i : len(x) - RUN + 1 + i]
+    return out
+
+
+def _holders(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """How many texts hold each run."""
+    none = np.zeros(0, np.uint64)
+    return np.unique(np.concatenate([none, *(np.unique(np.concatenate([none, *map(_runs, windows(t))])) for t in texts)]), return_counts=True)
+
+
+def typical_runs(toxic: list[str], ordinary: list[str]) -> np.ndarray:
+    """The runs that are typical of toxic texts, sorted."""
+    (runs, n), (others, m) = _holders(toxic), _holders(ordinary)
+    if not len(runs) or not len(ordinary):
+        return runs[:0]
+    at = np.minimum(np.searchsorted(others, runs), max(0, len(others) - 1))
+    seen = np.where(others[at] == runs, m[at], 0) if len(others) else np.zeros(len(runs))
+    return runs[(n >= LEAST) & (n / len(toxic) >= RATIO * (seen + 0.5) / len(ordinary))]
+
+
+def typical_stretches(texts: list[str], typical: np.ndarray) -> list[bytes]:
+    """The stretches of all windows that typical runs cover; of each text, different ones once."""
     out = []
-    for w in text.encode().lower().split():
-        if len(w) > _WINDOW:
-            out += [w[i : i + _WINDOW] for i in range(0, len(w), _WINDOW // 2)]
-        else:
-            out.append(w.strip(b".,;:!?\"'()"))
+    for text in texts if len(typical) else ():
+        found = {}
+        for w in windows(text):
+            r = _runs(w)
+            hit = np.flatnonzero(typical[np.minimum(np.searchsorted(typical, r), len(typical) - 1)] == r)
+            for part in np.split(hit, np.flatnonzero(np.diff(hit) > RUN) + 1) if len(hit) else ():
+                found[GAP + w[part[0] : part[-1] + RUN].strip() + GAP] = True
+        out += found
     return out
 
 
+def trained(samples: list[bytes], size: int, piece: int) -> bytes:
+    """The content of a zstandard dictionary trained on samples; too few of them are their own dictionary."""
+    if len(samples) >= 8 and sum(map(len, samples)) > size:
+        try:
+            return zs.train_dictionary(size, samples, k=piece, d=6 if piece < 32 else 8, level=9).as_bytes()
+        except zs.ZstdError:  # the trainer refuses samples with too little in common
+            pass
+    return b"".join(samples)[:size]
+
+
 def _compressor(content: bytes) -> zs.ZstdCompressor:
-    params = zs.ZstdCompressionParameters(compression_level=9, window_log=14, hash_log=12, chain_log=12, search_log=4, min_match=4, target_length=8, strategy=zs.STRATEGY_LAZY2, write_content_size=False, write_checksum=False, write_dict_id=False, format=zs.FORMAT_ZSTD1_MAGICLESS)
+    params = zs.ZstdCompressionParameters(compression_level=9, window_log=20, hash_log=17, chain_log=17, search_log=6, min_match=4, target_length=16, strategy=zs.STRATEGY_BTLAZY2, write_content_size=False, write_checksum=False, write_dict_id=False, format=zs.FORMAT_ZSTD1_MAGICLESS)
     d = zs.ZstdCompressionDict(content, dict_type=zs.DICT_TYPE_RAWCONTENT)
     d.precompute_compress(compression_params=params)
     return zs.ZstdCompressor(dict_data=d, compression_params=params)
@@ -55,52 +106,28 @@ def _compressor(content: bytes) -> zs.ZstdCompressor:
 class ToxicityModel:
     toxic: bytes
     ordinary: bytes
-    weights: list[float] = field(default_factory=lambda: [-3.0, 0.0, 0.0, 0.0])
+    weights: list[float] = field(default_factory=lambda: [-3.0, 0.0, 0.0, 0.0, 0.0])
 
     def open(self) -> None:
-        self._o, self._t = _compressor(self.ordinary + _CARRIER), _compressor(self.toxic + self.ordinary + _CARRIER)
-        self._gains: dict[bytes, int] = {}
-        self._grams = {self.toxic[i : i + _GRAM] for i in range(len(self.toxic) - _GRAM + 1)}
+        self._o, self._t = _compressor(self.ordinary + GAP * 3), _compressor(self.toxic + self.ordinary + GAP * 3)
 
     def gain(self, window: bytes) -> int:
-        """Bytes saved; 0 without compressing if no run of _GRAM bytes is in the toxic dictionary, as no match could pay."""
-        padded = b" " + window + b" "
-        if self._grams.isdisjoint([padded[i : i + _GRAM] for i in range(len(padded) - _GRAM + 1)]):
-            return 0
-        x = b"".join((_CARRIER, window, b" ", _CARRIER))
-        return len(self._o.compress(x)) - len(self._t.compress(x))
-
-    def features(self, text: str) -> tuple[float, float, float]:
-        """The largest gain, the number of windows that gain 4 or more, and the share of such windows."""
-        gains, counts = self._gains, Counter(windows(text))
-        if len(gains) > _REMEMBERED:
-            gains.clear()
-        most = strong = total = 0
-        for w, n in counts.items():
-            g = gains.get(w)
-            if g is None:
-                g = gains[w] = self.gain(w)
-            most = max(most, g)
-            total += n
-            if g >= 4:
-                strong += n
-        return float(min(most, 10)), math.log1p(strong), strong / total if total else 0.0
+        """Bytes that the toxic dictionary saves."""
+        return len(self._o.compress(window)) - len(self._t.compress(window))
+
+    def features(self, text: str) -> tuple[float, float, float, float]:
+        """Of the gains of the text's different windows: the mean, the largest, the number of 3 or more and their share."""
+        gains = [self.gain(w) for w in dict.fromkeys(windows(text))]
+        if not gains:
+            return 0.0, 0.0, 0.0, 0.0
+        strong = sum(g >= 3 for g in gains)
+        return sum(gains) / len(gains), float(max(0, min(max(gains), 12))), math.log1p(strong), 10 * strong / len(gains)
 
     def score(self, text: str) -> float:
         z = self.weights[0] + sum(w * x for w, x in zip(self.weights[1:], self.features(text)))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def _contexts(texts: list[str]) -> dict[bytes, float]:
-    """How often each window stands between neighbours, over how often it does between its most frequent ones: near copies of a document, edited or not, hardly count."""
-    seen = defaultdict(Counter)
-    for t in texts:
-        ws = windows(t)
-        for before, w, after in zip([b"", *ws], ws, [*ws[1:], b""]):
-            seen[w][zlib.crc32(before + b" " + after)] += 1
-    return {w: sum(c.values()) / max(c.values()) for w, c in seen.items()}
-
-
 def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 400) -> list[float]:
     """Weights, bias first, by Newton's method with a small ridge; both classes count alike."""
     x = np.hstack([np.ones((len(x), 1)), x])
@@ -116,32 +143,30 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 400) -> list[float]:
     return w.tolist()
 
 
-def fit(toxic: list[str], ordinary: list[str], least: float = 4.0, ratio: float = 30.0) -> ToxicityModel:
-    """A model of labelled texts. Without toxic texts, or without windows typical of them, every score is low."""
-    toxic, ordinary = list(dict.fromkeys(toxic)), list(dict.fromkeys(ordinary))
-    t, o = _contexts(toxic), _contexts(ordinary)
-    n_t, n_o = max(1, sum(t.values())), max(1, sum(o.values()))
-    typical = sorted((w for w in t if len(w) >= 3 and t[w] >= least and t[w] / n_t >= ratio * (o.get(w, 0) + 0.5) / n_o), key=lambda w: (t[w], w))
-    common = sorted(sorted(o, key=lambda w: (o[w], w))[-300:], key=lambda w: (o[w], w))
-    pack = lambda ws, size: b" ".join([b"", *ws, b""])[-size:]
-    model = ToxicityModel(pack(typical, _TOXIC_BYTES), pack(common, _ORDINARY_BYTES))
-    if not typical or not ordinary:
-        model.open()
-        return model
-    for _ in range(12):  # ordinary windows that gain are held against the toxic dictionary: both get them
-        model.open()
-        gains = {w: g for w in o if (g := model.gain(w)) >= 2}
-        ends: dict[bytes, bytes] = {}
-        for w in sorted(gains, key=lambda w: (-gains[w], -o[w], w)):
-            ends.setdefault(w[-4:] + w[:3], w)
-        false = [w for w in list(ends.values())[:40] if w not in common]
-        if not false:
-            break
-        common += false
-        model = ToxicityModel(model.toxic, pack(common, 4 * _ORDINARY_BYTES))
+def dictionaries(toxic: list[str], ordinary: list[str]) -> ToxicityModel:
+    """A model without calibration. Without typical runs the toxic dictionary is empty and nothing gains."""
+    stretches = typical_stretches(toxic, typical_runs(toxic, ordinary))
+    model = ToxicityModel(trained(stretches, TOXIC_BYTES, TOXIC_PIECE), trained([w for t in ordinary for w in windows(t)], ORDINARY_BYTES, ORDINARY_PIECE))
     model.open()
-    y = np.array([1] * len(toxic) + [0] * len(ordinary))
-    model.weights = _logistic(np.array([model.features(x) for x in (*toxic, *ordinary)]), y)
+    return model
+
+
+def fit(toxic: list[str], ordinary: list[str], parts: int = 3) -> ToxicityModel:
+    """A model of labelled texts. Without toxic or ordinary texts, or without runs typical of the toxic ones, every score is low."""
+    toxic, ordinary = sorted(set(toxic)), sorted(set(ordinary))
+    rng = np.random.default_rng(0)
+    toxic, ordinary = ([texts[i] for i in rng.permutation(len(texts))] for texts in (toxic, ordinary))
+    model = dictionaries(toxic, ordinary)
+    if not model.toxic or not ordinary:
+        return model
+    x, y = [], []
+    for i in range(parts):
+        outside = lambda texts: [t for k, t in enumerate(texts) if k % parts != i]  # noqa: E731, B023
+        other = dictionaries(outside(toxic), outside(ordinary))
+        for label, texts in enumerate((ordinary, toxic)):
+            x += [other.features(t) for t in texts[i::parts]]
+            y += [label] * len(texts[i::parts])
+    model.weights = _logistic(np.array(x), np.array(y))
     return model
 
 
@@ -154,8 +179,9 @@ def score_column(model: ToxicityModel, text: Column) -> Column:
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        key = parts[0] + parts[1]
+        key = parts[0] + parts[1] + repr(parts[2]).encode()
         if key not in _open:
+            _open.clear()
             _open[key] = ToxicityModel(*parts)
             _open[key].open()
         return pd.Series([_open[key].score(x or "") for x in texts], dtype="float64")
@@ -163,17 +189,20 @@ def score_column(model: ToxicityModel, text: Column) -> Column:
     return score(F.coalesce(text.cast("string"), F.lit("")))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5, sample: int = 1500, longest: int = 50_000) -> ToxicityModel:
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5, sample: int = 1500, sample_bytes: int = 24 << 20) -> ToxicityModel:
     """A model from labelled documents outside fold 0.
 
-    A classifier's sample is bounded: at most `sample` documents of each label, those of the smallest id hash, of at most
-    `longest` characters each. Labels that are null or neither 0 nor 1 are not used.
+    A classifier's sample is bounded: of each label, the documents of the `sample` smallest id hashes, as far as their whole
+    texts add up to no more than `sample_bytes`. Labels that are null or neither 0 nor 1 are not used, nor ids that are null.
+    Null texts are empty. Documents repeated with one id are taken once for each text. Without labels every score is low.
     """
     prepare(docs.sparkSession)
     known = labels.select(F.col(id_col).cast("long").alias("__id"), F.col(label_col).cast("int").alias("__label")).where((in_fold(F.col("__id"), folds) != 0) & F.col("__id").isNotNull())
-    picked = [known.where(F.col("__label") == v).orderBy(F.xxhash64("__id"), "__id").limit(sample) for v in (0, 1)]
-    chosen = picked[0].unionByName(picked[1])
-    rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).cast("string").alias("__text")).where(F.length("__text") <= longest).join(F.broadcast(chosen), "__id").orderBy("__id").toPandas()  # 2 x sample ids
+    picked = [known.where(F.col("__label") == v).distinct().orderBy(F.xxhash64("__id"), "__id").limit(sample) for v in (0, 1)]
+    chosen = picked[0].unionByName(picked[1])  # at most 2 x sample ids
+    rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text")).join(F.broadcast(chosen), "__id").distinct()
+    in_order = Window.partitionBy("__label").orderBy(F.xxhash64("__id"), "__id", F.xxhash64("__text"))
+    rows = rows.withColumn("__upto", F.sum(F.octet_length("__text")).over(in_order)).where(F.col("__upto") <= sample_bytes).toPandas()
     return fit(rows.loc[rows["__label"] == 1, "__text"].tolist(), rows.loc[rows["__label"] == 0, "__text"].tolist())
 
 
@@ -181,7 +210,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
     """doc_id, held_out, score, predicted: one row per input row.
 
     Null text is empty; an empty text has no windows and gets the score of no gain. A null id counts as the empty text for
-    held_out. Ties, repeated rows and other columns play no part: a row's score depends on its text alone.
+    held_out. Ties, repeated rows and other columns play no part: a row's score depends on its text alone. All windows of a
+    very long text count. An empty table gives no rows.
     """
     prepare(docs.sparkSession)
     out = docs.select(F.col(id_col).alias("doc_id"), (in_fold(F.col(id_col), folds) == 0).alias("held_out"), score_column(model, F.col(text_col)).alias("score"))
@@ -189,6 +219,6 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
-    """The rows of docs whose score is under 0.5, with their columns."""
+    """The rows of docs whose score is under 0.5, with their columns: rows of any id, or none, are judged by their text. An empty table stays empty."""
     prepare(docs.sparkSession)
     return docs.where(score_column(model, F.col(text_col)) < 0.5)
