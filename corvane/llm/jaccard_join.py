@@ -316,14 +316,14 @@ def link_counts(classes: DataFrame, labels: DataFrame, ws: Workspace) -> DataFra
     """
     band = F.floor(F.log("size") / F.log(F.lit(1.26))).cast("long").alias("band")
     members = ws.write(classes.join(labels.withColumnRenamed("node", "cls"), "cls").select("component", "cls", "size", "copies", band, "shared"), "members")
-    keys = F.sum(F.expr("length(shared) div 8"))
-    blocks = F.greatest(F.ceil(F.count("*") / _BLOCK_SETS), F.ceil(keys / _BLOCK_KEYS))
-    large = members.groupBy("component").agg(blocks.alias("blocks")).where("blocks > 1").select("component")
-    parts = ws.write(members.join(large, "component", "left_semi").groupBy("component", "band").agg(blocks.alias("parts")), "parts")
+    blocks = F.greatest(F.ceil(F.col("n") / _BLOCK_SETS), F.ceil(F.col("keys") / _BLOCK_KEYS))
+    bands = ws.write(members.groupBy("component", "band").agg(F.count("*").alias("n"), F.sum(F.expr("length(shared) div 8")).alias("keys")), "bands")  # a few rows a component
+    large = bands.groupBy("component").agg(F.sum("n").alias("n"), F.sum("keys").alias("keys")).where(blocks > 1).select("component")
+    parts = ws.write(bands.join(large, "component", "left_semi").select("component", "band", blocks.alias("parts")), "parts")
     beside = lambda name, step: parts.select("component", (F.col("band") - step).alias("band"), F.col("parts").alias(name))
-    ways = parts.join(beside("below", -1), ["component", "band"], "left").join(beside("above", 1), ["component", "band"], "left")
-    # Few rows: the bands of components that fill more than a block.
-    dealt = members.join(F.broadcast(ways), ["component", "band"], "left").withColumn("me", F.expr("if(parts is null, 0L, shiftleft(band, 32) + pmod(xxhash64(cls), parts))"))
+    ways = ws.write(parts.join(beside("below", -1), ["component", "band"], "left").join(beside("above", 1), ["component", "band"], "left"), "ways")
+    n_classes = bands.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    dealt = attach(members, ways, ["component", "band"], bands.where(F.col("n") * HOT_KEYS > n_classes), "left").withColumn("me", F.expr("if(parts is null, 0L, shiftleft(band, 32) + pmod(xxhash64(cls), parts))"))
     meets = """if(parts is null, array(struct(0L as x, 0L as y)), concat(
         transform(sequence(0L, parts - 1), q -> struct(least(me, shiftleft(band, 32) + q) as x, greatest(me, shiftleft(band, 32) + q) as y)),
         if(below is null, array(), transform(sequence(0L, below - 1), q -> struct(shiftleft(band - 1, 32) + q as x, me as y))),
@@ -331,7 +331,7 @@ def link_counts(classes: DataFrame, labels: DataFrame, ws: Workspace) -> DataFra
     met = dealt.withColumn("met", F.explode(F.expr(meets))).select("component", "met.x", "met.y", "me", "cls", "size", "copies", "shared")
     grouped = met.repartition("component", "x", "y").sortWithinPartitions("component", "x", "y")
     counts = ws.write(grouped.mapInArrow(_tallied, "cls long, linked long").groupBy("cls").agg(F.sum("linked").alias("linked")), "link-counts")
-    ws.drop("members", "parts")
+    ws.drop("members", "parts", "bands", "ways")
     return counts
 
 

@@ -122,9 +122,9 @@ ORACLE_SQL: dict[str, str] = {
         s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
         n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
         links AS (
-          SELECT a, b, both = x.n AND both = y.n AS same
-          FROM (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY ALL) JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id
-          WHERE 100 * both >= 80 * (x.n + y.n - both)),
+          SELECT a, b, shared = x.n AND shared = y.n AS same
+          FROM (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY ALL) JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id
+          WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
         reach AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT b, c FROM reach JOIN links ON a = doc_id)
         SELECT doc_id, any_value(coalesce(n, 0)) AS n_shingles, min(c) AS component_id, least(doc_id, (SELECT min(b) FROM links WHERE a = doc_id AND same)) AS class_id,
                (SELECT count(*) FROM links WHERE a = doc_id) AS n_links
