@@ -1,21 +1,26 @@
 """Log-bilinear language model, trained with noise-contrastive estimation, and its scores.
 
 Words fall into groups: each of the most frequent is a group of its own, the others share classes by their last letters,
-and the end of a text is a group too. The model predicts the group of a token from the token before: a context vector
-times a matrix, times the target's vector, plus a bias. The word within a class is predicted by its smoothed count.
+and the end of a text is a group too. The number of groups follows the number of training tokens. The model predicts the
+group of a token from the two tokens before: each context vector times the matrix of its distance, their sum times the
+target's vector, plus a bias. The word within a class is predicted by its smoothed count.
 
-Training uses the counts of all pairs of neighbouring groups in all training texts, gathered over the whole corpus, so
-the contrastive objective is evaluated for every pair at once, with the noise taken in expectation instead of by sampling.
-One batched product of all contexts with all targets then gives normalised log-probabilities.
+Training uses the counts of all pairs of groups at distances one and two in all training texts, gathered over the whole
+corpus, so the contrastive objective is evaluated for every pair at once, with the noise taken in expectation instead of by
+sampling, and runs until it stops falling. The weight of the second distance maximises the likelihood of all training
+tokens. Batched products of all contexts with all targets give the scores, and the product of the two distances' tables
+gives the sum over all targets for every pair of contexts, so log-probabilities are normalised.
 
 Word counts are a distributed table. Its frequent head, of bounded size, is broadcast; occurrences of all other words meet
-their counts in a join on the word, where no key can be hot, as each such word is rarer than all of the head.
+their counts in a join on the word, where no key can be hot, as each such word is rarer than all of the head. Words over
+LONG bytes are counted under a digest of theirs, so that they can be in the head as well.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections import Counter
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -24,21 +29,26 @@ from pyspark.sql import functions as F
 
 from .common import Workspace, arrow_schema, in_fold, prepare, record
 
-#: Groups of single words, classes of other words, and the end of a text.
-SINGLE, CLASSES = 640, 128
-#: Words whose counts are broadcast, and the bytes of the longest among them: at most 16 MB.
-HEAD, HEAD_WORD_BYTES = 1 << 18, 64
+#: Words whose counts are broadcast: at most 16 MB, as longer words than LONG bytes stand under a digest.
+HEAD, LONG = 1 << 18, 64
 _COUNTED = 400_000
 _SCORED = "kind int, rid long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, word binary, times int"
 
 
+def group_sizes(n_tokens: int) -> tuple[int, int]:
+    """Groups of single words, and classes of other words: both follow the cube root of the training tokens, so that pairs of groups grow by its square and each still has more tokens to learn from."""
+    single = max(16, round(2.2 * n_tokens ** (1 / 3)))
+    return single, max(16, single // 5)
+
+
 def words(text: str) -> list[bytes]:
-    return text.encode().lower().split()
+    """The words of a text; long ones as a digest that no word can be, since it is not UTF-8."""
+    return [w if len(w) <= LONG else b"\xff" + blake2b(w, digest_size=24).digest() for w in text.encode().lower().split()]
 
 
-def class_of(word: bytes) -> int:
+def class_of(word: bytes, classes: int) -> int:
     """A class by the last three bytes before any punctuation."""
-    return zlib.crc32(word.rstrip(b".,;:!?")[-3:]) % CLASSES
+    return zlib.crc32(word.rstrip(b".,;:!?")[-3:]) % classes
 
 
 def _count(batches):
@@ -53,17 +63,17 @@ def _count(batches):
     yield record(schema, len(counts), word=[*counts], n=[*counts.values()])
 
 
-def _class_totals(single):
+def _class_totals(single, classes: int):
     schema = arrow_schema("class int, total long, distinct long")
 
     def add(batches):
-        total, distinct = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
+        total, distinct = np.zeros(classes, np.int64), np.zeros(classes, np.int64)
         for batch in batches:
             for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if word not in single.value:
-                    total[class_of(word)] += n
-                    distinct[class_of(word)] += 1
-        yield record(schema, CLASSES, **{"class": range(CLASSES), "total": total, "distinct": distinct})
+                    total[class_of(word, classes)] += n
+                    distinct[class_of(word, classes)] += 1
+        yield record(schema, classes, **{"class": range(classes), "total": total, "distinct": distinct})
 
     return add
 
@@ -71,40 +81,56 @@ def _class_totals(single):
 class Groups:
     """The group of each word; head maps words to counts, most frequent first."""
 
-    def __init__(self, head: dict[bytes, int]):
-        self.end = SINGLE + CLASSES
-        self.known = {w: i if i < SINGLE else SINGLE + class_of(w) for i, w in enumerate(head)}
+    def __init__(self, head: dict[bytes, int], single: int, classes: int):
+        self.single, self.classes, self.end = single, classes, single + classes
+        self.known = {w: i if i < single else single + class_of(w, classes) for i, w in enumerate(head)}
 
     def of(self, ws: list[bytes]) -> np.ndarray:
         get = self.known.get
         found = [get(w, -1) for w in ws]
-        return np.array([g if g >= 0 else SINGLE + class_of(w) for g, w in zip(found, ws)] + [self.end], np.int64)
+        return np.array([g if g >= 0 else self.single + class_of(w, self.classes) for g, w in zip(found, ws)] + [self.end], np.int64)
+
 
+def contexts(g: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The groups one and two tokens before each: before a text stands its end."""
+    return np.concatenate([[end], g[:-1]]), np.concatenate([[end, end], g[:-2]])[: len(g)]
 
-def _pairs(head):
-    """How often each group follows each: the counts of a partition."""
-    schema = arrow_schema("before int, after int, n long")
+
+def _pairs(head, single: int, classes: int):
+    """How often each group follows each at distances one and two: the counts of a partition."""
+    schema = arrow_schema("distance int, before int, after int, n long")
 
     def count(batches):
-        groups = Groups(head.value)
+        groups = Groups(head.value, single, classes)
         size = groups.end + 1
-        table = np.zeros(size * size, np.int64)
+        tables = np.zeros((2, size * size), np.int64)
         for batch in batches:
+            held, n = [], 0
             for text in batch.column(0).to_pylist():
                 g = groups.of(words(text))
-                before = np.concatenate([[groups.end], g[:-1]])
-                np.add.at(table, before * size + g, 1)
-        cells = np.flatnonzero(table)
-        yield record(schema, len(cells), before=(cells // size).astype(np.int32), after=(cells % size).astype(np.int32), n=table[cells])
+                held.append([before * size + g for before in contexts(g, groups.end)])
+                n += len(g)
+                if n > 1 << 20:
+                    for table, cells in zip(tables, zip(*held)):
+                        np.add.at(table, np.concatenate(cells), 1)
+                    held, n = [], 0
+            if held:
+                for table, cells in zip(tables, zip(*held)):
+                    np.add.at(table, np.concatenate(cells), 1)
+        for distance, table in enumerate(tables):
+            cells = np.flatnonzero(table)
+            yield record(schema, len(cells), distance=[distance] * len(cells), before=(cells // size).astype(np.int32), after=(cells % size).astype(np.int32), n=table[cells])
 
     return count
 
 
-def train(pairs: np.ndarray, width: int = 24, noise: float = 20.0, steps: int = 300, rate: float = 0.05, seed: int = 7) -> np.ndarray:
+def train(pairs: np.ndarray, width: int = 24, noise: float = 20.0, rate: float = 0.05, seed: int = 7, check: int = 25, least: float = 2e-5, most: int = 1000) -> np.ndarray:
     """log10 P(after | before) for all groups, from counts of pairs [before, after].
 
     The score of a pair is (r[before] @ c) @ q[after] + b[after]. Noise-contrastive estimation with `noise` noise tokens a
     data token, drawn from the groups' frequencies: the data should be told from the noise with score - log(noise * p).
+    Every `check` steps the loss is compared; when it has fallen by less than a share of `least` in a step on average, the
+    rate is halved, and after the fifth time training ends (or after `most` steps).
     """
     size, rng = len(pairs), np.random.default_rng(seed)
     unigram = (pairs.sum(axis=0) + 0.5) / (pairs.sum() + 0.5 * size)
@@ -117,34 +143,61 @@ def train(pairs: np.ndarray, width: int = 24, noise: float = 20.0, steps: int =
     weight = (weight / weight.sum()).astype(single)
     params, first, second = [r, c, q, b], [0.0] * 4, [0.0] * 4
     offset, noisy = np.log(noise * unigram).astype(single), (noise * unigram).astype(single)
-    for step in range(1, steps + 1):
+    before, halved = np.inf, 0
+    for step in range(1, most + 1):
         h = r @ c
-        is_data = 1 / (1 + np.exp(-np.clip(h @ q.T + b - offset, -40, 40)))
+        margin = np.clip(h @ q.T + b - offset, -40, 40)
+        is_data = 1 / (1 + np.exp(-margin))
+        if step % check == 0:
+            loss = float((weight * (np.log1p(np.exp(-margin)) * data + np.log1p(np.exp(margin)) * noisy)).sum())
+            if before - loss < least * check * loss:
+                halved, rate = halved + 1, rate / 2
+                if halved > 4:
+                    break
+            before = loss
         d = weight * (data - (data + noisy) * is_data)  # gradient by the score
         dh = d @ q
         grads = [dh @ c.T, r.T @ dh, d.T @ h, d.sum(axis=0)]
         for i, g in enumerate(grads):
             g = g / (np.abs(g).mean() + 1e-12)
             first[i], second[i] = 0.9 * first[i] + 0.1 * g, 0.99 * second[i] + 0.01 * g * g
-            slow = rate * min(1.0, 2 * (1 - step / (steps + 1)))
-            params[i] += (slow * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.99**step)) + 1e-8)).astype(single)
+            params[i] += (rate * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.99**step)) + 1e-8)).astype(single)
     logits = (r @ c).astype(float) @ q.T.astype(float) + b
     logits -= logits.max(axis=1, keepdims=True)
     return (logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))) / np.log(10)
 
 
-def _score(head, model, n_all: float, v_all: float, ends: int):
+def joined(near: np.ndarray, far: np.ndarray, pairs: np.ndarray, far_pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The score tables of the two distances [before, after] and the log10 of their sums over all targets [one before, two before].
+
+    A token's log10 probability is near[one before, it] + far[two before, it] - total[one before, two before]. The far table
+    counts as far as it differs from the unigram, with the weight that makes the training tokens likeliest.
+    """
+    counts = far_pairs.sum(axis=0) + 0.5
+    excess = far - np.log10(counts / counts.sum())
+    best = None
+    for weight in (0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.8, 1.0):
+        more = weight * excess
+        high = more.max(axis=1)
+        total = np.log10(10**near @ (10 ** (more - high[:, None])).T) + high
+        likelihood = (pairs * near).sum() + (far_pairs * more).sum() - (pairs.T * total).sum()
+        if best is None or likelihood > best[0]:
+            best = likelihood, more, total
+    return near.astype(np.float32), best[1].astype(np.float32), best[2].astype(np.float32)
+
+
+def _score(head, model, single: int, classes: int, n_all: float, v_all: float, ends: int):
     """Scores of all but the rare words of each text, and the rare words with their numbers."""
     schema = arrow_schema(_SCORED)
 
     def score(batches):
         from pyspark import TaskContext
 
-        rid, groups = TaskContext.get().partitionId() << 32, Groups(head.value)
-        table, class_floor = model.value
+        rid, groups = TaskContext.get().partitionId() << 32, Groups(head.value, single, classes)
+        near, far, total, class_floor = model.value
         counts, index = np.log10(np.array([*head.value.values(), ends], float) + 0.1), {w: i for i, w in enumerate(head.value)}
         group_of = np.array([*groups.known.values(), groups.end], np.int64)
-        within = np.where((group_of >= SINGLE) & (group_of < groups.end), counts - class_floor[np.clip(group_of - SINGLE, 0, CLASSES - 1)], 0.0)
+        within = np.where((group_of >= single) & (group_of < groups.end), counts - class_floor[np.clip(group_of - single, 0, classes - 1)], 0.0)
         floor, rare_of = np.log10(n_all + 0.1 * (v_all + 1)), len(head.value)
         seen = np.array([n > 0 for n in head.value.values()] + [ends > 0])
         for batch in batches:
@@ -155,9 +208,10 @@ def _score(head, model, n_all: float, v_all: float, ends: int):
                 others = Counter(ws[i] for i in np.flatnonzero(at < 0))
                 g = group_of[at]
                 for i in np.flatnonzero(at < 0):
-                    g[i] = SINGLE + class_of(ws[i])
+                    g[i] = single + class_of(ws[i], classes)
                 known = at >= 0
-                lm = table[np.concatenate([[groups.end], g[:-1]]), g].sum() + within[at[known]].sum() - class_floor[g[~known] - SINGLE].sum()
+                one, two = contexts(g, groups.end)
+                lm = (near[one, g] + far[two, g] - total[one, two]).sum(dtype=float) + within[at[known]].sum() - class_floor[g[~known] - single].sum()
                 docs.append((rid, doc_id, held_out, len(g), int(seen[at[known]].sum()), float(counts[at[known]].sum() - floor * len(g)), float(lm)))
                 rare += [(rid, w, n) for w, n in others.items()]
                 rid += 1
@@ -176,7 +230,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words (A-Z lower-cased, between ASCII white space) and one end. base_score is the smoothed unigram log10 probability,
     score the model's. Null texts are empty: one token, the end. A null id counts as the empty text for the fold. Equal
     counts are ordered by the word. Repeated rows are learned from and scored each for itself. If nothing can be learned,
-    every token is unknown and the model knows no order. Other columns are not read.
+    every token is unknown and the model knows no order. A very long text is held whole. An empty table gives no rows. Other
+    columns are not read.
     """
     spark = prepare(docs.sparkSession)
     ws = Workspace(spark, "lm")
@@ -187,22 +242,24 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     n_all, v_all = n + ends, v + (ends > 0)
     # The head is a range of frequency classes, so that no task has to send more than its share of at most HEAD words.
-    short = counts.where(F.length("word") <= HEAD_WORD_BYTES).withColumn("level", F.floor(64 * F.log2("n")))
+    single, classes = group_sizes(int(n_all))
+    short = counts.withColumn("level", F.floor(64 * F.log2("n")))
     levels = short.groupBy("level").count().toPandas().sort_values("level", ascending=False)  # at most 64 x 63 rows
     fits = levels[levels["count"].cumsum() <= HEAD]["level"]
     top = short.where(F.col("level") >= int(fits.min())).select("word", "n").toPandas() if len(fits) else pd.DataFrame({"word": [], "n": []})
     top["word"] = top["word"].map(bytes)
     top = top.sort_values(["n", "word"], ascending=[False, True])
     head = spark.sparkContext.broadcast({w: int(c) for w, c in zip(top["word"], top["n"])})
-    single = spark.sparkContext.broadcast(set(top["word"][:SINGLE]))
-    totals = counts.mapInArrow(_class_totals(single), "class int, total long, distinct long").groupBy("class").agg(F.sum("total").alias("total"), F.sum("distinct").alias("distinct")).toPandas().set_index("class").reindex(range(CLASSES), fill_value=0)
-    cells = learned.mapInArrow(_pairs(head), "before int, after int, n long").groupBy("before", "after").agg(F.sum("n").alias("n")).toPandas()  # at most (SINGLE + CLASSES + 1)^2 rows
-    pairs = np.zeros((SINGLE + CLASSES + 1,) * 2)
-    pairs[cells["before"].to_numpy(int), cells["after"].to_numpy(int)] = cells["n"].to_numpy(float)
+    alone = spark.sparkContext.broadcast(set(top["word"][:single]))
+    totals = counts.mapInArrow(_class_totals(alone, classes), "class int, total long, distinct long").groupBy("class").agg(F.sum("total").alias("total"), F.sum("distinct").alias("distinct")).toPandas().set_index("class").reindex(range(classes), fill_value=0)
+    gathered = learned.mapInArrow(_pairs(head, single, classes), "distance int, before int, after int, n long").groupBy("distance", "before", "after").agg(F.sum("n").alias("n"))
+    cells, size = gathered.toPandas(), single + classes + 1  # at most 2 size^2 rows
+    pairs = np.zeros((2, size, size))
+    pairs[cells["distance"].to_numpy(int), cells["before"].to_numpy(int), cells["after"].to_numpy(int)] = cells["n"].to_numpy(float)
     class_floor = np.log10(totals["total"].to_numpy(float) + 0.1 * (totals["distinct"].to_numpy(float) + 1))
-    model = spark.sparkContext.broadcast((train(pairs), class_floor))
+    model = spark.sparkContext.broadcast((*joined(train(pairs[0]), train(pairs[1]), *pairs), class_floor))
 
-    scored = ws.write(source.mapInArrow(_score(head, model, float(n_all), float(v_all), ends), _SCORED), "scored", "kind")
+    scored = ws.write(source.mapInArrow(_score(head, model, single, classes, float(n_all), float(v_all), ends), _SCORED), "scored", "kind")
     ws.drop()
     rare = scored.where("kind = 1").select("rid", "word", "times")
     tail = rare.join(counts, "word", "left").groupBy("rid").agg(F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(0.1))).alias("more"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known"))

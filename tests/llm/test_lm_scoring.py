@@ -1,8 +1,10 @@
 import math
+import random
 import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from corvane.llm import lm_scoring as L
 
@@ -20,12 +22,80 @@ def test_base_score_is_the_smoothed_unigram(make, corpus):
         assert math.isfinite(r.score) and r.score <= 0
 
 
-def test_rare_words_meet_their_counts_in_the_join(make, corpus, monkeypatch):
-    whole = {r.doc_id: r for r in L.score_documents(make(corpus)).collect()}
-    monkeypatch.setattr(L, "HEAD", 700)  # nearly all words stay single or in the head; then a head that leaves many out
-    some = {r.doc_id: r for r in L.score_documents(make([(i, t if t is None else t + f" rare{i % 40}") for i, t in corpus])).collect()}
-    assert len(whole) == len(some) == len(corpus)
-    assert all(r.n_known <= r.n_tokens for r in some.values())
+def plain(rows, head_size):
+    """(n_known, base_score, score) of every row, from plain dictionaries and the trained tables."""
+    tokens = [(t or "").encode().lower().split() for _, t in rows]
+    learned = [ws for (i, _), ws in zip(rows, tokens) if zlib.crc32(("" if i is None else str(i)).encode()) % 10]
+    c = Counter(w for ws in learned for w in ws)
+    n, v = sum(c.values()) + len(learned), len(c) + (len(learned) > 0)
+    single, classes = L.group_sizes(n)
+    key = lambda w: L.words(w.decode())[0]
+    levels = Counter(math.floor(64 * math.log2(k)) for k in c.values())
+    cut, held = math.inf, 0
+    for level in sorted(levels, reverse=True):
+        held += levels[level]
+        if held > head_size:
+            break
+        cut = level
+    head = sorted((w for w in c if math.floor(64 * math.log2(c[w])) >= cut), key=lambda w: (-c[w], key(w)))
+    group = {w: i for i, w in enumerate(head[:single])}
+    of = lambda w: group.get(w, single + L.class_of(key(w), classes))
+    end = single + classes
+    pairs = np.zeros((2, end + 1, end + 1))
+    path = lambda ws: [end, end, *map(of, ws), end]
+    for ws in learned:
+        g = path(ws)
+        for two, one, it in zip(g, g[1:], g[2:]):
+            pairs[0, one, it] += 1
+            pairs[1, two, it] += 1
+    near, far, total = L.joined(L.train(pairs[0]), L.train(pairs[1]), *pairs)
+    assert np.allclose((10.0 ** (near[:, None, :] + far[None, :, :] - total[:, :, None])).sum(axis=2), 1, atol=1e-4)
+    in_class, kinds = Counter(), Counter()
+    for w in c:
+        if w not in group:
+            in_class[of(w)] += c[w]
+            kinds[of(w)] += 1
+    out = []
+    for ws in tokens:
+        g = path(ws)
+        score = sum(float(near[one, it] + far[two, it] - total[one, two]) for two, one, it in zip(g, g[1:], g[2:]))
+        score += sum(math.log10((c[w] + 0.1) / (in_class[of(w)] + 0.1 * (kinds[of(w)] + 1))) for w in ws if w not in group)
+        counts = [*(c[w] for w in ws), len(learned)]
+        out.append((sum(x > 0 for x in counts), sum(math.log10((x + 0.1) / (n + 0.1 * (v + 1))) for x in counts), score))
+    return out
+
+
+@pytest.mark.parametrize("head", [1 << 18, 60, 8, 0])
+def test_scores_against_plain_dictionaries(make, corpus, monkeypatch, head):
+    """With small heads most words, long ones too, meet their counts in the join."""
+    monkeypatch.setattr(L, "HEAD", head)
+    long = "y" * 70
+    rows = [(i, t if t is None else f"{t} rare{i % 40} {long if i % 3 == 0 else ''} {'z' * (60 + i % 9)}") for i, t in corpus]
+    got = {r.doc_id: r for r in L.score_documents(make(rows)).collect()}
+    for (i, _), (known, base, score) in zip(rows, plain(rows, head)):
+        assert got[i].n_known == known and math.isclose(got[i].base_score, base, rel_tol=1e-9) and math.isclose(got[i].score, score, rel_tol=1e-4, abs_tol=1e-3)
+
+
+def test_a_frequent_long_word_is_in_the_head(make):
+    line = "-" * 70
+    rows = [(i, f"{line} word{i}") for i in range(60)]
+    assert len(L.words(line)[0]) < L.LONG and L.words(line) != L.words(line + "-") and L.words("=" * 64) == [b"=" * 64]
+    out = L.score_documents(make(rows)).collect()
+    assert all(r.n_known >= 2 for r in out)
+
+
+def test_groups_grow_with_the_tokens():
+    sizes = [L.group_sizes(n) for n in (0, 10**4, 10**6, 10**8, 10**10)]
+    assert sizes == sorted(set(sizes)) and sizes[0] == (16, 16)
+
+
+def test_two_tokens_tell_more_than_one(make):
+    """Texts in which the word before last decides, as the last one does not."""
+    rng = random.Random(1)
+    rows = [(i, " ".join(w for _ in range(40) for x in (rng.randrange(6),) for w in (f"a{x}", "mid", f"b{x}"))) for i in range(200)]
+    out = L.score_documents(make(rows)).where("held_out").collect()
+    bits = -sum(r.score for r in out) / sum(r.n_tokens for r in out) * math.log2(10)
+    assert bits < 1.35  # log2(6) / 3 = 0.86 if b follows from a, 1.72 if it does not
 
 
 def test_training_learns_order_and_normalises():
