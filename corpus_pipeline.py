@@ -5,6 +5,9 @@ exact       of equal texts, the one with the largest id stays
 near        of each component of near duplicates, the document with the smallest id stays
 benchmark   documents with passages of the benchmark go
 tokens      the rest is encoded, and decoded again as a check
+
+Stages tell rows apart by numbers of their own, so repeated rows and rows without an id are documents like any other. Tables
+may be empty, and have other columns of any name.
 """
 
 from __future__ import annotations
@@ -17,22 +20,27 @@ from corvane.llm.queries import table, tokenizer_path
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text scores under 0.5 by a model of the labels; rows of any id, or none, are judged alike."""
     return toxicity.drop_toxic(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of rows with equal texts (null is empty) the one with the largest id stays, rows without an id last."""
     return exact_dedup.drop_copies(docs, keep="largest")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near duplicates the row with the smallest id stays, rows without an id last; blank texts all stay."""
     return jaccard_join.keep_one_of_each(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows in whose text no window of the benchmark occurs."""
     return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, with ids, n_tokens and round_trip; columns of these names give way."""
     return bpe.with_tokens(docs, tokenizer_path())
 
 

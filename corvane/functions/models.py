@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 from typing import Protocol
@@ -76,11 +77,59 @@ class OverlapReranker:
         return out
 
 
-class FirstOptionGenerator:
-    """Answers with the first option letter in the prompt's last line that has one; a stand-in for a model."""
+def rank(reranker: Reranker, query: str, texts: Sequence[str], k: int | None = None, batch: int = 32) -> list[tuple[int, float]]:
+    """(place in texts, score), best first, of the k best; blank texts are skipped, but places count them. Texts go in batches."""
+    places = [i for i, t in enumerate(texts) if t and t.strip()]
+    scores: list[float] = []
+    for low in range(0, len(places), batch):
+        part = [texts[i] for i in places[low : low + batch]]
+        scores += reranker.scores([query] * len(part), part)
+    return sorted(zip(places, map(float, scores)), key=lambda x: -x[1])[:k]
+
+
+OPTION = re.compile(r"^([A-E]): ?(.*)$", re.MULTILINE)
+
+
+class LongestOptionGenerator:
+    """Answers with the letter of the longest option in the prompt, the first of equals; A without options. A stand-in for a model."""
+
+    def answer(self, prompts: Sequence[str]) -> list[str]:
+        found = [OPTION.findall(p or "") for p in prompts]
+        return [max(options, key=lambda o: len(o[1]))[0] if options else "A" for options in found]
+
+
+class LetterGenerator:
+    """Answers by a model's values for the letters: of a row of values per prompt, only those of the letters count, others are masked."""
+
+    def __init__(self, values: Callable[[Sequence[str]], np.ndarray], letters: dict[str, int]):
+        self.values, self.letters = values, letters
 
     def answer(self, prompts: Sequence[str]) -> list[str]:
-        return [next((c for line in reversed((p or "").splitlines()) for c in line if c in "ABCDE"), "A") for p in prompts]
+        names, places = [*self.letters], [*self.letters.values()]
+        return [names[i] for i in np.asarray(self.values(prompts))[:, places].argmax(axis=1)]
+
+
+class BatchEncoder:
+    """An encoder from a function over token ids: texts in batches, with a prefix, cut to a length, normalised if asked for."""
+
+    def __init__(self, tokenizer: Tokenizer, vectors: Callable[[list[list[int]]], np.ndarray], dimensions: int, title: str = "model", prefix: str = "", longest: int = 512, batch_size: int = 32, normalize: bool = True):
+        self.tokenizer, self.vectors, self.dimensions, self.title = tokenizer, vectors, dimensions, title
+        self.prefix, self.longest, self.batch_size, self.normalize = prefix, longest, batch_size, normalize
+
+    def encode(self, texts: Sequence[str]) -> np.ndarray:
+        ids = [self.tokenizer.encode(self.prefix + (t or ""))[: self.longest] for t in texts]
+        out = np.zeros((len(ids), self.dimensions), np.float32)
+        by_length = sorted(range(len(ids)), key=lambda i: len(ids[i]))  # so that a batch needs little padding
+        for low in range(0, len(ids), self.batch_size):
+            part = by_length[low : low + self.batch_size]
+            out[part] = self.vectors([ids[i] for i in part])
+        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12) if self.normalize else out
+
+    def dim(self) -> int:
+        return self.dimensions
+
+    def name(self) -> str:
+        return self.title
 
 
 def encode_column(make: Callable[[], Encoder], text: Column) -> Column:

@@ -1,7 +1,8 @@
-"""Text functions as column expressions; only Unicode normalisation and HTML parsing go through an Arrow UDF."""
+"""Text functions as column expressions; Unicode repair, HTML parsing and sentence splitting go through an Arrow UDF."""
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Callable
 from html.parser import HTMLParser
@@ -21,9 +22,11 @@ HTML_MARKS = ("<table", "<div", "<p")
 TITLE_GARBAGE = (r"^file[_-]\d+", r"^doc[_-]\d+", r"^id[_-]\d+$", r"^img[_-]\d+$", r"^untitled\s*\d*$", r"^\d{4}-\d{2}-\d{2}$", r"^\d+$", r"^[\W_]+$")
 TITLE_SUFFIX = r"(?i)\.(pdf|docx|txt|md|json|html)$"
 STOPWORDS = (
-    "the be to of and a in that have i it for not on with he as you do at "
-    "this but his by from they we say her she or an will my one all would there their"
-).split()
+    "the", "be", "to", "of", "and", "a", "in", "that", "have", "i", "it", "for", "not", "on", "with", "he", "as", "you", "do", "at",
+    "this", "but", "his", "by", "from", "they", "we", "say", "her", "she", "or", "an", "will", "my", "one", "all", "would", "there", "their",
+)
+#: Characters that UTF-8 sequences begin with when they were read as Windows-1252 or Latin-1.
+MOJIBAKE = re.compile("[\u00c2-\u00f4][\u0080-\u00bf\u0152\u0153\u0160\u0161\u0178\u017d\u017e\u0192\u02c6\u02dc\u2013-\u2122]")
 
 
 def strip(c: Column) -> Column:
@@ -108,37 +111,96 @@ def _over(f: Callable[[str], str], c: Column) -> Column:
     return F.pandas_udf(each, "string")(c)
 
 
+def _nfkc(text: str) -> str:
+    return text if text.isascii() else unicodedata.normalize("NFKC", text)
+
+
 def normalize_unicode(c: Column) -> Column:
     """NFKC."""
-    return _over(lambda t: t if t.isascii() else unicodedata.normalize("NFKC", t), c)
+    return _over(_nfkc, c)
+
+
+def _has_html(text: str) -> bool:
+    low = text.lower()
+    return any(mark in low for mark in HTML_MARKS)
+
+
+def _plain(text: str) -> str:
+    return _html_text(re.sub(BLOCK_OPEN, "\n", re.sub(BLOCK_CLOSE, "\n", text))) if _has_html(text) else text
 
 
 def html_to_text(c: Column) -> Column:
     """The text of HTML, block ends as line ends; other text stays. Script and style hold no text."""
-    return F.when(looks_like_html(c), _over(_html_text, F.when(looks_like_html(c), break_blocks(c)))).otherwise(c)
+    return _over(_plain, c)
+
+
+def repaired(text: str) -> str:
+    """Words in which UTF-8 was read as Windows-1252 or Latin-1, once or twice, read rightly.
+
+    A word changes only if it holds a sign of that and all of it can be turned back; all other text stays as it is.
+    """
+    if text.isascii() or not MOJIBAKE.search(text):
+        return text
+
+    def right(m: re.Match) -> str:
+        word = m[0]
+        for _ in range(2):
+            if not MOJIBAKE.search(word):
+                break
+            for misread in ("cp1252", "latin-1"):
+                try:
+                    word = word.encode(misread).decode("utf-8")
+                    break
+                except UnicodeError:
+                    continue
+            else:
+                break
+        return word
+
+    return re.sub(r"\S+", right, text)
 
 
 def repair_mojibake(c: Column) -> Column:
-    """Repair of wrongly decoded text through ftfy where it is installed; else unchanged."""
+    """Repair of wrongly decoded text: by ftfy where it is installed, else of words in which UTF-8 was read as a Western code page."""
+    return _over(_repair(), c)
+
+
+def _repair() -> Callable[[str], str]:
     try:
         import ftfy
     except ImportError:
-        return c
-    return _over(ftfy.fix_text, c)
+        return repaired
+    return ftfy.fix_text
+
+
+def _python_steps(c: Column) -> Column:
+    """Repair, NFKC and HTML in one Arrow UDF."""
+    fix = _repair()
+    return _over(lambda t: _plain(_nfkc(fix(t))), c)
+
+
+def _once(c: Column, then: Callable[[Column], Column]) -> Column:
+    """then(c) with c evaluated once, however often `then` names it."""
+    return F.get(F.transform(F.array(c), then), F.lit(0))
 
 
 def is_clean_enough(c: Column) -> Column:
     """At least 15 characters, and a stop word among the first 100 words if there are more than 50."""
     ws = F.slice(F.filter(F.split(F.lower(c), r"(?U)\s+"), lambda w: w != ""), 1, 100)
-    stop = F.exists(ws, lambda w: w.isin(STOPWORDS))
+    stop = F.exists(ws, lambda w: w.isin(*STOPWORDS))
     return (F.length(c) >= 15) & ~((F.size(ws) > 50) & ~stop)
 
 
 def full_text_cleaning(c: Column, compat: bool = False, python_steps: bool = True) -> Column:
     """The cleaned text, or null for blank or poor text. python_steps: mojibake repair, NFKC and HTML, which need a UDF."""
-    t = html_to_text(normalize_unicode(repair_mojibake(c))) if python_steps else c
-    t = strip(clean_whitespace(keep_valid_unicode(remove_control_chars(remove_urls(t)), compat)))
-    return F.when((strip(c) != "") & is_clean_enough(t), t)
+    steps = lambda t: strip(clean_whitespace(keep_valid_unicode(remove_control_chars(remove_urls(t)), compat)))
+    cleaned = _once(_python_steps(c) if python_steps else c, steps)
+    return F.when(strip(c) != "", _once(cleaned, lambda t: F.when(is_clean_enough(t), t)))
+
+
+def cleaned_at_least(c: Column, least: int, **options) -> Column:
+    """full_text_cleaning as an array: the text if it has `least` characters, else nothing. To be exploded, so that each text is cleaned once, filter included."""
+    return F.filter(F.array(full_text_cleaning(c, **options)), lambda t: F.length(t) >= least)
 
 
 def count_tokens(c: Column) -> Column:
@@ -172,24 +234,23 @@ def title_words(c: Column, most: int = 16) -> Column:
     return F.when(is_good_title(c) & (F.size(found) > 0), found)
 
 
+def split_sentences(text: str, breaks: str = r".!?\n。！？;；\r") -> list[tuple[str, int, int]]:
+    """(stripped text, start, end) of each sentence with its end; runs of breaks without one before them are passed over."""
+    out = [(m[0].strip(), m.start(), m.end()) for m in re.finditer(f"[^{breaks}]+(?:[{breaks}]+\\s*)?|[{breaks}]+\\s*", text) if not re.match(f"[{breaks}]", m[0]) and m[0].strip()]
+    return out or ([(text.strip(), 0, len(text))] if text.strip() else [])
+
+
 def sentences(c: Column, breaks: str = r".!?\n。！？;；\r") -> Column:
     """array<struct<text, start, end>>: sentences with their ends glued on, in code points of the text.
 
     A run of break characters with the white space after it ends a sentence; such runs without a sentence before them are
-    passed over, offsets going on. Text without sentences is one.
+    passed over, offsets going on. Text without sentences is one. Linear in the text, over Arrow batches.
     """
-    pieces = F.regexp_extract_all(c, F.lit(f"(?U)[^{breaks}]+[{breaks}]*\\s*|[{breaks}]+\\s*"), F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<text:string,start:int,end:int>>").alias("out"))
-
-    def step(state: Column, piece: Column) -> Column:
-        after = state["at"] + F.length(piece)
-        found = F.struct(strip(piece).alias("text"), state["at"].alias("start"), after.alias("end"))
-        keep = ~piece.rlike(f"^[{breaks}]") & (strip(piece) != "")
-        return F.struct(after.alias("at"), F.when(keep, F.concat(state["out"], F.array(found))).otherwise(state["out"]).alias("out"))
-
-    out = F.aggregate(pieces, start, step)["out"]
-    whole = F.struct(strip(c).alias("text"), F.lit(0).alias("start"), F.length(c).alias("end"))
-    return F.when((F.size(out) == 0) & (strip(c) != ""), F.array(whole)).otherwise(out)
+
+    def each(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else [{"text": s, "start": a, "end": b} for s, a, b in split_sentences(t, breaks)])
+
+    return F.pandas_udf(each, "array<struct<text:string,start:int,end:int>>")(c)
 
 
 def first_break(text: Column, start: Column, end: Column) -> Column:

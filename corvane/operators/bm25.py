@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K1, B = 1.5, 0.75
@@ -29,23 +29,42 @@ class Bm25Index:
     metadata: DataFrame
 
 
+def summary(lengths: DataFrame, k1: float = K1, b: float = B) -> DataFrame:
+    """One row: average length, parameters, number of texts."""
+    return lengths.agg(F.coalesce(F.avg("chunk_len"), F.lit(0.0)).alias("avgdl"), F.lit(k1).alias("k1"), F.lit(b).alias("b"), F.count("*").alias("num_docs"))
+
+
+def weights(postings: DataFrame, metadata: DataFrame) -> DataFrame:
+    """(token, df, idf): document frequency follows from the postings."""
+    df = postings.groupBy("token").agg(F.count("*").alias("df"))
+    idf = F.log((F.col("num_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1).alias("idf")
+    return df.join(F.broadcast(metadata.select("num_docs")), F.lit(True)).select("token", "df", idf)  # one row
+
+
 def build_index(tokenized: DataFrame, k1: float = K1, b: float = B) -> Bm25Index:
-    """Partial counts per (chunk, token) come before the shuffle; document frequency follows from the postings."""
+    """Partial counts per (chunk, token) come before the shuffle. Of unstored texts, each table used tokenises them again: write_index does so once."""
     lengths = tokenized.select("chunk_id", F.size("tokens").cast("long").alias("chunk_len"))
-    metadata = lengths.agg(F.coalesce(F.avg("chunk_len"), F.lit(0.0)).alias("avgdl"), F.lit(k1).alias("k1"), F.lit(b).alias("b"), F.count("*").alias("num_docs"))
+    metadata = summary(lengths, k1, b)
     postings = tokenized.select("chunk_id", F.explode("tokens").alias("token")).groupBy("token", "chunk_id").agg(F.count("*").alias("tf"))
-    n = metadata.select("num_docs")
-    df = postings.groupBy("token").agg(F.count("*").alias("df"))
-    idf = df.join(F.broadcast(n), F.lit(True)).select("token", "df", F.log((F.col("num_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1).alias("idf"))  # one row
-    return Bm25Index(lengths, postings, idf, metadata)
+    return Bm25Index(lengths, postings, weights(postings, metadata), metadata)
 
 
-def write_index(index: Bm25Index, path: str, buckets: int = 32) -> None:
-    """Tables below path; postings are dealt and sorted by token, so that a lookup reads few row groups."""
+def write_index(tokenized: DataFrame, path: str, k1: float = K1, b: float = B) -> Bm25Index:
+    """The index of tokenized texts as tables below path, each made from stored ones, so that no text is tokenised twice; returned as stored.
+
+    Postings are dealt by ranges of (token, chunk_id) and sorted, so a lookup reads few row groups and a frequent token
+    spreads over as many files as it fills.
+    """
+    spark, n = tokenized.sparkSession, int(tokenized.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tokenized.write.mode("overwrite").parquet(f"{path}/tokenized_chunks")
+    index = build_index(spark.read.parquet(f"{path}/tokenized_chunks"), k1, b)
     index.lengths.write.mode("overwrite").parquet(f"{path}/chunk_len")
-    index.postings.repartition(buckets, "token").sortWithinPartitions("token").write.mode("overwrite").parquet(f"{path}/inverted_index")
-    index.idf.repartition(buckets, "token").sortWithinPartitions("token").write.mode("overwrite").parquet(f"{path}/idf_table")
-    index.metadata.coalesce(1).write.mode("overwrite").parquet(f"{path}/metadata")
+    index.postings.repartitionByRange(n, "token", "chunk_id").sortWithinPartitions("token", "chunk_id").write.mode("overwrite").parquet(f"{path}/inverted_index")
+    lengths, postings = spark.read.parquet(f"{path}/chunk_len"), spark.read.parquet(f"{path}/inverted_index")
+    metadata = summary(lengths, k1, b)
+    metadata.coalesce(1).write.mode("overwrite").parquet(f"{path}/metadata")
+    weights(postings, spark.read.parquet(f"{path}/metadata")).repartitionByRange(n, "token").sortWithinPartitions("token").write.mode("overwrite").parquet(f"{path}/idf_table")
+    return read_index(spark, path)
 
 
 def read_index(spark, path: str) -> Bm25Index:
@@ -63,9 +82,11 @@ def normalize_postings(flat: DataFrame) -> DataFrame:
     return flat.select("token", F.explode(F.split("doc_indices", ",")).alias("chunk_id"))
 
 
-def flatten_postings(postings: DataFrame) -> DataFrame:
-    """(token, comma-joined ids in order), the stored form of older indexes."""
-    return postings.groupBy("token").agg(F.array_join(F.array_sort(F.collect_list(F.col("chunk_id").cast("string"))), ",").alias("doc_indices"))
+def flatten_postings(postings: DataFrame, block: int = 100_000) -> DataFrame:
+    """(token, block, comma-joined ids in order), the stored form of older indexes. A token's list is cut by hash into blocks of about `block` ids, so none is unbounded."""
+    blocks = postings.groupBy("token").agg(F.ceil(F.count("*") / block).alias("__blocks")).where("__blocks > 1")
+    dealt = postings.join(blocks, "token", "left").withColumn("block", F.coalesce(F.expr("pmod(xxhash64(chunk_id), __blocks)"), F.lit(0)).cast("int"))
+    return dealt.groupBy("token", "block").agg(F.array_join(F.array_sort(F.collect_list(F.col("chunk_id").cast("string"))), ",").alias("doc_indices"))
 
 
 def scores(index: Bm25Index, queries: DataFrame, distinct: bool = True, candidates: DataFrame | None = None) -> DataFrame:
@@ -87,11 +108,15 @@ def scores(index: Bm25Index, queries: DataFrame, distinct: bool = True, candidat
     return rows.groupBy("query_id", "chunk_id").agg(F.sum(part if distinct else part * F.col("qtf")).alias("score"))
 
 
+def topk(index: Bm25Index, queries: DataFrame, k: int, distinct: bool = False) -> DataFrame:
+    """(query_id, chunk_id, bm25_score, bm25_rank): the k best of the whole index, equal ones by key."""
+    w = Window.partitionBy("query_id").orderBy(F.desc(F.round("bm25_score", 9)), "chunk_id")
+    return scores(index, queries, distinct).withColumnRenamed("score", "bm25_score").withColumn("bm25_rank", F.row_number().over(w)).where(F.col("bm25_rank") <= k)
+
+
 def rerank(index: Bm25Index, queries: DataFrame, candidates: DataFrame) -> DataFrame:
     """candidates (query_id, chunk_id, dense_rank) with bm25_score and bm25_rank; those without a common token score 0 and keep their order."""
     found = scores(index, queries, distinct=False, candidates=candidates)
     out = candidates.join(found.withColumnRenamed("score", "bm25_score"), ["query_id", "chunk_id"], "left").fillna(0.0, ["bm25_score"])
-    from pyspark.sql import Window
-
     w = Window.partitionBy("query_id").orderBy(F.desc(F.round("bm25_score", 9)), "dense_rank")
     return out.withColumn("bm25_rank", F.row_number().over(w))

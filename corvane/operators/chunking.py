@@ -6,7 +6,6 @@ it runs over Arrow batches, one document at a time, without a shuffle. All that
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
@@ -14,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.text import split_sentences
 from .ordering import number_rows
 
 #: Characters that end sentences, and the margins of budgets.
@@ -30,12 +30,6 @@ def quarter(text: str) -> int:
     return len(text) // 4
 
 
-def split_sentences(text: str, breaks: str = PARENT_BREAKS) -> list[tuple[str, int, int]]:
-    """(stripped text, start, end) of each sentence with its end; runs of breaks without one before them are passed over."""
-    out = [(m[0].strip(), m.start(), m.end()) for m in re.finditer(f"[^{breaks}]+(?:[{breaks}]+\\s*)?|[{breaks}]+\\s*", text) if not re.match(f"[{breaks}]", m[0]) and m[0].strip()]
-    return out or ([(text.strip(), 0, len(text))] if text.strip() else [])
-
-
 Splitter = Callable[[str], list[tuple[str, int, int]]]
 
 
@@ -73,11 +67,22 @@ def _snap(point: int, sentences: list[tuple[str, int, int]], to_start: bool) ->
     return point
 
 
-def child_chunks(docs: DataFrame, child_size: int = 128, parent_size: int = 512, least_chars: int = 50, count: Callable[[str], int] = quarter, split: Splitter | None = None) -> DataFrame:
+def _resized(text: str, start: int, end: int, target: int) -> tuple[int, int]:
+    """The parent range of a child: the breaks nearest its middle, at most 2 x target characters away, but around the child; over 1.2 x target tokens, within it."""
+    middle, half = (start + end) // 2, 2 * target
+    low, high = max(0, middle - half), min(len(text), middle + half)
+    last = max((text.rfind(b, low, middle) for b in TOKEN_BREAKS), default=-1)
+    found = [at for at in (text.find(b, middle, high) for b in TOKEN_BREAKS) if at >= 0]
+    first, after = min(last + 1 if last >= 0 else low, start), max(min(found) + 1 if found else high, end)
+    return (max(start, middle - half), min(end, middle + half)) if (after - first) // 4 > target * 1.2 else (first, after)
+
+
+def child_chunks(docs: DataFrame, child_size: int = 128, parent_size: int = 512, least_chars: int = 50, count: Callable[[str], int] = quarter, split: Splitter | None = None, resize: int | None = None) -> DataFrame:
     """Child chunks of docs (doc_id, title, text), each with a parent range around it that ends with sentences.
 
     The title and two special tokens take from the budget, which is 20 at least. Chunks under least_chars are dropped and
     take no number. Blank texts have no chunks. count and split stand for a tokenizer's length and another sentence splitter.
+    resize: parent ranges as resized_parents(target=resize) would make them, in this pass instead of a join with the texts.
     """
     split = split or (lambda text: split_sentences(text, CHILD_BREAKS))
 
@@ -93,7 +98,8 @@ def child_chunks(docs: DataFrame, child_size: int = 128, parent_size: int = 512,
                         continue
                     middle = (start + end) // 2
                     first, last = min(max(0, middle - half), start), max(min(len(text), middle + half), end)
-                    rows.append((f"{doc_id}:chunk:{n}", doc_id, title or "", start, end, _snap(first, found, True), _snap(last, found, False), count(chunk)))
+                    parent = _resized(text, start, end, resize) if resize else (_snap(first, found, True), _snap(last, found, False))
+                    rows.append((f"{doc_id}:chunk:{n}", doc_id, title or "", start, end, *parent, count(chunk)))
                     n += 1
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in CHILD.split(", ")])
 
@@ -172,15 +178,18 @@ def embedding_ids(title: Column, child: Column, most: int, cls: int | None = 101
     return F.slice(F.concat(one(cls), F.when(F.size(title) > 0, F.concat(title, one(sep))).otherwise(title), child, one(sep)), 1, most)
 
 
-def parent_of_child(children: DataFrame, parents: DataFrame) -> DataFrame:
+def parent_of_child(children: DataFrame, parents: DataFrame, cell: int = 4096) -> DataFrame:
     """children (chunk_id, doc_id, child_start, child_end) with parent_id and parent_idx (-1: none): the first parent that holds the child, else the one with the largest overlap, the first of equals.
 
-    The join is on doc_id with the overlap as a condition; the best parent is an aggregate per child, not a sort.
+    Both sides are cut into cells of characters and meet by document and cell, so a long document's chunks only meet
+    their neighbours; the best parent is an aggregate per child, not a sort.
     """
-    p = parents.select(F.col("doc_id").alias("p_doc"), "parent_id", "start_char", "end_char", F.substring_index("parent_id", ":", -1).cast("int").alias("p_idx"))
+    cells = lambda start, end: F.explode(F.expr(f"sequence({start} div {cell}, greatest({start}, {end} - 1) div {cell})"))
+    p = parents.select(F.col("doc_id").alias("p_doc"), "parent_id", "start_char", "end_char", F.substring_index("parent_id", ":", -1).cast("int").alias("p_idx"), cells("start_char", "end_char").alias("p_cell"))
+    c = children.withColumn("__cell", cells("child_start", "child_end"))
     overlap = F.least("child_end", "end_char") - F.greatest("child_start", "start_char")
     holds = (F.col("start_char") <= F.col("child_start")) & (F.col("child_end") <= F.col("end_char"))
-    pairs = children.join(p, (F.col("doc_id") == F.col("p_doc")) & ((overlap > 0) | holds), "left")
+    pairs = c.join(p, (F.col("doc_id") == F.col("p_doc")) & (F.col("__cell") == F.col("p_cell")) & ((overlap > 0) | holds), "left")
     rank = F.when(F.col("parent_id").isNotNull(), F.struct(F.when(holds, 1).otherwise(0).alias("holds"), F.when(holds, 0).otherwise(overlap).alias("overlap"), (-F.col("p_idx")).alias("first"), "parent_id"))
     best = pairs.groupBy(*children.columns).agg(F.max(rank).alias("best"))
     return best.select(*children.columns, F.col("best.parent_id").alias("parent_id"), F.coalesce(-F.col("best.first"), F.lit(-1)).alias("parent_idx"), F.coalesce(F.col("best.holds") == 1, F.lit(False)).alias("contained"))
@@ -208,11 +217,11 @@ def resized_parents(chunks: DataFrame, docs: DataFrame, target: int = 256) -> Da
     return out.withColumns({"parent_start": F.when(keep, F.col("parent_start")).otherwise(new_start), "parent_end": F.when(keep, F.col("parent_end")).otherwise(new_end)}).drop("__text", "__mid", "__start", "__end")
 
 
-def slices(chunks: DataFrame, docs: DataFrame, most: int = 2200) -> DataFrame:
-    """chunk_id, child_text, parent_text, embedding_text, display_text; texts of unknown documents are empty."""
+def slices(chunks: DataFrame, docs: DataFrame, most: int = 2200, how: str = "left") -> DataFrame:
+    """chunk_id, child_text, parent_text, embedding_text, display_text; texts of unknown documents are empty, or with how="inner" their chunks are dropped."""
     d = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").alias("__text"))
     cut = lambda a, b: F.coalesce(F.substring("__text", F.col(a) + 1, F.col(b) - F.col(a)), F.lit(""))
-    out = chunks.join(d, "doc_id", "left").withColumns({"child_text": cut("child_start", "child_end"), "__parent": cut("parent_start", "parent_end")})
+    out = chunks.join(d, "doc_id", how).withColumns({"child_text": cut("child_start", "child_end"), "__parent": cut("parent_start", "parent_end")})
     titled = F.coalesce("title", F.lit("")) != ""
     return out.select(
         "chunk_id", "child_text",
@@ -229,3 +238,13 @@ def parent_statistics(mapped: DataFrame, parents: DataFrame) -> DataFrame:
     per = mapped.where("parent_idx >= 0").groupBy("parent_id").count().agg(F.round(F.avg("count"), 2).alias("avg_children_per_parent"), F.max("count").alias("max_children_per_parent"), F.min("count").alias("min_children_per_parent"), F.count("*").alias("parent_with_children"))
     one = p.join(c, F.lit(True)).join(per, F.lit(True))
     return one.withColumns({"fully_contained_ratio": F.round(F.col("fully_contained_count") / F.col("total_child_chunks"), 4), "coverage_ratio": F.round((F.col("total_child_chunks") - F.col("unfound_count")) / F.col("total_child_chunks"), 4), "parent_without_children": F.col("total_parent_chunks") - F.col("parent_with_children")})
+
+
+def write_parents(parents: DataFrame, children: DataFrame, path: str) -> DataFrame:
+    """Tables below path: parents with their global index, children with their parent, and one row of statistics, which is returned as stored."""
+    with_global_index(parents).write.mode("overwrite").parquet(f"{path}/parents")
+    stored = parents.sparkSession.read.parquet(f"{path}/parents")
+    parent_of_child(children, stored.select(*parents.columns)).write.mode("overwrite").parquet(f"{path}/children")
+    mapped = parents.sparkSession.read.parquet(f"{path}/children")
+    parent_statistics(mapped, stored).write.mode("overwrite").parquet(f"{path}/statistics")
+    return parents.sparkSession.read.parquet(f"{path}/statistics")

@@ -10,52 +10,53 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import models
+from ..sources.scratch import stored
 
 
-def dense_topk(queries: DataFrame, corpus: DataFrame, k: int, block: int = 1024, query_id: str = "query_id", key: str = "chunk_id", vector: str = "embedding", by: str | None = None) -> DataFrame:
+def dense_topk(queries: DataFrame, corpus: DataFrame, k: int, block_bytes: int = 64 << 20, query_id: str = "query_id", key: str = "chunk_id", vector: str = "embedding", by: str | None = None, at_once: int = 1024) -> DataFrame:
     """(query_id, chunk_id, similarity, dense_rank): the k best by inner product, equal ones by key.
 
-    Queries go in blocks of a fixed number, which is all that is ever broadcast; every block meets the whole corpus as a
-    matrix product per Arrow batch, each batch passes on its k best, and a window takes the k best of those. Vectors that
-    are null or of another dimension are left out. With fewer than k vectors there are fewer rows. by: only vectors that
-    agree with the query in this column are compared.
+    Query vectors, of at most block_bytes, are all that is ever broadcast; more of them go in blocks of that size, read from
+    a stored table, and each block's best are written before the next one's begin. A block meets the whole corpus in one
+    pass, as a matrix product of at_once queries with an Arrow batch; each batch passes on its k best, and a window takes
+    the k best of those. The dimension is that of most queries; vectors that are null or of another one are left out. With
+    fewer than k vectors there are fewer rows. by: only vectors that agree with the query in this column are compared.
     """
-    named = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("v"), (F.col(by) if by else F.lit(None)).alias("g")).where("v is not null")
-    spark, total = queries.sparkSession, named.count()
-    parts = []
-    n_blocks = max(1, -(-total // block))
-    corpus = corpus.select(F.col(key).alias("chunk_id"), F.col(vector).alias("v"), (F.col(by) if by else F.lit(None)).alias("g")).where("v is not null")
-    kind = dict(corpus.dtypes)["chunk_id"]
-    schema = f"query_id {dict(named.dtypes)['query_id']}, chunk_id {kind}, similarity double"
+    named = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("v"), (F.col(by) if by else F.lit(None).cast("string")).alias("g")).where("v is not null")
+    named = stored(named)
+    sizes = named.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    spark, dim, total = queries.sparkSession, (sizes["d"] if sizes else 0), (sizes["count"] if sizes else 0)
+    named = named.where(F.size("v") == dim)
+    n_blocks = max(1, -(-total * dim * 8 // block_bytes))
+    corpus = corpus.select(F.col(key).alias("chunk_id"), F.col(vector).alias("v"), (F.col(by) if by else F.lit(None).cast("string")).alias("g")).where((F.size("v") == dim) & F.lit(total > 0))
+    schema = f"query_id {dict(named.dtypes)['query_id']}, chunk_id {dict(corpus.dtypes)['chunk_id']}, similarity double"
+    w = Window.partitionBy("query_id").orderBy(F.desc(F.round("similarity", 9)), "chunk_id")
+    every = None
     for i in range(n_blocks):
         rows = (named if n_blocks == 1 else named.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == i)).toPandas()
-        if not len(rows):
-            continue
-        dim = rows["v"].map(len).mode()[0]
-        rows = rows[rows["v"].map(len) == dim]
-        sent = spark.sparkContext.broadcast((rows["query_id"].to_numpy(), np.stack(rows["v"].to_numpy()).astype(np.float64), rows["g"].to_numpy()))
+        sent = spark.sparkContext.broadcast((rows["query_id"].to_numpy(), np.stack(rows["v"].to_numpy()).astype(np.float64) if len(rows) else np.zeros((0, dim)), rows["g"].to_numpy()))
 
-        def best(batches: Iterator[pd.DataFrame], sent=sent, dim=dim) -> Iterator[pd.DataFrame]:
+        def best(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
             names, q, groups = sent.value
             for pdf in batches:
-                pdf = pdf[pdf["v"].map(len) == dim].sort_values("chunk_id")
+                pdf = pdf.sort_values("chunk_id")
                 if not len(pdf):
                     continue
-                s = q @ np.stack(pdf["v"].to_numpy()).astype(np.float64).T
-                if by:
-                    s = np.where(groups[:, None] == pdf["g"].to_numpy()[None, :], s, -np.inf)
-                top = np.argsort(-np.round(s, 9), axis=1, kind="stable")[:, :k]
-                out = pd.DataFrame({"query_id": np.repeat(names, top.shape[1]), "chunk_id": pdf["chunk_id"].to_numpy()[top].ravel(), "similarity": np.take_along_axis(s, top, axis=1).ravel()})
-                yield out[np.isfinite(out["similarity"])]
-
-        parts.append(corpus.mapInPandas(best, schema))
-    if not parts:
-        parts = [corpus.where("false").mapInPandas(lambda b: iter(()), schema)]
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    w = Window.partitionBy("query_id").orderBy(F.desc(F.round("similarity", 9)), "chunk_id")
-    return every.withColumn("dense_rank", F.row_number().over(w)).where(F.col("dense_rank") <= k)
+                m = np.stack(pdf["v"].to_numpy()).astype(np.float64).T
+                for low in range(0, len(names), at_once):
+                    s = q[low : low + at_once] @ m
+                    if by:
+                        s = np.where(groups[low : low + at_once, None] == pdf["g"].to_numpy()[None, :], s, -np.inf)
+                    top = np.argsort(-np.round(s, 9), axis=1, kind="stable")[:, :k]
+                    out = pd.DataFrame({"query_id": np.repeat(names[low : low + at_once], top.shape[1]), "chunk_id": pdf["chunk_id"].to_numpy()[top].ravel(), "similarity": np.take_along_axis(s, top, axis=1).ravel()})
+                    yield out[np.isfinite(out["similarity"])]
+
+        part = corpus.mapInPandas(best, schema).withColumn("dense_rank", F.row_number().over(w)).where(F.col("dense_rank") <= k)
+        if n_blocks > 1:
+            part = stored(part)
+            sent.unpersist()
+        every = part if every is None else every.unionByName(part)
+    return every
 
 
 def rrf(dense: DataFrame, lexical: DataFrame, k: int = 30) -> DataFrame:
@@ -80,11 +81,11 @@ def top(ranked: DataFrame, rank: str, k: int) -> DataFrame:
     return ranked.where(F.col(rank) <= k)
 
 
-def mmr(ranked: DataFrame, k: int, lam: float = 0.8, score: str = "boosted", rank: str = "boost_rank", vector: str = "embedding", most: int = 600) -> DataFrame:
+def mmr(ranked: DataFrame, k: int, lam: float = 0.8, score: str = "boosted", rank: str = "boost_rank", vector: str = "embedding") -> DataFrame:
     """(query_id, chunk_id, mmr, mmr_rank): greedily the largest lam * score - (1 - lam) * largest cosine to those chosen (0 at least).
 
     The first choice counts with its bare score, and so does a result without a vector, whenever chosen. The first of
-    equals wins. A query's candidates are the results of a ranking, at most `most`, so one group is of bounded size.
+    equals wins. All of a query's candidates take part; they are the results of a ranking, whose k bounds a group.
     """
     kinds = dict(ranked.dtypes)
     schema = f"query_id {kinds['query_id']}, chunk_id {kinds['chunk_id']}, mmr double, mmr_rank int"
@@ -106,7 +107,7 @@ def mmr(ranked: DataFrame, k: int, lam: float = 0.8, score: str = "boosted", ran
                 near = np.maximum(near, m @ m[i])
         return pd.DataFrame(out, columns=["query_id", "chunk_id", "mmr", "mmr_rank"])
 
-    cut = ranked.where(F.col(rank) <= most).select("query_id", "chunk_id", F.col(score).alias("s"), F.col(rank).alias("r"), F.col(vector).alias("v"))
+    cut = ranked.select("query_id", "chunk_id", F.col(score).alias("s"), F.col(rank).alias("r"), F.col(vector).alias("v"))
     return cut.groupBy("query_id").applyInPandas(choose, schema)
 
 

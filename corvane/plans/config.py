@@ -6,7 +6,7 @@ from typing import Any
 
 DEFAULTS: dict[str, Any] = {
     "chunking": {"child_size": 128, "parent_size": 256, "min_text_chars": 100},
-    "retrieval": {"dense_top_k": 600, "rrf_k": 30, "alpha": 0.03, "mmr_lambda": 0.8, "mmr_top_k": 20, "final_top_k": 3, "block": 1024},
+    "retrieval": {"dense_top_k": 600, "rrf_k": 30, "alpha": 0.03, "mmr_lambda": 0.8, "mmr_top_k": 20, "final_top_k": 3},
     "bm25": {"k1": 1.5, "b": 0.75},
 }
 

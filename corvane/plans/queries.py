@@ -15,6 +15,8 @@ from ..functions import models
 from ..functions import text as T
 from ..functions import vectors as V
 from ..operators import bm25, chunking, qa, quality, ranking, sampling
+from ..sources.indexes import IndexSet
+from ..sources.scratch import folder, stored
 from . import retrieval
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,8 +58,8 @@ _GOOD_TITLE = rf"""(length(s) BETWEEN 2 AND 200 AND regexp_matches(s, '[\p{{L}}\
 
 @query(f"SELECT doc_id, cleaned, length(cleaned) AS text_len FROM ({_CLEANED}) WHERE length(cleaned) >= 100")
 def clean_text(spark, sf_dir):
-    out = table(spark, sf_dir, "documents").select("doc_id", T.full_text_cleaning(F.col("text")).alias("cleaned"))
-    return out.where(F.length("cleaned") >= 100).withColumn("text_len", F.length("cleaned").cast("long"))
+    out = table(spark, sf_dir, "documents").select("doc_id", F.explode(T.cleaned_at_least(F.col("text"), 100)).alias("cleaned"))
+    return out.withColumn("text_len", F.length("cleaned").cast("long"))
 
 
 @query(f"SELECT doc_id, {_VALID.format('text')} AS text FROM documents")
@@ -175,11 +177,21 @@ def parent_chunks(spark, sf_dir):
     return chunking.parent_chunks(titled(spark, sf_dir))
 
 
-@query()
+@query(r"""
+    WITH RECURSIVE t AS (SELECT doc_id, ids, len(ids) AS n FROM (SELECT doc_id, list_transform(list_filter(string_split_regex(text, '\s+'), lambda w: w <> ''), lambda w: CASE WHEN regexp_matches(w, '[.!?;]$') THEN 7 ELSE length(w) + 10 END) AS ids FROM documents)),
+    r AS (
+      SELECT doc_id, ids, n, -1 AS i, 0 AS a, 0 AS b FROM t
+      UNION ALL
+      SELECT doc_id, ids, n, i + 1, b, CASE WHEN stop < n AND back > 0 THEN stop - back + 1 ELSE stop END FROM (
+        SELECT *, coalesce(list_position(list_reverse(ids[greatest(stop - 21, b) + 2 : stop]), 7), 0) AS back FROM (SELECT *, least(b + 125, n) AS stop FROM r WHERE b < n))),
+    w AS (SELECT *, (a + b) // 2 AS m FROM r WHERE i >= 0 AND NOT (b = n AND b - a < 32 AND i > 0)),
+    x AS (SELECT *, least(greatest(0, m - 256), a) AS f, greatest(least(n, m + 256), b) AS l FROM w),
+    y AS (SELECT *, CASE WHEN l - f < 512 THEN least(n, f + 512) ELSE l END AS l2 FROM x)
+    SELECT doc_id::VARCHAR || ':chunk:' || i AS chunk_id, doc_id::VARCHAR AS doc_id, ids[a + 1 : b] AS child_ids, CASE WHEN l - f < 512 THEN greatest(0, least(f, l2 - 512)) ELSE f END AS parent_start, l2 AS parent_end, b - a AS chunk_len FROM y""")
 def token_chunks(spark, sf_dir):
-    """Words, hashed to ids, stand in for a tokenizer's; words that end a sentence are the break ids."""
+    """Numbers from the lengths of words stand in for a tokenizer's ids; words that end a sentence are the break ids."""
     ws = F.filter(F.split("text", r"\s+"), lambda w: w != "")
-    ids = F.transform(ws, lambda w: F.when(w.rlike(r"[.!?;]$"), F.lit(7)).otherwise(F.crc32(w.cast("binary")) % 30000 + 10).cast("int"))
+    ids = F.transform(ws, lambda w: F.when(w.rlike(r"[.!?;]$"), F.lit(7)).otherwise(F.length(w) + 10).cast("int"))
     docs = table(spark, sf_dir, "documents").select("doc_id", F.lit(1).alias("title_len"), ids.alias("ids"))
     return chunking.token_chunks(docs, break_ids=[7])
 
@@ -226,14 +238,19 @@ _RESIZED = r"""WITH RECURSIVE""" + _CHILD_SQL + r""",
 
 @query(_RESIZED + " FROM resized")
 def parent_resize(spark, sf_dir):
+    return chunking.child_chunks(titled(spark, sf_dir), resize=256)
+
+
+@query(_RESIZED + " FROM resized")
+def parent_resize_stored(spark, sf_dir):
+    """For chunks that exist already: a join with their texts."""
     docs = titled(spark, sf_dir)
     return chunking.resized_parents(chunking.child_chunks(docs), docs)
 
 
 @query(_RESIZED + " SELECT min(n) AS min_chars, floor(avg(n))::BIGINT AS mean_chars, max(n) AS max_chars, min(n) // 4 AS min_tokens, floor(avg(n))::BIGINT // 4 AS mean_tokens, max(n) // 4 AS max_tokens FROM (SELECT parent_end - parent_start AS n FROM resized)")
 def parent_size_stats(spark, sf_dir):
-    docs = titled(spark, sf_dir)
-    return quality.parent_sizes(chunking.resized_parents(chunking.child_chunks(docs), docs))
+    return quality.parent_sizes(chunking.child_chunks(titled(spark, sf_dir), resize=256))
 
 
 @query("WITH RECURSIVE" + _CHILD_SQL + """, t AS (SELECT c.*, substr(d.text, child_start + 1, child_end - child_start) AS child_text, substr(d.text, parent_start + 1, parent_end - parent_start) AS p FROM children c JOIN documents d ON d.doc_id::VARCHAR = c.doc_id)
@@ -255,8 +272,13 @@ _BM25_SQL = r"""
     part AS (SELECT query_id, chunk_id, qtf, idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * chunk_len / avgdl)) AS w FROM q JOIN idf USING (token) JOIN post USING (token) JOIN lens USING (chunk_id), meta)"""
 
 
+def _tokens(spark, sf_dir):
+    return bm25.tokenize(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def _index(spark, sf_dir):
-    return bm25.build_index(bm25.tokenize(table(spark, sf_dir, "documents"), "doc_id", "text"))
+    """Written once and read."""
+    return bm25.write_index(_tokens(spark, sf_dir), folder(spark))
 
 
 def _questions(spark, sf_dir):
@@ -265,7 +287,7 @@ def _questions(spark, sf_dir):
 
 @query("WITH" + _BM25_SQL + " FROM post")
 def bm25_terms(spark, sf_dir):
-    return _index(spark, sf_dir).postings
+    return bm25.build_index(_tokens(spark, sf_dir)).postings
 
 
 @query("WITH" + _BM25_SQL + " SELECT token, df, round(idf, 9) AS idf FROM idf")
@@ -275,7 +297,7 @@ def bm25_idf(spark, sf_dir):
 
 @query("WITH" + _BM25_SQL + " SELECT round(avgdl, 9) AS avgdl, k1, b, num_docs FROM meta")
 def bm25_metadata(spark, sf_dir):
-    return _index(spark, sf_dir).metadata.withColumn("avgdl", F.round("avgdl", 9))
+    return bm25.build_index(_tokens(spark, sf_dir)).metadata.withColumn("avgdl", F.round("avgdl", 9))
 
 
 @query("WITH" + _BM25_SQL + " SELECT query_id, chunk_id, round(sum(w), 6) AS score FROM part GROUP BY ALL")
@@ -293,9 +315,9 @@ def bm25_point_lookup(spark, sf_dir):
     return bm25.lookup(_index(spark, sf_dir), "that").select("token", "chunk_id", "tf")
 
 
-@query("WITH" + _BM25_SQL + " SELECT token, string_agg(chunk_id::VARCHAR, ',' ORDER BY chunk_id::VARCHAR) AS doc_indices FROM post GROUP BY token")
+@query("WITH" + _BM25_SQL + " SELECT token, 0 AS block, string_agg(chunk_id::VARCHAR, ',' ORDER BY chunk_id::VARCHAR) AS doc_indices FROM post GROUP BY token")
 def bm25_flat_postings(spark, sf_dir):
-    flat = bm25.flatten_postings(_index(spark, sf_dir).postings)
+    flat = bm25.flatten_postings(bm25.build_index(_tokens(spark, sf_dir)).postings)
     return bm25.flatten_postings(bm25.normalize_postings(flat))
 
 
@@ -374,15 +396,21 @@ def _asked(spark, sf_dir):
 
 
 def _dense(spark, sf_dir):
-    return ranking.dense_topk(_asked(spark, sf_dir), _pool(spark, sf_dir), 600)
+    return stored(ranking.dense_topk(_asked(spark, sf_dir), _pool(spark, sf_dir), 600))
 
 
 def _lexical(spark, sf_dir):
     return bm25.rerank(_index(spark, sf_dir), _questions(spark, sf_dir), _dense(spark, sf_dir).select("query_id", "chunk_id", "dense_rank"))
 
 
+_TWO_LISTS = _HYBRID_SQL + """,
+    d50 AS (SELECT query_id, chunk_id, dense_rank FROM dense WHERE dense_rank <= 50),
+    l50 AS (FROM (SELECT query_id, chunk_id, row_number() OVER (PARTITION BY query_id ORDER BY round(sum(w * qtf), 9) DESC, chunk_id) AS bm25_rank FROM part WHERE query_id IN (SELECT vec_id FROM embeddings) GROUP BY query_id, chunk_id) WHERE bm25_rank <= 50),
+    two AS (SELECT query_id, chunk_id, dense_rank, bm25_rank, coalesce(1 / (30 + dense_rank), 0) + coalesce(1 / (30 + bm25_rank), 0) AS rrf FROM d50 FULL JOIN l50 USING (query_id, chunk_id))"""
+
+
 def _fused(spark, sf_dir):
-    lexical = _lexical(spark, sf_dir)
+    lexical = stored(_lexical(spark, sf_dir))
     return ranking.rrf(lexical, lexical)
 
 
@@ -395,8 +423,16 @@ def bm25_rerank(spark, sf_dir):
     return _lexical(spark, sf_dir).withColumn("bm25_score", F.round("bm25_score", 6))
 
 
-@query(_HYBRID_SQL + " SELECT query_id, chunk_id, dense_rank, bm25_rank, round(rrf, 9) AS rrf, rrf_rank FROM fused")
+@query(_TWO_LISTS + " SELECT query_id, chunk_id, dense_rank, bm25_rank, round(rrf, 9) AS rrf, row_number() OVER (PARTITION BY query_id ORDER BY round(rrf, 12) DESC, dense_rank NULLS LAST, bm25_rank) AS rrf_rank FROM two")
 def rrf(spark, sf_dir):
+    """Two lists of their own: vectors over the documents that have one, words over all documents."""
+    asked = stored(_asked(spark, sf_dir))
+    lexical = bm25.topk(_index(spark, sf_dir), asked.select("query_id", "tokens"), 50)
+    return ranking.rrf(ranking.dense_topk(asked, _pool(spark, sf_dir), 50), lexical).withColumn("rrf", F.round("rrf", 9))
+
+
+@query(_HYBRID_SQL + " SELECT query_id, chunk_id, dense_rank, bm25_rank, round(rrf, 9) AS rrf, rrf_rank FROM fused")
+def rrf_rescored(spark, sf_dir):
     return _fused(spark, sf_dir).withColumn("rrf", F.round("rrf", 9))
 
 
@@ -410,29 +446,39 @@ def mmr_truncate(spark, sf_dir):
     return ranking.top(_boosted(spark, sf_dir), "boost_rank", 20).select("query_id", "chunk_id", "boost_rank")
 
 
-@query()
+def _mmr_sql(k: int) -> str:
+    """The greedy choice, step by step: p1..pk are the choices, n1..nk what is left with its largest cosine to them."""
+    out = ["n0 AS (SELECT query_id, chunk_id, s, dense_rank, e, 0.0::DOUBLE AS near FROM dense JOIN pool USING (chunk_id))"]
+    for i in range(1, k + 1):
+        value = "s" if i == 1 else "0.8::DOUBLE * s - 0.2::DOUBLE * near"
+        out.append(f"p{i} AS (FROM (SELECT query_id, chunk_id, e, {value} AS v, row_number() OVER (PARTITION BY query_id ORDER BY round({value}, 12) DESC, dense_rank) AS r FROM n{i - 1}) WHERE r = 1)")
+        out.append(f"n{i} AS (SELECT n.query_id, n.chunk_id, s, dense_rank, n.e, greatest(near, list_inner_product(n.e, p.e) / (sqrt(list_inner_product(n.e, n.e)) * sqrt(list_inner_product(p.e, p.e)))) AS near FROM n{i - 1} n JOIN p{i} p ON p.query_id = n.query_id AND p.chunk_id <> n.chunk_id)")
+    return ", " + ", ".join(out) + " " + " UNION ALL ".join(f"SELECT query_id, chunk_id, round(v, 6) AS mmr, {i} AS mmr_rank FROM p{i}" for i in range(1, k + 1))
+
+
+@query(_HYBRID_SQL + _mmr_sql(5))
 def mmr(spark, sf_dir):
     dense = _dense(spark, sf_dir).join(_pool(spark, sf_dir).select("chunk_id", "embedding"), "chunk_id")
-    return ranking.mmr(dense, 20, score="similarity", rank="dense_rank").withColumn("mmr", F.round("mmr", 6))
+    return ranking.mmr(dense, 5, score="similarity", rank="dense_rank").withColumn("mmr", F.round("mmr", 6))
 
 
 @query(_HYBRID_SQL + " SELECT query_id, chunk_id, boost_rank AS rank FROM ranked WHERE boost_rank <= 3")
 def hybrid_topk(spark, sf_dir):
-    return retrieval.retrieve(_asked(spark, sf_dir), _pool(spark, sf_dir), _index(spark, sf_dir)).select("query_id", "chunk_id", "rank")
+    return retrieval.retrieve(stored(_asked(spark, sf_dir)), _pool(spark, sf_dir), _index(spark, sf_dir)).select("query_id", "chunk_id", "rank")
 
 
 @query(_HYBRID_SQL + r""", words AS (SELECT query_id, chunk_id, boost_rank, list_distinct(list_filter(string_split_regex(lower(b.text), '\s+'), lambda w: w <> '')) AS q, list_distinct(list_filter(string_split_regex(lower(p.text), '\s+'), lambda w: w <> '')) AS d FROM ranked JOIN pool p USING (chunk_id) JOIN benchmark b ON b.item_id = query_id WHERE boost_rank <= 20),
     s AS (SELECT *, len(list_intersect(q, d)) / len(q) AS v FROM words)
     FROM (SELECT query_id, chunk_id, round(v, 6) AS rerank_score, row_number() OVER (PARTITION BY query_id ORDER BY round(v, 9) DESC, boost_rank) AS rank FROM s) WHERE rank <= 3""")
 def rerank_topk(spark, sf_dir):
-    found = retrieval.retrieve(_asked(spark, sf_dir), _pool(spark, sf_dir), _index(spark, sf_dir), reranker=models.OverlapReranker)
+    found = retrieval.retrieve(stored(_asked(spark, sf_dir)), _pool(spark, sf_dir), _index(spark, sf_dir), reranker=models.OverlapReranker)
     return found.select("query_id", "chunk_id", F.round("rerank_score", 6).alias("rerank_score"), "rank")
 
 
 @query(_HYBRID_SQL + """, c AS (SELECT query_id, max(CASE WHEN boost_rank = 1 THEN text END) AS C1, max(CASE WHEN boost_rank = 2 THEN text END) AS C2, max(CASE WHEN boost_rank = 3 THEN text END) AS C3 FROM ranked JOIN pool USING (chunk_id) GROUP BY query_id)
     SELECT query_id, 'Question: ' || b.text || chr(10) || 'Retrieve background scientific knowledge to help answer.' AS query, concat_ws(chr(10) || chr(10), '[Document 1]' || chr(10) || C1, '[Document 2]' || chr(10) || C2, '[Document 3]' || chr(10) || C3) AS context FROM c JOIN benchmark b ON b.item_id = query_id""")
 def context_wide(spark, sf_dir):
-    asked = _asked(spark, sf_dir)
+    asked = stored(_asked(spark, sf_dir))
     wide = retrieval.contexts(retrieval.retrieve(asked, _pool(spark, sf_dir), _index(spark, sf_dir)), _pool(spark, sf_dir))
     return wide.join(asked, "query_id").select("query_id", qa.query_text(F.col("query")).alias("query"), qa.context(["C1", "C2", "C3"]).alias("context"))
 
@@ -479,10 +525,51 @@ def answer_argmax(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", qa.best_letter(F.slice("embedding", 1, 5)).alias("letter"), qa.one_if_likelier(F.col("embedding")[0], F.col("embedding")[1]).alias("yes"))
 
 
-@query()
+#: Lengths of the options of a question, so that the longest differs from one to the next.
+_OPTION_LENGTHS = {"A": "item_id * 3 % 7", "B": "item_id * 5 % 11", "C": "item_id * 2 % 9", "D": "item_id % 8", "E": "4"}
+_ANSWERED = f"""SELECT item_id AS id, text AS prompt, {", ".join(f"repeat('o', ({n})::INTEGER) AS {c}" for c, n in _OPTION_LENGTHS.items())},
+    chr((64 + list_position([{", ".join(_OPTION_LENGTHS.values())}], list_max([{", ".join(_OPTION_LENGTHS.values())}])))::INTEGER) AS predicted FROM benchmark"""
+
+
+def _mcq(spark, sf_dir):
+    return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("prompt"), *[F.expr(f"repeat('o', cast({n} as int))").alias(c) for c, n in _OPTION_LENGTHS.items()])
+
+
+@query(_ANSWERED)
 def generate_answers(spark, sf_dir):
-    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("prompt"), *[F.lit(c.lower()).alias(c) for c in qa.LETTERS])
-    return retrieval.answer(items, models.FirstOptionGenerator, k=0)
+    return retrieval.answer(_mcq(spark, sf_dir), models.LongestOptionGenerator, k=0)
+
+
+@query(f"SELECT count(*) AS n, count(*) AS n_answered, avg((predicted = truth)::INTEGER) AS accuracy, avg((predicted = truth)::INTEGER) AS accuracy_answered FROM (SELECT *, CASE WHEN id % 3 = 0 THEN 'E' ELSE predicted END AS truth FROM ({_ANSWERED}))")
+def evaluate_answers(spark, sf_dir):
+    """Answers, accuracy and wrong rows as one plan, from questions whose expected letter is right for two of three."""
+    asked = _mcq(spark, sf_dir)
+    lengths = F.array(*[F.length(c) for c in qa.LETTERS])
+    longest = F.element_at(F.array(*map(F.lit, qa.LETTERS)), F.array_position(lengths, F.array_max(lengths)).cast("int"))
+    return retrieval.evaluate(asked.withColumn("answer", F.when(F.col("id") % 3 == 0, F.lit("E")).otherwise(longest)), models.LongestOptionGenerator, folder(spark), k=0)
+
+
+@query("SELECT doc_id, text FROM (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) AS r FROM documents WHERE length(text) // 4 >= 32) WHERE r <= 20")
+def qc_preview(spark, sf_dir):
+    """The first 20 rows that are long enough, as the quality check shows them."""
+    return table(spark, sf_dir, "documents").where(T.is_long_enough(F.col("text"))).select("doc_id", "text").orderBy("doc_id").limit(20)
+
+
+@query("WITH RECURSIVE" + _CHILD_SQL + ", known AS (SELECT * FROM documents WHERE doc_id % 2 = 0) SELECT chunk_id, substr(d.text, child_start + 1, child_end - child_start) AS child_text FROM children c JOIN known d ON d.doc_id::VARCHAR = c.doc_id")
+def chunks_of_known(spark, sf_dir):
+    """Chunks of documents that are not in the table of texts are dropped."""
+    docs = titled(spark, sf_dir)
+    return chunking.slices(chunking.child_chunks(docs), docs.where("doc_id % 2 = 0"), how="inner").select("chunk_id", "child_text")
+
+
+@query("WITH RECURSIVE" + _CHILD_SQL + " SELECT chunk_id, 64 AS dim FROM children")
+def vector_build(spark, sf_dir):
+    """A vector index built in parts, broken off after the first and gone on with."""
+    docs = titled(spark, sf_dir)
+    chunks = stored(chunking.child_chunks(docs))
+    index = IndexSet({"hashing": f"{folder(spark)}/vectors"})
+    index.save("hashing", retrieval.embed(chunks.where("chunk_len % 3 = 0"), docs, models.HashingEncoder))
+    return retrieval.build_vectors(chunks, docs, models.HashingEncoder, index, "hashing", steps=2).select("chunk_id", F.size("embedding").alias("dim"))
 
 
 # ---- checks -----------------------------------------------------------------------------------------------------------

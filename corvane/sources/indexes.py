@@ -31,6 +31,19 @@ class IndexSet:
 
         write_vectors(vectors.withColumn(vector, to_half(F.col(vector))) if self.kind == "half" else vectors, self.paths[name], key, vector)
 
+    def exists(self, spark: SparkSession, name: str) -> bool:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.paths[name])
+        return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+    def checked(self, spark: SparkSession, name: str) -> tuple[DataFrame | None, bool]:
+        """The named table and whether it can be read and holds vectors; (None, False) if it is absent or broken."""
+        try:
+            found = self.load(spark, name)
+            return (found, True) if not found.where("embedding is not null").isEmpty() else (found, False)
+        except Exception as e:  # whatever the reader raises: this is the check
+            print(f"{name}: {e}"[:500])
+            return None, False
+
     def load(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.parquet(self.paths[name])
 

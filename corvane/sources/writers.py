@@ -14,8 +14,9 @@ def write_csv(df: DataFrame, path: str, single: bool = False) -> None:
     (df.coalesce(1) if single else df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def write_json(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("overwrite").json(path)
+def write_json(df: DataFrame, path: str, single: bool = False) -> None:
+    """One object a line; single: one file, for results small enough for one task."""
+    (df.coalesce(1) if single else df).write.mode("overwrite").json(path)
 
 
 def write_vectors(df: DataFrame, path: str, key: str = "chunk_id", vector: str = "embedding") -> None:

@@ -45,7 +45,7 @@ def test_writers(spark, tmp_path):
     writers.write_csv(df, str(tmp_path / "c"), single=True)
     assert readers.read_csv(spark, str(tmp_path / "c"), schema="id long, text string").collect() == df.collect()
     writers.write_parquet(df, str(tmp_path / "p"))
-    writers.write_json(df, str(tmp_path / "j"))
+    writers.write_json(df, str(tmp_path / "j"), single=True)
     assert spark.read.parquet(str(tmp_path / "p")).collect() == df.collect() and spark.read.json(str(tmp_path / "j")).count() == 1
     assert writers.without_null_name("a/b.c.csv") == "a/b.c_without_null.csv" and writers.without_null_name("x") == "x_without_null"
 

@@ -70,3 +70,31 @@ def test_small_ones(spark):
     assert spark.range(1).select(T.hms(F.lit(3725.9))).first()[0] == "01:02:05"
     assert column(spark, T.normalize_unicode, ["ﬁ①", None]) == [unicodedata.normalize("NFKC", "ﬁ①"), None]
     assert column(spark, T.count_tokens, ["a" * 9, ""]) == [2, 0]
+
+
+def test_repair_of_misread_words():
+    from corvane.functions import text as T
+
+    for word in ("café", "naïve", "“quoted”", "Zürich", "señor—sí"):
+        for misread in ("cp1252", "latin-1"):
+            try:
+                bad = word.encode().decode(misread)
+            except UnicodeDecodeError:
+                continue
+            assert T.repaired(f"a {bad} b") == f"a {word} b"
+            assert T.repaired(bad.encode().decode("latin-1")) == word or misread == "cp1252"
+    for fine in ("plain", "café Ångström", "Ã", "日本語", "Â", "10 €", "Málaga, São Paulo"):
+        assert T.repaired(fine) == fine
+
+
+def test_cleaning_is_planned_once(spark):
+    """One Arrow evaluation and one chain of replacements, with the filter on the result's length."""
+    from pyspark.sql import functions as F
+
+    from corvane.functions import text as T
+
+    df = spark.createDataFrame([("x" * 200 + " the http://a.b c",), ("short",), (None,), ("  ",), ("<p>" + "the cell " * 40 + "</p><script>x</script>",)], "t string")
+    out = df.select(F.explode(T.cleaned_at_least(F.col("t"), 100)).alias("t")).withColumn("n", F.length("t"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("https?://") == 1 and plan.count("ArrowEvalPython") == 1
+    assert sorted(r.n for r in out.collect()) == sorted(len(t) for t in ("x" * 200 + " the c", "the cell " * 39 + "the cell"))
