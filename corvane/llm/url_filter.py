@@ -21,7 +21,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 class GlobAutomaton:
-    """Globs over bytes: ? is one byte but /, * any run without /, ** any run; all else stands for itself."""
+    """Globs over bytes: ? is one byte but /, * any run without /, ** any run; all else, and whatever follows a backslash, stands for itself."""
 
     def __init__(self, globs: Sequence[str]):
         symbols: list[tuple[str, int | None]] = []
@@ -35,6 +35,9 @@ class GlobAutomaton:
                     run = len(g[at:]) - len(g[at:].lstrip(b"*"))
                     symbols.append(("deep" if run > 1 else "flat", None))
                     at += run
+                elif g[at] == 92 and at + 1 < len(g):
+                    symbols.append(("byte", g[at + 1]))
+                    at += 2
                 else:
                     symbols.append(("any", None) if g[at] == 63 else ("byte", g[at]))
                     at += 1
@@ -42,10 +45,17 @@ class GlobAutomaton:
         self.words = max(1, -(-len(symbols) // 64))
         self.begin, self.before = self._mask(starts), self._mask(i - 1 for i, (k, _) in enumerate(symbols) if k in ("flat", "deep"))
         self.fits, self.stays = np.zeros((256, self.words), np.uint64), np.zeros((256, self.words), np.uint64)
-        for c in range(256):
-            self.fits[c] = self._mask(i for i, (k, b) in enumerate(symbols) if b == c or k == "any" and c != 47)
-            self.stays[c] = self._mask(i for i, (k, _) in enumerate(symbols) if k == "deep" or k == "flat" and c != 47)
-        self.accepts = [(i // 64, np.uint64(1 << i % 64)) for i in accepts]
+        bit = lambda i: (i // 64, np.uint64(1 << i % 64))
+        beyond = np.arange(256) != 47
+        for i, (kind, byte) in enumerate(symbols):
+            word, mask = bit(i)
+            if kind == "byte":
+                self.fits[byte, word] |= mask
+            elif kind == "any":
+                self.fits[beyond, word] |= mask
+            elif kind != "start":
+                self.stays[beyond if kind == "flat" else slice(None), word] |= mask
+        self.accepts = [bit(i) for i in accepts]
 
     def _mask(self, bits) -> np.ndarray:
         out = [0] * self.words
@@ -81,6 +91,22 @@ class GlobAutomaton:
         return np.stack([state[:, w] & bit != 0 for w, bit in self.accepts], axis=1) if self.accepts else np.zeros((len(texts), 0), bool)
 
 
+def literal(text: str) -> str:
+    """A glob that only this text fits."""
+    return "".join(f"\\{c}" if c in "?*\\" else c for c in text)
+
+
+_automata: dict[tuple[str, ...], GlobAutomaton] = {}
+
+
+def automaton(globs: tuple[str, ...]) -> GlobAutomaton:
+    """Built once a worker."""
+    if globs not in _automata:
+        _automata.clear()
+        _automata[globs] = GlobAutomaton(globs)
+    return _automata[globs]
+
+
 def host_of(url: Column) -> Column:
     """What stands between the first :// and the next /, ? or # or the end, with A-Z lower-cased; empty if there is no ://."""
     return F.translate(F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://([^/?#]*)", 1), _UPPER, _LOWER)
@@ -96,16 +122,17 @@ def filter_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]], url_col
 
     rules: (verdict, host, path prefix). A rule fits its host and all subdomains; of several that fit, the longest (host
     and path together) decides, and of equally long ones the first. Without a fitting rule, rule is null and the verdict is
-    `otherwise`. A null or malformed URL has an empty host and path, which no rule fits. Columns of pages that already
-    have one of the four names give way to the new ones.
+    `otherwise`. Hosts and paths of rules stand for themselves, * and ? in them too. A null or malformed URL has an empty host and path, which no rule fits. Columns of pages that already
+    have one of the four names give way to the new ones. Repeated rows are judged each for itself, a very long URL in as many
+    steps as it has bytes; an empty table gives no rows.
     """
     prepare(pages.sparkSession)
     ranked = sorted(rules, key=lambda r: -len(r[1] + r[2]))
-    globs = [f"*.{host}{path}**" for _, host, path in ranked]
+    globs = tuple(f"*.{literal(host + path)}**" for _, host, path in ranked)
 
     @F.pandas_udf("int")
     def first_fit(canonical: pd.Series) -> pd.Series:
-        found = GlobAutomaton(globs).matches([c.encode() for c in canonical])
+        found = automaton(globs).matches([c.encode() for c in canonical])
         return pd.Series(np.where(found.any(axis=1), found.argmax(axis=1), -1) if globs else np.full(len(canonical), -1))
 
     out = pages.withColumn("host", host_of(F.col(url_col))).withColumn("path", path_of(F.col(url_col)))

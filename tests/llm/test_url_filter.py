@@ -46,3 +46,14 @@ def test_ties_repeats_and_no_rules(spark):
     assert [r.verdict for r in filter_urls(pages, [("block", "a.b", "/c"), ("allow", "a.b", "/c")]).collect()] == ["block"] * 2
     assert [(r.rule, r.verdict) for r in filter_urls(pages, [], otherwise="block").collect()] == [(None, "block")] * 2
     assert filter_urls(pages.where("false"), URL_RULES).collect() == []
+
+
+def test_signs_of_globs_in_rules_stand_for_themselves(spark):
+    from corvane.llm.url_filter import automaton, literal
+
+    rules = [("block", "a.b", "/x*y"), ("block", "a.b", "/q\\z"), ("block", "c.*", "/")]
+    urls = {"http://a.b/x*y1": "block", "http://a.b/xAy": "allow", "http://a.b/x": "allow", "http://a.b/q\\z": "block", "http://a.b/qz": "allow", "http://c.*/": "block", "http://c.d/": "allow"}
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    assert [r.verdict for r in filter_urls(pages, rules).orderBy("page_id").collect()] == list(urls.values())
+    assert GlobAutomaton([literal("a?*\\b")]).matches([b"a?*\\b", b"axy\\b"]).ravel().tolist() == [True, False]
+    assert automaton(("a*",)) is automaton(("a*",))
