@@ -16,17 +16,19 @@ merge-scanned against each existing level: entries that a level has are long mat
 level of their own, and levels that are no larger merge with it, so that sizes grow geometrically. Answers go back to the
 batch, not to documents, so a passage that a third of all documents hold costs a family one entry a batch.
 
-Within a batch bytes are compared with bytes; between batches, 128-bit BLAKE2b digests of the bytes. Fingerprints only choose
-anchors and, for grams, rule stretches out: where those of different grams agree, windows are entered in vain.
+Within a batch the bytes of stretches are compared; between batches, and for single windows, 128-bit digests of the bytes
+under a seed drawn anew for each job, so that no text can be made to collide. Fingerprints only choose anchors and, for
+grams, rule stretches out: where those of different grams agree, windows are entered in vain.
 """
 
 from __future__ import annotations
 
-from hashlib import blake2b
+import secrets
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -144,9 +146,10 @@ def _distinct(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, ...]:
     return h[first], w[first], np.diff(first, append=len(h)), order[first], which
 
 
-def digests(strings) -> tuple[np.ndarray, np.ndarray]:
+def digests(strings, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """The halves of the digests of byte strings."""
-    flat = np.frombuffer(b"".join([blake2b(x, digest_size=16).digest() for x in strings]), "<u8").reshape(-1, 2)
+    digest = xxhash.xxh3_128_digest
+    flat = np.frombuffer(b"".join([digest(x, seed) for x in strings]), "<u8").reshape(-1, 2)
     return np.ascontiguousarray(flat[:, 0]), np.ascontiguousarray(flat[:, 1])
 
 
@@ -181,8 +184,8 @@ def _rows(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
 class Batch:
     """The stretches of one run: its suffix array, and grams and stretches as sorted arrays of distinct values."""
 
-    def __init__(self, sizes, texts):
-        self.texts = unpack(sizes, texts)
+    def __init__(self, sizes, texts, seed: int):
+        self.texts, self.seed = unpack(sizes, texts), seed
         doc, start, n, gram = [], [], [], [np.zeros(0, np.uint64)]
         for i, text in enumerate(self.texts):
             if len(text) >= WINDOW:
@@ -201,7 +204,7 @@ class Batch:
         array = sorted(range(len(suffixes)), key=suffixes.__getitem__)
         new = [i for i, (x, y) in enumerate(zip(array, [None, *array])) if y is None or suffixes[x] != suffixes[y]]
         at = np.array(array, np.int64)[new] if new else np.zeros(0, np.int64)  # of equal neighbours, the first in the run
-        high, low = digests([suffixes[i] for i in at.tolist()])
+        high, low = digests([suffixes[i] for i in at.tolist()], seed)
         order = np.lexsort((low, high))
         self.high, self.low, self.at, self.count = high[order], low[order], at[order], np.diff(new, append=len(array))[order]
         back = np.empty(len(order), np.int64)
@@ -215,7 +218,7 @@ class Batch:
         which = np.repeat(chosen, n)
         start = self.start[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
         doc, texts = self.doc[which], self.texts
-        return *digests(texts[d][s : s + WINDOW] for d, s in zip(doc.tolist(), start.tolist())), doc, start
+        return *digests((texts[d][s : s + WINDOW] for d, s in zip(doc.tolist(), start.tolist())), self.seed), doc, start
 
     def judged(self, bits: int, answers) -> tuple[np.ndarray, np.ndarray]:
         """Which stretches are repeated throughout, and of which every window is entered."""
@@ -239,13 +242,13 @@ def _told(bits: int, answers, kind: int, high: np.ndarray) -> tuple[np.ndarray,
     return total, first
 
 
-def _grams_and_stretches(bits: int):
+def _grams_and_stretches(bits: int, seed: int):
     schema = arrow_schema(_SLICE)
 
     def enter(batches):
         for batch in batches:
             for run, sizes, texts in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3))):
-                b = Batch(sizes, texts)
+                b = Batch(sizes, texts, seed)
                 rows = _cut(run, 0, bits, b.gram, b.gram, b.gram_count) + _cut(run, 1, bits, b.high, b.low, b.count)
                 if rows:
                     yield _rows(schema, rows)
@@ -255,13 +258,13 @@ def _grams_and_stretches(bits: int):
     return enter
 
 
-def _windows(bits: int):
+def _windows(bits: int, seed: int):
     schema = arrow_schema(_SLICE)
 
     def enter(batches):
         for batch in batches:
             for run, sizes, texts, answers in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                b = Batch(sizes, texts)
+                b = Batch(sizes, texts, seed)
                 high, low, _, _ = b.windows(b.judged(bits, answers)[1])
                 high, low, count, _, _ = _distinct(high, low)
                 if len(high):
@@ -296,11 +299,11 @@ _KEPT = "doc_id long, n_bytes long, starts array<int>, ends array<int>, kept bin
 _KEPT_ARROW = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("kept", pa.binary())])
 
 
-def _cut_out(bits: int):
+def _cut_out(bits: int, seed: int):
     def cut(batches):
         for batch in batches:
             for _, sizes, texts, answers, ids in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                b = Batch(sizes, texts)
+                b = Batch(sizes, texts, seed)
                 throughout, entered = b.judged(bits, answers)
                 high, low, doc, start = b.windows(entered)
                 high, _, _, _, which = _distinct(high, low)
@@ -347,11 +350,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = prepare(docs.sparkSession)
     ws = Workspace(spark, "suffix")
     bits = max(1, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
-    packed = pack_runs(docs, ws, id_col, text_col, run_bytes=run_bytes)
+    packed, seed = pack_runs(docs, ws, id_col, text_col, run_bytes=run_bytes), secrets.randbits(64)
     answer = lambda slices, name: ws.write(slices.groupBy("shard").applyInPandas(_answer, _ANSWER), name)
     told = lambda answers: packed.join(answers.groupBy("run").agg(F.collect_list(F.struct("shard", "kind", "bits", "totals", "first")).alias("answers")), "run", "left")
-    stretches_ = answer(packed.mapInArrow(_grams_and_stretches(bits), _SLICE), "stretches")
+    stretches_ = answer(packed.mapInArrow(_grams_and_stretches(bits, seed), _SLICE), "stretches")
     ws.drop()
-    windows_ = answer(told(stretches_).select("run", "sizes", "texts", "answers").mapInArrow(_windows(bits), _SLICE), "windows")
+    windows_ = answer(told(stretches_).select("run", "sizes", "texts", "answers").mapInArrow(_windows(bits, seed), _SLICE), "windows")
     ws.drop()
-    return told(stretches_.unionByName(windows_)).select("run", "sizes", "texts", "answers", "doc_ids").mapInArrow(_cut_out(bits), _KEPT)
+    return told(stretches_.unionByName(windows_)).select("run", "sizes", "texts", "answers", "doc_ids").mapInArrow(_cut_out(bits, seed), _KEPT)
