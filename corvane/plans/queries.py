@@ -364,11 +364,6 @@ def vector_report(spark, sf_dir):
     return ranking.vector_report(table(spark, sf_dir, "embeddings"))
 
 
-@query()
-def half_precision(spark, sf_dir):
-    return table(spark, sf_dir, "embeddings").where(V.is_vector(F.col("embedding"), 64)).select("vec_id", V.to_half(F.col("embedding")).alias("embedding"))
-
-
 @query()
 def encode_texts(spark, sf_dir):
     docs = titled(spark, sf_dir)
@@ -527,7 +522,8 @@ def answer_argmax(spark, sf_dir):
 
 #: Lengths of the options of a question, so that the longest differs from one to the next.
 _OPTION_LENGTHS = {"A": "item_id * 3 % 7", "B": "item_id * 5 % 11", "C": "item_id * 2 % 9", "D": "item_id % 8", "E": "4"}
-_ANSWERED = f"""SELECT item_id AS id, text AS prompt, {", ".join(f"repeat('o', ({n})::INTEGER) AS {c}" for c, n in _OPTION_LENGTHS.items())},
+_MCQ_OPTIONS = ", ".join(f"repeat('o', ({n})::INTEGER) AS {c}" for c, n in _OPTION_LENGTHS.items())
+_ANSWERED = f"""SELECT item_id AS id, text AS prompt, {_MCQ_OPTIONS},
     chr((64 + list_position([{", ".join(_OPTION_LENGTHS.values())}], list_max([{", ".join(_OPTION_LENGTHS.values())}])))::INTEGER) AS predicted FROM benchmark"""
 
 
