@@ -66,6 +66,22 @@ class HashingEncoder:
         return f"hashing-{self.dimensions}"
 
 
+class LetterEncoder:
+    """How often each of 64 characters stands in the lower-cased text, normalised; an encoder that SQL can repeat."""
+
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789 .,;:!?-()%&$#@*_/|éèäöüñóíçê"[:64]
+
+    def encode(self, texts: Sequence[str]) -> np.ndarray:
+        counts = np.array([[low.count(c) for c in self.letters] for low in ((t or "").lower() for t in texts)], np.float64).reshape(len(texts), len(self.letters))
+        return (counts / np.maximum(np.sqrt((counts * counts).sum(axis=1, keepdims=True)), 1e-12)).astype(np.float32)
+
+    def dim(self) -> int:
+        return len(self.letters)
+
+    def name(self) -> str:
+        return "letters"
+
+
 class OverlapReranker:
     """The share of the query's distinct words that the text holds."""
 

@@ -323,6 +323,16 @@ def bm25_flat_postings(spark, sf_dir):
 
 # ---- vectors ----------------------------------------------------------------------------------------------------------
 
+_LETTERS = ", ".join(f"'{c}'" for c in models.LetterEncoder.letters)
+
+
+def _lettered(name: str, rows: str) -> str:
+    """CTEs that end in `name`: rows (with text) with v, their letter vector."""
+    return f"""{name}_c AS (SELECT *, list_transform([{_LETTERS}], lambda c: (length(lower(coalesce(text, ''))) - length(replace(lower(coalesce(text, '')), c, '')))::DOUBLE) AS h FROM ({rows})),
+    {name}_n AS (SELECT *, greatest(sqrt(list_inner_product(h, h)), 1e-12) AS size FROM {name}_c),
+    {name} AS (SELECT *, list_transform(h, lambda x: (x / size)::FLOAT) AS v FROM {name}_n)"""
+
+
 def _vectors(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "chunk_id")
 
@@ -348,6 +358,15 @@ def self_retrieval(spark, sf_dir):
     return ranking.self_retrieval(v.where(F.col("chunk_id") % 20 == 0), v, doc="label").withColumn("similarity", F.round("similarity", 6))
 
 
+@query("WITH " + _lettered("dl", "SELECT doc_id, source, text FROM documents") + """ SELECT query_id, chunk_id, round(s, 6) AS similarity, r AS dense_rank, query_id = chunk_id AS is_self, sa = sb AS is_same_doc FROM (SELECT a.doc_id AS query_id, b.doc_id AS chunk_id, a.source AS sa, b.source AS sb,
+    list_inner_product(a.v::DOUBLE[], b.v::DOUBLE[]) AS s, row_number() OVER (PARTITION BY a.doc_id ORDER BY round(s, 9) DESC, b.doc_id) AS r FROM dl a, dl b WHERE a.doc_id % 20 = 0) WHERE r <= 5""")
+def self_retrieval_encoded(spark, sf_dir):
+    """The texts of every 20th document, encoded, against an index of all documents."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("chunk_id"), F.col("source").alias("doc_id"), models.encode_column(models.LetterEncoder, F.col("text")).alias("embedding"))
+    docs = stored(docs)
+    return ranking.self_retrieval(docs.where("chunk_id % 20 = 0"), docs).withColumn("similarity", F.round("similarity", 6))
+
+
 @query("SELECT vec_id, i, round(v / greatest(n, 1e-12), 9) AS v FROM (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i, sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS n FROM embeddings)")
 def l2_norm(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(V.l2_normalize(F.col("embedding"))).alias("i", "v")).select("vec_id", (F.col("i") + 1).cast("long").alias("i"), F.round("v", 9).alias("v"))
@@ -372,26 +391,34 @@ def encode_texts(spark, sf_dir):
 
 # ---- fusion -----------------------------------------------------------------------------------------------------------
 
-_HYBRID_SQL = "WITH" + _BM25_SQL + """,
-    pool AS (SELECT doc_id AS chunk_id, source, text, embedding::DOUBLE[] AS e FROM documents JOIN embeddings ON doc_id = vec_id),
-    dense AS (FROM (SELECT item_id AS query_id, chunk_id, list_inner_product(x.embedding::DOUBLE[], p.e) AS s, row_number() OVER (PARTITION BY item_id ORDER BY round(s, 9) DESC, chunk_id) AS dense_rank FROM benchmark JOIN embeddings x ON item_id = vec_id, pool p) WHERE dense_rank <= 600),
+_HYBRID_SQL = "WITH" + _BM25_SQL + "," + _lettered("dl", "SELECT doc_id, source, text, embedding FROM documents LEFT JOIN embeddings ON doc_id = vec_id") + "," + _lettered("bl", "SELECT item_id, text, embedding FROM benchmark LEFT JOIN embeddings ON item_id = vec_id") + """,
+    pool AS (SELECT doc_id AS chunk_id, source, text, coalesce(embedding, v)::DOUBLE[] AS e FROM dl),
+    asked AS (SELECT item_id, coalesce(embedding, v)::DOUBLE[] AS e FROM bl),
+    dense AS (FROM (SELECT item_id AS query_id, chunk_id, list_inner_product(x.e, p.e) AS s, row_number() OVER (PARTITION BY item_id ORDER BY round(s, 9) DESC, chunk_id) AS dense_rank FROM asked x, pool p) WHERE dense_rank <= 600),
     lex AS (SELECT query_id, chunk_id, dense_rank, coalesce(w, 0) AS bm25_score, row_number() OVER (PARTITION BY query_id ORDER BY round(coalesce(w, 0), 9) DESC, dense_rank) AS bm25_rank FROM dense LEFT JOIN (SELECT query_id, chunk_id, sum(w * qtf) AS w FROM part GROUP BY ALL) USING (query_id, chunk_id)),
     fused AS (SELECT *, 1 / (30 + dense_rank) + 1 / (30 + bm25_rank) AS rrf, row_number() OVER (PARTITION BY query_id ORDER BY round(rrf, 12) DESC, dense_rank, bm25_rank) AS rrf_rank FROM lex),
     boost AS (SELECT f.*, source, count(*) OVER (PARTITION BY query_id, source) AS n, ln(rrf * (1 + 0.03::DOUBLE * exp(n))) AS lb FROM fused f JOIN pool USING (chunk_id)),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(lb, 9) DESC, rrf_rank) AS boost_rank FROM boost)"""
 
 
+def _with_vectors(rows: DataFrame, spark, sf_dir, key: str, text: str) -> DataFrame:
+    """rows with the stored vector of their key, or an encoded one where there is none."""
+    own = rows.join(table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias(key), "embedding"), key, "left")
+    return own.withColumn("embedding", F.coalesce("embedding", models.encode_column(models.LetterEncoder, F.when(F.col("embedding").isNull(), F.col(text)))))
+
+
 def _pool(spark, sf_dir):
-    return table(spark, sf_dir, "documents").join(table(spark, sf_dir, "embeddings"), F.col("doc_id") == F.col("vec_id")).select(F.col("doc_id").alias("chunk_id"), F.col("source").alias("doc_id"), "text", "embedding")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("chunk_id"), F.col("source").alias("doc_id"), "text")
+    return stored(_with_vectors(docs, spark, sf_dir, "chunk_id", "text"))
 
 
 def _asked(spark, sf_dir):
-    items = table(spark, sf_dir, "benchmark").withColumnRenamed("text", "query")
-    return items.join(table(spark, sf_dir, "embeddings"), F.col("item_id") == F.col("vec_id")).select(F.col("item_id").alias("query_id"), "query", bm25.word_tokens(F.col("query")).alias("tokens"), "embedding")
+    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+    return stored(_with_vectors(items, spark, sf_dir, "query_id", "query").withColumn("tokens", bm25.word_tokens(F.col("query"))))
 
 
-def _dense(spark, sf_dir):
-    return stored(ranking.dense_topk(_asked(spark, sf_dir), _pool(spark, sf_dir), 600))
+def _dense(spark, sf_dir, pool: DataFrame | None = None):
+    return stored(ranking.dense_topk(_asked(spark, sf_dir), _pool(spark, sf_dir) if pool is None else pool, 600))
 
 
 def _lexical(spark, sf_dir):
@@ -400,7 +427,7 @@ def _lexical(spark, sf_dir):
 
 _TWO_LISTS = _HYBRID_SQL + """,
     d50 AS (SELECT query_id, chunk_id, dense_rank FROM dense WHERE dense_rank <= 50),
-    l50 AS (FROM (SELECT query_id, chunk_id, row_number() OVER (PARTITION BY query_id ORDER BY round(sum(w * qtf), 9) DESC, chunk_id) AS bm25_rank FROM part WHERE query_id IN (SELECT vec_id FROM embeddings) GROUP BY query_id, chunk_id) WHERE bm25_rank <= 50),
+    l50 AS (FROM (SELECT query_id, chunk_id, row_number() OVER (PARTITION BY query_id ORDER BY round(sum(w * qtf), 9) DESC, chunk_id) AS bm25_rank FROM part GROUP BY query_id, chunk_id) WHERE bm25_rank <= 50),
     two AS (SELECT query_id, chunk_id, dense_rank, bm25_rank, coalesce(1 / (30 + dense_rank), 0) + coalesce(1 / (30 + bm25_rank), 0) AS rrf FROM d50 FULL JOIN l50 USING (query_id, chunk_id))"""
 
 
@@ -410,7 +437,8 @@ def _fused(spark, sf_dir):
 
 
 def _boosted(spark, sf_dir):
-    return ranking.paragraph_boost(_fused(spark, sf_dir).join(_pool(spark, sf_dir).select("chunk_id", "doc_id"), "chunk_id"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("chunk_id"), F.col("source").alias("doc_id"))
+    return ranking.paragraph_boost(_fused(spark, sf_dir).join(docs, "chunk_id"))
 
 
 @query(_HYBRID_SQL + " SELECT query_id, chunk_id, dense_rank, round(bm25_score, 6) AS bm25_score, bm25_rank FROM lex")
@@ -420,8 +448,8 @@ def bm25_rerank(spark, sf_dir):
 
 @query(_TWO_LISTS + " SELECT query_id, chunk_id, dense_rank, bm25_rank, round(rrf, 9) AS rrf, row_number() OVER (PARTITION BY query_id ORDER BY round(rrf, 12) DESC, dense_rank NULLS LAST, bm25_rank) AS rrf_rank FROM two")
 def rrf(spark, sf_dir):
-    """Two lists of their own: vectors over the documents that have one, words over all documents."""
-    asked = stored(_asked(spark, sf_dir))
+    """Two lists of their own: by vectors, and by words over all documents."""
+    asked = _asked(spark, sf_dir)
     lexical = bm25.topk(_index(spark, sf_dir), asked.select("query_id", "tokens"), 50)
     return ranking.rrf(ranking.dense_topk(asked, _pool(spark, sf_dir), 50), lexical).withColumn("rrf", F.round("rrf", 9))
 
@@ -453,28 +481,29 @@ def _mmr_sql(k: int) -> str:
 
 @query(_HYBRID_SQL + _mmr_sql(5))
 def mmr(spark, sf_dir):
-    dense = _dense(spark, sf_dir).join(_pool(spark, sf_dir).select("chunk_id", "embedding"), "chunk_id")
+    pool = _pool(spark, sf_dir)
+    dense = _dense(spark, sf_dir, pool).join(pool.select("chunk_id", "embedding"), "chunk_id")
     return ranking.mmr(dense, 5, score="similarity", rank="dense_rank").withColumn("mmr", F.round("mmr", 6))
 
 
 @query(_HYBRID_SQL + " SELECT query_id, chunk_id, boost_rank AS rank FROM ranked WHERE boost_rank <= 3")
 def hybrid_topk(spark, sf_dir):
-    return retrieval.retrieve(stored(_asked(spark, sf_dir)), _pool(spark, sf_dir), _index(spark, sf_dir)).select("query_id", "chunk_id", "rank")
+    return retrieval.retrieve(_asked(spark, sf_dir), _pool(spark, sf_dir), _index(spark, sf_dir)).select("query_id", "chunk_id", "rank")
 
 
 @query(_HYBRID_SQL + r""", words AS (SELECT query_id, chunk_id, boost_rank, list_distinct(list_filter(string_split_regex(lower(b.text), '\s+'), lambda w: w <> '')) AS q, list_distinct(list_filter(string_split_regex(lower(p.text), '\s+'), lambda w: w <> '')) AS d FROM ranked JOIN pool p USING (chunk_id) JOIN benchmark b ON b.item_id = query_id WHERE boost_rank <= 20),
     s AS (SELECT *, len(list_intersect(q, d)) / len(q) AS v FROM words)
     FROM (SELECT query_id, chunk_id, round(v, 6) AS rerank_score, row_number() OVER (PARTITION BY query_id ORDER BY round(v, 9) DESC, boost_rank) AS rank FROM s) WHERE rank <= 3""")
 def rerank_topk(spark, sf_dir):
-    found = retrieval.retrieve(stored(_asked(spark, sf_dir)), _pool(spark, sf_dir), _index(spark, sf_dir), reranker=models.OverlapReranker)
+    found = retrieval.retrieve(_asked(spark, sf_dir), _pool(spark, sf_dir), _index(spark, sf_dir), reranker=models.OverlapReranker)
     return found.select("query_id", "chunk_id", F.round("rerank_score", 6).alias("rerank_score"), "rank")
 
 
 @query(_HYBRID_SQL + """, c AS (SELECT query_id, max(CASE WHEN boost_rank = 1 THEN text END) AS C1, max(CASE WHEN boost_rank = 2 THEN text END) AS C2, max(CASE WHEN boost_rank = 3 THEN text END) AS C3 FROM ranked JOIN pool USING (chunk_id) GROUP BY query_id)
     SELECT query_id, 'Question: ' || b.text || chr(10) || 'Retrieve background scientific knowledge to help answer.' AS query, concat_ws(chr(10) || chr(10), '[Document 1]' || chr(10) || C1, '[Document 2]' || chr(10) || C2, '[Document 3]' || chr(10) || C3) AS context FROM c JOIN benchmark b ON b.item_id = query_id""")
 def context_wide(spark, sf_dir):
-    asked = stored(_asked(spark, sf_dir))
-    wide = retrieval.contexts(retrieval.retrieve(asked, _pool(spark, sf_dir), _index(spark, sf_dir)), _pool(spark, sf_dir))
+    asked, pool = _asked(spark, sf_dir), _pool(spark, sf_dir)
+    wide = retrieval.contexts(retrieval.retrieve(asked, pool, _index(spark, sf_dir)), pool)
     return wide.join(asked, "query_id").select("query_id", qa.query_text(F.col("query")).alias("query"), qa.context(["C1", "C2", "C3"]).alias("context"))
 
 
