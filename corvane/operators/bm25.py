@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K1, B = 1.5, 0.75
+#: Parts that the postings of a frequent token are dealt over.
+SALTS = 64
 
 
 def word_tokens(c: Column) -> Column:
@@ -93,13 +95,19 @@ def scores(index: Bm25Index, queries: DataFrame, distinct: bool = True, candidat
     """(query_id, chunk_id, score) of chunks that share a token with the query (query_id, tokens).
 
     distinct: each token of the query counts once; else as often as it stands there. candidates (query_id, chunk_id):
-    only these are scored, and the postings are cut down to them before scores are computed.
+    only these are scored, and the postings are cut down to them before scores are computed. Tokens with over a thousandth of
+    all postings, of which there are at most a thousand, are dealt over SALTS parts by chunk, so no task meets all of one.
     """
     q = queries.select("query_id", F.explode("tokens").alias("token")).groupBy("query_id", "token").agg(F.count("*").alias("qtf"))
     postings = index.postings
     if candidates is not None:
         postings = postings.join(candidates.select("chunk_id").distinct(), "chunk_id", "left_semi")
-    hits = q.join(index.idf.select("token", "idf"), "token").join(postings, "token")
+    total = index.idf.agg(F.sum("df").alias("__total"))
+    frequent = F.broadcast(index.idf.join(F.broadcast(total), F.col("df") * 1000 > F.col("__total")).select("token", F.lit(True).alias("__often")))
+    asked = q.join(index.idf.select("token", "idf"), "token").join(frequent, "token", "left")
+    asked = asked.withColumn("__salt", F.explode(F.when(F.col("__often"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("__often")
+    salted = postings.join(frequent, "token", "left").withColumn("__salt", F.when(F.col("__often"), F.pmod(F.xxhash64("chunk_id"), F.lit(SALTS))).otherwise(0).cast("int")).drop("__often")
+    hits = asked.join(salted, ["token", "__salt"])
     if candidates is not None:
         hits = hits.join(candidates.select("query_id", "chunk_id"), ["query_id", "chunk_id"], "left_semi")
     rows = hits.join(index.lengths, "chunk_id").join(F.broadcast(index.metadata), F.lit(True))  # one row
