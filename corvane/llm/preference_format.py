@@ -42,7 +42,7 @@ def preference_pairs(turns: DataFrame, pair: Column, chosen: Column, turn_col: s
     repeated rows have one order; repeated rows stay. Null roles and texts are empty, null numbers come first.
     status: pair; identical, where the prompt holds everything and both completions are empty; chosen_only and
     rejected_only, where the other side has no turns, so prompt and the other completion are empty. An empty table gives no
-    rows. Other columns are not read.
+    rows. A very long text is rendered whole: the turns of one pair meet in one row. Other columns are not read.
     """
     prepare(turns.sparkSession)
     turn = F.struct(F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

@@ -47,3 +47,10 @@ def test_long_text_and_plan_without_python(spark):
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, prompt string, status long")
     plan = preference_pairs(turns, F.expr("conv_id div 2"), F.col("conv_id") % 2 == 0)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_columns_with_names_used_inside(spark):
+    rows = [(0, 1, "user", "hi", "x", 1, "y", 2), (0, 2, "assistant", "yes " * 5000, "x", 1, "y", 2), (1, 1, "user", "hi", "x", 1, "y", 2), (1, 2, "assistant", None, "x", 1, "y", 2)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, c string, r int, t string, pair_id int")
+    out = preference_pairs(df, F.expr("conv_id div 2"), F.col("conv_id") % 2 == 0).collect()
+    assert [(r.pair_id, r.n_prefix, r.status, len(r.chosen)) for r in out] == [(0, 1, "pair", len("<|assistant|>\n<|end|>\n") + 20_000)]
