@@ -36,8 +36,8 @@ _SCORED = "kind int, rid long, doc_id long, held_out boolean, n_tokens long, n_k
 
 
 def group_sizes(n_tokens: int) -> tuple[int, int]:
-    """Groups of single words, and classes of other words: both follow the cube root of the training tokens, so that pairs of groups grow by its square and each still has more tokens to learn from."""
-    single = max(16, round(2.2 * n_tokens ** (1 / 3)))
+    """Groups of single words, and classes of other words: both follow the fourth root of the training tokens, so that pairs of groups grow as its square and each still has more tokens to learn from."""
+    single = max(16, round(9 * n_tokens**0.25))
     return single, max(16, single // 5)
 
 
@@ -124,6 +124,25 @@ def _pairs(head, single: int, classes: int):
     return count
 
 
+def _packed_rows(size: int):
+    """The counts of one group before as a compressed row, byte planes apart, so that little goes to the driver."""
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        import zstandard
+
+        row = np.zeros(size, np.int64)
+        row[pdf["after"]] = pdf["n"]
+        return pd.DataFrame({"distance": pdf["distance"].iloc[:1], "before": pdf["before"].iloc[:1], "row": [zstandard.compress(row.view(np.uint8).reshape(-1, 8).T.tobytes())]})
+
+    return pack
+
+
+def _unpacked_row(blob: bytes) -> np.ndarray:
+    import zstandard
+
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+
+
 def train(pairs: np.ndarray, width: int = 24, noise: float = 20.0, rate: float = 0.05, seed: int = 7, check: int = 25, least: float = 2e-5, most: int = 1000) -> np.ndarray:
     """log10 P(after | before) for all groups, from counts of pairs [before, after].
 
@@ -253,9 +272,10 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alone = spark.sparkContext.broadcast(set(top["word"][:single]))
     totals = counts.mapInArrow(_class_totals(alone, classes), "class int, total long, distinct long").groupBy("class").agg(F.sum("total").alias("total"), F.sum("distinct").alias("distinct")).toPandas().set_index("class").reindex(range(classes), fill_value=0)
     gathered = learned.mapInArrow(_pairs(head, single, classes), "distance int, before int, after int, n long").groupBy("distance", "before", "after").agg(F.sum("n").alias("n"))
-    cells, size = gathered.toPandas(), single + classes + 1  # at most 2 size^2 rows
+    size = single + classes + 1
     pairs = np.zeros((2, size, size))
-    pairs[cells["distance"].to_numpy(int), cells["before"].to_numpy(int), cells["after"].to_numpy(int)] = cells["n"].to_numpy(float)
+    for r in gathered.groupBy("distance", "before").applyInPandas(_packed_rows(size), "distance int, before int, row binary").toPandas().itertuples():  # at most 2 size rows
+        pairs[r.distance, r.before] = _unpacked_row(bytes(r.row))
     class_floor = np.log10(totals["total"].to_numpy(float) + 0.1 * (totals["distinct"].to_numpy(float) + 1))
     model = spark.sparkContext.broadcast((*joined(train(pairs[0]), train(pairs[1]), *pairs), class_floor))
 
