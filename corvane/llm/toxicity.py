@@ -12,6 +12,7 @@ dictionaries that were trained without them.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import in_fold, prepare
+from .common import in_fold, prepare, trim
 
 #: Words of a window, what stands between them, and the bytes after which a longer window is cut.
 WORDS, GAP, WINDOW_BYTES = 4, b"   ", 512
@@ -55,34 +56,43 @@ def _runs(window: bytes) -> np.ndarray:
     return out
 
 
-def _holders(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """How many texts hold each run."""
-    none = np.zeros(0, np.uint64)
-    return np.unique(np.concatenate([none, *(np.unique(np.concatenate([none, *map(_runs, windows(t))])) for t in texts)]), return_counts=True)
-
-
-def typical_runs(toxic: list[str], ordinary: list[str]) -> np.ndarray:
-    """The runs that are typical of toxic texts, sorted."""
-    (runs, n), (others, m) = _holders(toxic), _holders(ordinary)
-    if not len(runs) or not len(ordinary):
-        return runs[:0]
-    at = np.minimum(np.searchsorted(others, runs), max(0, len(others) - 1))
-    seen = np.where(others[at] == runs, m[at], 0) if len(others) else np.zeros(len(runs))
-    return runs[(n >= LEAST) & (n / len(toxic) >= RATIO * (seen + 0.5) / len(ordinary))]
-
-
-def typical_stretches(texts: list[str], typical: np.ndarray) -> list[bytes]:
-    """The stretches of all windows that typical runs cover; of each text, different ones once."""
-    out = []
-    for text in texts if len(typical) else ():
-        found = {}
-        for w in windows(text):
-            r = _runs(w)
-            hit = np.flatnonzero(typical[np.minimum(np.searchsorted(typical, r), len(typical) - 1)] == r)
-            for part in np.split(hit, np.flatnonzero(np.diff(hit) > RUN) + 1) if len(hit) else ():
-                found[GAP + w[part[0] : part[-1] + RUN].strip() + GAP] = True
-        out += found
-    return out
+class Sample:
+    """Labelled texts: their windows, and the runs of those as numbers below the number of different runs."""
+
+    def __init__(self, texts: list[str]):
+        self.windows = [windows(t) for t in texts]
+        none = np.zeros(0, np.uint64)
+        runs_of = lambda ws: np.concatenate([none, *map(_runs, ws)])
+        every = np.concatenate([none, *(np.unique(runs_of(ws)) for ws in self.windows)])
+        every.sort()
+        every = every[np.concatenate([[True], every[1:] != every[:-1]])] if len(every) else every
+        self.n_runs = len(every)
+        # Numbers take half the room, so the runs themselves are made again, text by text.
+        self.runs = [np.searchsorted(every, runs_of(ws)).astype(np.int32) for ws in self.windows]
+        self.distinct = [np.unique(r) for r in self.runs]
+        self.edges = [np.cumsum([0, *(max(0, len(w) - RUN + 1) for w in ws)]) for ws in self.windows]  # where each window's runs begin
+
+    def holders(self, chosen: list[int]) -> np.ndarray:
+        """How many of the chosen texts hold each run."""
+        return np.bincount(np.concatenate([np.zeros(0, np.int32), *(self.distinct[i] for i in chosen)]), minlength=self.n_runs)
+
+    def typical(self, toxic: list[int], ordinary: list[int]) -> np.ndarray:
+        """Which runs are typical of the toxic texts among the chosen."""
+        n, m = self.holders(toxic), self.holders(ordinary)
+        return (n >= LEAST) & (n / max(1, len(toxic)) >= RATIO * (m + 0.5) / max(1, len(ordinary))) & bool(ordinary)
+
+    def stretches(self, chosen: list[int], typical: np.ndarray) -> list[bytes]:
+        """The stretches of the chosen texts' windows that typical runs cover; of each text, different ones once."""
+        out = []
+        for i in chosen:
+            hits = np.flatnonzero(typical[self.runs[i]])
+            of, found = np.searchsorted(self.edges[i], hits, side="right") - 1, {}
+            new = np.flatnonzero((np.diff(of, prepend=-1) > 0) | (np.diff(hits, prepend=-RUN - 1) > RUN))
+            for a, b in zip(new.tolist(), [*(new[1:] - 1).tolist(), len(hits) - 1]):
+                w, begin = self.windows[i][of[a]], int(self.edges[i][of[a]])
+                found[GAP + w[hits[a] - begin : hits[b] - begin + RUN].strip() + GAP] = True
+            out += found
+        return out
 
 
 def trained(samples: list[bytes], size: int, piece: int) -> bytes:
@@ -117,7 +127,10 @@ class ToxicityModel:
 
     def features(self, text: str) -> tuple[float, float, float, float]:
         """Of the gains of the text's different windows: the mean, the largest, the number of 3 or more and their share."""
-        gains = [self.gain(w) for w in dict.fromkeys(windows(text))]
+        return self.features_of(windows(text))
+
+    def features_of(self, found: list[bytes]) -> tuple[float, float, float, float]:
+        gains = [self.gain(w) for w in dict.fromkeys(found)]
         if not gains:
             return 0.0, 0.0, 0.0, 0.0
         strong = sum(g >= 3 for g in gains)
@@ -143,10 +156,10 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 400) -> list[float]:
     return w.tolist()
 
 
-def dictionaries(toxic: list[str], ordinary: list[str]) -> ToxicityModel:
-    """A model without calibration. Without typical runs the toxic dictionary is empty and nothing gains."""
-    stretches = typical_stretches(toxic, typical_runs(toxic, ordinary))
-    model = ToxicityModel(trained(stretches, TOXIC_BYTES, TOXIC_PIECE), trained([w for t in ordinary for w in windows(t)], ORDINARY_BYTES, ORDINARY_PIECE))
+def dictionaries(sample: Sample, toxic: list[int], ordinary: list[int]) -> ToxicityModel:
+    """A model of the chosen texts, without calibration. Without typical runs the toxic dictionary is empty and nothing gains."""
+    stretches = sample.stretches(toxic, sample.typical(toxic, ordinary))
+    model = ToxicityModel(trained(stretches, TOXIC_BYTES, TOXIC_PIECE), trained([w for i in ordinary for w in sample.windows[i]], ORDINARY_BYTES, ORDINARY_PIECE))
     model.open()
     return model
 
@@ -156,16 +169,17 @@ def fit(toxic: list[str], ordinary: list[str], parts: int = 3) -> ToxicityModel:
     toxic, ordinary = sorted(set(toxic)), sorted(set(ordinary))
     rng = np.random.default_rng(0)
     toxic, ordinary = ([texts[i] for i in rng.permutation(len(texts))] for texts in (toxic, ordinary))
-    model = dictionaries(toxic, ordinary)
+    sample = Sample([*toxic, *ordinary])
+    labels = [[*range(len(toxic))], [*range(len(toxic), len(toxic) + len(ordinary))]]
+    model = dictionaries(sample, *labels)
     if not model.toxic or not ordinary:
         return model
     x, y = [], []
-    for i in range(parts):
-        outside = lambda texts: [t for k, t in enumerate(texts) if k % parts != i]  # noqa: E731, B023
-        other = dictionaries(outside(toxic), outside(ordinary))
-        for label, texts in enumerate((ordinary, toxic)):
-            x += [other.features(t) for t in texts[i::parts]]
-            y += [label] * len(texts[i::parts])
+    for part in range(parts):
+        other = dictionaries(sample, *([i for k, i in enumerate(chosen) if k % parts != part] for chosen in labels))
+        for label, chosen in zip((1, 0), labels):
+            x += [other.features_of(sample.windows[i]) for i in chosen[part::parts]]
+            y += [label] * len(chosen[part::parts])
     model.weights = _logistic(np.array(x), np.array(y))
     return model
 
@@ -178,13 +192,15 @@ def score_column(model: ToxicityModel, text: Column) -> Column:
     parts = (model.toxic, model.ordinary, model.weights)
 
     @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         key = parts[0] + parts[1] + repr(parts[2]).encode()
         if key not in _open:
             _open.clear()
             _open[key] = ToxicityModel(*parts)
             _open[key].open()
-        return pd.Series([_open[key].score(x or "") for x in texts], dtype="float64")
+        for texts in batches:
+            yield pd.Series([_open[key].score(x or "") for x in texts], dtype="float64")
+        trim()
 
     return score(F.coalesce(text.cast("string"), F.lit("")))
 
