@@ -27,12 +27,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, arrow_schema, in_fold, prepare, record
+from .common import Workspace, arrow_schema, in_fold, prepare, record, trimmed
 
 #: Words whose counts are broadcast: at most 16 MB, as longer words than LONG bytes stand under a digest.
 HEAD, LONG = 1 << 18, 64
 _COUNTED = 400_000
-_SCORED = "kind int, rid long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, word binary, times int"
+_SCORED = "kind int, rid long, doc_id long, held_out boolean, n_tokens long, n_known long, n_rare long, base double, score double, word binary, times int"
 
 
 def group_sizes(n_tokens: int) -> tuple[int, int]:
@@ -51,6 +51,7 @@ def class_of(word: bytes, classes: int) -> int:
     return zlib.crc32(word.rstrip(b".,;:!?")[-3:]) % classes
 
 
+@trimmed
 def _count(batches):
     """Word counts of a partition, passed on whenever they grow large."""
     schema, counts = arrow_schema("word binary, n long"), Counter()
@@ -66,6 +67,7 @@ def _count(batches):
 def _class_totals(single, classes: int):
     schema = arrow_schema("class int, total long, distinct long")
 
+    @trimmed
     def add(batches):
         total, distinct = np.zeros(classes, np.int64), np.zeros(classes, np.int64)
         for batch in batches:
@@ -100,6 +102,7 @@ def _pairs(head, single: int, classes: int):
     """How often each group follows each at distances one and two: the counts of a partition."""
     schema = arrow_schema("distance int, before int, after int, n long")
 
+    @trimmed
     def count(batches):
         groups = Groups(head.value, single, classes)
         size = groups.end + 1
@@ -209,6 +212,7 @@ def _score(head, model, single: int, classes: int, n_all: float, v_all: float, e
     """Scores of all but the rare words of each text, and the rare words with their numbers."""
     schema = arrow_schema(_SCORED)
 
+    @trimmed
     def score(batches):
         from pyspark import TaskContext
 
@@ -219,6 +223,7 @@ def _score(head, model, single: int, classes: int, n_all: float, v_all: float, e
         within = np.where((group_of >= single) & (group_of < groups.end), counts - class_floor[np.clip(group_of - single, 0, classes - 1)], 0.0)
         floor, rare_of = np.log10(n_all + 0.1 * (v_all + 1)), len(head.value)
         seen = np.array([n > 0 for n in head.value.values()] + [ends > 0])
+        seldom = np.array([n <= 1 for n in head.value.values()] + [False])  # the end is no word
         for batch in batches:
             docs, rare = [], []
             for doc_id, held_out, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
@@ -231,10 +236,10 @@ def _score(head, model, single: int, classes: int, n_all: float, v_all: float, e
                 known = at >= 0
                 one, two = contexts(g, groups.end)
                 lm = (near[one, g] + far[two, g] - total[one, two]).sum(dtype=float) + within[at[known]].sum() - class_floor[g[~known] - single].sum()
-                docs.append((rid, doc_id, held_out, len(g), int(seen[at[known]].sum()), float(counts[at[known]].sum() - floor * len(g)), float(lm)))
+                docs.append((rid, doc_id, held_out, len(g), int(seen[at[known]].sum()), int(seldom[at[known]].sum()), float(counts[at[known]].sum() - floor * len(g)), float(lm)))
                 rare += [(rid, w, n) for w, n in others.items()]
                 rid += 1
-            names = ("rid", "doc_id", "held_out", "n_tokens", "n_known", "base", "score")
+            names = ("rid", "doc_id", "held_out", "n_tokens", "n_known", "n_rare", "base", "score")
             yield record(schema, len(docs), kind=[0] * len(docs), **{k: [d[i] for d in docs] for i, k in enumerate(names)})
             if rare:
                 yield record(schema, len(rare), kind=[1] * len(rare), rid=[x[0] for x in rare], word=[x[1] for x in rare], times=[x[2] for x in rare])
@@ -243,11 +248,12 @@ def _score(head, model, single: int, classes: int, n_all: float, v_all: float, e
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per input row.
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, rare_share: one row per input row.
 
     Texts whose crc32(id as text) leaves a remainder by `folds` are learned from; the others are held out. Tokens are the
     words (A-Z lower-cased, between ASCII white space) and one end. base_score is the smoothed unigram log10 probability,
-    score the model's. Null texts are empty: one token, the end. A null id counts as the empty text for the fold. Equal
+    score the model's, rare_share the share of tokens whose word stands at most once in the training text: a text learned
+    from has as many as it has words of its own, one that stands there twice has none. Null texts are empty: one token, the end. A null id counts as the empty text for the fold. Equal
     counts are ordered by the word. Repeated rows are learned from and scored each for itself. If nothing can be learned,
     every token is unknown and the model knows no order. A very long text is held whole. An empty table gives no rows. Other
     columns are not read.
@@ -282,7 +288,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     scored = ws.write(source.mapInArrow(_score(head, model, single, classes, float(n_all), float(v_all), ends), _SCORED), "scored", "kind")
     ws.drop()
     rare = scored.where("kind = 1").select("rid", "word", "times")
-    tail = rare.join(counts, "word", "left").groupBy("rid").agg(F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(0.1))).alias("more"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known"))
+    tail = rare.join(counts, "word", "left").groupBy("rid").agg(F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + F.lit(0.1))).alias("more"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known"), F.sum(F.when(F.coalesce("n", F.lit(0)) <= 1, F.col("times")).otherwise(0)).alias("rare"))
     out = scored.where("kind = 0").join(tail, "rid", "left")
     more = F.coalesce("more", F.lit(0.0))
-    return out.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(int(n_all)).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"), (F.col("score") + more).alias("score"))
+    return out.select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(int(n_all)).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"), (F.col("score") + more).alias("score"), ((F.col("n_rare") + F.coalesce("rare", F.lit(0))) / F.col("n_tokens")).alias("rare_share"))

@@ -23,7 +23,7 @@ def test_base_score_is_the_smoothed_unigram(make, corpus):
 
 
 def plain(rows, head_size):
-    """(n_known, base_score, score) of every row, from plain dictionaries and the trained tables."""
+    """(n_known, rare_share, base_score, score) of every row, from plain dictionaries and the trained tables."""
     tokens = [(t or "").encode().lower().split() for _, t in rows]
     learned = [ws for (i, _), ws in zip(rows, tokens) if zlib.crc32(("" if i is None else str(i)).encode()) % 10]
     c = Counter(w for ws in learned for w in ws)
@@ -61,7 +61,7 @@ def plain(rows, head_size):
         score = sum(float(near[one, it] + far[two, it] - total[one, two]) for two, one, it in zip(g, g[1:], g[2:]))
         score += sum(math.log10((c[w] + 0.1) / (in_class[of(w)] + 0.1 * (kinds[of(w)] + 1))) for w in ws if w not in group)
         counts = [*(c[w] for w in ws), len(learned)]
-        out.append((sum(x > 0 for x in counts), sum(math.log10((x + 0.1) / (n + 0.1 * (v + 1))) for x in counts), score))
+        out.append((sum(x > 0 for x in counts), sum(c[w] <= 1 for w in ws) / len(counts), sum(math.log10((x + 0.1) / (n + 0.1 * (v + 1))) for x in counts), score))
     return out
 
 
@@ -72,8 +72,8 @@ def test_scores_against_plain_dictionaries(make, corpus, monkeypatch, head):
     long = "y" * 70
     rows = [(i, t if t is None else f"{t} rare{i % 40} {long if i % 3 == 0 else ''} {'z' * (60 + i % 9)}") for i, t in corpus]
     got = {r.doc_id: r for r in L.score_documents(make(rows)).collect()}
-    for (i, _), (known, base, score) in zip(rows, plain(rows, head)):
-        assert got[i].n_known == known and math.isclose(got[i].base_score, base, rel_tol=1e-9) and math.isclose(got[i].score, score, rel_tol=1e-4, abs_tol=1e-3)
+    for (i, _), (known, rare, base, score) in zip(rows, plain(rows, head)):
+        assert got[i].n_known == known and math.isclose(got[i].rare_share, rare) and math.isclose(got[i].base_score, base, rel_tol=1e-9) and math.isclose(got[i].score, score, rel_tol=1e-4, abs_tol=1e-3)
 
 
 def test_a_frequent_long_word_is_in_the_head(make):
