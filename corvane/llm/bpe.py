@@ -16,6 +16,7 @@ import json
 import re
 from array import array
 from collections import deque
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import groupby
 from os.path import commonprefix
@@ -25,13 +26,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, id_and_text, prepare, record
+from .common import arrow_schema, id_and_text, prepare, record, trim, trimmed
 
 _NEVER = 1 << 60
 _FIELDS = "doc_id long, ids binary, n_tokens long, decoded string"
 #: Bytes of words and ids that a Python worker remembers between batches, the longest word remembered, and pairs of tokens
 #: whose seam it remembers; results do not depend on them.
-REMEMBERED, LONGEST, PAIRS = 96 << 20, 256, 1 << 20
+REMEMBERED, LONGEST, PAIRS = 64 << 20, 256, 1 << 19
+#: Characters whose words are held as strings at once; a longer text is held alone.
+AT_ONCE = 2 << 20
 
 
 #: Fixed value: the public pre-split of byte-level vocabularies.
@@ -253,6 +256,15 @@ class TrieTokenizer:
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
+        out, low, held = [], 0, 0
+        for high, text in enumerate(texts, 1):
+            held += len(text)
+            if held >= AT_ONCE or high == len(texts):
+                out += self._encode(texts[low:high])
+                low, held = high, 0
+        return out
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         known, split = self.known, self.words
         if self._held > REMEMBERED:
             known.clear()
@@ -279,6 +291,13 @@ class TrieTokenizer:
             self._held -= len(word) + len(known.pop(fresh[word])) + 200
         return out
 
+    def forget(self) -> None:
+        """Drops what is remembered, so that an idle worker does not hold it."""
+        for memo in (self.known, self._apart, self._left, self._right):
+            memo.clear()
+        self._held = 0
+        trim()
+
     def decode(self, ids: bytes) -> str:
         """The text of packed ids; bytes that are not UTF-8 become replacement characters."""
         return b"".join(map(self.bytes.__getitem__, memoryview(ids).cast("I"))).decode("utf-8", "replace")
@@ -304,11 +323,13 @@ def _tokenizer(shared) -> TrieTokenizer:
 def _code(shared):
     schema = arrow_schema(_FIELDS)
 
+    @trimmed
     def code(batches):
         t = _tokenizer(shared)
         for batch in batches:
             ids = t.encode_batch(batch.column(1).to_pylist())
             yield record(schema, len(ids), doc_id=batch.column(0), ids=ids, n_tokens=[len(x) // 4 for x in ids], decoded=[t.decode(x) for x in ids])
+        t.forget()
 
     return code
 
@@ -331,10 +352,13 @@ def with_tokens(docs: DataFrame, tokenizer_path: str, text_col: str = "text") ->
     shared = _shared(docs, tokenizer_path)
 
     @F.pandas_udf("ids binary, n_tokens long, round_trip boolean")
-    def coded(texts: pd.Series) -> pd.DataFrame:
-        t, texts = _tokenizer(shared), texts.tolist()
-        ids = t.encode_batch(texts)
-        return pd.DataFrame({"ids": ids, "n_tokens": [len(x) // 4 for x in ids], "round_trip": [t.decode(x) == y for x, y in zip(ids, texts)]})
+    def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        t = _tokenizer(shared)
+        for batch in batches:
+            texts = batch.tolist()
+            ids = t.encode_batch(texts)
+            yield pd.DataFrame({"ids": ids, "n_tokens": [len(x) // 4 for x in ids], "round_trip": [t.decode(x) == y for x, y in zip(ids, texts)]})
+        t.forget()
 
     out = docs.withColumn("__coded", coded(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
     return out.withColumns({c: F.col(f"__coded.{c}") for c in ("ids", "n_tokens", "round_trip")}).drop("__coded")

@@ -10,6 +10,7 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from functools import wraps
 from pathlib import Path
 
 import pyarrow as pa
@@ -50,7 +51,12 @@ class Workspace:
     A lost executor loses none of these tables, so later stages do not go back beyond them. They go when the application ends.
     """
 
+    #: Where a list stands here, new folders are noted in it, for whoever knows when they are spent.
+    noted: list[Workspace] | None = None
+
     def __init__(self, spark: SparkSession, name: str):
+        if Workspace.noted is not None:
+            Workspace.noted.append(self)
         base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
         if not base:
             if spark.sparkContext.master.partition("[")[0] != "local":
@@ -73,6 +79,11 @@ class Workspace:
     def read(self, name: str, schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
 
+    def remove(self) -> None:
+        """Removes the folder and all its tables."""
+        root, system = self._path()
+        system.delete(root, True)
+
     def drop(self, *names: str) -> None:
         """Removes tables that no later step reads, and lets the cleaner take the shuffle files of finished steps."""
         for name in names:
@@ -134,6 +145,7 @@ PACKED = "run long, doc_ids array<long>, sizes array<int>, texts binary"
 def pack_runs(docs: DataFrame, ws: Workspace, id_col: str = "doc_id", text_col: str = "text", run_bytes: int = BATCH_BYTES) -> DataFrame:
     """Documents as a table of runs: about run_bytes of whole texts, compressed, with their ids. A run is read again and again under the same number."""
 
+    @trimmed
     def pack(batches):
         import zstandard
         from pyspark import TaskContext
@@ -169,8 +181,22 @@ def unpack(sizes: list[int], texts: bytes) -> list[bytes]:
     return out
 
 
+def trimmed(task):
+    """A task over batches that gives its free memory back when it ends: idle workers stay, and count for their executor."""
+
+    @wraps(task)
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            trim()
+
+    return run
+
+
 def trim() -> None:
-    """Gives memory that the C library holds free back to the system, so that a worker's size follows what it needs now."""
+    """Gives memory that Arrow and the C library hold free back to the system, so that a worker's size follows what it needs now."""
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):  # another C library

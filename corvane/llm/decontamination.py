@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, arrow_schema, id_and_text, numbered, prepare, record
+from .common import Workspace, arrow_schema, id_and_text, numbered, prepare, record, trimmed
 
 #: A-Z are lower-cased before; then all ASCII but digits and letters ends a word.
 _BREAKS = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -52,6 +52,7 @@ def _segments(block_words: int):
         codes.default_factory = codes.__len__  # a new word gets the next number
         return [], [], [], codes, 0
 
+    @trimmed
     def build(batches):
         from pyspark import TaskContext
 
@@ -82,6 +83,7 @@ def term_counts(index: DataFrame, terms: set[bytes]) -> dict[bytes, int]:
     """Occurrences in the whole index, of the given terms only."""
     wanted = index.sparkSession.sparkContext.broadcast(terms)
 
+    @trimmed
     def count(batches):
         schema = arrow_schema("term binary, n long")
         for batch in batches:
@@ -237,6 +239,7 @@ class Segment:
 def _search(queries, within: int | None):
     """Looks the windows of a block up in each segment."""
 
+    @trimmed
     def look(batches):
         q = queries.value
         for batch in batches:

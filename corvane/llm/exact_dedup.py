@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, arrow_schema, id_and_text, numbered, prepare, record
+from .common import Workspace, arrow_schema, id_and_text, numbered, prepare, record, trimmed
 
 _FLUSHED = "kind int, row long, doc_id long, digest binary, run long, first boolean, text_sha256 string, shard int, digests binary, ranks binary, nameless binary, counts binary, mixed binary, filter binary"
 _MERGED = "run long, digest binary, nameless boolean, rank long, n long, best_run long, runs long, mixed boolean"
@@ -98,6 +98,7 @@ def _flush(entries: list[_Entry], rows: list, run: int, shards: int):
 def _runs(keep: str, shards: int, width: int, most_bytes: int, most_rows: int):
     """The map side: memtables of bounded size, flushed as runs. A row holds on to its text's entry, not to its own copy of the text."""
 
+    @trimmed
     def flush_all(batches):
         from pyspark import TaskContext
 
@@ -201,6 +202,7 @@ def _texts_of_hits(filter_, width: int):
     """The texts whose digests the filter admits (all, without one), each once a batch."""
     schema = arrow_schema("digest binary, text binary")
 
+    @trimmed
     def look(batches):
         for batch in batches:
             texts = list(dict.fromkeys(batch.column(0).cast("binary").to_pylist()))
@@ -216,6 +218,7 @@ def _slots(bits: int):
     """The places in a filter that digests set."""
     schema = arrow_schema("slot long")
 
+    @trimmed
     def places(batches):
         for batch in batches:
             slots = np.unique(np.concatenate([*_places(_words(batch.column(0).to_pylist()), bits)])).astype(np.int64)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HOT_KEYS, Workspace, arrow_schema, attach, mixed, numbered, pack_runs, prepare, record, trim, unpack
+from .common import HOT_KEYS, Workspace, arrow_schema, attach, mixed, numbered, pack_runs, prepare, record, trim, trimmed, unpack
 from .components import components
 
 WORDS = 5
@@ -94,6 +94,7 @@ def _slices(bits: int):
     """For each run and shard (the leading bits of a key): the next 40 bits of the run's keys, and the counts over 1."""
     schema = arrow_schema("run long, shard int, keys binary, many binary, counts binary")
 
+    @trimmed
     def cut(batches):
         for batch in batches:
             for run, sizes, texts in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
@@ -140,6 +141,7 @@ def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
 def _sets(bits: int):
     """The sets of each run, with the answers of the shards: live ones with their prefix and their shared keys."""
 
+    @trimmed
     def digest_order(batches):
         for batch in batches:
             for run, ids, sizes, texts, answers in zip(*(batch.column(i).to_pylist() for i in range(5))):
@@ -216,6 +218,7 @@ def _subsets(boundary: int):
     """The subsets of light sets: (smaller size, larger size, digest) of the pair of sizes they are for."""
     schema = arrow_schema("a int, b int, s1 long, s2 long, cls long, size int")
 
+    @trimmed
     def enumerate_(batches):
         for batch in batches:
             rows = []
@@ -234,6 +237,7 @@ def _subsets(boundary: int):
     return enumerate_
 
 
+@trimmed
 def _verified(batches):
     """The pairs that link, by exact intersection of their shared keys."""
     schema = arrow_schema("a long, b long")
@@ -279,6 +283,7 @@ def _linking(m: np.ndarray, x: list[bytes], n: np.ndarray, y: list[bytes]) -> np
     return 9 * shared.astype(np.int64) >= 4 * (m[:, None] + n)
 
 
+@trimmed
 def _tallied(batches):
     """For each two blocks (component, x, y), whose rows come one after another, the documents that each class links with."""
     schema = arrow_schema("cls long, linked long")

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, id_and_text, prepare, record
+from .common import arrow_schema, id_and_text, prepare, record, trimmed
 
 #: The patterns of the known kinds, in the order in which kinds are listed.
 KINDS = ("assign", "access", "hex", "random")
@@ -182,6 +182,7 @@ def references(texts: list[str]) -> list[tuple[int, int, int]]:
     return [(e, i, b) for (e, _), i, b in zip(strings, classes, _judged(strings).tolist())]
 
 
+@trimmed
 def _measure(batches):
     """Counts of (reference or candidate, encoding, length class, bin) over a partition: a table of bounded size."""
     counts: Counter = Counter()
@@ -223,6 +224,7 @@ def discoveries(counts: pd.DataFrame, rate: float) -> list[list[int]]:
 def _scan(lowest: list[list[int]]):
     schema = arrow_schema("doc_id long, starts string, spans string")
 
+    @trimmed
     def scan(batches):
         for batch in batches:
             base, every, texts = [], [], batch.column(1).to_pylist()

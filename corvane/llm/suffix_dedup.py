@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, arrow_schema, mixed, pack_runs, prepare, record, trim, unpack
+from .common import Workspace, arrow_schema, mixed, pack_runs, prepare, record, trim, trimmed, unpack
 
 WINDOW = 200
 GRAM = 100
@@ -245,6 +245,7 @@ def _told(bits: int, answers, kind: int, high: np.ndarray) -> tuple[np.ndarray,
 def _grams_and_stretches(bits: int, seed: int):
     schema = arrow_schema(_SLICE)
 
+    @trimmed
     def enter(batches):
         for batch in batches:
             for run, sizes, texts in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3))):
@@ -261,6 +262,7 @@ def _grams_and_stretches(bits: int, seed: int):
 def _windows(bits: int, seed: int):
     schema = arrow_schema(_SLICE)
 
+    @trimmed
     def enter(batches):
         for batch in batches:
             for run, sizes, texts, answers in zip(*(batch.column(i).to_pylist() for i in range(4))):
@@ -300,6 +302,7 @@ _KEPT_ARROW = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("star
 
 
 def _cut_out(bits: int, seed: int):
+    @trimmed
     def cut(batches):
         for batch in batches:
             for _, sizes, texts, answers, ids in zip(*(batch.column(i).to_pylist() for i in range(5))):
