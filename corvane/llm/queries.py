@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, exact_dedup, jaccard_join, lm_scoring, preference_format, secret_scan, suffix_dedup, toxicity, url_filter
+from . import bpe, collocations, decontamination, exact_dedup, hard_negatives, jaccard_join, lm_scoring, packing, preference_format, secret_scan, suffix_dedup, toxicity, url_filter
 
 #: Rules of op4: (verdict, host, path prefix).
 URL_RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
@@ -70,7 +70,20 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_id", "n_links")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_lm_scoring, op3_decontamination, op4_url_filter, op5_preference_format, op6_bpe, op7_secret_scan, op8_toxicity, op9_suffix_dedup, op10_ngram_jaccard_join)}
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(table(spark, sf_dir, "embeddings"), label_col=label)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_lm_scoring, op3_decontamination, op4_url_filter, op5_preference_format, op6_bpe, op7_secret_scan, op8_toxicity, op9_suffix_dedup, op10_ngram_jaccard_join, op11_hard_negatives, op12_collocations, op13_best_fit_packing)}
 
 _RULES_SQL = ", ".join(f"({i}, '{v}', '{h}', '{p}')" for i, (v, h, p) in enumerate(URL_RULES))
 
@@ -156,4 +169,32 @@ ORACLE_SQL: dict[str, str] = {
                  WHEN n_prefix = n_chosen AND n_prefix = n_rejected THEN 'identical' ELSE 'pair' END AS status,
                n_prefix::INTEGER AS n_prefix, n_chosen::INTEGER AS n_chosen, n_rejected::INTEGER AS n_rejected, prompt, chosen, rejected, chosen_spans, rejected_spans
         FROM sized JOIN made USING (pair_id)""",
+    "op11_hard_negatives": """
+        WITH v AS (
+          SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x::DOUBLE) FOR x IN embedding] AS e
+          FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (
+          SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.e, b.e)::BIGINT AS score
+          FROM v a JOIN v b ON a.r <> b.r AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0),
+        p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, id, b) <= 5),
+        n AS (
+          SELECT p.anchor_id, p.id AS positive_id, p.score AS positive_score, s.id AS negative_id, s.score AS negative_score,
+                 row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.id, s.b)::INTEGER AS rank
+          FROM p JOIN s ON p.a = s.a AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+        SELECT * FROM n WHERE rank <= 3""",
+    "op12_collocations": r"""
+        WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+        g AS (
+          SELECT lang, w[i:i + m - 1] AS ws, count(*) AS f
+          FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) AS t(m)) GROUP BY ALL HAVING count(*) >= 30),
+        n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+        cuts AS (
+          SELECT c.lang, c.ws, c.f AS a, k, l.f AS l, r.f AS r, 2000000::HUGEINT * c.f // (l.f + r.f) AS score
+          FROM (SELECT *, unnest(range(1, len(ws))) AS k FROM g) c JOIN g l ON l.lang = c.lang AND l.ws = c.ws[1:k] JOIN g r ON r.lang = c.lang AND r.ws = c.ws[k + 1:]),
+        lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1),
+        inside AS (SELECT lang, ws[i:i + m - 1] AS ws, max(f) AS f FROM (SELECT *, unnest(range(1, len(ws) - m + 2)) AS i FROM g, (VALUES (2), (3)) AS t(m) WHERE len(ws) > m) GROUP BY ALL)
+        SELECT o.lang, row_number() OVER (PARTITION BY o.lang ORDER BY score DESC, a DESC, array_to_string(o.ws, ' '))::BIGINT AS rank, array_to_string(o.ws, ' ') AS phrase, a, l, r, n, score::BIGINT AS score
+        FROM lowest o JOIN n USING (lang) LEFT JOIN inside i ON i.lang = o.lang AND i.ws = o.ws
+        WHERE coalesce(100 * i.f < 80 * a, true) QUALIFY rank <= 2000""",
 }
