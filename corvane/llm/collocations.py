@@ -24,7 +24,7 @@ from .common import Workspace, prepare, trimmed
 #: The words of a phrase at most, the bytes that end pieces, those that part words, and the name of no language.
 DEPTH, PIECE_ENDS, SPACES, NO_LANG = 4, b".,;:!?\n\x0b\x0c\r", b" \t", "und"
 #: Text bytes of a shard; a path in so many is a sample, and so many samples make a range.
-SHARD_BYTES, SAMPLED, SAMPLES = 8 << 20, 1 << 17, 16
+SHARD_BYTES, SAMPLED, SAMPLES = 8 << 20, 1 << 17, 8
 #: Parts that each language's candidates are ranked in before their best meet.
 PARTS = 256
 
@@ -48,7 +48,7 @@ def words_of(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
     inside = kind == 0
     edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
     begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    piece = np.cumsum(kind == 2)[begin] if len(begin) else np.zeros(0, np.int64)
+    piece = np.cumsum(kind == 2, dtype=np.int32)[begin] if len(begin) else np.zeros(0, np.int32)
     offsets = np.concatenate([[0], np.cumsum(end - begin)]).astype(np.int64)
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside].tobytes())])
     return words, piece
@@ -106,8 +106,8 @@ class Trie:
 
     @staticmethod
     def merged(tries: list[Trie]) -> Trie:
-        starts = np.cumsum([0, *(len(t.words) for t in tries)])
-        paths = [np.concatenate([np.where(t.paths[d] > 0, t.paths[d] + s, 0) for t, s in zip(tries, starts)]) for d in range(DEPTH)]
+        starts = np.cumsum([0, *(len(t.words) for t in tries)]).astype(np.int32)
+        paths = [np.concatenate([np.where(t.paths[d] > 0, t.paths[d] + s, np.int32(0)) for t, s in zip(tries, starts)]) for d in range(DEPTH)]
         return Trie.collected(pa.concat_arrays([t.words for t in tries]), paths, np.concatenate([t.counts for t in tries]))
 
     def part(self, low: int, high: int) -> Trie:
@@ -239,7 +239,7 @@ def _merged_nodes(tries: DataFrame, bounds: list[tuple[str, list[bytes]]], least
 
     @trimmed
     def merge(batches):
-        now, held = None, []
+        now, held, size = None, [], 0
 
         def rows():
             for m, phrases, counts in Trie.merged(held).nodes(least):
@@ -250,11 +250,13 @@ def _merged_nodes(tries: DataFrame, bounds: list[tuple[str, list[bytes]]], least
             for key, data in zip(zip(batch.column("part").to_pylist(), batch.column("lang").to_pylist()), batch.column("trie").to_pylist()):
                 if held and key != now:
                     yield from rows()
-                    held = []
+                    held, size = [], 0
                 now = key
                 held.append(Trie.unpacked(data))
-                if len(held) > 1 and sum(len(t.counts) for t in held) > 2 * SAMPLES * SAMPLED:  # what is held follows the different paths
+                size += len(held[-1].counts)
+                if len(held) > 1 and size > 3 * SAMPLES * SAMPLED // 2:  # what is held follows the different paths
                     held = [Trie.merged(held)]
+                    size = len(held[0].counts) // 2
         if held:
             yield from rows()
 
@@ -276,7 +278,7 @@ def mine_collocations(docs: DataFrame, least: int = 30, most: int = 2000, covere
     give no rows. A very long text is one shard by itself, whose memory follows its length. Other columns play no part.
 
     Each shard's trie is written once and shuffled once, cut at bounds; what is shuffled after that are phrases with at least `least`
-    occurrences. The driver and a broadcast hold the bounds, one for about two million distinct paths of a shard.
+    occurrences. The driver and a broadcast hold the bounds, one for about a million distinct paths of a shard.
     """
     spark = prepare(docs.sparkSession)
     ws = Workspace(spark, "collocations")
