@@ -11,8 +11,11 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import cleaning
+
 # Patterns, bounds and words that decide results.
 URL_PATTERNS = (r"https?://\S+", r"www\.\S+")
+URL_SIGNS = ("://", "www.")
 CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 INVALID = r"[\p{C}&&[^\t\n\r]]"
 INVALID_PAIRS = r"[\p{C}&\[\^\t\n\r]\]"
@@ -192,7 +195,20 @@ def is_clean_enough(c: Column) -> Column:
 
 
 def full_text_cleaning(c: Column, compat: bool = False, python_steps: bool = True) -> Column:
-    """The cleaned text, or null for blank or poor text. python_steps: mojibake repair, NFKC and HTML, which need a UDF."""
+    """The cleaned text, or null for blank or poor text. python_steps: mojibake repair, NFKC and HTML, which need a UDF.
+
+    With those steps all of the chain is one pass in that UDF; without them, or with compat, it is the chain of columns,
+    which gives the same.
+    """
+    if python_steps and not compat:
+        fix = _repair()
+        urls = tuple((sign, p.replace(r"\S", r"[^ \t\n\x0b\f\r]")) for sign, p in zip(URL_SIGNS, URL_PATTERNS))
+        return cleaning.cleaning_column(c, lambda t: t if t.isascii() and "<" not in t else _plain(_nfkc(fix(t))), cleaning.class_runs((CONTROL, INVALID)), urls, STOPWORDS)
+    return chain_of_columns(c, compat, python_steps)
+
+
+def chain_of_columns(c: Column, compat: bool = False, python_steps: bool = True) -> Column:
+    """full_text_cleaning step by step, each a column function."""
     steps = lambda t: strip(clean_whitespace(keep_valid_unicode(remove_control_chars(remove_urls(t)), compat)))
     cleaned = _once(_python_steps(c) if python_steps else c, steps)
     return F.when(strip(c) != "", _once(cleaned, lambda t: F.when(is_clean_enough(t), t)))

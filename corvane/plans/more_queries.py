@@ -22,6 +22,16 @@ def csv_round_trip(spark, sf_dir):
     return readers.read_csv(spark, path, schema="doc_id long, text string, lang string", required=["text"])
 
 
+@query("SELECT doc_id, text, lang FROM documents")
+def csv_one_file(spark, sf_dir):
+    """All documents as one CSV file, with bytes that are not UTF-8, which reading drops, before each text's last quote."""
+    path, quoted = f"{folder(spark)}/d.csv", lambda c, end: F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), end, F.lit('"'))
+    bad = F.unhex(F.lit("FFC3")).cast("string")
+    rows = table(spark, sf_dir, "documents").select(F.concat_ws(",", "doc_id", quoted("text", bad), quoted("lang", F.lit(""))).alias("value"))
+    spark.createDataFrame([("doc_id,text,lang",)], "value string").coalesce(1).union(rows).coalesce(1).write.text(path)  # one file is what this is about
+    return readers.read_csv(spark, path, schema="doc_id long, text string, lang string")
+
+
 @query("SELECT p_partkey::VARCHAR AS p_partkey, p_name, p_size::VARCHAR AS p_size FROM part")
 def csv_tolerant(spark, sf_dir):
     """All columns as text."""

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import split_csv
+
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Only the named columns are read."""
@@ -15,17 +17,17 @@ def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None =
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | None = None, tolerant: bool = False, required: Sequence[str] = ()) -> DataFrame:
-    """A CSV with a header and quoted line ends. tolerant: all columns as text, malformed rows padded, no limit on field length.
+    """A CSV with a header and quoted line ends, in as many tasks as it has byte ranges. tolerant: all columns as text.
 
-    ValueError if a required column is missing. Without schema or tolerance, types are inferred.
+    Short records are padded, long ones cut, bytes that are not UTF-8 dropped; fields may be of any length. schema: columns by
+    name, as these types; values that don't fit are null. ValueError if a required column is missing. Without schema or tolerance, types are inferred.
     """
-    reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("maxCharsPerColumn", -1).option("nullValue", "")
+    df = split_csv.read(spark, path)
     if schema:
-        df = reader.schema(schema).csv(path)
-    elif tolerant:
-        df = reader.option("mode", "PERMISSIVE").csv(path)
-    else:
-        df = reader.option("inferSchema", True).csv(path)
+        wanted = spark.createDataFrame([], schema).schema
+        df = df.select(*[(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in wanted])
+    elif not tolerant:
+        df = split_csv.with_types(df)
     if missing := [c for c in required if c not in df.columns]:
         raise ValueError(f"missing columns: {missing}")
     return df
@@ -64,7 +66,7 @@ def read_folder(spark: SparkSession, path: str) -> DataFrame:
     parts = []
     for kind in ("parquet", "csv"):
         if found := sorted(n for n in names if n.endswith(f".{kind}")):
-            parts.append(spark.read.parquet(*found) if kind == "parquet" else spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(found))
+            parts.append(spark.read.parquet(*found) if kind == "parquet" else split_csv.read(spark, found))
     if not parts:
         raise ValueError(f"no files in {path}")
     df = parts[0]
