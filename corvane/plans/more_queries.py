@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from ..functions import models
 from ..functions import text as T
 from ..functions import vectors as V
-from ..operators import chunking, ordering, qa, quality, ranking, sampling
+from ..operators import bm25_blocks, chunking, ordering, qa, quality, ranking, sampling
 from ..sources import readers, writers
 from ..sources.indexes import IndexSet
 from ..sources.scratch import folder
 from . import retrieval
-from .queries import _BM25_SQL, _CHILD_SQL, _CLEANED, _GOOD_TITLE, _MCQ_OPTIONS, _OPTION_LENGTHS, _STRIP, _TITLE, _index, _mcq, query, table, titled
+from .queries import _BM25_SQL, _CHILD_SQL, _CLEANED, _GOOD_TITLE, _MCQ_OPTIONS, _OPTION_LENGTHS, _STRIP, _TITLE, _index, _mcq, _questions, query, table, titled
 
 
 @query("SELECT doc_id, text, lang FROM documents")
@@ -221,3 +221,22 @@ def bm25_lookups(spark, sf_dir):
 
     index = _index(spark, sf_dir)
     return bm25.lookup(index, "the").unionByName(bm25.lookup(index, "thation")).select("token", "chunk_id", "tf")
+
+
+def _blocks(spark, sf_dir):
+    return bm25_blocks.write_blocks(_index(spark, sf_dir), folder(spark))
+
+
+_TOP_SQL = "WITH" + _BM25_SQL + ", s AS (SELECT query_id, chunk_id, sum(w * qtf) AS score FROM part GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, chunk_id) AS bm25_rank FROM s) SELECT query_id, chunk_id, round(score, 6) AS bm25_score, bm25_rank FROM r WHERE bm25_rank <= 10"
+
+
+@query(_TOP_SQL)
+def bm25_block_topk(spark, sf_dir):
+    """The ten best of the whole index, from blocks of postings that can matter."""
+    return bm25_blocks.topk(_blocks(spark, sf_dir), _questions(spark, sf_dir), 10).withColumn("bm25_score", F.round("bm25_score", 6))
+
+
+@query("WITH" + _BM25_SQL + " SELECT token, chunk_id, tf FROM post")
+def bm25_block_postings(spark, sf_dir):
+    """Postings in blocks of gaps, taken apart again."""
+    return bm25_blocks.postings_of(_blocks(spark, sf_dir))
