@@ -19,12 +19,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Workspace, prepare, trimmed
+from .common import Workspace, prepare, trim, trimmed
 
 #: The words of a phrase at most, the bytes that end pieces, those that part words, and the name of no language.
 DEPTH, PIECE_ENDS, SPACES, NO_LANG = 4, b".,;:!?\n\x0b\x0c\r", b" \t", "und"
 #: Text bytes of a shard; a path in so many is a sample, and so many samples make a range.
-SHARD_BYTES, SAMPLED, SAMPLES = 8 << 20, 1 << 17, 8
+SHARD_BYTES, SAMPLED, SAMPLES = 8 << 20, 1 << 17, 4
 #: Parts that each language's candidates are ranked in before their best meet.
 PARTS = 256
 
@@ -207,6 +207,7 @@ def _tries(docs: DataFrame, ws: Workspace) -> DataFrame:
                 if size >= SHARD_BYTES:
                     yield from rows()
                     held, size = {}, 0
+                    trim()
         yield from rows()
 
     return ws.write(docs.mapInArrow(build, _TRIE), "tries")
@@ -251,6 +252,7 @@ def _merged_nodes(tries: DataFrame, bounds: list[tuple[str, list[bytes]]], least
                 if held and key != now:
                     yield from rows()
                     held, size = [], 0
+                    trim()
                 now = key
                 held.append(Trie.unpacked(data))
                 size += len(held[-1].counts)
@@ -278,7 +280,7 @@ def mine_collocations(docs: DataFrame, least: int = 30, most: int = 2000, covere
     give no rows. A very long text is one shard by itself, whose memory follows its length. Other columns play no part.
 
     Each shard's trie is written once and shuffled once, cut at bounds; what is shuffled after that are phrases with at least `least`
-    occurrences. The driver and a broadcast hold the bounds, one for about a million distinct paths of a shard.
+    occurrences. The driver and a broadcast hold the bounds, one for about half a million distinct paths of a shard (some 60 bytes).
     """
     spark = prepare(docs.sparkSession)
     ws = Workspace(spark, "collocations")
