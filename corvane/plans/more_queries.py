@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import models
 from ..functions import text as T
 from ..functions import vectors as V
-from ..operators import bm25_blocks, chunking, ordering, qa, quality, ranking, sampling
+from ..operators import bm25_blocks, chunking, ordering, pivots, qa, quality, ranking, sampling
 from ..sources import readers, writers
 from ..sources.indexes import IndexSet
 from ..sources.scratch import folder
@@ -240,3 +240,36 @@ def bm25_block_topk(spark, sf_dir):
 def bm25_block_postings(spark, sf_dir):
     """Postings in blocks of gaps, taken apart again."""
     return bm25_blocks.postings_of(_blocks(spark, sf_dir))
+
+
+_NEAREST_SQL = """SELECT query_id, chunk_id, round(s, 6) AS similarity, r AS dense_rank FROM (SELECT a.vec_id AS query_id, b.vec_id AS chunk_id, list_inner_product(a.embedding::DOUBLE[], b.{0}::DOUBLE[]) AS s,
+    row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_inner_product(a.embedding::DOUBLE[], b.{0}::DOUBLE[]), 9) DESC, b.vec_id) AS r FROM embeddings a, ({1}) b WHERE a.vec_id % 20 = 0) WHERE r <= 10"""
+_HALVES_SQL = "SELECT vec_id, [CASE WHEN v = 0 THEN 0 ELSE round_even(v::DOUBLE / pow(2, greatest(floor(log2(abs(v::DOUBLE))), -14) - 10), 0) * pow(2, greatest(floor(log2(abs(v::DOUBLE))), -14) - 10) END FOR v IN embedding] AS half FROM embeddings"
+
+
+def _nearest(spark, sf_dir, kind):
+    vectors, path = table(spark, sf_dir, "embeddings"), folder(spark)
+    pivots.blocks_around_centres(vectors, "vec_id", "embedding", kind, rows=256).write.parquet(path)
+    asked = vectors.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
+    return pivots.search(asked, spark.read.parquet(path), 10).withColumn("similarity", F.round("similarity", 6))
+
+
+@query(_NEAREST_SQL.format("embedding", "FROM embeddings"))
+def pivot_topk(spark, sf_dir):
+    """Exact top-k over blocks around pivots."""
+    return _nearest(spark, sf_dir, "flat")
+
+
+@query(_NEAREST_SQL.format("half", _HALVES_SQL))
+def half_topk(spark, sf_dir):
+    """The same over packed blocks of two bytes a value."""
+    return _nearest(spark, sf_dir, "half")
+
+
+@query(_HALVES_SQL.replace("AS half FROM", "::FLOAT[] AS embedding FROM").replace("vec_id,", "vec_id AS chunk_id,"))
+def half_store(spark, sf_dir):
+    """Vectors as a half index gives them back, appended in two parts."""
+    index, vectors = IndexSet({"a": folder(spark)}, kind="half"), table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "chunk_id")
+    for i in range(2):
+        index.save("a", vectors.where(f"chunk_id % 2 = {i}"))
+    return index.load(spark, "a")

@@ -7,12 +7,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import vector_blocks
 from .writers import write_vectors
 
 
 @dataclass
 class IndexSet:
-    """paths: a table a model; disabled models are passed over. kind is flat (as given) or half (rounded to half precision)."""
+    """paths: a table a model; disabled models are passed over. kind is flat (as given, a row a vector) or half (packed blocks of two bytes a value)."""
 
     paths: dict[str, str]
     disabled: set[str] = field(default_factory=set)
@@ -27,9 +28,10 @@ class IndexSet:
 
     def save(self, name: str, vectors: DataFrame, key: str = "chunk_id", vector: str = "embedding") -> None:
         """Appends; a key's vector is written once if `vectors` holds only what load() lacks."""
-        from ..functions.vectors import to_half
-
-        write_vectors(vectors.withColumn(vector, to_half(F.col(vector))) if self.kind == "half" else vectors, self.paths[name], key, vector)
+        if self.kind == "half":
+            vector_blocks.packed(vectors, key, vector, "half").write.mode("append").parquet(self.paths[name])
+        else:
+            write_vectors(vectors, self.paths[name], key, vector)
 
     def exists(self, spark: SparkSession, name: str) -> bool:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.paths[name])
@@ -45,7 +47,18 @@ class IndexSet:
             return None, False
 
     def load(self, spark: SparkSession, name: str) -> DataFrame:
+        """A row a vector, as stored."""
+        rows = spark.read.parquet(self.paths[name])
+        return vector_blocks.unpacked(rows) if self.kind == "half" else rows
+
+    def blocks(self, spark: SparkSession, name: str) -> DataFrame:
+        """The packed blocks of a half index, for operators.pivots.search."""
         return spark.read.parquet(self.paths[name])
 
+    def keys(self, spark: SparkSession, name: str, key: str = "chunk_id") -> DataFrame:
+        """The keys that have a vector; vectors are not read."""
+        rows = spark.read.parquet(self.paths[name])
+        return vector_blocks.keys_of(rows, key) if self.kind == "half" else rows.select(key)
+
     def load_all(self, spark: SparkSession) -> dict[str, DataFrame]:
         return {name: self.load(spark, name) for name in self.enabled()}
