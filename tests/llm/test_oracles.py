@@ -9,7 +9,7 @@ from corvane.llm import queries
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_queries_agree_with_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages", "conversations"):
+    for t in ("documents", "embeddings", "benchmark", "pages", "conversations"):
         path = f"{sf_dir}/{t}.parquet"
         con.execute(f"CREATE VIEW {t} AS FROM '{path + '/*' if os.path.isdir(path) else path}'")
     got = queries.QUERIES[name](spark, sf_dir)
