@@ -11,8 +11,9 @@ from ..operators import bm25_blocks, chunking, ordering, pivots, qa, quality, ra
 from ..sources import readers, writers
 from ..sources.indexes import IndexSet
 from ..sources.scratch import folder
+from ..streaming import index_builder
 from . import retrieval
-from .queries import _BM25_SQL, _CHILD_SQL, _CLEANED, _GOOD_TITLE, _MCQ_OPTIONS, _OPTION_LENGTHS, _STRIP, _TITLE, _index, _mcq, _questions, query, table, titled
+from .queries import _BM25_SQL, _CHILD_SQL, _CLEANED, _ENCODED_SQL, _GOOD_TITLE, _MCQ_OPTIONS, _OPTION_LENGTHS, _STRIP, _TITLE, _index, _mcq, _questions, query, stored, table, titled, values_of
 
 
 @query("SELECT doc_id, text, lang FROM documents")
@@ -273,3 +274,14 @@ def half_store(spark, sf_dir):
     for i in range(2):
         index.save("a", vectors.where(f"chunk_id % 2 = {i}"))
     return index.load(spark, "a")
+
+
+@query(f"SELECT chunk_id, i, round(v::DOUBLE, 5) AS v FROM ({_ENCODED_SQL})")
+def vector_stream(spark, sf_dir):
+    """The index of all child chunks from a stream of their files, in two runs, the second over files that came later."""
+    docs, path = titled(spark, sf_dir), folder(spark)
+    chunks = stored(chunking.child_chunks(docs))
+    for i in range(2):
+        chunks.where(f"pmod(xxhash64(chunk_id), 3) {'=' if i else '<>'} 0").write.mode("append").parquet(f"{path}/chunks")
+        built = index_builder.build(spark, f"{path}/chunks", chunks.schema, docs, models.LetterEncoder, f"{path}/index", f"{path}/checkpoint", files=4)
+    return values_of(built).withColumn("v", F.round(F.col("v").cast("double"), 5))

@@ -587,14 +587,24 @@ def chunks_of_known(spark, sf_dir):
     return chunking.slices(chunking.child_chunks(docs), docs.where("doc_id % 2 = 0"), how="inner").select("chunk_id", "child_text")
 
 
-@query("WITH RECURSIVE" + _CHILD_SQL + " SELECT chunk_id, 64 AS dim FROM children")
+#: Each child chunk's vector by the encoder that SQL can repeat, value by value.
+_ENCODED_SQL = "WITH RECURSIVE" + _CHILD_SQL + ", t AS (SELECT chunk_id, CASE WHEN title <> '' THEN title || chr(10) || chr(10) ELSE '' END || substr(d.text, child_start + 1, child_end - child_start) AS text FROM children c JOIN documents d ON d.doc_id::VARCHAR = c.doc_id), " + _lettered("e", "SELECT chunk_id, text FROM t") + """
+    SELECT chunk_id, unnest(v) AS v, generate_subscripts(v, 1) - 1 AS i FROM e"""
+
+
+def values_of(vectors: DataFrame) -> DataFrame:
+    return vectors.select("chunk_id", F.posexplode("embedding").alias("i", "v"))
+
+
+@query(f"SELECT chunk_id, i, round(v::DOUBLE, 5) AS v FROM ({_ENCODED_SQL})")
 def vector_build(spark, sf_dir):
-    """A vector index built in parts, broken off after the first and gone on with."""
+    """A vector index built in parts, broken off after the first and gone on with; all values."""
     docs = titled(spark, sf_dir)
     chunks = stored(chunking.child_chunks(docs))
-    index = IndexSet({"hashing": f"{folder(spark)}/vectors"})
-    index.save("hashing", retrieval.embed(chunks.where("chunk_len % 3 = 0"), docs, models.HashingEncoder))
-    return retrieval.build_vectors(chunks, docs, models.HashingEncoder, index, "hashing", steps=2).select("chunk_id", F.size("embedding").alias("dim"))
+    index = IndexSet({"letters": f"{folder(spark)}/vectors"})
+    index.save("letters", retrieval.embed(chunks.where("chunk_len % 3 = 0"), docs, models.LetterEncoder))
+    built = retrieval.build_vectors(chunks, docs, models.LetterEncoder, index, "letters", steps=2)
+    return values_of(built).withColumn("v", F.round(F.col("v").cast("double"), 5))
 
 
 # ---- checks -----------------------------------------------------------------------------------------------------------
