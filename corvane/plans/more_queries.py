@@ -54,15 +54,30 @@ def jsonl_documents(spark, sf_dir):
     return readers.read_documents(spark, path)
 
 
+def _one_file(spark, members, path: str, opens: str, closes: str) -> None:
+    """One JSON file of members that follow a null one, each on lines of its own. One file is what these queries are about."""
+    line = lambda text: spark.createDataFrame([(text,)], "value string").coalesce(1)
+    line(opens).union(members.select(F.concat(F.lit(","), "value").alias("value")).coalesce(1)).union(line(closes)).coalesce(1).write.text(path)
+
+
 @query("SELECT item_id::VARCHAR AS doc_id, '' AS title, text FROM benchmark")
 def json_object_documents(spark, sf_dir):
-    """One JSON object of id to text, as small files hold them."""
-    path = f"{folder(spark)}/b.json"
-    items = table(spark, sf_dir, "benchmark").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.col("item_id").cast("string"), "text")))).alias("value"))
-    items.write.text(path)
+    """One JSON object of id to text."""
+    path, key = f"{folder(spark)}/b.json", F.to_json(F.array(F.col("item_id").cast("string")))
+    text = F.to_json(F.array("text"))
+    inner = lambda c: F.substring(c, F.lit(2), F.length(c) - 2)
+    _one_file(spark, table(spark, sf_dir, "benchmark").select(F.concat(inner(key), F.lit(": "), inner(text)).alias("value")), path, '{"": null', "}")
     return readers.read_documents(spark, path, kind="json")
 
 
+@query("SELECT doc_id::VARCHAR AS doc_id, source AS title, text FROM documents")
+def json_list_documents(spark, sf_dir):
+    """All documents as one JSON list, read in parts."""
+    path = f"{folder(spark)}/d.json"
+    _one_file(spark, table(spark, sf_dir, "documents").select(F.to_json(F.struct(F.col("doc_id").alias("id"), F.col("source").alias("title"), F.col("text").alias("content"))).alias("value")), path, "[null", "]")
+    return readers.read_documents(spark, path)
+
+
 @query("SELECT p_partkey::VARCHAR AS p_partkey, p_name FROM part")
 def folder_union(spark, sf_dir):
     """A folder of Parquet and CSV files, by column name."""
@@ -84,9 +99,8 @@ def sharded_parquet(spark, sf_dir):
 @query("SELECT (row_number() OVER (ORDER BY vec_id) - 1)::INTEGER AS position, vec_id::VARCHAR AS chunk_id FROM embeddings")
 def id_map(spark, sf_dir):
     """The JSON list of ids beside an older vector index."""
-    path = f"{folder(spark)}/ids.json"
-    ids = table(spark, sf_dir, "embeddings").agg(F.transform(F.array_sort(F.collect_list("vec_id")), lambda i: i.cast("string")).alias("ids"))
-    ids.select(F.to_json("ids").alias("value")).write.text(path)
+    path, ids = f"{folder(spark)}/ids.json", table(spark, sf_dir, "embeddings").select("vec_id").orderBy("vec_id")
+    _one_file(spark, ids.select(F.concat(F.lit('"'), "vec_id", F.lit('"')).alias("value")), path, "[null", "]")
     return readers.read_id_map(spark, path)
 
 

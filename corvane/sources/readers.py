@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import split_csv
+from . import split_csv, split_json
 
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -46,11 +46,7 @@ def read_documents(spark: SparkSession, path: str, kind: str | None = None, samp
     elif kind == "csv":
         df = read_csv(spark, path, tolerant=True)
     elif kind == "json":
-        df = spark.read.json(path, multiLine=True)
-        named = {"id", "doc_id", "text", "content"} & set(df.columns)
-        if not named:  # an object of id to text or to a document
-            raw = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string,string>")).alias("id", "v"))
-            df = raw.select("id", F.coalesce(F.get_json_object("v", "$.text"), F.get_json_object("v", "$.content"), "v").alias("text"), F.get_json_object("v", "$.title").alias("title"))
+        df = _json_documents(spark, path)
     else:
         raise ValueError(f"unknown kind of file: {kind}")
     pick = lambda names: F.coalesce(*[F.col(c).cast("string") for c in names if c in df.columns], F.lit(None).cast("string"))
@@ -58,6 +54,15 @@ def read_documents(spark: SparkSession, path: str, kind: str | None = None, samp
     return out.limit(sample) if sample else out
 
 
+def _json_documents(spark: SparkSession, path: str) -> DataFrame:
+    """(doc_id, title, text) of the members of a list or an object; a file that is one document by its keys is read as such."""
+    if not split_json.members(spark, path).where(F.col("key").isin("id", "doc_id", "text", "content")).limit(1).isEmpty():
+        return spark.read.json(path, multiLine=True)
+    of = lambda name: F.get_json_object("value", f"$.{name}")
+    texts = F.coalesce(of("text"), of("content"), F.col("plain"), F.when(F.col("key").isNotNull(), F.col("value")))
+    return split_json.members(spark, path).select(F.coalesce("key", of("doc_id"), of("id")).alias("doc_id"), of("title").alias("title"), texts.alias("text"))
+
+
 def read_folder(spark: SparkSession, path: str) -> DataFrame:
     """All *.parquet and *.csv files of a folder, by column name; missing columns are null."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
@@ -76,11 +81,12 @@ def read_folder(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_id_map(spark: SparkSession, path: str) -> DataFrame:
-    """(position, chunk_id) from a JSON list of ids, or from an object of position to id."""
-    whole = spark.read.text(path, wholetext=True)
-    as_list = whole.where(F.trim("value").startswith("[")).select(F.posexplode(F.from_json("value", "array<string>")).alias("position", "chunk_id"))
-    as_map = whole.where(F.trim("value").startswith("{")).select(F.explode(F.from_json("value", "map<string,string>")).alias("p", "chunk_id"))
-    return as_list.unionByName(as_map.select(F.col("p").cast("int").alias("position"), "chunk_id"))
+    """(position, chunk_id) from a JSON list of ids, or from an object of position to id. The file is read in parts; a list's places are numbered across them."""
+    from ..operators.ordering import number_rows
+
+    found = split_json.members(spark, path).select("file", "block", "number", "key", F.coalesce("plain", "value").alias("chunk_id"))
+    as_list = number_rows(found.where("key is null"), "position", "file", "block", "number").select(F.col("position").cast("int").alias("position"), "chunk_id")
+    return as_list.unionByName(found.where("key is not null").select(F.col("key").cast("int").alias("position"), "chunk_id"))
 
 
 def child_spans(children: DataFrame) -> DataFrame:

@@ -2,9 +2,8 @@
 
 Spark deals a file's lines out by byte ranges. A line end ends a record if the quotes before it, counted from the file's
 beginning, are even in number. A first scan counts each range's quotes; prefix sums of these tell which ranges begin inside
-quotes, and with that each range finds its own record ends. The lines before a range's first end and after its last one
-are fragments: they meet the fragments of the neighbouring ranges, of which there are two a range at most, in a small
-shuffle, and become records there. As the standard form asks, quotes within a field stand doubled in a quoted field.
+quotes, and with that each range finds its own record ends. As the standard form asks, quotes within a field stand doubled
+in a quoted field.
 """
 
 from __future__ import annotations
@@ -14,7 +13,6 @@ import io
 import re
 import sys
 from collections.abc import Iterable, Iterator, Sequence
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -22,89 +20,29 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_FRAGMENT = "file string, block long, part int, header boolean, text binary"
-_FRAGMENT_ARROW = pa.schema([("file", pa.string()), ("block", pa.int64()), ("part", pa.int32()), ("header", pa.bool_()), ("text", pa.binary())])
-
-
-def lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """(file, block, value): the lines of files as bytes, with the byte range that each belongs to. Only line feeds end lines."""
-    raw = spark.read.option("lineSep", "\n").text(path)
-    return raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+from .byte_ranges import parts_of, records
 
 
 def begin_inside(rows: DataFrame) -> set[tuple[str, int]]:
     """The byte ranges that begin inside quotes. One small row a range, by prefix sums within each file."""
-    quotes = F.octet_length("value") - F.octet_length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    text = F.col("value").cast("string")
+    quotes = F.octet_length(text) - F.octet_length(F.replace(text, F.lit('"'), F.lit("")))
     counts = rows.groupBy("file", "block").agg((F.sum(quotes) % 2).alias("odd"))
     before = F.sum("odd").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     return {(r["file"], r["block"]) for r in counts.withColumn("before", before).where("before % 2 = 1").select("file", "block").collect()}
 
 
-@dataclass
-class _Range:
-    """What is known of a byte range while its lines come in."""
-
-    file: str
-    block: int
-    inside: bool
-    odd: int = field(init=False)
-    held: list[bytes] = field(default_factory=list)
-    #: Whether a record has ended here, and the lines before that if the range began inside quotes.
-    ended: bool = False
-    head: bytes | None = None
-
-    def __post_init__(self):
-        self.odd = int(self.inside)
-
-    def records(self, values: pa.Array) -> list[bytes]:
-        """The records that these lines complete."""
-        odd = (self.odd + np.cumsum(pc.count_substring(values, '"').to_numpy(zero_copy_only=False))) & 1
-        texts, low, out = values.to_pylist(), 0, []
-        for end in (np.flatnonzero(odd == 0) + 1).tolist():
-            record = texts[low] if end == low + 1 and not self.held else b"\n".join([*self.held, *texts[low:end]])
-            self.held, low = [], end
-            if self.inside and not self.ended:
-                self.head = record
-            else:
-                out.append(record)
-            if not self.ended:
-                self.ended = True
-                if self.block == 0 and out:
-                    out.pop()  # the header
-        self.held += texts[low:]
-        self.odd = int(odd[-1]) if len(odd) else self.odd
-        return out
-
-    def fragments(self) -> Iterator[tuple]:
-        """(file, block, part, header, text): the head, which an earlier range's record ends with, and the open rest. A range without an end is only one of these."""
-        if self.inside and not self.ended:
-            yield self.file, self.block, 0, False, b"\n".join(self.held)
-            return
-        if self.head is not None:
-            yield self.file, self.block, 0, False, self.head
-        if self.held:
-            yield self.file, self.block, 1, self.block == 0 and not self.ended, b"\n".join(self.held)
-
-
-def _ranges(batches: Iterable[pa.RecordBatch], inside: set[tuple[str, int]]) -> Iterator[tuple[_Range, list[bytes], bool]]:
-    """(range, records, over) as lines come in; over: the range has no more of them."""
-    now: _Range | None = None
-    for batch in batches:
-        file, block = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-        values = batch.column(2).cast(pa.binary())
-        low = 0
-        while low < batch.num_rows:
-            high = low + int(np.argmax(block[low:] != block[low])) if (block[low:] != block[low]).any() else batch.num_rows
-            if file[high - 1] != file[low]:
-                high = next(i for i in range(low, high) if file[i] != file[low])
-            if now is None or (now.file, now.block) != (file[low], int(block[low])):
-                if now:
-                    yield now, [], True
-                now = _Range(file[low], int(block[low]), (file[low], int(block[low])) in inside)
-            yield now, now.records(values.slice(low, high - low)), False
-            low = high
-    if now:
-        yield now, [], True
+def line_ends(inside: bool):
+    """Whether a record ends with each line of a range that begins inside quotes or not."""
+    odd = int(inside)
+
+    def ends(values: pa.Array) -> np.ndarray:
+        nonlocal odd
+        state = (odd + np.cumsum(pc.count_substring(values, '"').to_numpy(zero_copy_only=False))) & 1
+        odd = int(state[-1]) if len(state) else odd
+        return state == 0
+
+    return ends
 
 
 def _fields(texts: Iterable[str]) -> Iterator[list[str | None]]:
@@ -147,31 +85,18 @@ def read(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     names = header_of(spark, path)
     if not names:
         return spark.createDataFrame([], "value string").drop("value")
-    rows = lines(spark, path)
-    sent = spark.sparkContext.broadcast(begin_inside(rows))
+    parts = parts_of(spark, path, "\n")
+    sent = spark.sparkContext.broadcast(begin_inside(parts))
     schema = pa.schema([(f"c{i}", pa.string()) for i in range(len(names))])
-    ddl = ", ".join(f"c{i} string" for i in range(len(names)))
-
-    def records(batches):
-        for _, found, _ in _ranges(batches, sent.value):
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in parsed(found, len(names))], schema=schema)
-
-    def fragments(batches):
-        for r, _, over in _ranges(batches, sent.value):
-            if over and (found := list(r.fragments())):
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), _FRAGMENT_ARROW)], schema=_FRAGMENT_ARROW)
-
-    def joined(batches):
-        for batch in batches:
-            whole = [b"\n".join(p["text"] for p in parts) for parts in batch.column(0).to_pylist() if not any(p["header"] for p in parts)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in parsed(whole, len(names))], schema=schema)
-
-    raw = rows.withColumn("value", F.col("value").cast("binary"))
-    record = F.sum("part").over(Window.partitionBy("file").orderBy("block", "part"))
-    pieces = raw.mapInArrow(fragments, _FRAGMENT).withColumn("record", record).groupBy("file", "record")
-    broken = pieces.agg(F.array_sort(F.collect_list(F.struct("block", "part", "header", "text"))).alias("parts")).select("parts").mapInArrow(joined, ddl)
-    return raw.mapInArrow(records, ddl).unionByName(broken).toDF(*names)
+
+    def begin(file, block):
+        inside = (file, block) in sent.value
+        return line_ends(inside), inside
+
+    def parse(file, block, number, first, found):
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in parsed(found[1:] if first else found, len(names))], schema=schema)
+
+    return records(parts, begin, b"\n", parse, ", ".join(f"c{i} string" for i in range(len(names)))).toDF(*names)
 
 
 def with_types(df: DataFrame) -> DataFrame:
