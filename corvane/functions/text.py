@@ -28,10 +28,6 @@ STOPWORDS = (
     "the", "be", "to", "of", "and", "a", "in", "that", "have", "i", "it", "for", "not", "on", "with", "he", "as", "you", "do", "at",
     "this", "but", "his", "by", "from", "they", "we", "say", "her", "she", "or", "an", "will", "my", "one", "all", "would", "there", "their",
 )
-#: Characters that UTF-8 sequences begin with when they were read as Windows-1252 or Latin-1.
-MOJIBAKE = re.compile("[\u00c2-\u00f4][\u0080-\u00bf\u0152\u0153\u0160\u0161\u0178\u017d\u017e\u0192\u02c6\u02dc\u2013-\u2122]")
-
-
 def strip(c: Column) -> Column:
     """Without Unicode white space at both ends (trim takes spaces only)."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -137,34 +133,46 @@ def html_to_text(c: Column) -> Column:
     return _over(_plain, c)
 
 
+def _misread() -> tuple[dict[str, int], re.Pattern]:
+    """The byte that each character stands for which Windows-1252 or Latin-1 makes of a byte over 127, undefined ones included, and stretches of such that are UTF-8 by their form."""
+    byte = {chr(b): b for b in range(0x80, 0x100)}
+    for b in range(0x80, 0xA0):
+        try:
+            byte[bytes([b]).decode("cp1252")] = b
+        except UnicodeDecodeError:  # left undefined
+            pass
+    of = lambda low, high: "[" + "".join(c for c, b in byte.items() if low <= b <= high) + "]"
+    more = of(0x80, 0xBF)
+    return byte, re.compile(f"(?:{of(0xC2, 0xDF)}{more}|{of(0xE0, 0xEF)}{more}{{2}}|{of(0xF0, 0xF4)}{more}{{3}})+")
+
+
+BYTES, STRETCHES = _misread()
+
+
+def _reread(m: re.Match) -> str:
+    """A stretch read as UTF-8; it stays if it is none, or gives a lone sign of a script that Western text has no use for, or a control character from one that is none."""
+    try:
+        out = bytes(map(BYTES.__getitem__, m[0])).decode("utf-8")
+    except UnicodeDecodeError:
+        return m[0]
+    if any("\x80" <= c < "\xa0" for c in out) and not any("\x80" <= c < "\xa0" for c in m[0]):
+        return m[0]
+    return out if all(c < "\u0180" or c >= "\u2000" or c in BYTES or (len(out) > 1 and not "\u0250" <= c < "\u0370") for c in out) else m[0]
+
+
 def repaired(text: str) -> str:
-    """Words in which UTF-8 was read as Windows-1252 or Latin-1, once or twice, read rightly.
+    """Text in which stretches of UTF-8 were read as Windows-1252 or Latin-1, any number of times, read rightly.
 
-    A word changes only if it holds a sign of that and all of it can be turned back; all other text stays as it is.
+    Each stretch takes the shortest chain of re-readings after which nothing in it looks misread. Bytes that the code page
+    leaves undefined and no-break spaces are part of stretches. All other text stays as it is.
     """
-    if text.isascii() or not MOJIBAKE.search(text):
-        return text
-
-    def right(m: re.Match) -> str:
-        word = m[0]
-        for _ in range(2):
-            if not MOJIBAKE.search(word):
-                break
-            for misread in ("cp1252", "latin-1"):
-                try:
-                    word = word.encode(misread).decode("utf-8")
-                    break
-                except UnicodeError:
-                    continue
-            else:
-                break
-        return word
-
-    return re.sub(r"\S+", right, text)
+    while not text.isascii() and (after := STRETCHES.sub(_reread, text)) != text:
+        text = after  # shorter each time
+    return text
 
 
 def repair_mojibake(c: Column) -> Column:
-    """Repair of wrongly decoded text: by ftfy where it is installed, else of words in which UTF-8 was read as a Western code page."""
+    """Repair of wrongly decoded text: by ftfy where it is installed, else of stretches in which UTF-8 was read as a Western code page."""
     return _over(_repair(), c)
 
 

@@ -157,9 +157,12 @@ def unicode_forms(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", T.normalize_unicode(F.concat("text", F.lit(" ﬁ ① Ａ ㎞"))).alias("text"))
 
 
-@query("SELECT doc_id, text || ' café “naïve” Zürich' AS text FROM documents")
+@query("SELECT doc_id, text || ' café “naïve” Zürich à la carte voilà «CAFÉ» ‹Œuvre›' AS text FROM documents")
 def misread_words(spark, sf_dir):
-    bad = " ".join(w.encode().decode("latin-1") for w in ("café", "“naïve”", "Zürich"))
+    """Texts with words that were misread once or twice, over bytes that the code page leaves undefined and no-break spaces, and others that only look so."""
+    page = {b: bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(256)}
+    misread = lambda t: "".join(page[b] for b in t.encode())
+    bad = " ".join([misread("café"), misread("“naïve”"), misread(misread("Zürich")), misread("à"), "la", "carte", misread(misread("voilà")), "«CAFÉ»", "‹Œuvre›".encode().decode("latin-1")])
     return table(spark, sf_dir, "documents").select("doc_id", T.repair_mojibake(F.concat("text", F.lit(f" {bad}"))).alias("text"))
 
 

@@ -88,7 +88,7 @@ def test_repair_of_misread_words():
 
 
 def test_cleaning_is_planned_once(spark):
-    """One Arrow evaluation and one chain of replacements, with the filter on the result's length."""
+    """One Arrow evaluation, with the filter on the result's length; as a chain of columns one chain of replacements beside it."""
     from pyspark.sql import functions as F
 
     from corvane.functions import text as T
@@ -96,5 +96,7 @@ def test_cleaning_is_planned_once(spark):
     df = spark.createDataFrame([("x" * 200 + " the http://a.b c",), ("short",), (None,), ("  ",), ("<p>" + "the cell " * 40 + "</p><script>x</script>",)], "t string")
     out = df.select(F.explode(T.cleaned_at_least(F.col("t"), 100)).alias("t")).withColumn("n", F.length("t"))
     plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("https?://") == 0 and plan.count("ArrowEvalPython") == 1
+    plan = df.select(F.explode(T.cleaned_at_least(F.col("t"), 100, compat=True)).alias("t"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("https?://") == 1 and plan.count("ArrowEvalPython") == 1
     assert sorted(r.n for r in out.collect()) == sorted(len(t) for t in ("x" * 200 + " the c", "the cell " * 39 + "the cell"))
