@@ -25,15 +25,15 @@ def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     return df.orderBy(hash_order(key, seed), key)
 
 
-#: Hexadecimal digits of the hash that each histogram looks at: 65,536 buckets, then as many within one of them.
-DIGITS = (4, 4)
+#: Hexadecimal digits of the hash that each histogram looks at: 65,536 buckets; more entries refine the bucket that is reached.
+DIGITS = (4,)
 
 
 def first_in_hash_order(df: DataFrame, label: str, key: str, quotas: DataFrame, seed: int = 42) -> DataFrame:
     """df with __in: whether a row is among the first __quota of its label in hash order; quotas (__label, __quota) has a row a label and is broadcast.
 
-    No row is sorted or moved: a histogram of hashes for each label tells the bucket in which the quota is reached, a second
-    one refines it, and the few rows of that bucket (one in four thousand million) give the last hash and key that are in.
+    No row is sorted or moved: a histogram of hashes for each label tells the bucket in which the quota is reached, and the
+    few rows of that bucket (a 65,536th of the label's) give the last hash and key that are in.
     Of rows that share the last key as many as are wanted are in.
     """
     rows = df.withColumn("__hash", hash_order(key, seed))

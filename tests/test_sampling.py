@@ -14,7 +14,7 @@ def order(i):
     return hashlib.md5(f"42:{i}".encode()).hexdigest(), i
 
 
-@pytest.fixture(params=[(4, 4), (1, 1), (2, 0)])
+@pytest.fixture(params=[(4,), (4, 4), (1, 1, 1)])
 def digits(request, monkeypatch):
     monkeypatch.setattr(sampling, "DIGITS", request.param)
 
