@@ -115,14 +115,28 @@ class LongestOptionGenerator:
 
 
 class LetterGenerator:
-    """Answers by a model's values for the letters: of a row of values per prompt, only those of the letters count, others are masked."""
+    """Answers by a model's values for the letters: of a row of values per prompt, only those of the letters count, others are masked. A letter that has several places counts with their sum."""
 
-    def __init__(self, values: Callable[[Sequence[str]], np.ndarray], letters: dict[str, int]):
-        self.values, self.letters = values, letters
+    def __init__(self, values: Callable[[Sequence[str]], np.ndarray], letters: dict[str, int | Sequence[int]]):
+        self.values, self.letters = values, {name: sorted({places} if isinstance(places, int) else set(places)) for name, places in letters.items()}
 
     def answer(self, prompts: Sequence[str]) -> list[str]:
-        names, places = [*self.letters], [*self.letters.values()]
-        return [names[i] for i in np.asarray(self.values(prompts))[:, places].argmax(axis=1)]
+        rows, names = np.asarray(self.values(prompts), float), [*self.letters]
+        sums = np.stack([rows[:, places].sum(axis=1) for places in self.letters.values()], axis=1)
+        return [names[i] for i in sums.argmax(axis=1)]
+
+
+class NextTokenGenerator:
+    """Answers with what a base model says next: prompts are cut to their first `longest` tokens, go in batches, and the one new token with the largest value is decoded."""
+
+    def __init__(self, tokenizer: Tokenizer, next_values: Callable[[list[list[int]]], np.ndarray], longest: int = 1024, batch_size: int = 16):
+        self.tokenizer, self.next_values, self.longest, self.batch_size = tokenizer, next_values, longest, batch_size
+
+    def answer(self, prompts: Sequence[str]) -> list[str]:
+        ids, out = [self.tokenizer.encode(p or "")[: self.longest] for p in prompts], []
+        for low in range(0, len(ids), self.batch_size):
+            out += [self.tokenizer.decode([int(i)]) for i in np.asarray(self.next_values(ids[low : low + self.batch_size])).argmax(axis=1)]
+        return out
 
 
 class BatchEncoder:

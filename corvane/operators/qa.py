@@ -60,6 +60,12 @@ def best_letter(scores: Column) -> Column:
     return F.when(F.size(scores) > 0, F.element_at(F.array(*map(F.lit, LETTERS)), at)).otherwise("A")
 
 
+def summed_letters(values: Column, ids: dict[str, Sequence[int]]) -> Column:
+    """The values of each letter's token ids (places in the array, from 0) added up, as best_letter takes them. An id outside the array adds nothing."""
+    value = lambda i: F.coalesce(F.get(values, F.lit(i)).cast("double"), F.lit(0.0))
+    return F.array(*[sum((value(i) for i in dict.fromkeys(ids.get(letter, ()))), F.lit(0.0)) for letter in LETTERS])
+
+
 def one_if_likelier(p1: Column, p0: Column) -> Column:
     return F.when(p1 >= p0, 1).otherwise(0)
 

@@ -118,6 +118,40 @@ def rerank(candidates: DataFrame, k: int, make: Callable[[], models.Reranker] =
     return scored.withColumn("rerank_rank", F.row_number().over(w)).where(F.col("rerank_rank") <= k)
 
 
+def rerank_in_batches(candidates: DataFrame, make: Callable[[], models.Reranker], batch: int = 32, query: str = "query", text: str = "text", place: str = "rank", growth: float = 1.25) -> DataFrame:
+    """candidates (query_id, chunk_id, place, query, text) with rerank_score and rerank_rank; blank texts are skipped, but places count them, equal scores go by place.
+
+    The model sees batches of pairs of one length class, whose longest is at most `growth` times their shortest, whatever
+    queries they belong to; a pair's score goes back to its query and place. A class's last batch of a task may be smaller.
+    """
+    kinds = dict(candidates.dtypes)
+    schema = f"query_id {kinds['query_id']}, chunk_id {kinds['chunk_id']}, place {kinds[place]}, rerank_score double"
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model, held = make(), {}
+
+        def scored(rows: list[tuple]) -> pd.DataFrame:
+            found = model.scores([r[3] for r in rows], [r[4] for r in rows])
+            if len(found) != len(rows):
+                raise ValueError(f"{len(found)} scores for {len(rows)} pairs")
+            return pd.DataFrame([(*r[:3], float(x)) for r, x in zip(rows, found)], columns=["query_id", "chunk_id", "place", "rerank_score"])
+
+        for pdf in batches:
+            for row in pdf.itertuples(index=False):
+                of_class = held.setdefault(int(np.log(len(row.query) + len(row.text)) / np.log(growth)), [])
+                of_class.append(tuple(row))
+                if len(of_class) == batch:
+                    yield scored(of_class)
+                    of_class.clear()
+        for rows in held.values():
+            if rows:
+                yield scored(rows)
+
+    pairs = candidates.select("query_id", "chunk_id", F.col(place).alias("place"), F.coalesce(F.col(query), F.lit("")).alias("query"), F.col(text).alias("text")).where(F.trim(F.coalesce("text", F.lit(""))) != "")
+    w = Window.partitionBy("query_id").orderBy(F.desc(F.round("rerank_score", 9)), "place")
+    return pairs.mapInPandas(score, schema).withColumn("rerank_rank", F.row_number().over(w))
+
+
 def self_retrieval(sample: DataFrame, corpus: DataFrame, k: int = 5, key: str = "chunk_id", doc: str = "doc_id") -> DataFrame:
     """The k nearest of each sampled vector, with is_self and is_same_doc."""
     found = dense_topk(sample.withColumn("query_id", F.col(key)), corpus, k, key=key)
@@ -132,3 +166,15 @@ def vector_report(vectors: DataFrame, vector: str = "embedding", expected: int |
     out = vectors.agg(F.count(vector).alias("ntotal"), dim.cast("long").alias("dim"), F.count_if(F.col(vector).isNull() | (F.size(vector) <= 0)).alias("invalid"), F.count("*").alias("n_rows"))
     want = F.lit(expected) if expected is not None else F.col("n_rows")
     return out.select("ntotal", "dim", "invalid", F.greatest(want - F.col("ntotal"), F.lit(0)).alias("missing_vectors"), F.greatest(F.col("ntotal") - want, F.lit(0)).alias("extra_vectors"), (F.col("ntotal") * F.col("dim") * 2).alias("size_bytes"))
+
+
+def probe_search(vectors: DataFrame, n: int = 5, k: int = 5, key: str = "chunk_id", vector: str = "embedding") -> DataFrame:
+    """(query_id, n_found, self_rank): what a search of the index gives for n stored vectors, the first in hash order; self_rank is null if a vector is not among its own k nearest.
+
+    An index that cannot be searched fails here; one whose vectors are not normalised or do not belong to their keys shows it by its ranks.
+    """
+    from .sampling import sample_rows
+
+    asked = stored(sample_rows(vectors.where(F.size(vector) > 0).select(F.col(key).alias("query_id"), F.col(vector).alias("embedding")), "query_id", n))
+    found = dense_topk(asked, vectors, k, key=key, vector=vector)
+    return found.groupBy("query_id").agg(F.count("*").alias("n_found"), F.min(F.when(F.col("query_id") == F.col("chunk_id"), F.col("dense_rank"))).alias("self_rank"))

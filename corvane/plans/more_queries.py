@@ -13,7 +13,7 @@ from ..sources.indexes import IndexSet
 from ..sources.scratch import folder
 from ..streaming import index_builder
 from . import retrieval
-from .queries import _BM25_SQL, _CHILD_SQL, _CLEANED, _ENCODED_SQL, _GOOD_TITLE, _MCQ_OPTIONS, _OPTION_LENGTHS, _STRIP, _TITLE, _index, _mcq, _questions, query, stored, table, titled, values_of
+from .queries import _ANSWERED, _BM25_SQL, _CHILD_SQL, _CLEANED, _ENCODED_SQL, _GOOD_TITLE, _HYBRID_SQL, _MAP_SQL, _MCQ_OPTIONS, _OPTION_LENGTHS, _PARENT_SQL, _STRIP, _TITLE, _asked, _boosted, _index, _mcq, _pool, _questions, query, stored, table, titled, values_of
 
 
 @query("SELECT doc_id, text, lang FROM documents")
@@ -110,14 +110,19 @@ def child_span_lists(spark, sf_dir):
     return spans.select("doc_id", F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"], s["end"])), ",").alias("spans"))
 
 
-@query("SELECT kind, n FROM (VALUES ('json', 2), ('text', 1), ('binary', 1)) t(kind, n)")
+_SNIFFED = "CASE doc_id % 5 WHEN 0 THEN 'json' WHEN 1 THEN 'index' WHEN 2 THEN 'binary' ELSE 'text' END"
+
+
+@query(f"SELECT kind, sum(n)::BIGINT AS n FROM (SELECT {_SNIFFED} AS kind, count(*) AS n FROM documents GROUP BY ALL) GROUP BY kind")
 def file_sniff(spark, sf_dir):
-    path = folder(spark)
-    one = spark.range(1)
-    for name, value in (("a", '{"x": 1}'), ("b", "[1, 2]"), ("c", "plain words"), ("d", "\x01\x02\x03\x04\x05\x06\x07\x08\x0e\x0f\x10\x11\x12\x13\x14\x15")):
-        one.select(F.lit(value).alias("value")).write.text(f"{path}/{name}")
-    found = readers.file_kinds(spark, path).where("length > 1")
-    return found.groupBy("kind").agg(F.count("*").cast("int").alias("n"))
+    """Files made of the documents, by what they begin with: one file for each kind and hundred documents, each counted with the documents it holds."""
+    path, docs = folder(spark), table(spark, sf_dir, "documents").select("doc_id", "text", (F.col("doc_id") % 5).alias("k"), F.expr("doc_id div 500").alias("g"))
+    packed = docs.groupBy("k", "g").agg(F.count("*").alias("n"), F.collect_list(F.left("text", F.lit(20))).alias("texts"))  # a hundred documents at most
+    opens = F.when(F.col("k") == 1, F.unhex(F.lit("4978464940000000C800000000000000")).cast("string")).when(F.col("k") == 2, F.unhex(F.lit("0102030405060708090B0C0E0F101112")).cast("string")).otherwise("plain ")
+    body = F.when(F.col("k") == 0, F.to_json("texts")).otherwise(F.concat(opens, F.array_join("texts", " ")))
+    packed.select(body.alias("value"), "k", "n", "g").write.partitionBy("k", "g", "n").option("lineSep", " ").text(path)
+    found = readers.file_kinds(spark, path).where(F.col("length") > 1)
+    return found.groupBy("kind").agg(F.sum(F.regexp_extract("path", r"/n=(\d+)/", 1).cast("long")).alias("n"))
 
 
 @query("WITH" + _BM25_SQL + " SELECT (SELECT count(*) FROM tok) AS tokenized_chunks, (SELECT count(*) FROM lens) AS chunk_len, (SELECT count(*) FROM post) AS inverted_index, (SELECT count(*) FROM idf) AS idf_table, (SELECT round(avgdl, 6) FROM meta) AS avgdl")
@@ -225,12 +230,19 @@ def masked_letters(spark, sf_dir):
     return retrieval.answer(_mcq(spark, sf_dir), lambda: models.LetterGenerator(values, dict(zip(qa.LETTERS, (0, 2, 4, 5, 7)))), k=0)
 
 
-@query("WITH RECURSIVE" + _CHILD_SQL + " SELECT 'children' AS part, count(*) AS n FROM children")
+@query("WITH RECURSIVE" + _CHILD_SQL + "," + _PARENT_SQL + _MAP_SQL + """
+    SELECT 'parents' AS part, parent_id AS key, doc_id || '|' || start_char || '|' || end_char || '|' || token_count || '|' || (row_number() OVER (ORDER BY doc_id, c) - 1) AS held FROM parents
+    UNION ALL SELECT 'children', chunk_id, coalesce(parent_id, '-') || '|' || parent_idx || '|' || contained FROM mapped
+    UNION ALL SELECT 'statistics', 'counts', (SELECT count(*) FROM parents) || '|' || count(*) || '|' || count(*) FILTER (contained) || '|' || count(*) FILTER (parent_idx < 0) FROM mapped""")
 def parents_written(spark, sf_dir):
-    """Parents, mapped children and statistics as tables."""
+    """Parents with their index, children with their parent, and statistics, as the three written tables hold them."""
     docs, path = titled(spark, sf_dir), folder(spark)
     chunking.write_parents(chunking.parent_chunks(docs), chunking.child_chunks(docs), path)
-    return spark.read.parquet(f"{path}/statistics").select(F.lit("children").alias("part"), F.col("total_child_chunks").alias("n"))
+    rows = lambda name, key, *held: spark.read.parquet(f"{path}/{name}").select(F.lit(name).alias("part"), key.alias("key"), F.concat_ws("|", *held).alias("held"))
+    parents = rows("parents", F.col("parent_id"), "doc_id", "start_char", "end_char", "token_count", "parent_chunk_idx")
+    children = rows("children", F.col("chunk_id"), F.coalesce("parent_id", F.lit("-")), "parent_idx", F.col("contained").cast("string"))
+    counts = rows("statistics", F.lit("counts"), "total_parent_chunks", "total_child_chunks", "fully_contained_count", "unfound_count")
+    return parents.unionByName(children).unionByName(counts)
 
 
 @query("WITH" + _BM25_SQL + " SELECT token, chunk_id, tf FROM post WHERE token IN ('the', 'thation')")
@@ -302,3 +314,69 @@ def vector_stream(spark, sf_dir):
         chunks.where(f"pmod(xxhash64(chunk_id), 3) {'=' if i else '<>'} 0").write.mode("append").parquet(f"{path}/chunks")
         built = index_builder.build(spark, f"{path}/chunks", chunks.schema, docs, models.LetterEncoder, f"{path}/index", f"{path}/checkpoint", files=4)
     return values_of(built).withColumn("v", F.round(F.col("v").cast("double"), 5))
+
+
+_QUERY_TEXT = "'Question: ' || text || chr(10) || 'Retrieve background scientific knowledge to help answer.'"
+_ZERO_SHOT_SQL = _HYBRID_SQL.replace("SELECT item_id, text, embedding FROM benchmark LEFT JOIN embeddings ON item_id = vec_id", f"SELECT item_id, {_QUERY_TEXT} AS text, NULL::FLOAT[] AS embedding FROM benchmark")
+
+
+@query(_ZERO_SHOT_SQL + f""", c AS (SELECT query_id AS id, {", ".join(f"coalesce(max(CASE WHEN boost_rank = {i} THEN text END), '') AS C{i}" for i in (1, 2, 3))} FROM ranked JOIN pool USING (chunk_id) GROUP BY query_id),
+    said AS ({_ANSWERED}), wrong AS (SELECT *, CASE WHEN id % 3 = 0 THEN 'E' ELSE predicted END AS answer FROM said)
+    SELECT id, C1, C2, C3, predicted, predicted IS DISTINCT FROM answer AS is_error, (SELECT avg((predicted = answer)::INTEGER) FROM wrong) AS accuracy FROM c JOIN wrong USING (id)""")
+def zero_shot(spark, sf_dir):
+    """Questions end to end: encoded, retrieved for, put into contexts, answered and evaluated; predictions, wrong rows and accuracy as written."""
+    path, asked = folder(spark), _mcq(spark, sf_dir)
+    lengths = F.array(*[F.length(c) for c in qa.LETTERS])
+    longest = F.element_at(F.array(*map(F.lit, qa.LETTERS)), F.array_position(lengths, F.array_max(lengths)).cast("int"))
+    asked = asked.withColumn("answer", F.when(F.col("id") % 3 == 0, F.lit("E")).otherwise(longest))
+    accuracy = retrieval.answer_with_retrieval(asked, _pool(spark, sf_dir), _index(spark, sf_dir), models.LetterEncoder, models.LongestOptionGenerator, path)
+    errors = spark.read.parquet(f"{path}/errors").select("id", F.lit(True).alias("is_error"))
+    out = spark.read.parquet(f"{path}/predictions").join(errors, "id", "left").join(F.broadcast(accuracy.select("accuracy")), F.lit(True))  # one row
+    return out.select("id", "C1", "C2", "C3", "predicted", F.coalesce("is_error", F.lit(False)).alias("is_error"), "accuracy")
+
+
+@query("SELECT vec_id, chr((64 + list_position(s, list_max(s)))::INTEGER) AS letter FROM (SELECT vec_id, [embedding[1]::DOUBLE + embedding[7], embedding[2], embedding[3]::DOUBLE + embedding[1], embedding[4]::DOUBLE + embedding[9], embedding[5]] AS s FROM embeddings)")
+def answer_sums(spark, sf_dir):
+    """The best letter where some letters have two token ids."""
+    sums = qa.summed_letters(F.col("embedding"), {"A": [0, 6], "B": [1], "C": [2, 0], "D": [3, 8, 3], "E": [4]})
+    return table(spark, sf_dir, "embeddings").select("vec_id", qa.best_letter(sums).alias("letter"))
+
+
+@query(f"SELECT item_id AS id, chr((65 + least(1024, {_PROMPT_LENGTH} // 4) % 5)::INTEGER) AS predicted FROM benchmark")
+def next_token(spark, sf_dir):
+    """A base model's one new token after prompts cut to 1,024 tokens."""
+    import numpy as np
+
+    class Letters(models.QuarterTokenizer):
+        def decode(self, ids):
+            return "".join(chr(65 + i) for i in ids)
+
+    make = lambda: models.NextTokenGenerator(Letters(), lambda ids: np.array([[j == len(i) % 5 for j in range(5)] for i in ids], float))
+    return retrieval.answer(_mcq(spark, sf_dir), make, k=0).select("id", "predicted")
+
+
+@query(_HYBRID_SQL + r""", words AS (SELECT query_id, chunk_id, boost_rank, list_distinct(list_filter(string_split_regex(lower(b.text), '\s+'), lambda w: w <> '')) AS q, list_distinct(list_filter(string_split_regex(lower(p.text), '\s+'), lambda w: w <> '')) AS d FROM ranked JOIN pool p USING (chunk_id) JOIN benchmark b ON b.item_id = query_id WHERE boost_rank <= 20 AND trim(p.text) <> ''),
+    s AS (SELECT *, len(list_intersect(q, d)) / len(q) AS v FROM words)
+    SELECT query_id, chunk_id, boost_rank AS place, round(v, 6) AS rerank_score, row_number() OVER (PARTITION BY query_id ORDER BY round(v, 9) DESC, boost_rank) AS rerank_rank FROM s""")
+def rerank_batches(spark, sf_dir):
+    """The whole ranking by a model that sees batches of one length class across queries, at most 1.25 times the shortest pair long."""
+
+    class Watched(models.OverlapReranker):
+        def scores(self, queries, texts):
+            sizes = [len(q) + len(t) for q, t in zip(queries, texts)]
+            if len(sizes) > 16 or max(sizes) > 1.26 * min(sizes):
+                raise ValueError(f"a batch of lengths {min(sizes)} to {max(sizes)}")
+            return super().scores(queries, texts)
+
+    pool, asked = _pool(spark, sf_dir), _asked(spark, sf_dir)
+    cut = ranking.top(_boosted(spark, sf_dir), "boost_rank", 20).select("query_id", "chunk_id", "boost_rank")
+    pairs = cut.join(pool.select("chunk_id", "text"), "chunk_id").join(asked.select("query_id", "query"), "query_id")
+    return ranking.rerank_in_batches(pairs, Watched, 16, place="boost_rank").withColumn("rerank_score", F.round("rerank_score", 6))
+
+
+@query("""WITH p AS (SELECT vec_id, embedding FROM embeddings ORDER BY md5('42:' || vec_id), vec_id LIMIT 5),
+    r AS (SELECT p.vec_id AS query_id, e.vec_id AS chunk_id, row_number() OVER (PARTITION BY p.vec_id ORDER BY round(list_inner_product(p.embedding::DOUBLE[], e.embedding::DOUBLE[]), 9) DESC, e.vec_id) AS r FROM p, embeddings e)
+    SELECT query_id, count(*) AS n_found, min(CASE WHEN query_id = chunk_id THEN r END) AS self_rank FROM r WHERE r <= 5 GROUP BY query_id""")
+def index_probe(spark, sf_dir):
+    """A search of a stored index for five of its own vectors."""
+    return ranking.probe_search(table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "chunk_id"))

@@ -471,11 +471,11 @@ def mmr_truncate(spark, sf_dir):
 
 def _mmr_sql(k: int) -> str:
     """The greedy choice, step by step: p1..pk are the choices, n1..nk what is left with its largest cosine to them."""
-    out = ["n0 AS (SELECT query_id, chunk_id, s, dense_rank, e, 0.0::DOUBLE AS near FROM dense JOIN pool USING (chunk_id))"]
+    out = ["n0 AS MATERIALIZED (SELECT query_id, chunk_id, s, dense_rank, e, 0.0::DOUBLE AS near FROM dense JOIN pool USING (chunk_id))"]
     for i in range(1, k + 1):
         value = "s" if i == 1 else "0.8::DOUBLE * s - 0.2::DOUBLE * near"
-        out.append(f"p{i} AS (FROM (SELECT query_id, chunk_id, e, {value} AS v, row_number() OVER (PARTITION BY query_id ORDER BY round({value}, 12) DESC, dense_rank) AS r FROM n{i - 1}) WHERE r = 1)")
-        out.append(f"n{i} AS (SELECT n.query_id, n.chunk_id, s, dense_rank, n.e, greatest(near, list_inner_product(n.e, p.e) / (sqrt(list_inner_product(n.e, n.e)) * sqrt(list_inner_product(p.e, p.e)))) AS near FROM n{i - 1} n JOIN p{i} p ON p.query_id = n.query_id AND p.chunk_id <> n.chunk_id)")
+        out.append(f"p{i} AS MATERIALIZED (FROM (SELECT query_id, chunk_id, e, {value} AS v, row_number() OVER (PARTITION BY query_id ORDER BY round({value}, 12) DESC, dense_rank) AS r FROM n{i - 1}) WHERE r = 1)")
+        out.append(f"n{i} AS MATERIALIZED (SELECT n.query_id, n.chunk_id, s, dense_rank, n.e, greatest(near, list_inner_product(n.e, p.e) / (sqrt(list_inner_product(n.e, n.e)) * sqrt(list_inner_product(p.e, p.e)))) AS near FROM n{i - 1} n JOIN p{i} p ON p.query_id = n.query_id AND p.chunk_id <> n.chunk_id)")
     return ", " + ", ".join(out) + " " + " UNION ALL ".join(f"SELECT query_id, chunk_id, round(v, 6) AS mmr, {i} AS mmr_rank FROM p{i}" for i in range(1, k + 1))
 
 
@@ -574,10 +574,12 @@ def evaluate_answers(spark, sf_dir):
     return retrieval.evaluate(asked.withColumn("answer", F.when(F.col("id") % 3 == 0, F.lit("E")).otherwise(longest)), models.LongestOptionGenerator, folder(spark), k=0)
 
 
-@query("SELECT doc_id, text FROM (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) AS r FROM documents WHERE length(text) // 4 >= 32) WHERE r <= 20")
+@query(f"SELECT doc_id, title, text FROM (SELECT doc_id, CASE WHEN {_GOOD_TITLE} THEN {_TITLE} ELSE '' END AS title, cleaned AS text, row_number() OVER (ORDER BY doc_id) AS r FROM (SELECT *, source AS name, {_STRIP.format('source')} AS s FROM ({_CLEANED})) WHERE length(cleaned) >= 32) WHERE r <= 20")
 def qc_preview(spark, sf_dir):
-    """The first 20 rows that are long enough, as the quality check shows them."""
-    return table(spark, sf_dir, "documents").where(T.is_long_enough(F.col("text"))).select("doc_id", "text").orderBy("doc_id").limit(20)
+    """The first 20 rows whose cleaned text has 32 characters, with clean titles, as the quality check shows them."""
+    title = F.when(T.is_good_title(F.col("source")), T.clean_title(F.col("source"))).otherwise("")
+    cleaned = table(spark, sf_dir, "documents").select("doc_id", title.alias("title"), F.explode(T.cleaned_at_least(F.col("text"), 32)).alias("text"))
+    return cleaned.orderBy("doc_id").limit(20)
 
 
 @query("WITH RECURSIVE" + _CHILD_SQL + ", known AS (SELECT * FROM documents WHERE doc_id % 2 = 0) SELECT chunk_id, substr(d.text, child_start + 1, child_end - child_start) AS child_text FROM children c JOIN known d ON d.doc_id::VARCHAR = c.doc_id")

@@ -96,11 +96,20 @@ def child_spans(children: DataFrame) -> DataFrame:
     return children.groupBy("doc_id").agg(F.array_sort(F.collect_list(span)).alias("spans"))
 
 
+#: What files of vector indexes of the common library begin with, flat and inverted ones, by the sign that their kinds share.
+INDEX_MAGIC = "Ix|IH|Iw|IB"
+
+
 def file_kinds(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, kind): json by its first character, binary under 30 % printable of the first 16 bytes, else text. The scan leaves empty files out."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", F.substring("content", 1, 16).alias("head"))
+    """(path, length, kind): json if it begins with { or [ and ends with what closes it, index by a vector index's first bytes, parquet by its mark at both ends, binary under 30 % printable of the first 16 bytes, else text. The scan leaves empty files out.
+
+    Only a file's first and last bytes are looked at after it is read; files of a size that a row cannot hold are out of its reach.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    files = files.select("path", "length", F.substring("content", 1, 16).alias("head"), F.expr("decode(right(content, 16), 'ISO-8859-1')").alias("tail"))
     codes = F.transform(F.sequence(F.lit(1), F.greatest(F.length("head"), F.lit(1))), lambda i: F.ascii(F.decode(F.substring(F.col("head"), i, F.lit(1)), "ISO-8859-1")))
     printable = F.size(F.filter(codes, lambda c: (c >= 32) & (c < 127))) / F.greatest(F.length("head"), F.lit(1))
-    first = F.ltrim(F.decode("head", "ISO-8859-1"))
-    return files.select("path", "length", F.when(first.startswith("{") | first.startswith("["), "json").when(printable < 0.3, "binary").otherwise("text").alias("kind"))
-
+    first, last = F.ltrim(F.decode("head", "ISO-8859-1")), F.regexp_replace("tail", r"\s+$", "")
+    closed = (first.startswith("{") & last.endswith("}")) | (first.startswith("[") & last.endswith("]"))
+    kind = F.when(closed, "json").when(first.rlike(f"^({INDEX_MAGIC})") & (printable < 0.7), "index").when(first.startswith("PAR1") & last.endswith("PAR1"), "parquet").when(printable < 0.3, "binary")
+    return files.select("path", "length", kind.otherwise("text").alias("kind"))
