@@ -16,7 +16,7 @@ from ..functions import text as T
 from ..functions import vectors as V
 from ..operators import bm25, chunking, qa, quality, ranking, sampling
 from ..sources.indexes import IndexSet
-from ..sources.scratch import folder, stored
+from ..sources.scratch import folder, kept, stored
 from . import retrieval
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -277,8 +277,8 @@ def _tokens(spark, sf_dir):
 
 
 def _index(spark, sf_dir):
-    """Written once and read."""
-    return bm25.write_index(_tokens(spark, sf_dir), folder(spark))
+    """Written once a session for the same files, and read."""
+    return bm25.read_index(spark, kept(spark, "bm25", [f"{sf_dir}/documents.parquet"], lambda path: bm25.write_index(_tokens(spark, sf_dir), path)))
 
 
 def _questions(spark, sf_dir):
@@ -409,7 +409,9 @@ def _with_vectors(rows: DataFrame, spark, sf_dir, key: str, text: str) -> DataFr
 
 def _pool(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("chunk_id"), F.col("source").alias("doc_id"), "text")
-    return stored(_with_vectors(docs, spark, sf_dir, "chunk_id", "text"))
+    pool = _with_vectors(docs, spark, sf_dir, "chunk_id", "text")
+    where = kept(spark, "pool", [f"{sf_dir}/documents.parquet", f"{sf_dir}/embeddings.parquet"], lambda path: pool.write.parquet(f"{path}/table"))
+    return spark.read.schema(pool.schema).parquet(f"{where}/table")
 
 
 def _asked(spark, sf_dir):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,3 +28,27 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{folder(df.sparkSession)}/table"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_kept: dict[tuple, str] = {}
+
+
+def kept(spark: SparkSession, name: str, inputs: list[str], make: Callable[[str], object]) -> str:
+    """The folder that make(folder) filled, made once an application for a name and the state of its input files: a changed file or a folder that has gone makes it anew.
+
+    For what many queries of a session share, such as an index. The folder goes when the application ends.
+    """
+    state = []
+    for path in inputs:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        system = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        state += sorted((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in system.listStatus(p))
+    key = (spark.sparkContext.applicationId, name, *state)
+    if (there := _kept.get(key)) is not None:
+        root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(there)
+        if root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root):
+            return there
+    path = folder(spark)
+    make(path)
+    _kept[key] = path
+    return path
