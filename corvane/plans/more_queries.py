@@ -380,3 +380,53 @@ def rerank_batches(spark, sf_dir):
 def index_probe(spark, sf_dir):
     """A search of a stored index for five of its own vectors."""
     return ranking.probe_search(table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "chunk_id"))
+
+
+@query("SELECT 'a' AS name, true AS ok, count(*) AS n FROM embeddings UNION ALL SELECT 'gone', false, NULL UNION ALL SELECT 'empty', false, 0")
+def index_checks(spark, sf_dir):
+    """Indexes by name, whether each can be read and holds vectors, and how many."""
+    path, vectors = folder(spark), table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "chunk_id")
+    index = IndexSet({name: f"{path}/{name}" for name in ("a", "gone", "empty")})
+    index.save("a", vectors)
+    index.save("empty", vectors.where("false"))
+    out = None
+    for name in index.enabled():
+        found, ok = index.checked(spark, name)
+        n = found.agg(F.count("*").alias("n")) if found is not None else spark.range(1).select(F.lit(None).cast("long").alias("n"))
+        row = n.select(F.lit(name).alias("name"), F.lit(ok).alias("ok"), "n")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("SELECT doc_id, quality FROM labels WHERE quality IS NOT NULL AND doc_id % 3 <> 0")
+def without_null_file(spark, sf_dir):
+    """Rows without nulls under the default name beside their table."""
+    source = f"{folder(spark)}/labels.parquet"
+    writers.write_parquet(table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("doc_id") % 3 != 0, F.col("quality")).alias("quality")), source)
+    target = writers.without_null_name(source)
+    writers.write_parquet(quality.drop_null_rows(readers.read_parquet(spark, source))[0], target)
+    return readers.read_parquet(spark, source.replace("labels.parquet", "labels_without_null.parquet"))
+
+
+@query("SELECT doc_id::VARCHAR AS id, text AS body, doc_id % 7 AS start, doc_id % 7 + length(text) AS \"end\" FROM documents")
+def role_columns(spark, sf_dir):
+    """Columns by their roles, whichever of the known names they have."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("document_id"), F.col("text").alias("content"), (F.col("doc_id") % 7).alias("child_start"), (F.col("doc_id") % 7 + F.length("text")).alias("end_char"))
+    of = lambda names: F.col(quality.role_column(docs.columns, names))
+    return docs.select(of(quality.ID_NAMES).cast("string").alias("id"), of(quality.BODY_NAMES).alias("body"), of(quality.START_NAMES).alias("start"), of(quality.END_NAMES).alias("end"))
+
+
+@query("SELECT conv_id, turn, 'A' AS predicted FROM conversations WHERE coalesce(regexp_extract(text, '[A-E]'), '') = ''")
+def invalid_predictions(spark, sf_dir):
+    """Turns in which no letter stands, as what they count as."""
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.nullif(F.regexp_extract("text", "[A-E]", 0), F.lit("")).alias("predicted"))
+    return qa.invalid_answers(said, "predicted")
+
+
+@query("SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) - 1 AS place FROM documents")
+def shuffled_rows(spark, sf_dir):
+    """Rows in shuffled order as written: their place is that of their file and of their row there."""
+    path = f"{folder(spark)}/t"
+    sampling.shuffled(table(spark, sf_dir, "documents").select("doc_id"), "doc_id").write.parquet(path)
+    stored_rows = spark.read.parquet(path).withColumns({"file": F.col("_metadata.file_name"), "row": F.col("_metadata.row_index")})
+    return ordering.number_rows(stored_rows, "place", "file", "row").select("doc_id", "place")
