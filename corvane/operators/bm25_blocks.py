@@ -122,16 +122,26 @@ def _score(index: BlockIndex, asked: DataFrame, chosen: DataFrame) -> DataFrame:
     return together.mapInArrow(add_up, f"query_id {kind}, number long, score double")
 
 
-def choose(index: BlockIndex, queries: DataFrame, k: int, distinct: bool = False, probes: int = PROBES) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(scores of the first ranges, all ranges with their bounds, the ranges still to read): first and second are stored tables."""
+@dataclass
+class Choice:
+    """bounds (query_id, range, bound, n_blocks) of all ranges, top: those of them that are scored first, first: their scores, left: the ranges still to read, with the score to reach."""
+
+    bounds: DataFrame
+    top: DataFrame
+    first: DataFrame
+    left: DataFrame
+
+
+def choose(index: BlockIndex, queries: DataFrame, k: int, distinct: bool = False, probes: int = PROBES) -> Choice:
+    """bounds, top and first are stored tables. Tasks pass on their own `probes` largest bounds of a query, so no task sorts all of one."""
     asked = _asked(index, queries, distinct)
-    bounds = index.blocks.select("token", "range", "most").join(asked, "token").groupBy("query_id", "range").agg(F.sum(F.col("weight") * F.col("most")).alias("bound"), F.count("*").alias("n_blocks"))
+    bounds = stored(index.blocks.select("token", "range", "most").join(asked, "token").groupBy("query_id", "range").agg(F.sum(F.col("weight") * F.col("most")).alias("bound"), F.count("*").alias("n_blocks")))
     by_bound = Window.partitionBy("query_id").orderBy(F.desc("bound"), "range")
-    bounds = stored(bounds.withColumn("place", F.row_number().over(by_bound)))
-    first = stored(_score(index, asked, bounds.where(F.col("place") <= probes).select("query_id", "range", F.lit(float("-inf")).alias("least"))))
+    top = stored(bounds.withColumn("place", F.row_number().over(by_bound)).where(F.col("place") <= probes).drop("place"))
+    first = stored(_score(index, asked, top.select("query_id", "range", F.lit(float("-inf")).alias("least"))))
     kth = first.withColumn("i", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))).where(F.col("i") == k).select("query_id", F.col("score").alias("kth"))
-    left = bounds.where(F.col("place") > probes).join(kth, "query_id", "left").withColumn("least", F.coalesce(F.col("kth") - 2 * CLOSE, F.lit(float("-inf")))).where(F.col("bound") >= F.col("least"))
-    return first, bounds, left.select("query_id", "range", "least", "n_blocks")
+    reach = bounds.join(kth, "query_id", "left").withColumn("least", F.coalesce(F.col("kth") - 2 * CLOSE, F.lit(float("-inf")))).where(F.col("bound") >= F.col("least"))
+    return Choice(bounds, top, first, reach.join(top.select("query_id", "range"), ["query_id", "range"], "left_anti").select("query_id", "range", "least", "n_blocks"))
 
 
 def topk(index: BlockIndex, queries: DataFrame, k: int, distinct: bool = False, probes: int = PROBES) -> DataFrame:
@@ -140,17 +150,16 @@ def topk(index: BlockIndex, queries: DataFrame, k: int, distinct: bool = False,
     Queries (query_id, tokens) with no known token have no rows. Bounds take one small row a query and range with a
     common token, and a range's texts are scored together, so no task meets all postings of a frequent token.
     """
-    first, _, left = choose(index, queries, k, distinct, probes)
-    rest = _score(index, _asked(index, queries, distinct), left.drop("n_blocks"))
+    chosen = choose(index, queries, k, distinct, probes)
+    rest = _score(index, _asked(index, queries, distinct), chosen.left.drop("n_blocks"))
     best = Window.partitionBy("query_id").orderBy(F.desc(F.round("bm25_score", 9)), "chunk_id")
-    found = first.unionByName(rest).join(index.numbers.select("number", "chunk_id"), "number").select("query_id", "chunk_id", F.col("score").alias("bm25_score"))
+    found = chosen.first.unionByName(rest).join(index.numbers.select("number", "chunk_id"), "number").select("query_id", "chunk_id", F.col("score").alias("bm25_score"))
     return found.withColumn("bm25_rank", F.row_number().over(best)).where(F.col("bm25_rank") <= k)
 
 
 def blocks_read(index: BlockIndex, queries: DataFrame, k: int, distinct: bool = False, probes: int = PROBES) -> DataFrame:
     """One row: the blocks that the queries' tokens have, those that topk reads, and their share."""
-    _, bounds, left = choose(index, queries, k, distinct, probes)
-    read = left.agg(F.coalesce(F.sum("n_blocks"), F.lit(0)).alias("more"))
-    every = bounds.agg(F.coalesce(F.sum("n_blocks"), F.lit(0)).alias("blocks"), F.coalesce(F.sum(F.when(F.col("place") <= probes, F.col("n_blocks"))), F.lit(0)).alias("first"))
-    row = every.join(read, F.lit(True)).select("blocks", (F.col("first") + F.col("more")).alias("blocks_read"))
-    return row.withColumn("share", F.col("blocks_read") / F.col("blocks"))
+    chosen = choose(index, queries, k, distinct, probes)
+    total = lambda df, name: df.agg(F.coalesce(F.sum("n_blocks"), F.lit(0)).alias(name))
+    row = total(chosen.bounds, "blocks").join(total(chosen.top, "first"), F.lit(True)).join(total(chosen.left, "more"), F.lit(True))  # one row each
+    return row.select("blocks", (F.col("first") + F.col("more")).alias("blocks_read")).withColumn("share", F.col("blocks_read") / F.col("blocks"))
