@@ -430,3 +430,16 @@ def shuffled_rows(spark, sf_dir):
     sampling.shuffled(table(spark, sf_dir, "documents").select("doc_id"), "doc_id").write.parquet(path)
     stored_rows = spark.read.parquet(path).withColumns({"file": F.col("_metadata.file_name"), "row": F.col("_metadata.row_index")})
     return ordering.number_rows(stored_rows, "place", "file", "row").select("doc_id", "place")
+
+
+_LINES_SQL = rf"""
+    ps_p AS (SELECT doc_id, unnest(l) AS p, generate_subscripts(l, 1) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)),
+    ps_o AS (SELECT *, (sum(length(p) + 1) OVER (PARTITION BY doc_id ORDER BY i))::BIGINT - length(p) - 1 AS o FROM ps_p),
+    ps_f AS (SELECT doc_id, i, {_STRIP.format("p")} AS t, o + length(p) - length(regexp_replace(p, '^\s+', '')) AS s FROM ps_o WHERE {_STRIP.format("p")} <> ''),
+    ps AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k, t, s, s + length(t) AS e FROM ps_f)"""
+
+
+@query("WITH RECURSIVE" + _LINES_SQL + _PARENT_SQL[_PARENT_SQL.index(",\n    pr AS") :] + " SELECT * EXCLUDE (c) FROM parents")
+def parents_of_lines(spark, sf_dir):
+    """Parent chunks by another splitter, whose pieces are sought in the text."""
+    return chunking.parent_chunks(titled(spark, sf_dir), split=lambda text: chunking.located(text.split("\n"), text))
