@@ -83,7 +83,18 @@ def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_lm_scoring, op3_decontamination, op4_url_filter, op5_preference_format, op6_bpe, op7_secret_scan, op8_toxicity, op9_suffix_dedup, op10_ngram_jaccard_join, op11_hard_negatives, op12_collocations, op13_best_fit_packing)}
+def lm_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can express of op2: token counts and the base score."""
+    found = op2_lm_scoring(spark, sf_dir)
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
+
+
+def secret_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can express of op7: the fixed patterns."""
+    return op7_secret_scan(spark, sf_dir).drop("spans")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_dedup, op2_lm_scoring, op3_decontamination, op4_url_filter, op5_preference_format, op6_bpe, op7_secret_scan, op8_toxicity, op9_suffix_dedup, op10_ngram_jaccard_join, op11_hard_negatives, op12_collocations, op13_best_fit_packing, lm_base, secret_base)}
 
 _RULES_SQL = ", ".join(f"({i}, '{v}', '{h}', '{p}')" for i, (v, h, p) in enumerate(URL_RULES))
 
@@ -197,4 +208,22 @@ ORACLE_SQL: dict[str, str] = {
         SELECT o.lang, row_number() OVER (PARTITION BY o.lang ORDER BY score DESC, a DESC, array_to_string(o.ws, ' '))::BIGINT AS rank, array_to_string(o.ws, ' ') AS phrase, a, l, r, n, score::BIGINT AS score
         FROM lowest o JOIN n USING (lang) LEFT JOIN inside i ON i.lang = o.lang AND i.ws = o.ws
         WHERE coalesce(100 * i.f < 80 * a, true) QUALIFY rank <= 2000""",
+    "lm_base": r"""
+        WITH d AS (SELECT doc_id, coalesce(doc_id::VARCHAR, '') AS i, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        folds AS (
+          SELECT doc_id, w, xor(list_reduce([ascii(c)::BIGINT FOR c IN string_split(i, '')],
+            lambda c, b: list_reduce(range(8), lambda r, k: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END, xor(c, b)), 4294967295::BIGINT), 4294967295::BIGINT) % 10 = 0 AS held_out FROM d),
+        t AS (SELECT doc_id, held_out, unnest(w) AS token FROM folds UNION ALL SELECT doc_id, held_out, '' FROM folds),
+        c AS (SELECT token, count(*) AS c FROM t WHERE NOT held_out GROUP BY token),
+        n AS (SELECT sum(c)::BIGINT AS n, count(*) AS v FROM c)
+        SELECT doc_id, held_out, count(*) AS n_tokens, count(c) AS n_known, any_value(n) AS train_tokens, round(sum(log10((coalesce(c, 0) + 0.1::DOUBLE) / (n + 0.1::DOUBLE * (v + 1)))), 4) AS base_score
+        FROM t LEFT JOIN c USING (token), n GROUP BY doc_id, held_out""",
+    "secret_base": r"""
+        WITH kinds(kind, k, pattern, least) AS (VALUES
+          ('assign', 0, '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 8), ('access', 1, '(AKIA[A-Z0-9]+)', 16), ('hex', 2, '([0-9a-f]+)', 32)),
+        m AS (SELECT doc_id, kind, k, least, regexp_split_to_array(coalesce(text, ''), pattern) AS p, regexp_extract_all(coalesce(text, ''), pattern, 0) AS m, regexp_extract_all(coalesce(text, ''), pattern, 1) AS g FROM documents, kinds),
+        e AS (SELECT doc_id, kind, k, least, length(g) AS n, length(p) AS a, length(m) AS b, i FROM (SELECT doc_id, kind, k, least, unnest(g) AS g, unnest(p[:len(m)]) AS p, unnest(m) AS m, generate_subscripts(m, 1) AS i FROM m)),
+        s AS (SELECT doc_id, kind, k, b, (sum(a + b) OVER (PARTITION BY doc_id, kind ORDER BY i))::BIGINT AS stop, least FROM e QUALIFY n >= least),
+        t AS (SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex, string_agg(kind || ':' || (stop - b) || ':' || stop, ',' ORDER BY stop - b, k) AS spans FROM s GROUP BY doc_id)
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256 FROM documents LEFT JOIN t USING (doc_id)""",
 }
