@@ -22,6 +22,8 @@ from .common import Workspace, prepare, trimmed
 
 #: Rows of a bucket, anchors of a block (what the driver and a broadcast hold at once), anchors of a matrix product.
 BUCKET_ROWS, BLOCK_ROWS, AT_ONCE = 4096, 16_384, 512
+#: Bytes of a bucket's and a block's vectors at most, as doubles; wide vectors make them smaller.
+BUCKET_BYTES, BLOCK_BYTES = 8 << 20, 32 << 20
 #: Sums of products below this are exact in double precision.
 EXACT = 1 << 53
 #: Stands for a null id inside: it sorts last.
@@ -67,12 +69,13 @@ def packed_buckets(vectors: DataFrame, ws: Workspace, scale: float, bucket_rows:
                     yield bucket(held)
                     number, held = number + 1, []
                 width = int(widths[low])
+                most = min(bucket_rows, max(1, BUCKET_BYTES // (8 * max(1, width))))
                 m = whole(batch.column(2).slice(low, high - low).flatten().to_numpy(zero_copy_only=False).reshape(high - low, width), scale)
                 while low < high:
-                    take = min(high - low, bucket_rows - sum(len(x[0]) for x in held))
+                    take = min(high - low, most - sum(len(x[0]) for x in held))
                     held.append((ids[low : low + take], labels[low : low + take], m[len(m) - (high - low) :][:take]))
                     low += take
-                    if sum(len(x[0]) for x in held) == bucket_rows:
+                    if sum(len(x[0]) for x in held) == most:
                         yield bucket(held)
                         number, held = number + 1, []
         if held:
@@ -228,7 +231,7 @@ def mine_hard_negatives(vectors: DataFrame, every: int = 50, positives: int = 5,
     Other columns play no part. Scores are exact; OverflowError if one does not fit into 64 bits, or a scaled component into a double.
 
     The rows, packed into buckets, are shuffled once, along their norms; each block of anchors, of which there is one for block_rows,
-    reads the buckets twice. The driver and a broadcast hold one block. What is shuffled after a search is the k best of each
+    reads the buckets twice. The driver and a broadcast hold one block, of BLOCK_BYTES on average. What is shuffled after a search is the k best of each
     window and task.
     """
     spark = prepare(vectors.sparkSession)
@@ -239,7 +242,8 @@ def mine_hard_negatives(vectors: DataFrame, every: int = 50, positives: int = 5,
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = ws.write(buckets.repartition(n, "bucket").sortWithinPartitions(F.desc("norm")), "dealt")  # each task has buckets of all norms, the largest first
     anchors = _anchors(buckets, ws, lambda ids: ids % every == 0)
-    blocks = max(1, -(-anchors.count() // block_rows))
+    size = anchors.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("vector")), F.lit(0)).alias("bytes")).first()
+    blocks = max(1, -(-size["n"] // block_rows), -(-size["bytes"] // BLOCK_BYTES))
     parts = []
     for block in range(blocks):
         rows = sorted((anchors if blocks == 1 else anchors.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == block)).collect(), key=lambda r: r["row"])
