@@ -50,6 +50,12 @@ def test_sizes_of_buckets_and_blocks_do_not_matter(spark, rows, options):
     assert found(spark, rows, **options) == brute(rows, **named)
 
 
+def test_wide_vectors_make_buckets_and_blocks_smaller(spark, rows, monkeypatch):
+    monkeypatch.setattr(hard_negatives, "BUCKET_BYTES", 8 * 8 * 5)  # five rows of eight
+    monkeypatch.setattr(hard_negatives, "BLOCK_BYTES", 8 * 8 * 6)
+    assert found(spark, rows[:300]) == brute(rows[:300])
+
+
 def test_large_components_are_exact(spark):
     rng = np.random.default_rng(2)
     rows = [(i, (rng.normal(size=4) * 1e6 + 3e6).tolist(), i % 2) for i in range(60)]
