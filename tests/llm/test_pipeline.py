@@ -57,9 +57,19 @@ def test_queries_have_the_contracts_columns(spark, sf_dir):
         "op1": "doc_id keep_id group_size kept text_sha256", "op2": "doc_id held_out n_tokens n_known train_tokens base_score score", "op3": "doc_id n_words n_hit n_items items_sha256 contaminated",
         "op4": "page_id host path rule verdict", "op6": "doc_id n_tokens ids_sha256 decoded_sha256", "op7": "doc_id n_assign n_access n_hex base_sha256 spans", "op8": "doc_id held_out score predicted",
         "op9": "doc_id n_bytes n_removed n_spans kept_sha256", "op10": "doc_id n_shingles component_id",
+        "op11": "anchor_id positive_id rank negative_id positive_score negative_score", "op12": "lang rank phrase a l r n score", "op13": "doc_id piece start length ids_crc32 sequence_id offset",
     }
     names = {n.split("_")[0]: n for n in entry.queries() if n.startswith("op")}
-    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 11)] and "pipeline" in entry.queries()
+    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 14)] and "pipeline" in entry.queries()
     for op, columns in wanted.items():
         if op in ("op4", "op6", "op7"):  # the lazy ones; the others' columns are in their own tests
             assert entry.queries()[names[op]](spark, sf_dir).columns == columns.split()
+
+
+def test_new_queries_have_the_contracts_types(spark, sf_dir):
+    import __spark_entry__ as entry
+
+    kinds = {"op11_hard_negatives": {"rank": "int"}, "op12_collocations": {"lang": "string", "phrase": "string"}, "op13_best_fit_packing": {"piece": "int"}}
+    for name, other in kinds.items():
+        out = entry.queries()[name](spark, sf_dir)
+        assert all(kind == other.get(c, "bigint") for c, kind in out.dtypes), out.dtypes
