@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.batches import bounded
+from ..sources.scratch import stored
+
 K1, B = 1.5, 0.75
-#: Parts that the postings of a frequent token are dealt over.
-SALTS = 64
+#: Pairs of query and token that are broadcast at a time, some 10 MB, and tokens that are counted at a time.
+ASKED, COUNTED = 1 << 17, 1 << 20
 
 
 def word_tokens(c: Column) -> Column:
@@ -51,17 +59,39 @@ def build_index(tokenized: DataFrame, k1: float = K1, b: float = B) -> Bm25Index
     return Bm25Index(lengths, postings, weights(postings, metadata), metadata)
 
 
+def counted(tokenized: DataFrame) -> DataFrame:
+    """(token, chunk_id, tf) of each row by itself, without a shuffle: rows of one key have postings of their own."""
+    kind = dict(tokenized.dtypes)["chunk_id"]
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+            low = 0
+            while low < batch.num_rows:
+                high = max(low + 1, int(np.searchsorted(sizes, (sizes[low - 1] if low else 0) + COUNTED, "right")))
+                ids, lists = batch.column(0).slice(low, high - low), batch.column(1).slice(low, high - low)
+                coded = lists.flatten().dictionary_encode()
+                width = max(1, len(coded.dictionary))
+                cells, n = np.unique(pc.list_parent_indices(lists).to_numpy().astype(np.int64) * width + coded.indices.to_numpy(), return_counts=True)
+                yield pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(cells % width)), ids.take(pa.array(cells // width)), pa.array(n.astype(np.int64))], names=["token", "chunk_id", "tf"])
+                low = high
+
+    bounded(tokenized.sparkSession)
+    return tokenized.select("chunk_id", "tokens").mapInArrow(count, f"token string, chunk_id {kind}, tf long")
+
+
 def write_index(tokenized: DataFrame, path: str, k1: float = K1, b: float = B) -> Bm25Index:
     """The index of tokenized texts as tables below path, each made from stored ones, so that no text is tokenised twice; returned as stored.
 
-    Postings are dealt by ranges of (token, chunk_id) and sorted, so a lookup reads few row groups and a frequent token
-    spreads over as many files as it fills.
+    Postings are counted row by row, dealt once, by ranges of (token, chunk_id), added up there and sorted, so a lookup reads
+    few row groups and a frequent token spreads over as many files as it fills.
     """
     spark, n = tokenized.sparkSession, int(tokenized.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tokenized.write.mode("overwrite").parquet(f"{path}/tokenized_chunks")
-    index = build_index(spark.read.parquet(f"{path}/tokenized_chunks"), k1, b)
-    index.lengths.write.mode("overwrite").parquet(f"{path}/chunk_len")
-    index.postings.repartitionByRange(n, "token", "chunk_id").sortWithinPartitions("token", "chunk_id").write.mode("overwrite").parquet(f"{path}/inverted_index")
+    texts = spark.read.parquet(f"{path}/tokenized_chunks")
+    build_index(texts, k1, b).lengths.write.mode("overwrite").parquet(f"{path}/chunk_len")
+    dealt = counted(texts).repartitionByRange(n, "token", "chunk_id").groupBy("token", "chunk_id").agg(F.sum("tf").alias("tf"))
+    dealt.sortWithinPartitions("token", "chunk_id").write.mode("overwrite").parquet(f"{path}/inverted_index")
     lengths, postings = spark.read.parquet(f"{path}/chunk_len"), spark.read.parquet(f"{path}/inverted_index")
     metadata = summary(lengths, k1, b)
     metadata.coalesce(1).write.mode("overwrite").parquet(f"{path}/metadata")
@@ -91,29 +121,61 @@ def flatten_postings(postings: DataFrame, block: int = 100_000) -> DataFrame:
     return dealt.groupBy("token", "block").agg(F.array_join(F.array_sort(F.collect_list(F.col("chunk_id").cast("string"))), ",").alias("doc_indices"))
 
 
+def whole_lists(postings: DataFrame) -> DataFrame:
+    """(token, comma-joined ids in order), one row a token. Ids are dealt and sorted by ranges of (token, id) and joined batch by batch, so that only strings of many ids meet for a token."""
+
+    def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, run = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            token, ids = batch.column(0), batch.column(1)
+            starts = np.concatenate([[0], 1 + np.flatnonzero(pc.not_equal(token.slice(1), token.slice(0, len(token) - 1)).to_numpy(zero_copy_only=False))])
+            lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(token)), pa.int32()), ids)
+            place = lambda n: pa.array(np.full(len(starts), n), pa.int64())
+            yield pa.RecordBatch.from_arrays([token.take(pa.array(starts)), place(part), place(run), pc.binary_join(lists, ",")], names=["token", "part", "run", "ids"])
+            run += 1
+
+    n = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounded(postings.sparkSession)
+    dealt = postings.select("token", F.col("chunk_id").cast("string").alias("chunk_id")).repartitionByRange(n, "token", "chunk_id").sortWithinPartitions("token", "chunk_id")
+    pieces = dealt.mapInArrow(join, "token string, part long, run long, ids string").groupBy("token").agg(F.array_sort(F.collect_list(F.struct("part", "run", "ids"))).alias("pieces"))
+    return pieces.select("token", F.array_join("pieces.ids", ",").alias("doc_indices"))
+
+
+def asked_in_groups(queries: DataFrame, idf: DataFrame, most: int = ASKED) -> list[DataFrame]:
+    """(query_id, token, qtf, idf) of the queries' known tokens as a stored table, in groups of whole queries with about `most` rows, each small enough to broadcast."""
+    q = queries.select("query_id", F.explode("tokens").alias("token")).groupBy("query_id", "token").agg(F.count("*").alias("qtf"))
+    asked = stored(q.join(idf.select("token", "idf"), "token").select("query_id", "token", "qtf", "idf"))
+    n = -(-asked.count() // most)
+    return [asked] if n <= 1 else [asked.where(F.pmod(F.xxhash64("query_id"), F.lit(n)) == i) for i in range(n)]
+
+
 def scores(index: Bm25Index, queries: DataFrame, distinct: bool = True, candidates: DataFrame | None = None) -> DataFrame:
     """(query_id, chunk_id, score) of chunks that share a token with the query (query_id, tokens).
 
     distinct: each token of the query counts once; else as often as it stands there. candidates (query_id, chunk_id):
-    only these are scored, and the postings are cut down to them before scores are computed. Tokens with over a thousandth of
-    all postings, of which there are at most a thousand, are dealt over SALTS parts by chunk, so no task meets all of one.
+    only these are scored. Queries go in groups whose tokens are broadcast. Of the postings, those of asked tokens are dealt by
+    chunk, once and before any query meets them, and a chunk's hits are added up where they arise; candidates meet
+    their chunk's postings before tokens are compared. So what is shuffled follows the postings, not the hits.
     """
-    q = queries.select("query_id", F.explode("tokens").alias("token")).groupBy("query_id", "token").agg(F.count("*").alias("qtf"))
-    postings = index.postings
-    if candidates is not None:
-        postings = postings.join(candidates.select("chunk_id").distinct(), "chunk_id", "left_semi")
-    total = index.idf.agg(F.sum("df").alias("__total"))
-    frequent = F.broadcast(index.idf.join(F.broadcast(total), F.col("df") * 1000 > F.col("__total")).select("token", F.lit(True).alias("__often")))
-    asked = q.join(index.idf.select("token", "idf"), "token").join(frequent, "token", "left")
-    asked = asked.withColumn("__salt", F.explode(F.when(F.col("__often"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("__often")
-    salted = postings.join(frequent, "token", "left").withColumn("__salt", F.when(F.col("__often"), F.pmod(F.xxhash64("chunk_id"), F.lit(SALTS))).otherwise(0).cast("int")).drop("__often")
-    hits = asked.join(salted, ["token", "__salt"])
+    return reduce(DataFrame.unionByName, [_scored(index, asked, distinct, candidates) for asked in asked_in_groups(queries, index.idf)])
+
+
+def _scored(index: Bm25Index, asked: DataFrame, distinct: bool, candidates: DataFrame | None) -> DataFrame:
+    """scores for queries whose (query_id, token, qtf, idf) are broadcast."""
+    postings = index.postings.join(F.broadcast(asked.select("token").distinct()), "token", "left_semi")
     if candidates is not None:
-        hits = hits.join(candidates.select("query_id", "chunk_id"), ["query_id", "chunk_id"], "left_semi")
-    rows = hits.join(index.lengths, "chunk_id").join(F.broadcast(index.metadata), F.lit(True))  # one row
+        postings = postings.join(candidates.select("query_id", "chunk_id").distinct(), "chunk_id")
+    else:
+        postings = postings.repartition("chunk_id")
+    rows = postings.join(index.lengths, "chunk_id")
+    hits = rows.join(F.broadcast(asked), ["token"] if candidates is None else ["token", "query_id"]).join(F.broadcast(index.metadata), F.lit(True))  # one row
     tf = F.col("tf").cast("double")
     part = F.col("idf") * tf * (F.col("k1") + 1) / (tf + F.col("k1") * (1 - F.col("b") + F.col("b") * F.col("chunk_len") / F.col("avgdl")))
-    return rows.groupBy("query_id", "chunk_id").agg(F.sum(part if distinct else part * F.col("qtf")).alias("score"))
+    return hits.groupBy("query_id", "chunk_id").agg(F.sum(part if distinct else part * F.col("qtf")).alias("score"))
 
 
 def topk(index: Bm25Index, queries: DataFrame, k: int, distinct: bool = False) -> DataFrame:
