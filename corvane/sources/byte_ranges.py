@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .batches import bounded
+
 _FRAGMENT = "file string, block long, part int, first boolean, text binary"
 _FRAGMENT_ARROW = pa.schema([("file", pa.string()), ("block", pa.int64()), ("part", pa.int32()), ("first", pa.bool_()), ("text", pa.binary())])
 
@@ -26,6 +28,7 @@ Begin = Callable[[str, int], tuple[Ender, bool]]
 
 def parts_of(spark: SparkSession, path: str | Sequence[str], sign: str) -> DataFrame:
     """(file, block, value): what stands between signs, as bytes, with the byte range that each belongs to."""
+    bounded(spark)
     raw = spark.read.option("lineSep", sign).text(path)
     return raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("value"))
 
