@@ -6,23 +6,71 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import models
+from ..sources.batches import bounded
 from ..sources.scratch import stored
 
 
+#: Vectors of a slab and values of a product at most, some 16 MB each at 64 dimensions.
+SLAB, CELLS = 1 << 15, 1 << 21
+
+
+def _slabs(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """(keys, vectors, groups) of up to SLAB rows (key, vector, group)."""
+    held: list[tuple] = []
+
+    def joined() -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        keys, ms, groups = zip(*held)
+        return pa.concat_arrays(keys), np.concatenate(ms), np.concatenate(groups)
+
+    for batch in batches:
+        for low in range(0, batch.num_rows, SLAB):
+            part = batch.slice(low, SLAB)
+            if held and sum(len(h[0]) for h in held) + part.num_rows > SLAB:
+                yield joined()
+                held.clear()
+            m = part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+            held.append((part.column(0), m, part.column(2).to_pandas().to_numpy()))
+    if held:
+        yield joined()
+
+
+def _largest(s: np.ndarray, lows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, columns) of each row's k largest finite values as rounded, the first columns of equals, left out where lower than lows, which rise to the kth value found."""
+    if s.shape[1] > k and (fresh := np.flatnonzero(lows == -np.inf)).size:
+        t = s[fresh]
+        t[~np.isfinite(t)] = -np.inf
+        lows[fresh] = np.round(np.partition(t, t.shape[1] - k, axis=1)[:, t.shape[1] - k], 9)
+    rows, cols = np.nonzero(s >= lows[:, None] - 1e-9)
+    value = s[rows, cols]
+    ok = np.isfinite(value)
+    rows, cols, value = rows[ok], cols[ok], np.round(value[ok], 9)
+    order = np.lexsort((cols, -value, rows))
+    rows, cols, value = rows[order], cols[order], value[order]
+    first = np.searchsorted(rows, np.arange(len(lows)))
+    place = np.arange(len(rows)) - first[rows]
+    full = place == k - 1
+    lows[rows[full]] = np.maximum(lows[rows[full]], value[full])
+    return rows[place < k], cols[place < k]
+
+
 def dense_topk(queries: DataFrame, corpus: DataFrame, k: int, block_bytes: int = 64 << 20, query_id: str = "query_id", key: str = "chunk_id", vector: str = "embedding", by: str | None = None, at_once: int = 1024) -> DataFrame:
     """(query_id, chunk_id, similarity, dense_rank): the k best by inner product, equal ones by key.
 
     Query vectors, of at most block_bytes, are all that is ever broadcast; more of them go in blocks of that size, read from
     a stored table, and each block's best are written before the next one's begin. A block meets the whole corpus in one
-    pass, as a matrix product of at_once queries with an Arrow batch; each batch passes on its k best, and a window takes
-    the k best of those. The dimension is that of most queries; vectors that are null or of another one are left out. With
+    pass, in matrix products of at most CELLS values: up to at_once queries with a slab of up to SLAB vectors. A slab passes
+    on its k best, as far as they reach the kth best of an earlier slab of the task, and a window takes the k best of those. The dimension is that of most queries; vectors that are null or of another one are left out. With
     fewer than k vectors there are fewer rows. by: only vectors that agree with the query in this column are compared.
     """
     named = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("v"), (F.col(by) if by else F.lit(None).cast("string")).alias("g")).where("v is not null")
+    bounded(queries.sparkSession)
     named = stored(named)
     sizes = named.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
     spark, dim, total = queries.sparkSession, (sizes["d"] if sizes else 0), (sizes["count"] if sizes else 0)
@@ -31,27 +79,29 @@ def dense_topk(queries: DataFrame, corpus: DataFrame, k: int, block_bytes: int =
     corpus = corpus.select(F.col(key).alias("chunk_id"), F.col(vector).alias("v"), (F.col(by) if by else F.lit(None).cast("string")).alias("g")).where((F.size("v") == dim) & F.lit(total > 0))
     schema = f"query_id {dict(named.dtypes)['query_id']}, chunk_id {dict(corpus.dtypes)['chunk_id']}, similarity double"
     w = Window.partitionBy("query_id").orderBy(F.desc(F.round("similarity", 9)), "chunk_id")
+    field_types = (to_arrow_type(named.schema["query_id"].dataType),)
     every = None
     for i in range(n_blocks):
         rows = (named if n_blocks == 1 else named.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == i)).toPandas()
         sent = spark.sparkContext.broadcast((rows["query_id"].to_numpy(), np.stack(rows["v"].to_numpy()).astype(np.float64) if len(rows) else np.zeros((0, dim)), rows["g"].to_numpy()))
 
-        def best(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
+        def best(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             names, q, groups = sent.value
-            for pdf in batches:
-                pdf = pdf.sort_values("chunk_id")
-                if not len(pdf):
-                    continue
-                m = np.stack(pdf["v"].to_numpy()).astype(np.float64).T
-                for low in range(0, len(names), at_once):
-                    s = q[low : low + at_once] @ m
+            lows, ids = np.full(len(names), -np.inf), pa.array(names, field_types[0])
+            for keys, m, of_group in _slabs(batches, dim):
+                order = pc.sort_indices(keys)
+                keys, at = keys.take(order), order.to_numpy()
+                m, of_group = m[at].T, of_group[at]
+                step = max(1, min(at_once, CELLS // len(keys)))
+                for low in range(0, len(names), step):
+                    s = q[low : low + step] @ m
                     if by:
-                        s = np.where(groups[low : low + at_once, None] == pdf["g"].to_numpy()[None, :], s, -np.inf)
-                    top = np.argsort(-np.round(s, 9), axis=1, kind="stable")[:, :k]
-                    out = pd.DataFrame({"query_id": np.repeat(names[low : low + at_once], top.shape[1]), "chunk_id": pdf["chunk_id"].to_numpy()[top].ravel(), "similarity": np.take_along_axis(s, top, axis=1).ravel()})
-                    yield out[np.isfinite(out["similarity"])]
+                        s[groups[low : low + step, None] != of_group[None, :]] = -np.inf
+                    rows, cols = _largest(s, lows[low : low + step], k)
+                    if len(rows):
+                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(low + rows)), keys.take(pa.array(cols)), pa.array(s[rows, cols])], names=["query_id", "chunk_id", "similarity"])
 
-        part = corpus.mapInPandas(best, schema).withColumn("dense_rank", F.row_number().over(w)).where(F.col("dense_rank") <= k)
+        part = corpus.mapInArrow(best, schema).withColumn("dense_rank", F.row_number().over(w)).where(F.col("dense_rank") <= k)
         if n_blocks > 1:
             part = stored(part)
             sent.unpersist()
