@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..sources.batches import bounded
 from . import cleaning
 
 # Patterns, bounds and words that decide results.
@@ -102,7 +103,8 @@ def _html_text(text: str) -> str:
 
 
 def _over(f: Callable[[str], str], c: Column) -> Column:
-    """f over Arrow batches of c; null stays null."""
+    """f over Arrow batches of c, bounded by bytes; null stays null."""
+    bounded()
 
     def each(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if t is None else f(t))

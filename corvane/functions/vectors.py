@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..sources.batches import bounded
+
 
 def _doubles(v: Column) -> Column:
     return v.cast("array<double>")
@@ -45,6 +47,7 @@ def is_vector(v: Column, dim: int) -> Column:
 
 def to_half(v: Column) -> Column:
     """Rounded to half precision, as a quantised index stores it."""
+    bounded()
 
     @F.pandas_udf("array<float>")
     def rounded(s: pd.Series) -> pd.Series:

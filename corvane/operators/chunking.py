@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.text import split_sentences
+from ..sources.batches import bounded
 from .ordering import number_rows
 
 #: Characters that end sentences, and the margins of budgets.
@@ -103,6 +104,7 @@ def child_chunks(docs: DataFrame, child_size: int = 128, parent_size: int = 512,
                     n += 1
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in CHILD.split(", ")])
 
+    bounded(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("string"), "title", "text").mapInPandas(run, CHILD)
 
 
@@ -131,6 +133,7 @@ def parent_chunks(docs: DataFrame, parent_size: int = 256, least_tokens: int = 5
                 rows += [(f"{doc_id}:parent:{i}", doc_id, title or "", a, b, text[a:b], t) for i, (a, b, t) in enumerate(made)]
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in PARENT.split(", ")])
 
+    bounded(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("string"), "title", "text").mapInPandas(run, PARENT)
 
 
@@ -166,6 +169,7 @@ def token_chunks(docs: DataFrame, child_size: int = 128, parent_size: int = 512,
                     rows.append((f"{doc_id}:chunk:{i}", doc_id, tokens[a:b], c, d, b - a))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in TOKENS.split(", ")])
 
+    bounded(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("string"), F.col(title_len).alias("title_len"), F.col(ids).alias("ids")).mapInPandas(run, TOKENS)
 
 

@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import bounded
+
 #: Bytes of a value, by kind.
 KINDS = {"half": np.float16, "flat": np.float32}
 ROWS = 1024
@@ -56,6 +58,7 @@ def packed(vectors: DataFrame, key: str = "chunk_id", vector: str = "embedding",
             yield block()
 
     chosen = vectors.select(F.col(key).alias("k"), F.col(vector).cast("array<float>").alias("v"), (F.col(group) if group else F.lit(0)).cast("long").alias("g")).where("size(v) > 0")
+    bounded(vectors.sparkSession)
     return chosen.mapInArrow(pack, block_schema(key_type))
 
 
@@ -70,6 +73,7 @@ def unpacked(blocks: DataFrame, key: str = "chunk_id", vector: str = "embedding"
                 rows = pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, dim), pa.int32()), values)
                 yield pa.RecordBatch.from_arrays([pa.array(keys, batch.schema.field("keys").type.value_type), rows], names=["k", "v"])
 
+    bounded(blocks.sparkSession)
     return blocks.select("dim", "kind", "keys", "vectors").mapInArrow(unpack, f"k {key_type}, v array<float>").toDF(key, vector)
 
 
