@@ -119,3 +119,31 @@ def test_letters_in_one_pass():
     counts = np.array(counts, float)
     want = (counts / np.maximum(np.sqrt((counts * counts).sum(axis=1, keepdims=True)), 1e-12)).astype(np.float32)
     assert (models.LetterEncoder().encode(texts) == want).all()
+
+
+def test_blocks_meet_all_queries_at_once(spark, tmp_path, monkeypatch):
+    """Bounds are added up where a range's blocks are, postings leave their blocks after the join, and groups of queries give what all give together."""
+    from corvane.operators import bm25_blocks
+
+    texts = spark.createDataFrame([(i, ["a", "b", f"c{i % 7}", f"d{i % 11}"]) for i in range(300)], "chunk_id long, tokens array<string>")
+    index = bm25.write_index(texts, f"{tmp_path}/index")
+    blocks = bm25_blocks.write_blocks(index, f"{tmp_path}/blocks", 8)
+    assert "hashpartitioning(number" not in bm25_blocks.postings_of(blocks)._jdf.queryExecution().executedPlan().toString()
+    queries = spark.createDataFrame([(q, ["a", f"c{q}", f"d{q}"]) for q in range(5)], "query_id long, tokens array<string>")
+    shown = lambda: sorted((r.query_id, r.bm25_rank, r.chunk_id, round(r.bm25_score, 8)) for r in bm25_blocks.topk(blocks, queries, 4, probes=2).collect())
+    whole = shown()
+    monkeypatch.setattr(bm25_blocks, "asked_in_groups", lambda q, idf, f=bm25.asked_in_groups: f(q, idf, most=6))
+    assert shown() == whole and len(whole) == 20
+
+
+def test_a_batch_of_chunks_meets_only_its_own_documents(spark, tmp_path, monkeypatch):
+    from corvane.plans import retrieval
+    from corvane.streaming import index_builder
+
+    docs = spark.createDataFrame([(i, "t", f"text {i}") for i in range(40)], "doc_id long, title string, text string")
+    chunks = spark.createDataFrame([(f"{i}:chunk:0", str(i), "t", 0, 6, 0, 6, 1) for i in range(40)], "chunk_id string, doc_id string, title string, child_start int, child_end int, parent_start int, parent_end int, chunk_len int")
+    chunks.repartition(4).write.parquet(f"{tmp_path}/chunks")
+    met = []
+    monkeypatch.setattr(retrieval, "embed", lambda todo, texts, make, done=None, f=retrieval.embed: (met.append(texts.count()), f(todo, texts, make, done))[1])
+    built = index_builder.build(spark, f"{tmp_path}/chunks", chunks.schema, docs, models.LetterEncoder, f"{tmp_path}/index", f"{tmp_path}/checkpoint", files=1)
+    assert built.count() == 40 and sum(met) == 40 and len(met) > 1
