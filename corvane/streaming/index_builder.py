@@ -38,13 +38,15 @@ def build(spark: SparkSession, source: str, schema: T.StructType | str, docs: Da
     """Encodes all chunk files of the folder `source` that the checkpoint does not know, `files` at a time, and returns the index.
 
     A run that was broken off goes on with the batch it was at; a later run takes files that have come since. Rows of one
-    chunk in a batch count once. kind: flat (a row a vector) or half (packed blocks). report: told the batch and the vectors
+    chunk in a batch count once, and only the texts of its own documents are shuffled for it. kind: flat (a row a vector) or half (packed blocks). report: told the batch and the vectors
     it stored. source, path and checkpoint are folders that all executors share; the same checkpoint belongs to the same index.
     """
 
     def store(batch: DataFrame, number: int) -> None:
         target, known = f"{path}/batch={number}", stored_keys(spark, path, number)
-        vectors = retrieval.embed(batch.dropDuplicates(["chunk_id"]), docs, make, known)
+        own = F.broadcast(batch.select(F.col("doc_id").cast("string").alias("__doc")).distinct())  # of `files` files
+        texts = docs.join(own, F.col("doc_id").cast("string") == F.col("__doc"), "left_semi")
+        vectors = retrieval.embed(batch.dropDuplicates(["chunk_id"]), texts, make, known)
         out = vector_blocks.packed(vectors, kind=kind) if kind == "half" else vectors
         out.write.mode("overwrite").parquet(target)
         if report:
