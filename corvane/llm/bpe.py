@@ -18,9 +18,9 @@ from array import array
 from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import groupby
 from os.path import commonprefix
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -37,6 +37,8 @@ REMEMBERED, LONGEST, PAIRS = 64 << 20, 256, 1 << 19
 AT_ONCE = 2 << 20
 
 
+#: Characters that go through the tokenizers library at once when its classes are asked; it keeps some hundred bytes for each.
+CLASS_PART = 1 << 14
 #: Fixed value: the public pre-split of byte-level vocabularies.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -52,25 +54,31 @@ def split_patterns() -> tuple[str, str]:
     from tokenizers import pre_tokenizers
 
     split = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
-    every = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
-    kind, odd = {}, []
+    every = np.delete(np.arange(0x110000, dtype="<u4"), slice(0xD800, 0xE000)).tobytes().decode("utf-32-le")
+    kind, odd = np.zeros(0x110000, np.uint8), np.zeros(0x110000, bool)  # a byte a code point: an object for each would stay with the driver
     for guess, which in ((r"\p{L}+", "a"), (r"\p{N}+", "1"), (r"\s+", " "), (r"[^\s\p{L}\p{N}]+", "!")):
-        members = "".join(regex.findall(guess, every))
-        for _, (low, high) in split(members):
-            piece = members[low:high]
-            joins = next((before for before in "a1!" if len(split(before + piece[0])) == 1), " ")
-            kind.update(dict.fromkeys(piece, joins))
-            odd += map(ord, piece) if joins != which else ()
-
-    def ranges(points: list[int]) -> str:
-        runs = [[p for _, p in run] for _, run in groupby(enumerate(sorted(points)), key=lambda x: x[1] - x[0])]
-        return "".join(f"\\U{r[0]:08x}-\\U{r[-1]:08x}" for r in runs)
-
-    letter, number, space = (ranges([ord(c) for c in every if kind[c] == which]) for which in "a1 ")
+        members = "".join(m[0] for m in regex.finditer(guess, every))
+        for at in range(0, len(members), CLASS_PART):
+            part = members[at : at + CLASS_PART]
+            for _, (low, high) in split(part):
+                piece = part[low:high]
+                joins = next((before for before in "a1!" if len(split(before + piece[0])) == 1), " ")
+                points = np.frombuffer(piece.encode("utf-32-le"), np.uint32)
+                kind[points] = ord(joins)
+                odd[points] = joins != which
+
+    def ranges(member: np.ndarray) -> str:
+        edges = np.flatnonzero(np.diff(member.astype(np.int8), prepend=0, append=0))
+        return "".join(f"\\U{low:08x}-\\U{end - 1:08x}" for low, end in edges.reshape(-1, 2).tolist())
+
+    letter, number, space = (ranges(kind == ord(which)) for which in "a1 ")
     spelled = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+"
-    if odd and min(odd) < 256:
+    if odd[:256].any():
         raise ValueError("the pre-splits differ below U+0100")
-    return spelled, f"[{ranges(odd)}]" if odd else r"(?!)"
+    out = spelled, f"[{ranges(odd)}]" if odd.any() else r"(?!)"
+    del every, members, part, kind, odd
+    trim()
+    return out
 
 
 def read_definition(path: str) -> str:

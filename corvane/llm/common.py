@@ -22,7 +22,11 @@ from pyspark.sql import types as T
 BATCH_BYTES = 8 << 20
 BATCH_ROWS = 4096
 
+#: Bytes by which the driver's heap may grow before a finished table is a reason to collect its garbage.
+HEAP_GROWTH = 48 << 20
+
 _shipped: set[str] = set()
+_heap_after = [0]
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -44,6 +48,20 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def tidy_driver(spark: SparkSession, growth: int = 0) -> None:
+    """Collects the driver's garbage, so that the cleaner takes what finished steps left and free memory goes back.
+
+    With growth only if the heap has grown by more since the last time: with many small tasks it would grow to its limit before the JVM itself sees reason to.
+    """
+    heap = spark.sparkContext._jvm.Runtime.getRuntime()
+    if growth and heap.totalMemory() - _heap_after[0] <= growth:
+        return
+    gc.collect()
+    heap.gc()
+    trim()
+    _heap_after[0] = heap.totalMemory()
+
+
 class Workspace:
     """Tables that cut lineage, in a folder of their own below spark.checkpoint.dir, which all executors share.
 
@@ -70,6 +88,7 @@ class Workspace:
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
         root, system = self._path()
         system.deleteOnExit(root)
+        tidy_driver(self.spark, HEAP_GROWTH)
         return self.read(name, df.schema)
 
     def _path(self, name: str = ""):
@@ -85,12 +104,11 @@ class Workspace:
         system.delete(root, True)
 
     def drop(self, *names: str) -> None:
-        """Removes tables that no later step reads, and lets the cleaner take the shuffle files of finished steps."""
+        """Removes tables that no later step reads, lets the cleaner take the shuffle files of finished steps, and gives the driver's free memory back."""
         for name in names:
             path, system = self._path(name)
             system.delete(path, True)
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        tidy_driver(self.spark)
 
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

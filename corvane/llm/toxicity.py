@@ -219,7 +219,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text")).join(F.broadcast(chosen), "__id").distinct()
     in_order = Window.partitionBy("__label").orderBy(F.xxhash64("__id"), "__id", F.xxhash64("__text"))
     rows = rows.withColumn("__upto", F.sum(F.octet_length("__text")).over(in_order)).where(F.col("__upto") <= sample_bytes).toPandas()
-    return fit(rows.loc[rows["__label"] == 1, "__text"].tolist(), rows.loc[rows["__label"] == 0, "__text"].tolist())
+    model = fit(rows.loc[rows["__label"] == 1, "__text"].tolist(), rows.loc[rows["__label"] == 0, "__text"].tolist())
+    del rows
+    trim()
+    return model
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text", folds: int = 5) -> DataFrame:

@@ -69,3 +69,17 @@ def test_operator_on_edge_rows(make, pair, corpus):
     docs = make([(1, None), (2, "b")])
     tokens = bpe.with_tokens(docs.withColumnRenamed("digest", "ids"), tokenizer_path())
     assert all(r.round_trip for r in tokens.collect()) and tokens.columns.count("ids") == 1
+
+
+def test_driver_asks_for_character_classes_without_an_object_each():
+    """All code points pass through the driver once; what they take there, and leave behind, is bounded (149 MB before)."""
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        found = bpe.split_patterns.__wrapped__()
+        left, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert found == bpe.split_patterns()
+    assert peak < 60 << 20 and left < 4 << 20
