@@ -32,6 +32,8 @@ from .common import Workspace, arrow_schema, in_fold, prepare, record, trimmed
 #: Words whose counts are broadcast: at most 16 MB, as longer words than LONG bytes stand under a digest.
 HEAD, LONG = 1 << 18, 64
 _COUNTED = 400_000
+#: Tokens whose pairs wait to be counted, and cells of a table of pairs that are passed on at once.
+AT_ONCE, CELLS = 1 << 18, 1 << 18
 _SCORED = "kind int, rid long, doc_id long, held_out boolean, n_tokens long, n_known long, n_rare long, base double, score double, word binary, times int"
 
 
@@ -80,17 +82,37 @@ def _class_totals(single, classes: int):
     return add
 
 
+class Head:
+    """The most frequent words and their counts, most frequent first, as one text and two arrays: a worker makes one dictionary of them, and none for what it only looks up by place."""
+
+    def __init__(self, words: list[bytes], counts: np.ndarray):
+        self.text, self.lengths, self.counts = b"".join(words), np.array([len(w) for w in words], np.uint8), np.asarray(counts, np.int64)
+
+    def words(self):
+        at = 0
+        for n in self.lengths.tolist():
+            yield self.text[at : at + n]
+            at += n
+
+
 class Groups:
-    """The group of each word; head maps words to counts, most frequent first."""
+    """The group of each word, by the place of a word in the head; the end stands behind all words."""
 
-    def __init__(self, head: dict[bytes, int], single: int, classes: int):
+    def __init__(self, head: Head, single: int, classes: int):
         self.single, self.classes, self.end = single, classes, single + classes
-        self.known = {w: i if i < single else single + class_of(w, classes) for i, w in enumerate(head)}
+        self.place = {w: i for i, w in enumerate(head.words())}
+        self.of_place = np.array([*(i if i < single else single + class_of(w, classes) for w, i in self.place.items()), self.end], np.int32)
 
-    def of(self, ws: list[bytes]) -> np.ndarray:
-        get = self.known.get
-        found = [get(w, -1) for w in ws]
-        return np.array([g if g >= 0 else self.single + class_of(w, self.classes) for g, w in zip(found, ws)] + [self.end], np.int64)
+    def places(self, ws: list[bytes]) -> np.ndarray:
+        """Where each word and the end stand in the head; -1 for other words."""
+        return np.array([*map(self.place.get, ws, [-1] * len(ws)), len(self.place)], np.int64)
+
+    def of(self, ws: list[bytes], at: np.ndarray) -> np.ndarray:
+        """The groups of words, and the end, of these places."""
+        g = self.of_place[at].astype(np.int64)
+        for i in np.flatnonzero(at < 0):
+            g[i] = self.single + class_of(ws[i], self.classes)
+        return g
 
 
 def contexts(g: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -98,31 +120,47 @@ def contexts(g: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([[end], g[:-1]]), np.concatenate([[end, end], g[:-2]])[: len(g)]
 
 
-def _pairs(head, single: int, classes: int):
-    """How often each group follows each at distances one and two: the counts of a partition."""
+def _pairs(head, single: int, classes: int, most: int = 1 << 30):
+    """How often each group follows each at distances one and two: the counts of a partition, passed on in parts of CELLS and whenever `most` tokens are counted, so that counts of 32 bits do."""
     schema = arrow_schema("distance int, before int, after int, n long")
 
     @trimmed
     def count(batches):
-        groups = Groups(head.value, single, classes)
+        groups, counted = Groups(head.value, single, classes), 0
         size = groups.end + 1
-        tables = np.zeros((2, size * size), np.int64)
+        tables = np.zeros((2, size * size), np.int32)
+
+        def passed_on():
+            for distance, table in enumerate(tables):
+                for low in range(0, len(table), CELLS):
+                    part = table[low : low + CELLS]
+                    cells = np.flatnonzero(part)
+                    if len(cells):
+                        yield record(schema, len(cells), distance=np.full(len(cells), distance, np.int32), before=((cells + low) // size).astype(np.int32), after=((cells + low) % size).astype(np.int32), n=part[cells].astype(np.int64))
+
+        def add(held):
+            for table, cells in zip(tables, zip(*held)):
+                np.add.at(table, np.concatenate(cells), 1)
+
         for batch in batches:
             held, n = [], 0
-            for text in batch.column(0).to_pylist():
-                g = groups.of(words(text))
+            for text in batch.column(0):
+                ws = words(text.as_py())
+                if counted and counted + len(ws) >= most:
+                    if held:
+                        add(held)
+                    yield from passed_on()
+                    tables[:] = 0
+                    held, n, counted = [], 0, 0
+                g = groups.of(ws, groups.places(ws))
                 held.append([before * size + g for before in contexts(g, groups.end)])
-                n += len(g)
-                if n > 1 << 20:
-                    for table, cells in zip(tables, zip(*held)):
-                        np.add.at(table, np.concatenate(cells), 1)
+                n, counted = n + len(g), counted + len(g)
+                if n > AT_ONCE:
+                    add(held)
                     held, n = [], 0
             if held:
-                for table, cells in zip(tables, zip(*held)):
-                    np.add.at(table, np.concatenate(cells), 1)
-        for distance, table in enumerate(tables):
-            cells = np.flatnonzero(table)
-            yield record(schema, len(cells), distance=[distance] * len(cells), before=(cells // size).astype(np.int32), after=(cells % size).astype(np.int32), n=table[cells])
+                add(held)
+        yield from passed_on()
 
     return count
 
@@ -218,21 +256,19 @@ def _score(head, model, single: int, classes: int, n_all: float, v_all: float, e
 
         rid, groups = TaskContext.get().partitionId() << 32, Groups(head.value, single, classes)
         near, far, total, class_floor = model.value
-        counts, index = np.log10(np.array([*head.value.values(), ends], float) + 0.1), {w: i for i, w in enumerate(head.value)}
-        group_of = np.array([*groups.known.values(), groups.end], np.int64)
+        group_of, head_counts = groups.of_place, head.value.counts
+        counts = np.log10(np.append(head_counts, ends).astype(float) + 0.1)
         within = np.where((group_of >= single) & (group_of < groups.end), counts - class_floor[np.clip(group_of - single, 0, classes - 1)], 0.0)
-        floor, rare_of = np.log10(n_all + 0.1 * (v_all + 1)), len(head.value)
-        seen = np.array([n > 0 for n in head.value.values()] + [ends > 0])
-        seldom = np.array([n <= 1 for n in head.value.values()] + [False])  # the end is no word
+        floor = np.log10(n_all + 0.1 * (v_all + 1))
+        seen = np.append(head_counts > 0, ends > 0)
+        seldom = np.append(head_counts <= 1, False)  # the end is no word
         for batch in batches:
             docs, rare = [], []
-            for doc_id, held_out, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                ws = words(text)
-                at = np.array([*map(index.get, ws, [-1] * len(ws)), rare_of], np.int64)
+            for doc_id, held_out, text in zip(*(batch.column(i) for i in range(3))):
+                doc_id, held_out, ws = doc_id.as_py(), held_out.as_py(), words(text.as_py())
+                at = groups.places(ws)
                 others = Counter(ws[i] for i in np.flatnonzero(at < 0))
-                g = group_of[at]
-                for i in np.flatnonzero(at < 0):
-                    g[i] = single + class_of(ws[i], classes)
+                g = groups.of(ws, at)
                 known = at >= 0
                 one, two = contexts(g, groups.end)
                 lm = (near[one, g] + far[two, g] - total[one, two]).sum(dtype=float) + within[at[known]].sum() - class_floor[g[~known] - single].sum()
@@ -274,7 +310,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     top = short.where(F.col("level") >= int(fits.min())).select("word", "n").toPandas() if len(fits) else pd.DataFrame({"word": [], "n": []})
     top["word"] = top["word"].map(bytes)
     top = top.sort_values(["n", "word"], ascending=[False, True])
-    head = spark.sparkContext.broadcast({w: int(c) for w, c in zip(top["word"], top["n"])})
+    head = spark.sparkContext.broadcast(Head([*top["word"]], top["n"].to_numpy(np.int64)))
     alone = spark.sparkContext.broadcast(set(top["word"][:single]))
     totals = counts.mapInArrow(_class_totals(alone, classes), "class int, total long, distinct long").groupBy("class").agg(F.sum("total").alias("total"), F.sum("distinct").alias("distinct")).toPandas().set_index("class").reindex(range(classes), fill_value=0)
     gathered = learned.mapInArrow(_pairs(head, single, classes), "distance int, before int, after int, n long").groupBy("distance", "before", "after").agg(F.sum("n").alias("n"))

@@ -124,3 +124,35 @@ def test_held_out_bits_as_measured(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     r = L.score_documents(docs).where("held_out").selectExpr("-sum(score) * log2(10) / sum(n_tokens) as bits", "-sum(base_score) * log2(10) / sum(n_tokens) as base").first()
     assert r.bits < 13.399 and r.base > 14.13
+
+
+def test_pairs_are_passed_on_in_parts_and_before_counts_grow(monkeypatch):
+    from collections import Counter
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pyarrow as pa
+
+    from corvane.llm import lm_scoring as lm
+
+    monkeypatch.setattr(lm, "CELLS", 50)
+    head = SimpleNamespace(value=lm.Head([b"a", b"b", b"\xff\n"], np.array([5, 3, 1])))
+    texts = ["a b c a", "", "b b b zz a", "a b"] * 9
+    batches = lambda: [pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])]
+
+    def total(most):
+        out, parts = Counter(), [*lm._pairs(head, 2, 16, most)(iter(batches()))]
+        for p in parts:
+            assert p.num_rows <= 50
+            for d, x, y, n in zip(*(p.column(i).to_pylist() for i in range(4))):
+                out[d, x, y] += n
+        return out
+
+    groups, expected = lm.Groups(head.value, 2, 16), Counter()
+    for t in texts:
+        of = {b"a": 0, b"b": 1}
+        g = [of.get(w, 2 + lm.class_of(w, 16)) for w in lm.words(t)] + [groups.end]
+        for i, x in enumerate(g):
+            expected[0, g[i - 1] if i else groups.end, x] += 1
+            expected[1, g[i - 2] if i > 1 else groups.end, x] += 1
+    assert total(1 << 30) == total(7) == expected
