@@ -122,11 +122,17 @@ def text_columns(columns: Sequence[str]) -> list[str]:
     return [c for c in columns if "id" not in low[c] and "index" not in low[c]][:3] or list(columns[:3])
 
 
-def title_and_text(df: DataFrame) -> DataFrame:
-    """df with __title, the first non-blank title column, and __text, the non-blank text columns joined by blank lines."""
+def title_and_text(df: DataFrame, as_it_stands: bool = False) -> DataFrame:
+    """df with __title, the first non-blank title column, and __text, the non-blank text columns joined by blank lines.
+
+    as_it_stands: blank and null values count as others do: __title is the first title column, and __text is null if a text column is.
+    """
     filled = lambda c: F.when(F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) != "", F.col(c).cast("string"))
     titles = [c for c in df.columns if c.lower() in TITLE_NAMES]
     texts = [c for c in text_columns(df.columns) if c not in titles]
+    if as_it_stands:
+        parts = [x for c in texts for x in (F.lit("\n\n"), F.col(c).cast("string"))][1:]
+        return df.withColumns({"__title": F.col(titles[0]).cast("string") if titles else F.lit(""), "__text": F.concat(*parts) if parts else F.lit("")})
     return df.withColumns({"__title": F.coalesce(*map(filled, titles), F.lit("")), "__text": F.concat_ws("\n\n", *map(filled, texts))})
 
 
