@@ -21,13 +21,13 @@ from ..sources.scratch import stored
 SLAB, CELLS = 1 << 15, 1 << 21
 
 
-def _slabs(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+def _slabs(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[tuple[pa.Array, np.ndarray, pa.Array]]:
     """(keys, vectors, groups) of up to SLAB rows (key, vector, group)."""
     held: list[tuple] = []
 
-    def joined() -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    def joined() -> tuple[pa.Array, np.ndarray, pa.Array]:
         keys, ms, groups = zip(*held)
-        return pa.concat_arrays(keys), np.concatenate(ms), np.concatenate(groups)
+        return pa.concat_arrays(keys), np.concatenate(ms), pa.concat_arrays(groups)
 
     for batch in batches:
         for low in range(0, batch.num_rows, SLAB):
@@ -36,21 +36,40 @@ def _slabs(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[tuple[pa.Arr
                 yield joined()
                 held.clear()
             m = part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
-            held.append((part.column(0), m, part.column(2).to_pandas().to_numpy()))
+            held.append((part.column(0), m, part.column(2)))
     if held:
         yield joined()
 
 
+def _by_group(groups: pa.Array) -> tuple[np.ndarray, dict]:
+    """(places, spans): the rows' places with those of a group together, in the order they had, and of each group where it begins and ends there."""
+    coded = groups.dictionary_encode()
+    codes = coded.indices.fill_null(len(coded.dictionary)).to_numpy(zero_copy_only=False)
+    names, ends = coded.dictionary.to_pylist() + [None], np.cumsum(np.bincount(codes, minlength=len(coded.dictionary) + 1)).tolist()
+    return np.argsort(codes, kind="stable"), {g: (low, high) for g, low, high in zip(names, [0, *ends], ends) if low < high}
+
+
+def _lower_bounds(s: np.ndarray, k: int) -> np.ndarray:
+    """A value for each row that k of its finite values reach, as rounded: the kth value, or in wide tables the kth of the largest of 16 k parts."""
+    if (width := s.shape[1] // (16 * k)) > 1:
+        s = s[:, : 16 * k * width].reshape(len(s), 16 * k, width).max(axis=2)
+    t = np.where(np.isfinite(s), s, -np.inf)
+    return np.round(np.partition(t, t.shape[1] - k, axis=1)[:, t.shape[1] - k], 9)
+
+
 def _largest(s: np.ndarray, lows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(rows, columns) of each row's k largest finite values as rounded, the first columns of equals, left out where lower than lows, which rise to the kth value found."""
     if s.shape[1] > k and (fresh := np.flatnonzero(lows == -np.inf)).size:
-        t = s[fresh]
-        t[~np.isfinite(t)] = -np.inf
-        lows[fresh] = np.round(np.partition(t, t.shape[1] - k, axis=1)[:, t.shape[1] - k], 9)
+        lows[fresh] = _lower_bounds(s[fresh] if len(fresh) < len(s) else s, k)
     rows, cols = np.nonzero(s >= lows[:, None] - 1e-9)
     value = s[rows, cols]
     ok = np.isfinite(value)
     rows, cols, value = rows[ok], cols[ok], np.round(value[ok], 9)
+    # Of those that equal the bound the first k are enough: copies of a vector are many.
+    tied = value == lows[rows]
+    upto = np.concatenate([[0], np.cumsum(tied)])
+    ok = (value > lows[rows]) | tied & (upto[1:] - upto[np.searchsorted(rows, np.arange(len(lows)))[rows]] <= k)
+    rows, cols, value = rows[ok], cols[ok], value[ok]
     order = np.lexsort((cols, -value, rows))
     rows, cols, value = rows[order], cols[order], value[order]
     first = np.searchsorted(rows, np.arange(len(lows)))
@@ -67,39 +86,52 @@ def dense_topk(queries: DataFrame, corpus: DataFrame, k: int, block_bytes: int =
     a stored table, and each block's best are written before the next one's begin. A block meets the whole corpus in one
     pass, in matrix products of at most CELLS values: up to at_once queries with a slab of up to SLAB vectors. A slab passes
     on its k best, as far as they reach the kth best of an earlier slab of the task, and a window takes the k best of those. The dimension is that of most queries; vectors that are null or of another one are left out. With
-    fewer than k vectors there are fewer rows. by: only vectors that agree with the query in this column are compared.
+    fewer than k vectors there are fewer rows. by: only vectors that agree with the query in this column are multiplied; null agrees with nothing.
     """
     named = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("v"), (F.col(by) if by else F.lit(None).cast("string")).alias("g")).where("v is not null")
     bounded(queries.sparkSession)
-    named = stored(named)
+    named = stored(named.where("g is not null") if by else named)
     sizes = named.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
     spark, dim, total = queries.sparkSession, (sizes["d"] if sizes else 0), (sizes["count"] if sizes else 0)
     named = named.where(F.size("v") == dim)
     n_blocks = max(1, -(-total * dim * 8 // block_bytes))
     corpus = corpus.select(F.col(key).alias("chunk_id"), F.col(vector).alias("v"), (F.col(by) if by else F.lit(None).cast("string")).alias("g")).where((F.size("v") == dim) & F.lit(total > 0))
+    corpus = corpus.where("g is not null") if by else corpus
     schema = f"query_id {dict(named.dtypes)['query_id']}, chunk_id {dict(corpus.dtypes)['chunk_id']}, similarity double"
     w = Window.partitionBy("query_id").orderBy(F.desc(F.round("similarity", 9)), "chunk_id")
-    field_types = (to_arrow_type(named.schema["query_id"].dataType),)
+    id_type = to_arrow_type(named.schema["query_id"].dataType)
     every = None
     for i in range(n_blocks):
-        rows = (named if n_blocks == 1 else named.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == i)).toPandas()
-        sent = spark.sparkContext.broadcast((rows["query_id"].to_numpy(), np.stack(rows["v"].to_numpy()).astype(np.float64) if len(rows) else np.zeros((0, dim)), rows["g"].to_numpy()))
+        rows = (named if n_blocks == 1 else named.where(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == i)).toArrow().combine_chunks()
+        ids, v, g = (pa.concat_arrays(rows.column(c).chunks) if rows.num_rows else pa.array([], rows.schema.field(c).type) for c in ("query_id", "v", "g"))
+        places, spans = _by_group(g)
+        sent = spark.sparkContext.broadcast((ids.cast(id_type).take(pa.array(places)), v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), dim)[places].astype(np.float64), spans))
 
         def best(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            names, q, groups = sent.value
-            lows, ids = np.full(len(names), -np.inf), pa.array(names, field_types[0])
-            for keys, m, of_group in _slabs(batches, dim):
+            ids, q, spans = sent.value
+            lows = np.full(len(ids), -np.inf)
+            for keys, m, groups in _slabs(batches, dim):
                 order = pc.sort_indices(keys)
-                keys, at = keys.take(order), order.to_numpy()
-                m, of_group = m[at].T, of_group[at]
-                step = max(1, min(at_once, CELLS // len(keys)))
-                for low in range(0, len(names), step):
-                    s = q[low : low + step] @ m
-                    if by:
-                        s[groups[low : low + step, None] != of_group[None, :]] = -np.inf
-                    rows, cols = _largest(s, lows[low : low + step], k)
-                    if len(rows):
-                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(low + rows)), keys.take(pa.array(cols)), pa.array(s[rows, cols])], names=["query_id", "chunk_id", "similarity"])
+                places, parts = _by_group(groups.take(order))
+                at = order.to_numpy()[places]
+                keys, m, found, n = keys.take(pa.array(at)), m[at], [], 0
+                for g, (start, end) in parts.items():
+                    first, last = spans.get(g, (0, 0))
+                    step = max(1, min(at_once, CELLS // (end - start)))
+                    for low in range(first, last, step):
+                        s = q[low : min(low + step, last)] @ m[start:end].T
+                        rows, cols = _largest(s, lows[low : min(low + step, last)], k)
+                        found.append((low + rows, start + cols, s[rows, cols]))
+                        n += len(rows)
+                        if n >= CELLS >> 4:
+                            yield passed(ids, keys, found)
+                            found, n = [], 0
+                if n:
+                    yield passed(ids, keys, found)
+
+        def passed(ids: pa.Array, keys: pa.Array, found: list[tuple]) -> pa.RecordBatch:
+            rows, cols, values = map(np.concatenate, zip(*found))
+            return pa.RecordBatch.from_arrays([ids.take(pa.array(rows)), keys.take(pa.array(cols)), pa.array(values)], names=["query_id", "chunk_id", "similarity"])
 
         part = corpus.mapInArrow(best, schema).withColumn("dense_rank", F.row_number().over(w)).where(F.col("dense_rank") <= k)
         if n_blocks > 1:
